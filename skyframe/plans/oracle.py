@@ -107,3 +107,128 @@ ORACLE["air08_daily_delay"] = f"""
 WITH {FLIGHTS}
 SELECT flt_date, round(AVG(dep_delay), 6) AS avg_dep_delay, round(AVG(arr_delay), 6) AS avg_arr_delay
 FROM flights WHERE dest = '{DEST}' GROUP BY flt_date"""
+
+
+# ---------------------------------------------------------------- adapters as SQL
+DOC_LINES = "doc_lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)"
+DOC_WORDS = (DOC_LINES + ", doc_words AS (SELECT unnest(string_split(line, ' ')) AS word FROM doc_lines)")
+
+PAGE_VIEWS = """page_views AS (
+  SELECT event_type AS url, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+         CAST(user_id % 10 AS INTEGER) AS zip, user_id, ts FROM events)"""
+
+LOG_PATTERN = r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)".*'
+LOG_LINES = """log_lines AS (
+  SELECT CASE WHEN event_type = 'error' THEN 'malformed ' || CAST(event_id AS VARCHAR) ELSE
+    '10.0.' || CAST((user_id // 256) % 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) || ' - ' ||
+    CASE WHEN event_type = 'signup' THEN '-' WHEN event_type = 'view' THEN '"-"'
+         ELSE '"u' || CAST(user_id AS VARCHAR) || '"' END ||
+    ' [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] "GET /' || event_type || '?v=' ||
+    CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' HTTP/1.1" 200 ' ||
+    CASE WHEN value < 1 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END ||
+    ' "http://ref.example/" "agent/1.0" extra' END AS line
+  FROM events)"""
+
+
+def _re(i: int) -> str:
+    return f"regexp_extract(line, '{LOG_PATTERN}', {i})"
+
+
+ORACLE["src04_json_props"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+ORACLE["src05_parquet_scan"] = "SELECT COUNT(*) AS row_count, round(SUM(o_totalprice), 2) AS total FROM orders"
+ORACLE["src07_sql_on_file"] = "SELECT * FROM region"
+ORACLE["src08_generic_load"] = "SELECT n_nationkey, n_name FROM nation"
+ORACLE["prj01_project"] = "SELECT c_custkey, c_name FROM customer"
+ORACLE["prj02_add_const"] = "SELECT n_nationkey, n_nationkey + 1 AS next_key FROM nation"
+ORACLE["prj04_format_rows"] = "SELECT printf('Key: %d, Value: %s', n_nationkey, n_name) AS line FROM nation"
+ORACLE["prj05_row_map"] = """
+SELECT CAST(json_object('n_name', n_name, 'n_nationkey', n_nationkey) AS VARCHAR) AS values_map FROM nation"""
+ORACLE["prj06_unpivot_pair"] = """
+SELECT l_partkey AS key FROM lineitem UNION ALL SELECT l_suppkey FROM lineitem"""
+ORACLE["prj07_cast"] = """
+SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, TRY_CAST(c_name AS INTEGER) AS c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer"""
+ORACLE["prj08_rename"] = "SELECT r_regionkey, r_name AS name FROM region"
+ORACLE["prj09_with_index"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents"
+ORACLE["flt01_filter_gt"] = "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 45"
+ORACLE["flt02_filter_eq"] = "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'"
+ORACLE["flt03_filter_between"] = """
+SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal BETWEEN 1000 AND 2000"""
+ORACLE["flt04_grep_count"] = f"""
+WITH {DOC_LINES} SELECT COUNT(*) AS matches FROM doc_lines WHERE contains(line, 'the')"""
+ORACLE["flt05_nonempty"] = f"""
+WITH {DOC_WORDS} SELECT COUNT(*) AS tokens FROM doc_words WHERE length(word) > 0"""
+ORACLE["flt06_drop_listed"] = f"""
+WITH {DOC_WORDS} SELECT word, COUNT(*) AS count FROM doc_words
+WHERE length(word) > 0 AND word NOT IN ('a', 'b', 'c') GROUP BY word"""
+ORACLE["flt06_dropped_count"] = f"""
+WITH {DOC_WORDS} SELECT COUNT(*) AS dropped FROM doc_words WHERE word IN ('a', 'b', 'c')"""
+ORACLE["cat01_view_sql"] = "SELECT l_returnflag, COUNT(*) AS n FROM lineitem GROUP BY l_returnflag"
+ORACLE["cat06_describe_shape"] = """
+SELECT 6 AS column_count, COUNT(*) AS row_count,
+       'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns FROM orders"""
+ORACLE["joi01_join_inner"] = """
+SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey"""
+ORACLE["joi03_join_left_default"] = """
+SELECT c_custkey, COALESCE(n, 0) AS n_orders FROM customer
+LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey"""
+ORACLE["joi07_lookup"] = "SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+ORACLE["joi08_two_key_join"] = """
+SELECT l_orderkey, l_partkey, SUM(l_quantity) AS qty, round(SUM(l_extendedprice), 2) AS price
+FROM lineitem GROUP BY l_orderkey, l_partkey"""
+ORACLE["agg01_group_count"] = "SELECT c_mktsegment, COUNT(*) AS count FROM customer GROUP BY c_mktsegment"
+ORACLE["agg02_count"] = "SELECT COUNT(*) AS count FROM lineitem"
+ORACLE["agg03_group_avg"] = """
+SELECT CAST(l_shipdate AS DATE) AS ship_date, round(AVG(l_quantity), 6) AS avg_l_quantity,
+       round(AVG(l_discount), 6) AS avg_l_discount FROM lineitem GROUP BY 1"""
+ORACLE["agg04_word_count"] = f"""
+WITH {DOC_WORDS} SELECT word, COUNT(*) AS count FROM doc_words WHERE length(word) > 0 GROUP BY word"""
+ORACLE["agg05_sum_by_key"] = "SELECT l_suppkey, SUM(l_quantity) AS total_qty FROM lineitem GROUP BY l_suppkey"
+ORACLE["agg06_distinct_count"] = "SELECT COUNT(DISTINCT o_custkey) AS distinct_count FROM orders"
+ORACLE["agg07_salted_group_count"] = "SELECT user_id, COUNT(*) AS count FROM events GROUP BY user_id"
+ORACLE["agg09_log_stats"] = f"""
+WITH {LOG_LINES},
+parsed AS (
+  SELECT regexp_matches(line, '{LOG_PATTERN}') AS ok, {_re(1)} AS ip, {_re(3)} AS u, {_re(5)} AS q,
+         TRY_CAST({_re(7)} AS INTEGER) AS b FROM log_lines),
+keyed AS (
+  SELECT CASE WHEN ok AND u NOT IN ('-', '"-"') THEN ip END AS ip,
+         CASE WHEN ok AND u NOT IN ('-', '"-"') THEN u END AS "user",
+         CASE WHEN ok AND u NOT IN ('-', '"-"') THEN q END AS query,
+         CASE WHEN ok THEN COALESCE(b, 0) ELSE 0 END AS bytes FROM parsed)
+SELECT ip, "user", query, COUNT(*) AS count, CAST(SUM(bytes) AS BIGINT) AS bytes
+FROM keyed GROUP BY ip, "user", query"""
+ORACLE["agg12_error_rate"] = f"""
+WITH {PAGE_VIEWS},
+a AS (SELECT zip, COUNT(*) AS n, CAST(SUM(CASE WHEN status <> 200 THEN 1 ELSE 0 END) AS BIGINT) AS errors
+      FROM page_views GROUP BY zip)
+SELECT zip, n, errors, errors / n AS error_rate,
+       CASE WHEN errors / n > 0.05 THEN printf('**%.4f**', errors / n) ELSE printf('%.4f', errors / n) END AS flag
+FROM a"""
+ORACLE["agg13_value_counts"] = """
+SELECT l_returnflag, COUNT(*) AS count, round(COUNT(*) / (SELECT COUNT(*) FROM lineitem), 6) AS fraction
+FROM lineitem GROUP BY l_returnflag"""
+ORACLE["agg14_reduce_sum"] = "SELECT round(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem"
+ORACLE["agg16_collect_per_key"] = """
+SELECT l_orderkey, list_sort(list(l_partkey)) AS parts FROM lineitem GROUP BY l_orderkey"""
+ORACLE["srt01_order"] = "SELECT n_name FROM nation ORDER BY n_name DESC"
+ORACLE["srt02_sort_numbers"] = """
+SELECT CAST(x AS BIGINT) AS number FROM
+  (SELECT unnest(string_split(CAST(o_orderkey AS VARCHAR) || ' ' || CAST(o_custkey AS VARCHAR), ' ')) AS x
+   FROM orders) ORDER BY number"""
+ORACLE["srt03_top_k"] = """
+SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10"""
+ORACLE["srt04_top_k_per"] = """
+SELECT * FROM (
+  SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice,
+         CAST(row_number() OVER (PARTITION BY l_suppkey
+                                 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS rank
+  FROM lineitem) WHERE rank <= 3"""
+ORACLE["srt06_head"] = "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 5"
+ORACLE["set01_union_all"] = "SELECT r_name AS name FROM region UNION ALL SELECT n_name FROM nation"
+ORACLE["set02_distinct"] = "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem"
+ORACLE["smp05_by_key_exact"] = """
+SELECT o_orderstatus, CAST(ceil(f * COUNT(*)) AS BIGINT) AS sampled, CAST(ceil(f * COUNT(*)) AS BIGINT) AS distinct_keys
+FROM (SELECT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 0.1 WHEN 'O' THEN 0.2 WHEN 'P' THEN 0.5 END AS f
+      FROM orders) GROUP BY o_orderstatus, f"""

@@ -73,3 +73,308 @@ def _air08(spark, d):
     out = fl.daily_delay(ad.flights(spark, d, ["flt_date", "dest", "dep_delay", "arr_delay"]), DEST)
     return out.select("flt_date", F.round("avg_dep_delay", 6).alias("avg_dep_delay"),
                       F.round("avg_arr_delay", 6).alias("avg_arr_delay"))
+
+
+# ---------------------------------------------------------------- helpers
+def _t(spark, d, name):
+    from skyframe.session import table
+    return table(spark, d, name)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from skyframe.operators import clicks as ck  # noqa: E402
+from skyframe.operators import logs as lg  # noqa: E402
+from skyframe.operators import relational as rel  # noqa: E402
+from skyframe.operators import sampling as smp  # noqa: E402
+from skyframe.operators import text as tx  # noqa: E402
+from skyframe.sources import catalog as cat  # noqa: E402
+from skyframe.sources import files as src  # noqa: E402
+
+BLOCK_LIST = ["a", "b", "c"]   # fixed value: the word block list
+
+
+# ---------------------------------------------------------------- sources
+@register("src04_json_props")
+def _src04(spark, d):
+    return src.json_strings(_t(spark, d, "events").select("event_id", "props"), "props", "k INT")
+
+
+@register("src05_parquet_scan")
+def _src05(spark, d):
+    o = src.read_parquet(spark, f"{d}/orders.parquet")
+    return o.agg(F.count(F.lit(1)).alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@register("src07_sql_on_file")
+def _src07(spark, d):
+    return src.sql_on_file(spark, "parquet", f"{d}/region.parquet")
+
+
+@register("src08_generic_load")
+def _src08(spark, d):
+    return src.load(spark, f"{d}/nation.parquet", "parquet").select("n_nationkey", "n_name")
+
+
+# ---------------------------------------------------------------- projection / filter
+@register("prj01_project")
+def _prj01(spark, d):
+    return rel.project(_t(spark, d, "customer"), ["c_custkey", "c_name"])
+
+
+@register("prj02_add_const")
+def _prj02(spark, d):
+    return rel.add_const(_t(spark, d, "nation").select("n_nationkey"), "n_nationkey", 1, "next_key")
+
+
+@register("prj04_format_rows")
+def _prj04(spark, d):
+    return rel.format_rows(_t(spark, d, "nation"), "Key: %d, Value: %s", ["n_nationkey", "n_name"])
+
+
+@register("prj05_row_map")
+def _prj05(spark, d):
+    return rel.row_map(_t(spark, d, "nation"), ["n_name", "n_nationkey"])
+
+
+@register("prj06_unpivot_pair")
+def _prj06(spark, d):
+    return rel.unpivot_pair(_t(spark, d, "lineitem"), "l_partkey", "l_suppkey", "key")
+
+
+@register("prj07_cast")
+def _prj07(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    c = rel.cast(rel.cast(rel.cast(c, "c_name", "int"), "c_nationkey", "string"), "c_custkey", "double")
+    return c
+
+
+@register("prj08_rename")
+def _prj08(spark, d):
+    return rel.rename(_t(spark, d, "region"), "r_name", "name")
+
+
+@register("prj09_with_index")
+def _prj09(spark, d):
+    return rel.with_index(_t(spark, d, "documents").select("doc_id"), ["doc_id"])
+
+
+@register("flt01_filter_gt")
+def _flt01(spark, d):
+    return rel.filter_gt(_t(spark, d, "lineitem"), "l_quantity", 45).select("l_orderkey", "l_linenumber")
+
+
+@register("flt02_filter_eq")
+def _flt02(spark, d):
+    return rel.filter_eq(_t(spark, d, "orders"), "o_orderstatus", "F").select("o_orderkey")
+
+
+@register("flt03_filter_between")
+def _flt03(spark, d):
+    return rel.filter_between(_t(spark, d, "customer"), "c_acctbal", 1000, 2000).select("c_custkey", "c_acctbal")
+
+
+@register("flt04_grep_count")
+def _flt04(spark, d):
+    return tx.grep_count(ad.doc_lines(spark, d), "line", "the")
+
+
+@register("flt05_nonempty")
+def _flt05(spark, d):
+    w = tx.nonempty(tx.words(ad.doc_lines(spark, d), "line", " "))
+    return w.agg(F.count(F.lit(1)).alias("tokens"))
+
+
+@register("flt06_drop_listed")
+def _flt06(spark, d):
+    w = tx.nonempty(tx.words(ad.doc_lines(spark, d), "line", " "))
+    block = spark.createDataFrame([(x,) for x in BLOCK_LIST], "word string")
+    kept, _ = rel.drop_listed(w, "word", block)
+    return kept.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("flt06_dropped_count")
+def _flt06b(spark, d):
+    w = tx.nonempty(tx.words(ad.doc_lines(spark, d), "line", " "))
+    block = spark.createDataFrame([(x,) for x in BLOCK_LIST], "word string")
+    _, dropped = rel.drop_listed(w, "word", block)
+    return dropped
+
+
+@register("cat01_view_sql")
+def _cat01(spark, d):
+    return cat.query(spark, _t(spark, d, "lineitem"), "li",
+                     "SELECT l_returnflag, COUNT(*) AS n FROM li GROUP BY l_returnflag")
+
+
+@register("cat06_describe_shape")
+def _cat06(spark, d):
+    return rel.describe_shape(_t(spark, d, "orders"))
+
+
+# ---------------------------------------------------------------- joins
+@register("joi01_join_inner")
+def _joi01(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return rel.join_inner(o, c, "o_custkey").select("o_orderkey", "c_name")
+
+
+@register("joi03_join_left_default")
+def _joi03(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey")
+    n = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"))
+    return rel.join_left_default(c, n, "c_custkey", {"n_orders": 0})
+
+
+@register("joi07_lookup")
+def _joi07(spark, d):
+    s = _t(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    n = _t(spark, d, "nation").select("n_nationkey", "n_name")
+    return rel.lookup(s, n, "n_nationkey").select("s_suppkey", "n_name")
+
+
+@register("joi08_two_key_join")
+def _joi08(spark, d):
+    li = _t(spark, d, "lineitem")
+    a = li.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("qty"))
+    b = li.groupBy("l_orderkey", "l_partkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("price"))
+    return a.join(b, ["l_orderkey", "l_partkey"])
+
+
+# ---------------------------------------------------------------- aggregates
+@register("agg01_group_count")
+def _agg01(spark, d):
+    return rel.group_count(_t(spark, d, "customer"), "c_mktsegment")
+
+
+@register("agg02_count")
+def _agg02(spark, d):
+    return rel.count(_t(spark, d, "lineitem"))
+
+
+@register("agg03_group_avg")
+def _agg03(spark, d):
+    li = _t(spark, d, "lineitem").withColumn("ship_date", F.to_date("l_shipdate"))
+    g = rel.group_avg(li, "ship_date", ["l_quantity", "l_discount"])
+    return g.select("ship_date", F.round("avg_l_quantity", 6).alias("avg_l_quantity"),
+                    F.round("avg_l_discount", 6).alias("avg_l_discount"))
+
+
+@register("agg04_word_count")
+def _agg04(spark, d):
+    return tx.word_count(ad.doc_lines(spark, d), "line", " ")
+
+
+@register("agg05_sum_by_key")
+def _agg05(spark, d):
+    return rel.sum_by_key(_t(spark, d, "lineitem"), "l_suppkey", "l_quantity", "total_qty")
+
+
+@register("agg06_distinct_count")
+def _agg06(spark, d):
+    return rel.distinct_count(_t(spark, d, "orders"), ["o_custkey"])
+
+
+@register("agg07_salted_group_count")
+def _agg07(spark, d):
+    return rel.salted_group_count(_t(spark, d, "events").select("user_id", "event_id"), "user_id", 16)
+
+
+@register("agg09_log_stats")
+def _agg09(spark, d):
+    return lg.query_stats(ad.log_lines(spark, d), "line")
+
+
+@register("agg12_error_rate")
+def _agg12(spark, d):
+    return ck.error_rate(ad.page_views(spark, d), "zip")
+
+
+@register("agg13_value_counts")
+def _agg13(spark, d):
+    v = rel.value_counts(_t(spark, d, "lineitem"), "l_returnflag")
+    return v.withColumn("fraction", F.round("fraction", 6))
+
+
+@register("agg14_reduce_sum")
+def _agg14(spark, d):
+    r = rel.reduce_sum(_t(spark, d, "lineitem"), F.col("l_extendedprice") * (1 - F.col("l_discount")), "revenue")
+    return r.select(F.round("revenue", 2).alias("revenue"))
+
+
+@register("agg16_collect_per_key")
+def _agg16(spark, d):
+    return rel.collect_per_key(_t(spark, d, "lineitem"), "l_orderkey", "l_partkey", "parts")
+
+
+# ---------------------------------------------------------------- order / sets / samples
+@register("srt01_order")
+def _srt01(spark, d):
+    return rel.order(_t(spark, d, "nation").select("n_name"), ["n_name"], ascending=False)
+
+
+@register("srt02_sort_numbers")
+def _srt02(spark, d):
+    o = _t(spark, d, "orders").select(F.concat_ws(" ", "o_orderkey", "o_custkey").alias("line"))
+    return tx.sort_numbers(o, "line")
+
+
+@register("srt03_top_k")
+def _srt03(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_acctbal")
+    return rel.top_k(c, "c_acctbal", 10, asc=False, tie=["c_custkey"])
+
+
+@register("srt04_top_k_per")
+def _srt04(spark, d):
+    li = _t(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return rel.top_k_per(li, "l_suppkey", "l_extendedprice", 3, asc=False, tie=["l_orderkey", "l_linenumber"])
+
+
+@register("srt06_head")
+def _srt06(spark, d):
+    return rel.head(_t(spark, d, "orders").select("o_orderkey", "o_custkey"), 5, ["o_orderkey"])
+
+
+@register("set01_union_all")
+def _set01(spark, d):
+    r = _t(spark, d, "region").select(F.col("r_name").alias("name"))
+    n = _t(spark, d, "nation").select(F.col("n_name").alias("name"))
+    return rel.union_all(r, n)
+
+
+@register("set02_distinct")
+def _set02(spark, d):
+    return rel.distinct(_t(spark, d, "lineitem").select("l_returnflag", "l_linestatus"))
+
+
+@register("smp01_split")
+def _smp01(spark, d):
+    train, _ = smp.split(_t(spark, d, "orders").select("o_orderkey"), [0.7, 0.3], seed=7, key=["o_orderkey"])
+    return train
+
+
+@register("smp02_sample")
+def _smp02(spark, d):
+    return smp.sample(_t(spark, d, "orders").select("o_orderkey"), 0.1, False, 7)
+
+
+@register("smp03_take_sample")
+def _smp03(spark, d):
+    return smp.take_sample(_t(spark, d, "orders").select("o_orderkey"), 10, 7)
+
+
+@register("smp04_by_key")
+def _smp04(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return smp.by_key(o, "o_orderstatus", {"F": 0.1, "O": 0.2, "P": 0.5}, 7)
+
+
+@register("smp05_by_key_exact")
+def _smp05(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    s = smp.by_key_exact(o, "o_orderstatus", {"F": 0.1, "O": 0.2, "P": 0.5}, 7)
+    return s.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("sampled"),
+                                          F.count_distinct("o_orderkey").alias("distinct_keys"))
