@@ -232,3 +232,58 @@ ORACLE["smp05_by_key_exact"] = """
 SELECT o_orderstatus, CAST(ceil(f * COUNT(*)) AS BIGINT) AS sampled, CAST(ceil(f * COUNT(*)) AS BIGINT) AS distinct_keys
 FROM (SELECT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 0.1 WHEN 'O' THEN 0.2 WHEN 'P' THEN 0.5 END AS f
       FROM orders) GROUP BY o_orderstatus, f"""
+
+
+# ---------------------------------------------------------------- streaming (stream result == batch SQL)
+WORD_COUNTS = f"""WITH {DOC_WORDS}
+SELECT word, COUNT(*) AS count FROM doc_words WHERE length(word) > 0 GROUP BY word"""
+
+
+def _windows(src: str, win_min: int = 60, slide_min: int = 15) -> str:
+    k = win_min // slide_min
+    return f"""(SELECT *, time_bucket(INTERVAL {slide_min} MINUTE, ts) - k * INTERVAL {slide_min} MINUTE AS window_start
+  FROM {src}, range(0, {k}) t(k))"""
+
+
+ORACLE["str01_batch_word_count"] = WORD_COUNTS
+ORACLE["str02_running_word_count"] = WORD_COUNTS
+ORACLE["str09_sql_per_batch"] = WORD_COUNTS
+ORACLE["str03_windowed_count"] = f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, COUNT(*) AS count
+FROM {_windows('events')} GROUP BY window_start, event_type"""
+ORACLE["str05_seeded_running_sum"] = f"""WITH {DOC_WORDS}
+SELECT word, COUNT(*) + CASE WHEN word IN ('hello', 'world') THEN 1 ELSE 0 END AS total
+FROM doc_words WHERE length(word) > 0 GROUP BY word"""
+ORACLE["str06_update_state"] = "SELECT user_id, round(SUM(value), 6) AS total FROM events GROUP BY user_id"
+ORACLE["str08_sessions"] = """
+WITH e AS (
+  SELECT user_id, ts,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE
+              THEN 1 ELSE 0 END AS brk
+  FROM events),
+s AS (SELECT *, SUM(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, MIN(ts) AS start, MAX(ts) + INTERVAL 30 MINUTE AS "end", COUNT(*) AS num_events,
+       CAST((epoch_us(MAX(ts) + INTERVAL 30 MINUTE) - epoch_us(MIN(ts))) // 1000 AS BIGINT) AS duration_ms
+FROM s GROUP BY user_id, sid"""
+ORACLE["str11_page_counts_windowed"] = f"""WITH {PAGE_VIEWS}
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, url, COUNT(*) AS views
+FROM {_windows('page_views')} GROUP BY window_start, url"""
+ORACLE["str12_error_rate_windowed"] = f"""WITH {PAGE_VIEWS}
+SELECT window_start, zip, COUNT(*) AS n, CAST(SUM(CASE WHEN status <> 200 THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+       round(SUM(CASE WHEN status <> 200 THEN 1 ELSE 0 END) / COUNT(*), 6) AS error_rate
+FROM {_windows('page_views')} GROUP BY window_start, zip"""
+ORACLE["str13_active_users_batch"] = f"""WITH {PAGE_VIEWS}
+SELECT window_start, COUNT(DISTINCT user_id) AS active_users FROM {_windows('page_views')} GROUP BY window_start"""
+ORACLE["str14_users_seen"] = """
+SELECT user_id, c_name AS name, COUNT(*) AS events FROM events JOIN customer ON user_id = c_custkey
+GROUP BY user_id, c_name ORDER BY user_id LIMIT 10"""
+ORACLE["str15_happiest_words"] = f"""WITH {DOC_WORDS},
+wc AS (SELECT word, COUNT(*) AS count FROM doc_words WHERE length(word) > 0 GROUP BY word),
+bw AS (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark),
+sent AS (SELECT word, CAST(COUNT(*) AS DOUBLE) AS score FROM bw WHERE length(word) > 0 GROUP BY word)
+SELECT word, score * count AS happiness FROM wc JOIN sent USING (word)
+ORDER BY happiness DESC, word LIMIT 5"""
+ORACLE["str16_batch_count"] = "SELECT COUNT(*) AS events FROM events"
+ORACLE["air07_stream_carriers"] = ORACLE["air02_carriers_by_arr_delay"]
+ORACLE["air07_stream_airports"] = ORACLE["air01_top_airports"]

@@ -378,3 +378,152 @@ def _smp05(spark, d):
     s = smp.by_key_exact(o, "o_orderstatus", {"F": 0.1, "O": 0.2, "P": 0.5}, 7)
     return s.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("sampled"),
                                           F.count_distinct("o_orderkey").alias("distinct_keys"))
+
+
+# ---------------------------------------------------------------- streaming
+# Each stream query replays a shared table as N files (one per trigger),
+# runs to the end of the available input, and returns what the sink holds.
+from skyframe.streaming import sinks as ssk  # noqa: E402
+from skyframe.streaming import streams as st  # noqa: E402
+
+N_BATCHES = 4
+SEED_COUNTS = [("hello", 1), ("world", 1)]   # fixed value: the initial state
+
+
+def _complete(stream, spark, name):
+    out = st.scratch(spark, name)
+    st.run(stream, "complete", ssk.replace_table(out))
+    return ssk.latest(spark, out)
+
+
+def _words_stream(spark, d):
+    return st.replay(spark, ad.doc_lines(spark, d), N_BATCHES)
+
+
+def _events_stream(spark, d, cols=None):
+    ev = _t(spark, d, "events")
+    return st.replay(spark, ev.select(*(cols or ev.columns)), N_BATCHES, order_col="ts")
+
+
+@register("str01_batch_word_count")
+def _str01(spark, d):
+    out = st.scratch(spark, "str01")
+    words = st.split_words(_words_stream(spark, d), "line")
+    st.run(words, "append", st.batch_word_count(out))
+    per_batch = spark.read.parquet(out)          # batch=<id> folders
+    return per_batch.groupBy("word").agg(F.sum("count").alias("count"))
+
+
+@register("str02_running_word_count")
+def _str02(spark, d):
+    return _complete(st.running_word_count(_words_stream(spark, d), "line"), spark, "str02")
+
+
+@register("str03_windowed_count")
+def _str03(spark, d):
+    s = _events_stream(spark, d, ["ts", "event_type"])
+    return _complete(st.windowed_count(s, "ts", "event_type", "1 hour", "15 minutes"), spark, "str03")
+
+
+@register("str05_seeded_running_sum")
+def _str05(spark, d):
+    out = st.scratch(spark, "str05")
+    counts = st.split_words(_words_stream(spark, d), "line").groupBy("word").agg(
+        F.count(F.lit(1)).alias("total"))
+    seed = spark.createDataFrame(SEED_COUNTS, "word string, total long")
+    st.run(counts, "update", st.seeded_sums(seed, "word", out, "total"))
+    return ssk.latest(spark, out)
+
+
+@register("str06_update_state")
+def _str06(spark, d):
+    out = st.scratch(spark, "str06")
+    s = st.update_state(_events_stream(spark, d, ["ts", "user_id", "value"]), "user_id", "value")
+    st.run(s, "update", ssk.upsert_parquet(out, ["user_id"]))
+    return ssk.latest(spark, out).select("user_id", F.round("total", 6).alias("total"))
+
+
+@register("str08_sessions")
+def _str08(spark, d):
+    s = _events_stream(spark, d, ["ts", "user_id"])
+    return _complete(st.sessions(s, "user_id", "ts", "30 minutes"), spark, "str08")
+
+
+@register("str09_sql_per_batch")
+def _str09(spark, d):
+    out = st.scratch(spark, "str09")
+    words = st.split_words(_words_stream(spark, d), "line")
+    sql = "SELECT word, COUNT(*) AS total FROM words GROUP BY word"
+    st.run(words, "append", st.sql_per_batch(sql, "words", ssk.batch_dirs(out)))
+    return spark.read.parquet(out).groupBy("word").agg(F.sum("total").alias("count"))
+
+
+@register("str11_page_counts_windowed")
+def _str11(spark, d):
+    pv = st.replay(spark, ad.page_views(spark, d), N_BATCHES, order_col="ts")
+    return _complete(ck.page_counts_windowed(pv, "1 hour", "15 minutes"), spark, "str11")
+
+
+@register("str12_error_rate_windowed")
+def _str12(spark, d):
+    pv = st.replay(spark, ad.page_views(spark, d), N_BATCHES, order_col="ts")
+    r = _complete(ck.error_rate_windowed(pv, "1 hour", "15 minutes"), spark, "str12")
+    return r.withColumn("error_rate", F.round("error_rate", 6))
+
+
+@register("str13_active_users")
+def _str13(spark, d):
+    pv = st.replay(spark, ad.page_views(spark, d), N_BATCHES, order_col="ts")
+    return _complete(ck.active_users(pv, "1 hour", "15 minutes", approx=True), spark, "str13")
+
+
+@register("str13_active_users_batch")
+def _str13b(spark, d):
+    return ck.active_users(ad.page_views(spark, d), "1 hour", "15 minutes")
+
+
+@register("str14_users_seen")
+def _str14(spark, d):
+    pv = st.replay(spark, ad.page_views(spark, d).select("user_id", "ts"), N_BATCHES, order_col="ts")
+    users = _t(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    seen = st.join_static(pv, users, "user_id").groupBy("user_id", "name").agg(F.count(F.lit(1)).alias("events"))
+    top = seen.orderBy("user_id").limit(10)
+    return _complete(top, spark, "str14")
+
+
+def _sentiments(spark, d):
+    """Scored words: how often a word occurs in the benchmark passages."""
+    b = _t(spark, d, "benchmark")
+    w = b.select(F.explode(F.split("text", " ")).alias("word")).filter(F.length("word") > 0)
+    return w.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("score"))
+
+
+@register("str15_happiest_words")
+def _str15(spark, d):
+    out = st.scratch(spark, "str15")
+    counts = st.running_word_count(_words_stream(spark, d), "line")
+    sent = _sentiments(spark, d)
+
+    def each(batch_df, batch_id):
+        ssk.replace_table(out)(st.happiest_words(batch_df, sent, 5), batch_id)
+    st.run(counts, "complete", each)
+    return ssk.latest(spark, out)
+
+
+@register("str16_batch_count")
+def _str16(spark, d):
+    out = st.scratch(spark, "str16")
+    st.run(_events_stream(spark, d, ["event_id", "ts"]), "append", st.batch_count(ssk.batch_dirs(out)))
+    return spark.read.parquet(out).agg(F.sum("events").alias("events"))
+
+
+@register("air07_stream_carriers")
+def _air07a(spark, d):
+    f = ad.flights(spark, d, ["carrier", "arr_delay", "cancelled"])
+    return _complete(fl.carriers_by_arr_delay(st.replay(spark, f, N_BATCHES), 10), spark, "air07a")
+
+
+@register("air07_stream_airports")
+def _air07b(spark, d):
+    f = ad.flights(spark, d, ["origin", "dest"])
+    return _complete(fl.top_airports(st.replay(spark, f, N_BATCHES), 10), spark, "air07b")
