@@ -287,3 +287,86 @@ ORDER BY happiness DESC, word LIMIT 5"""
 ORACLE["str16_batch_count"] = "SELECT COUNT(*) AS events FROM events"
 ORACLE["air07_stream_carriers"] = ORACLE["air02_carriers_by_arr_delay"]
 ORACLE["air07_stream_airports"] = ORACLE["air01_top_airports"]
+
+
+# ---------------------------------------------------------------- graph
+PART_CHAIN = """pc AS (
+  SELECT a.l_partkey AS src, b.l_partkey AS dst, b.l_quantity AS weight
+  FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber
+  WHERE a.l_partkey <> b.l_partkey)"""
+BULK = PART_CHAIN + ", bulk AS (SELECT * FROM pc WHERE weight = 50.0)"
+NATION_TRADE = """ne AS (
+  SELECT DISTINCT CAST(s.s_nationkey AS BIGINT) AS src, CAST(c.c_nationkey AS BIGINT) AS dst
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+
+def _pagerank_sql(naive: bool, iters: int = 10) -> str:
+    parts = [PART_CHAIN]
+    if naive:
+        parts.append("lk AS (SELECT DISTINCT src, dst FROM pc)")
+    else:
+        parts.append("lk AS (SELECT src, dst FROM pc)")
+        parts.append("verts AS (SELECT src AS id FROM pc UNION SELECT dst FROM pc)")
+    parts.append("deg AS (SELECT src, COUNT(*) AS deg FROM lk GROUP BY src)")
+    parts.append("l AS (SELECT lk.src, lk.dst, deg.deg FROM lk JOIN deg USING (src))")
+    if naive:
+        parts.append("r0 AS (SELECT DISTINCT src AS id, CAST(1.0 AS DOUBLE) AS rank FROM lk)")
+    else:
+        parts.append("r0 AS (SELECT id, CAST(1.0 AS DOUBLE) AS rank FROM verts)")
+    for i in range(1, iters + 1):
+        if naive:
+            parts.append(f"r{i} AS (SELECT l.dst AS id, 0.15 + 0.85 * SUM(rank / deg) AS rank "
+                         f"FROM l JOIN r{i-1} ON l.src = r{i-1}.id GROUP BY l.dst)")
+        else:
+            parts.append(f"c{i} AS (SELECT l.dst, SUM(rank / deg) AS s FROM l JOIN r{i-1} ON l.src = r{i-1}.id "
+                         f"GROUP BY l.dst), r{i} AS (SELECT id, 0.15 + 0.85 * COALESCE(s, 0.0) AS rank "
+                         f"FROM verts LEFT JOIN c{i} ON verts.id = c{i}.dst)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, 6) AS rank FROM r{iters}"
+
+
+ORACLE["grf01_pagerank_naive"] = _pagerank_sql(True)
+ORACLE["grf02_pagerank"] = _pagerank_sql(False)
+ORACLE["grf04_connected_components"] = f"""
+WITH RECURSIVE {BULK},
+und AS (SELECT src, dst FROM bulk UNION SELECT dst, src FROM bulk),
+verts AS (SELECT src AS id FROM bulk UNION SELECT dst FROM bulk),
+reach(id, label) AS (SELECT id, id FROM verts
+                     UNION SELECT und.dst, reach.label FROM reach JOIN und ON reach.id = und.src)
+SELECT id, MIN(label) AS label FROM reach GROUP BY id"""
+ORACLE["grf05_triangles"] = f"""
+WITH {PART_CHAIN},
+c AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM pc WHERE src <> dst),
+t AS (SELECT x.a, x.b, y.b AS c FROM c x JOIN c y ON x.b = y.a JOIN c z ON z.a = x.a AND z.b = y.b),
+verts AS (SELECT a AS id FROM c UNION SELECT b FROM c),
+per AS (SELECT id, COUNT(*) AS n FROM (SELECT a AS id FROM t UNION ALL SELECT b FROM t UNION ALL SELECT c FROM t)
+        GROUP BY id)
+SELECT verts.id, CAST(COALESCE(n, 0) AS BIGINT) AS triangles FROM verts LEFT JOIN per USING (id)"""
+ORACLE["grf06_sssp"] = f"""
+WITH RECURSIVE {BULK},
+verts AS (SELECT src AS id FROM bulk UNION SELECT dst FROM bulk),
+s0 AS (SELECT MIN(src) AS s FROM bulk),
+p(id, dist) AS (SELECT s, CAST(0.0 AS DOUBLE) FROM s0
+                UNION SELECT b.dst, p.dist + b.weight FROM p JOIN bulk b ON p.id = b.src
+                WHERE p.dist + b.weight <= 50.0 * (SELECT COUNT(*) FROM verts))
+SELECT verts.id, COALESCE(MIN(p.dist), CAST('inf' AS DOUBLE)) AS distance
+FROM verts LEFT JOIN p USING (id) GROUP BY verts.id"""
+ORACLE["grf07_neighbour_mean"] = f"""
+WITH {PART_CHAIN}
+SELECT pc.dst AS id, COUNT(*) AS senders, round(AVG(a.p_retailprice), 6) AS mean_attr
+FROM pc JOIN part a ON pc.src = a.p_partkey JOIN part b ON pc.dst = b.p_partkey
+WHERE a.p_retailprice > b.p_retailprice GROUP BY pc.dst"""
+ORACLE["grf08_transitive_closure"] = f"""
+WITH RECURSIVE {NATION_TRADE},
+tc(src, dst) AS (SELECT src, dst FROM ne UNION SELECT tc.src, ne.dst FROM tc JOIN ne ON tc.dst = ne.src)
+SELECT src, dst FROM tc"""
+ORACLE["grf09_degree_hist"] = f"""
+WITH {PART_CHAIN},
+ends AS (SELECT src AS id FROM pc UNION ALL SELECT dst FROM pc),
+d AS (SELECT p_partkey AS id, COALESCE(n, 0) AS degree FROM part
+      LEFT JOIN (SELECT id, COUNT(*) AS n FROM ends GROUP BY id) e ON p_partkey = e.id)
+SELECT degree, COUNT(*) AS vertices FROM d GROUP BY degree"""
+ORACLE["grf10_subgraph"] = f"""
+WITH {PART_CHAIN}
+SELECT src, dst, weight FROM pc
+WHERE src IN (SELECT p_partkey FROM part WHERE p_size > 25) AND dst IN (SELECT p_partkey FROM part WHERE p_size > 25)"""

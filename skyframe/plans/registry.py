@@ -527,3 +527,86 @@ def _air07a(spark, d):
 def _air07b(spark, d):
     f = ad.flights(spark, d, ["origin", "dest"])
     return _complete(fl.top_airports(st.replay(spark, f, N_BATCHES), 10), spark, "air07b")
+
+
+# ---------------------------------------------------------------- graph
+from skyframe.operators import graph as gr  # noqa: E402
+
+BULK_QTY = 50.0   # the bulk-order graph keeps chain edges whose next line has this quantity
+
+
+def _bulk_edges(spark, d):
+    e = ad.part_chain_edges(spark, d)
+    return e.filter(F.col("weight") == BULK_QTY)
+
+
+@register("grf01_pagerank_naive")
+def _grf01(spark, d):
+    r = gr.pagerank_naive(ad.part_chain_edges(spark, d), 10)
+    return r.select("id", F.round("rank", 6).alias("rank"))
+
+
+@register("grf02_pagerank")
+def _grf02(spark, d):
+    r = gr.pagerank(ad.part_chain_edges(spark, d), 10)
+    return r.select("id", F.round("rank", 6).alias("rank"))
+
+
+@register("grf03_pagerank_tol")
+def _grf03(spark, d):
+    r = gr.pagerank_tol(ad.part_chain_edges(spark, d), 1e-3)
+    return r.select("id", F.round("rank", 4).alias("rank"))
+
+
+@register("grf04_connected_components")
+def _grf04(spark, d):
+    return gr.connected_components(_bulk_edges(spark, d))
+
+
+@register("grf05_triangles")
+def _grf05(spark, d):
+    return gr.triangles(ad.part_chain_edges(spark, d))
+
+
+@register("grf06_sssp")
+def _grf06(spark, d):
+    e = _bulk_edges(spark, d)
+    source = e.agg(F.min("src")).first()[0]
+    return gr.sssp(e, source)
+
+
+@register("grf07_neighbour_mean")
+def _grf07(spark, d):
+    v = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"))
+    r = gr.neighbour_mean(v, ad.part_chain_edges(spark, d), "price")
+    return r.withColumn("mean_attr", F.round("mean_attr", 6))
+
+
+@register("grf08_transitive_closure")
+def _grf08(spark, d):
+    return gr.transitive_closure(ad.nation_trade_edges(spark, d))
+
+
+@register("grf09_degree_hist")
+def _grf09(spark, d):
+    v = _t(spark, d, "part").select(F.col("p_partkey").alias("id"))
+    return gr.degree_hist(ad.part_chain_edges(spark, d), v)
+
+
+@register("grf10_subgraph")
+def _grf10(spark, d):
+    v = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    _, e = gr.subgraph(v, ad.part_chain_edges(spark, d), F.col("p_size") > 25)
+    return e.select("src", "dst", "weight")
+
+
+@register("grf12_partition_edges")
+def _grf12(spark, d):
+    e = gr.partition_edges(ad.part_chain_edges(spark, d), "2d", 16)
+    return e.groupBy("part").agg(F.count(F.lit(1)).alias("edges"))
+
+
+@register("grf13_pic")
+def _grf13(spark, d):
+    e = _bulk_edges(spark, d).select("src", "dst", F.lit(1.0).alias("weight"))
+    return gr.pic(e, 3, 10)
