@@ -370,3 +370,83 @@ ORACLE["grf10_subgraph"] = f"""
 WITH {PART_CHAIN}
 SELECT src, dst, weight FROM pc
 WHERE src IN (SELECT p_partkey FROM part WHERE p_size > 25) AND dst IN (SELECT p_partkey FROM part WHERE p_size > 25)"""
+
+
+# ---------------------------------------------------------------- features
+def _token_counts(tokens_sql: str, name: str = "token") -> str:
+    return f"""SELECT {name}, COUNT(*) AS count FROM (SELECT unnest(t) AS {name} FROM ({tokens_sql}))
+WHERE length({name}) > 0 GROUP BY {name}"""
+
+
+REGEX_TOKENS = r"SELECT doc_id, regexp_split_to_array(lower(text), '\W') AS t0 FROM documents"
+REGEX_TOKENS_NE = f"SELECT doc_id, list_filter(t0, lambda x: length(x) >= 1) AS t FROM ({REGEX_TOKENS})"
+STOP = "('the', 'and', 'of', 'a', 'le', 'la', 'de', 'der', 'die', 'und')"
+
+
+def _li_arr(expr: str) -> str:
+    return f"SELECT l_orderkey, l_linenumber, {expr} FROM lineitem"
+
+
+ORACLE["prj03_sql_transform"] = """
+SELECT l_orderkey, l_linenumber, round(l_quantity + l_discount, 6) AS v3, round(l_quantity * l_discount, 6) AS v4
+FROM lineitem"""
+ORACLE["fea01_tokenize"] = _token_counts(r"SELECT regexp_split_to_array(lower(text), '\s') AS t FROM documents")
+ORACLE["fea02_regex_tokenize"] = _token_counts(REGEX_TOKENS_NE)
+ORACLE["fea03_remove_stopwords"] = _token_counts(
+    f"SELECT list_filter(t, lambda x: x NOT IN {STOP}) AS t FROM ({REGEX_TOKENS_NE})")
+ORACLE["fea04_ngrams"] = _token_counts(
+    f"SELECT list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) AS t FROM ({REGEX_TOKENS_NE})",
+    "ngram")
+ORACLE["fea06_idf_terms"] = f"""
+WITH tok AS ({REGEX_TOKENS_NE}),
+df AS (SELECT term, COUNT(*) AS doc_freq FROM (SELECT DISTINCT doc_id, unnest(t) AS term FROM tok) GROUP BY term),
+n AS (SELECT COUNT(*) AS n FROM documents)
+SELECT term, doc_freq, round(CASE WHEN doc_freq >= 2 THEN ln((n + 1) / (doc_freq + 1)) ELSE 0.0 END, 6) AS idf
+FROM df, n"""
+ORACLE["fea07_count_vectorizer"] = f"""
+WITH tok AS ({REGEX_TOKENS_NE})
+SELECT term FROM (SELECT DISTINCT doc_id, unnest(t) AS term FROM tok) GROUP BY term HAVING COUNT(*) >= 5"""
+ORACLE["fea09_binarize"] = """
+SELECT vec_id, CAST(CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS x0_bin FROM embeddings"""
+ORACLE["fea10_bucketize"] = """
+SELECT l_orderkey, l_linenumber,
+       CAST(CASE WHEN l_quantity < 10 THEN 0 WHEN l_quantity < 20 THEN 1 WHEN l_quantity < 30 THEN 2
+            WHEN l_quantity < 40 THEN 3 ELSE 4 END AS DOUBLE) AS bucket FROM lineitem"""
+ORACLE["fea12_index_strings"] = """
+SELECT p_brand, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, p_brand) - 1 AS DOUBLE) AS brand_index
+FROM part GROUP BY p_brand"""
+ORACLE["fea13_one_hot"] = """
+WITH idx AS (SELECT c_mktsegment, row_number() OVER (ORDER BY COUNT(*) DESC, c_mktsegment) - 1 AS seg
+             FROM customer GROUP BY c_mktsegment)
+SELECT c_custkey, list_transform(range(0, 4), lambda j: CAST(CASE WHEN j = seg THEN 1 ELSE 0 END AS DOUBLE)) AS seg_vec
+FROM customer JOIN idx USING (c_mktsegment)"""
+ORACLE["fea15_assemble"] = _li_arr("[l_quantity, l_discount, l_tax] AS features")
+ORACLE["fea19_scale_by"] = _li_arr("[round(l_quantity, 6), round(2 * l_discount, 6), round(3 * l_tax, 6)] AS scaled")
+ORACLE["fea20_normalize"] = """
+SELECT l_orderkey, l_linenumber,
+       list_transform([l_quantity, l_discount, l_tax],
+                      lambda x: round(x / sqrt(l_quantity ^ 2 + l_discount ^ 2 + l_tax ^ 2), 6)) AS normalized
+FROM lineitem"""
+ORACLE["fea21_standardize"] = """
+WITH s AS (SELECT stddev_samp(l_quantity) AS a, stddev_samp(l_discount) AS b, stddev_samp(l_tax) AS c FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       [round(CASE WHEN a = 0 THEN 0.0 ELSE l_quantity / a END, 6),
+        round(CASE WHEN b = 0 THEN 0.0 ELSE l_discount / b END, 6),
+        round(CASE WHEN c = 0 THEN 0.0 ELSE l_tax / c END, 6)] AS scaled
+FROM lineitem, s"""
+ORACLE["fea22_minmax"] = """
+WITH s AS (SELECT min(l_quantity) AS a0, max(l_quantity) AS a1, min(l_discount) AS b0, max(l_discount) AS b1,
+                  min(l_tax) AS c0, max(l_tax) AS c1 FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       [round(CASE WHEN a1 = a0 THEN 0.5 ELSE (l_quantity - a0) / (a1 - a0) END, 6),
+        round(CASE WHEN b1 = b0 THEN 0.5 ELSE (l_discount - b0) / (b1 - b0) END, 6),
+        round(CASE WHEN c1 = c0 THEN 0.5 ELSE (l_tax - c0) / (c1 - c0) END, 6)] AS scaled
+FROM lineitem, s"""
+ORACLE["fea23_maxabs"] = """
+WITH s AS (SELECT max(abs(l_quantity)) AS a, max(abs(l_discount)) AS b, max(abs(l_tax)) AS c FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       [round(l_quantity / a, 6), round(l_discount / b, 6), round(l_tax / c, 6)] AS scaled
+FROM lineitem, s"""
+ORACLE["fea24_impute"] = """
+WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount END AS x FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(COALESCE(x, (SELECT AVG(x) FROM x)), 6) AS x FROM x"""

@@ -610,3 +610,137 @@ def _grf12(spark, d):
 def _grf13(spark, d):
     e = _bulk_edges(spark, d).select("src", "dst", F.lit(1.0).alias("weight"))
     return gr.pic(e, 3, 10)
+
+
+# ---------------------------------------------------------------- features
+from skyframe.functions import features as fe  # noqa: E402
+
+# fixed value: the custom stop-word list of the registered stop-word query
+STOP_WORDS = ["the", "and", "of", "a", "le", "la", "de", "der", "die", "und"]
+LI_VEC = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _docs_tokens(spark, d):
+    return fe.regex_tokenize(_t(spark, d, "documents").select("doc_id", "text"), "text")
+
+
+def _token_counts(df, col):
+    return (df.select(F.explode(col).alias("token")).filter(F.length("token") > 0)
+              .groupBy("token").agg(F.count(F.lit(1)).alias("count")))
+
+
+def _li_vec(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LI_VEC)
+    return fe.assemble(li, LI_VEC, "features")
+
+
+@register("prj03_sql_transform")
+def _prj03(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    t = fe.sql_transform(li, "SELECT *, l_quantity + l_discount AS v3, l_quantity * l_discount AS v4 FROM __THIS__")
+    return t.select("l_orderkey", "l_linenumber", F.round("v3", 6).alias("v3"), F.round("v4", 6).alias("v4"))
+
+
+@register("fea01_tokenize")
+def _fea01(spark, d):
+    t = fe.tokenize(_t(spark, d, "documents").select("text"), "text")
+    return _token_counts(t, "tokens")
+
+
+@register("fea02_regex_tokenize")
+def _fea02(spark, d):
+    return _token_counts(_docs_tokens(spark, d), "tokens")
+
+
+@register("fea03_remove_stopwords")
+def _fea03(spark, d):
+    t = fe.remove_stopwords(_docs_tokens(spark, d), "tokens", words=STOP_WORDS)
+    return _token_counts(t, "filtered")
+
+
+@register("fea04_ngrams")
+def _fea04(spark, d):
+    t = fe.ngrams(_docs_tokens(spark, d), "tokens", 2)
+    return _token_counts(t, "ngrams").withColumnRenamed("token", "ngram")
+
+
+@register("fea06_idf_terms")
+def _fea06(spark, d):
+    r = fe.idf_terms(_docs_tokens(spark, d), "doc_id", "tokens", min_df=2)
+    return r.withColumn("idf", F.round("idf", 6))
+
+
+@register("fea07_count_vectorizer")
+def _fea07(spark, d):
+    _, vocab = fe.count_vectors(_docs_tokens(spark, d), "tokens", min_df=5.0)
+    return spark.createDataFrame([(t,) for t in vocab], "term string")
+
+
+@register("fea09_binarize")
+def _fea09(spark, d):
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x0"))
+    return fe.binarize(e, "x0", 0.0, "x0_bin").select("vec_id", "x0_bin")
+
+
+@register("fea10_bucketize")
+def _fea10(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    b = fe.bucketize(li, "l_quantity", [float("-inf"), 10.0, 20.0, 30.0, 40.0, float("inf")], "bucket")
+    return b.select("l_orderkey", "l_linenumber", "bucket")
+
+
+@register("fea12_index_strings")
+def _fea12(spark, d):
+    p = fe.index_strings(_t(spark, d, "part").select("p_brand"), "p_brand", "brand_index")
+    return p.select("p_brand", "brand_index").distinct()
+
+
+@register("fea13_one_hot")
+def _fea13(spark, d):
+    c = fe.index_strings(_t(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "seg")
+    o = fe.one_hot(c, "seg", 5, "seg_vec")
+    return fe.as_array(o, "seg_vec").select("c_custkey", "seg_vec")
+
+
+@register("fea15_assemble")
+def _fea15(spark, d):
+    return fe.as_array(_li_vec(spark, d), "features").select("l_orderkey", "l_linenumber", "features")
+
+
+@register("fea19_scale_by")
+def _fea19(spark, d):
+    s = fe.scale_by(_li_vec(spark, d), "features", [1.0, 2.0, 3.0])
+    return fe.as_array(s, "scaled", 6).select("l_orderkey", "l_linenumber", "scaled")
+
+
+@register("fea20_normalize")
+def _fea20(spark, d):
+    s = fe.normalize(_li_vec(spark, d), "features", 2.0)
+    return fe.as_array(s, "normalized", 6).select("l_orderkey", "l_linenumber", "normalized")
+
+
+@register("fea21_standardize")
+def _fea21(spark, d):
+    s = fe.standardize(_li_vec(spark, d), "features")
+    return fe.as_array(s, "scaled", 6).select("l_orderkey", "l_linenumber", "scaled")
+
+
+@register("fea22_minmax")
+def _fea22(spark, d):
+    s = fe.minmax(_li_vec(spark, d), "features")
+    return fe.as_array(s, "scaled", 6).select("l_orderkey", "l_linenumber", "scaled")
+
+
+@register("fea23_maxabs")
+def _fea23(spark, d):
+    s = fe.maxabs(_li_vec(spark, d), "features")
+    return fe.as_array(s, "scaled", 6).select("l_orderkey", "l_linenumber", "scaled")
+
+
+@register("fea24_impute")
+def _fea24(spark, d):
+    li = _t(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_discount")).alias("x"))
+    r = fe.impute(li, ["x"])
+    return r.select("l_orderkey", "l_linenumber", F.round("x", 6).alias("x"))
