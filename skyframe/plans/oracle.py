@@ -450,3 +450,173 @@ FROM lineitem, s"""
 ORACLE["fea24_impute"] = """
 WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_discount END AS x FROM lineitem)
 SELECT l_orderkey, l_linenumber, round(COALESCE(x, (SELECT AVG(x) FROM x)), 6) AS x FROM x"""
+
+
+# ---------------------------------------------------------------- statistics
+_LI_NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+ORACLE["agg10_summarize"] = """
+WITH x AS (SELECT CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(0, len(embedding))) AS component
+           FROM embeddings)
+SELECT CAST(component AS INTEGER) AS component, COUNT(x) AS count, round(AVG(x), 6) AS mean,
+       round(var_samp(x), 6) AS variance, round(MIN(x), 6) AS min, round(MAX(x), 6) AS max,
+       round(SUM(abs(x)), 6) AS norm_l1, round(sqrt(SUM(x * x)), 6) AS norm_l2,
+       CAST(SUM(CASE WHEN x <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS num_nonzeros
+FROM x GROUP BY component"""
+ORACLE["sta01_corr_matrix"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM lineitem"
+    for a in _LI_NUM for b in _LI_NUM)
+ORACLE["sta02_corr_pairs"] = "SELECT " + ", ".join(
+    f"round(corr(l_extendedprice, {c}), 6) AS {c}" for c in _LI_NUM[:3]) + " FROM lineitem"
+
+
+def _chisq(f: str) -> str:
+    return f"""SELECT '{f}' AS feature, round(SUM((COALESCE(o, 0) - rv * cy / n) ^ 2 / (rv * cy / n)), 6) AS statistic,
+       CAST((COUNT(DISTINCT v) - 1) * (COUNT(DISTINCT y) - 1) AS BIGINT) AS dof
+FROM (SELECT v, SUM(o) AS rv FROM (SELECT {f} AS v, l_linestatus AS y, COUNT(*) AS o FROM lineitem GROUP BY 1, 2)
+      GROUP BY v) r
+CROSS JOIN (SELECT y, SUM(o) AS cy FROM (SELECT {f} AS v, l_linestatus AS y, COUNT(*) AS o FROM lineitem GROUP BY 1, 2)
+            GROUP BY y) c
+CROSS JOIN (SELECT COUNT(*) AS n FROM lineitem) t
+LEFT JOIN (SELECT {f} AS v2, l_linestatus AS y2, COUNT(*) AS o FROM lineitem GROUP BY 1, 2) cells
+  ON cells.v2 = r.v AND cells.y2 = c.y"""
+
+
+ORACLE["sta03_chisq_independence"] = _chisq("l_linenumber") + "\nUNION ALL\n" + _chisq("l_returnflag")
+ORACLE["sta04_chisq_gof"] = """
+WITH c AS (SELECT c_mktsegment, COUNT(*) AS o FROM customer GROUP BY 1),
+t AS (SELECT SUM(o) AS n, COUNT(*) AS k FROM c)
+SELECT round(SUM((o - n / k) ^ 2 / (n / k)), 6) AS statistic, CAST(COUNT(*) - 1 AS BIGINT) AS dof FROM c, t"""
+ORACLE["sta06_kde"] = "\nUNION ALL\n".join(
+    f"SELECT CAST({p} AS DOUBLE) AS point, round(AVG(exp(-((l_discount - {p}) ^ 2) / (2 * 0.03 ^ 2))) "
+    f"/ (0.03 * sqrt(2 * pi())), 6) AS density FROM lineitem" for p in [0.0, 0.05, 0.1])
+ORACLE["sta07_column_cosine"] = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(SUM({a} * {b}) / (sqrt(SUM({a} * {a})) * sqrt(SUM({b} * {b}))), 6)"
+    f" AS similarity FROM lineitem"
+    for i, a in enumerate(_LI_NUM) for b in _LI_NUM[i + 1:])
+
+# ---------------------------------------------------------------- patterns
+BASKET_ITEMS = """b AS (SELECT l_orderkey AS o, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey
+       GROUP BY 1, 2),
+n AS (SELECT COUNT(DISTINCT o) AS n FROM b),
+s AS (SELECT item, COUNT(*) AS freq FROM b GROUP BY item),
+p AS (SELECT x.item AS a, y.item AS c, COUNT(*) AS freq FROM b x JOIN b y ON x.o = y.o AND x.item <> y.item
+      GROUP BY 1, 2)"""
+ORACLE["fpm01_itemsets"] = f"""
+WITH {BASKET_ITEMS}
+SELECT [item] AS items, freq FROM s, n WHERE freq >= ceil(0.02 * n)
+UNION ALL
+SELECT [a, c] AS items, freq FROM p, n WHERE a < c AND freq >= ceil(0.02 * n)"""
+ORACLE["fpm02_rules"] = f"""
+WITH {BASKET_ITEMS}
+SELECT [p.a] AS antecedent, [p.c] AS consequent, round(p.freq / s.freq, 6) AS confidence
+FROM p JOIN s ON p.a = s.item, n
+WHERE p.freq >= ceil(0.02 * n) AND s.freq >= ceil(0.02 * n) AND p.freq / s.freq >= 0.05"""
+ORACLE["fpm03_rules_from"] = ORACLE["fpm02_rules"]
+
+# ---------------------------------------------------------------- evaluation
+THRESHOLDS = """s AS (SELECT l_discount AS threshold, SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS pos,
+              SUM(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS neg FROM lineitem GROUP BY 1),
+c AS (SELECT threshold,
+             SUM(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             SUM(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             SUM(pos) OVER () AS pp, SUM(neg) OVER () AS nn FROM s),
+t AS (SELECT threshold, tp, fp, tp / (tp + fp) AS precision, tp / pp AS recall, fp / nn AS fpr FROM c)"""
+ORACLE["eva01_binary_thresholds"] = f"""
+WITH {THRESHOLDS}
+SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(fpr, 6) AS fpr,
+       round(CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END, 6)
+         AS f_measure
+FROM t"""
+ORACLE["eva01_binary_auc"] = f"""
+WITH {THRESHOLDS},
+l AS (SELECT *, COALESCE(lag(fpr) OVER (ORDER BY threshold DESC), 0) AS pf,
+             COALESCE(lag(recall) OVER (ORDER BY threshold DESC), 0) AS pr,
+             COALESCE(lag(precision) OVER (ORDER BY threshold DESC),
+                      first(precision) OVER (ORDER BY threshold DESC
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS pp
+      FROM t)
+SELECT round(SUM((fpr - pf) * (recall + pr) / 2), 6) AS auc_roc,
+       round(SUM((recall - pr) * (precision + pp) / 2), 6) AS auc_pr FROM l"""
+ARGMAX = """p AS (SELECT CAST(label AS DOUBLE) AS l,
+  CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS DOUBLE) AS p FROM embeddings),
+labels AS (SELECT l AS label FROM p UNION SELECT p FROM p),
+a AS (SELECT l AS label, COUNT(*) AS actual FROM p GROUP BY l),
+pr AS (SELECT p AS label, COUNT(*) AS predicted FROM p GROUP BY p),
+tt AS (SELECT l AS label, COUNT(*) AS tp FROM p WHERE l = p GROUP BY l),
+n AS (SELECT COUNT(*) AS total FROM p),
+m AS (SELECT label, COALESCE(actual, 0) AS actual, COALESCE(predicted, 0) AS predicted, COALESCE(tp, 0) AS tp, total
+      FROM labels LEFT JOIN a USING (label) LEFT JOIN pr USING (label) LEFT JOIN tt USING (label), n),
+per AS (SELECT label, tp, predicted - tp AS fp, actual - tp AS fn,
+        CASE WHEN predicted = 0 THEN 0 ELSE tp / predicted END AS precision,
+        CASE WHEN actual = 0 THEN 0 ELSE tp / actual END AS recall,
+        (predicted - tp) / (total - actual) AS fpr, actual / total AS weight FROM m),
+per2 AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END
+         AS f1 FROM per)"""
+ORACLE["eva02_multiclass"] = f"""
+WITH {ARGMAX}
+SELECT label, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       round(fpr, 6) AS fpr, round(weight, 6) AS weight FROM per2"""
+ORACLE["eva02_multiclass_summary"] = f"""
+WITH {ARGMAX}
+SELECT round(SUM(tp) / SUM(tp + fn), 6) AS accuracy, round(SUM(weight * precision), 6) AS weighted_precision,
+       round(SUM(weight * recall), 6) AS weighted_recall, round(SUM(weight * f1), 6) AS weighted_f1 FROM per2"""
+ORACLE["eva03_multilabel"] = """
+WITH x AS (
+  SELECT l_orderkey,
+         COALESCE(list_sort(list(DISTINCT p_brand) FILTER (WHERE l_discount > 0.05)), []) AS pr,
+         COALESCE(list_sort(list(DISTINCT p_brand) FILTER (WHERE l_quantity > 25)), []) AS lb
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+d AS (SELECT len(list_intersect(pr, lb)) AS i, len(pr) AS np, len(lb) AS nl,
+             len(list_distinct(list_concat(pr, lb))) AS u, CASE WHEN pr = lb THEN 1 ELSE 0 END AS eq FROM x),
+k AS (SELECT COUNT(DISTINCT z) AS k FROM (SELECT unnest(list_concat(pr, lb)) AS z FROM x))
+SELECT round(AVG(CASE WHEN np > 0 THEN i / np ELSE 0 END), 6) AS precision,
+       round(AVG(CASE WHEN nl > 0 THEN i / nl ELSE 0 END), 6) AS recall,
+       round(AVG(CASE WHEN np + nl > 0 THEN 2 * i / (np + nl) ELSE 0 END), 6) AS f1,
+       round(AVG(CASE WHEN u > 0 THEN i / u ELSE 1 END), 6) AS accuracy,
+       round(SUM(i) / SUM(np), 6) AS micro_precision, round(SUM(i) / SUM(nl), 6) AS micro_recall,
+       round(2 * SUM(i) / (SUM(np) + SUM(nl)), 6) AS micro_f1, round(AVG(eq), 6) AS subset_accuracy,
+       round(SUM(np + nl - 2 * i) / (COUNT(*) * MAX(k)), 6) AS hamming_loss
+FROM d, k"""
+ORACLE["eva04_ranking"] = """
+WITH r AS (SELECT o_custkey AS u, l_partkey AS item, CAST(SUM(l_quantity) AS FLOAT) AS rating
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+rel AS (SELECT u, COUNT(*) AS nrel FROM r WHERE rating >= 30 GROUP BY u),
+rk AS (SELECT r.u, row_number() OVER (PARTITION BY r.u ORDER BY rating DESC, item) AS rank,
+              CASE WHEN rating >= 30 THEN 1 ELSE 0 END AS hit, nrel FROM r JOIN rel USING (u)),
+rk2 AS (SELECT *, SUM(hit) OVER (PARTITION BY u ORDER BY rank ROWS UNBOUNDED PRECEDING) AS hs FROM rk),
+pu AS (SELECT u, SUM(CASE WHEN hit = 1 THEN hs / rank ELSE 0 END) / MAX(nrel) AS ap,
+              SUM(CASE WHEN rank <= 1 THEN hit ELSE 0 END) / 1 AS p1,
+              SUM(CASE WHEN rank <= 3 THEN hit ELSE 0 END) / 3 AS p3,
+              SUM(CASE WHEN rank <= 5 THEN hit ELSE 0 END) / 5 AS p5,
+              SUM(CASE WHEN rank <= 1 AND hit = 1 THEN 1 / log2(rank + 1) ELSE 0 END)
+                / list_sum(list_transform(range(1, least(1, MAX(nrel)) + 1), lambda i: 1 / log2(i + 1))) AS n1,
+              SUM(CASE WHEN rank <= 3 AND hit = 1 THEN 1 / log2(rank + 1) ELSE 0 END)
+                / list_sum(list_transform(range(1, least(3, MAX(nrel)) + 1), lambda i: 1 / log2(i + 1))) AS n3,
+              SUM(CASE WHEN rank <= 5 AND hit = 1 THEN 1 / log2(rank + 1) ELSE 0 END)
+                / list_sum(list_transform(range(1, least(5, MAX(nrel)) + 1), lambda i: 1 / log2(i + 1))) AS n5
+       FROM rk2 GROUP BY u)
+SELECT round(AVG(ap), 6) AS map, round(AVG(p1), 6) AS precision_at_1, round(AVG(p3), 6) AS precision_at_3,
+       round(AVG(p5), 6) AS precision_at_5, round(AVG(n1), 6) AS ndcg_at_1, round(AVG(n3), 6) AS ndcg_at_3,
+       round(AVG(n5), 6) AS ndcg_at_5 FROM pu"""
+PRICE_PRED = """pp AS (SELECT l_quantity * p_retailprice AS p, l_extendedprice AS y
+               FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+ORACLE["eva05_regression"] = f"""
+WITH {PRICE_PRED}
+SELECT round(AVG((p - y) ^ 2), 4) AS mse, round(sqrt(AVG((p - y) ^ 2)), 4) AS rmse, round(AVG(abs(p - y)), 4) AS mae,
+       round(1 - AVG((p - y) ^ 2) / var_pop(y), 4) AS r2,
+       round(AVG(p * p) - 2 * AVG(y) * AVG(p) + AVG(y) * AVG(y), 4) AS explained_variance FROM pp"""
+ORACLE["agg15_mse"] = f"""
+WITH {PRICE_PRED}
+SELECT round(AVG((p - y) ^ 2), 4) AS mse, round(sqrt(AVG((p - y) ^ 2)), 4) AS rmse,
+       round(AVG(abs(p - y)), 4) AS mae FROM pp"""
+ORACLE["eva06_error_rate"] = """
+SELECT round(AVG(CASE WHEN CAST(label AS DOUBLE)
+                           <> CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS DOUBLE)
+                      THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM embeddings"""
+ORACLE["eva07_wssse"] = """
+WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(1, len(embedding) + 1)) AS i
+           FROM embeddings),
+c AS (SELECT label, i, AVG(x) AS m FROM x GROUP BY label, i)
+SELECT round(SUM((x.x - c.m) ^ 2), 4) AS wssse FROM x JOIN c USING (label, i)"""

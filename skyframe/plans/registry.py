@@ -744,3 +744,222 @@ def _fea24(spark, d):
         F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_discount")).alias("x"))
     r = fe.impute(li, ["x"])
     return r.select("l_orderkey", "l_linenumber", F.round("x", 6).alias("x"))
+
+
+# ---------------------------------------------------------------- statistics
+from skyframe.operators import evaluation as ev  # noqa: E402
+from skyframe.operators import patterns as pt  # noqa: E402
+from skyframe.operators import stats as sa  # noqa: E402
+
+LI_NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+KDE_POINTS = [0.0, 0.05, 0.1]
+
+
+@register("agg10_summarize")
+def _agg10(spark, d):
+    e = _t(spark, d, "embeddings").select(F.col("embedding").cast("array<double>").alias("v"))
+    s = sa.summarize(e, "v", 64)
+    return s.select("component", "count", *[F.round(c, 6).alias(c) for c in
+                                            ["mean", "variance", "min", "max", "norm_l1", "norm_l2"]],
+                    "num_nonzeros")
+
+
+@register("agg11_describe")
+def _agg11(spark, d):
+    return sa.describe(_t(spark, d, "lineitem"), ["l_quantity", "l_discount"])
+
+
+@register("sta01_corr_matrix")
+def _sta01(spark, d):
+    return sa.corr_matrix(_t(spark, d, "lineitem"), LI_NUM).withColumn("corr", F.round("corr", 6))
+
+
+@register("sta02_corr_pairs")
+def _sta02(spark, d):
+    c = sa.corr_pairs(_t(spark, d, "lineitem"), "l_extendedprice", LI_NUM[:3])
+    return c.select(*[F.round(x, 6).alias(x) for x in LI_NUM[:3]])
+
+
+@register("sta03_chisq_independence")
+def _sta03(spark, d):
+    r = sa.chisq_independence(_t(spark, d, "lineitem"), ["l_linenumber", "l_returnflag"], "l_linestatus")
+    return r.withColumn("statistic", F.round("statistic", 6))
+
+
+@register("sta04_chisq_gof")
+def _sta04(spark, d):
+    return sa.chisq_gof(_t(spark, d, "customer"), "c_mktsegment").withColumn("statistic", F.round("statistic", 6))
+
+
+@register("sta05_ks_normal")
+def _sta05(spark, d):
+    ev_ = _t(spark, d, "events")
+    m = ev_.agg(F.avg("value"), F.stddev("value")).first()
+    return sa.ks_normal(ev_, "value", float(m[0]), float(m[1]))
+
+
+@register("sta06_kde")
+def _sta06(spark, d):
+    k = sa.kde(_t(spark, d, "lineitem"), "l_discount", KDE_POINTS, 0.03)
+    return k.withColumn("density", F.round("density", 6))
+
+
+@register("sta07_column_cosine")
+def _sta07(spark, d):
+    return sa.column_cosine(_t(spark, d, "lineitem"), LI_NUM).withColumn("similarity", F.round("similarity", 6))
+
+
+@register("sta08_column_cosine_approx")
+def _sta08(spark, d):
+    return sa.column_cosine_approx(ad.vectors(spark, d), "features", 0.1)
+
+
+@register("sta09_svd")
+def _sta09(spark, d):
+    s, _, _ = sa.svd(ad.vectors(spark, d), "features", 5)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(s)], "i int, singular_value double")
+
+
+@register("sta10_row_pca")
+def _sta10(spark, d):
+    pc = sa.row_pca(ad.vectors(spark, d), "features", 3)
+    return spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(pc)],
+                                 "component int, loadings array<double>")
+
+
+# ---------------------------------------------------------------- patterns
+MIN_SUPPORT = 0.02
+MIN_CONF = 0.05
+
+
+@register("fpm01_itemsets")
+def _fpm01(spark, d):
+    s = pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT)
+    return s.filter(F.size("items") <= 2)
+
+
+@register("fpm02_rules")
+def _fpm02(spark, d):
+    m = pt.fpgrowth(ad.baskets(spark, d), "items", MIN_SUPPORT, MIN_CONF)
+    r = pt.rules(m).filter(F.size("antecedent") == 1)
+    return r.select("antecedent", "consequent", F.round("confidence", 6).alias("confidence"))
+
+
+@register("fpm03_rules_from")
+def _fpm03(spark, d):
+    s = pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT).filter(F.size("items") <= 2)
+    r = pt.rules_from(s, MIN_CONF)
+    return r.select("antecedent", "consequent", F.round("confidence", 6).alias("confidence"))
+
+
+@register("fpm04_predict")
+def _fpm04(spark, d):
+    b = ad.baskets(spark, d)
+    m = pt.fpgrowth(b, "items", MIN_SUPPORT, 0.2)
+    return pt.predict(m, b).select("order_id", F.array_sort("prediction").alias("prediction"))
+
+
+@register("fpm05_prefixspan")
+def _fpm05(spark, d):
+    return pt.sequences(ad.basket_sequences(spark, d), "sequence", 0.1, 2)
+
+
+# ---------------------------------------------------------------- evaluation
+def _scored(spark, d):
+    li = _t(spark, d, "lineitem")
+    return li.select(F.col("l_discount").alias("score"),
+                     (F.col("l_returnflag") == "R").cast("double").alias("label"))
+
+
+def _argmax_pred(spark, d):
+    e = _t(spark, d, "embeddings")
+    head = F.slice("embedding", 1, 10)
+    return e.select("vec_id", F.col("label").cast("double").alias("label"),
+                    (F.array_position(head, F.array_max(head)) - 1).cast("double").alias("prediction"))
+
+
+@register("eva01_binary_thresholds")
+def _eva01(spark, d):
+    t = ev.f_measure(ev.threshold_table(_scored(spark, d), num_bins=None))
+    return t.select("threshold", "tp", "fp", *[F.round(c, 6).alias(c)
+                                               for c in ["precision", "recall", "fpr", "f_measure"]])
+
+
+@register("eva01_binary_auc")
+def _eva01b(spark, d):
+    t = ev.threshold_table(_scored(spark, d), num_bins=None)
+    roc, pr = ev.auc_roc(t), ev.auc_pr(t)
+    return roc.withColumn("_k", F.lit(1)).join(pr.withColumn("_k", F.lit(1)), "_k").select(
+        F.round("auc_roc", 6).alias("auc_roc"), F.round("auc_pr", 6).alias("auc_pr"))
+
+
+@register("eva02_multiclass")
+def _eva02(spark, d):
+    m = ev.multiclass(_argmax_pred(spark, d))
+    return m.select("label", "tp", "fp", "fn", *[F.round(c, 6).alias(c)
+                                                 for c in ["precision", "recall", "f1", "fpr", "weight"]])
+
+
+@register("eva02_multiclass_summary")
+def _eva02b(spark, d):
+    s = ev.multiclass_summary(ev.multiclass(_argmax_pred(spark, d)))
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+def _multilabel_input(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
+    p = _t(spark, d, "part").select("p_partkey", "p_brand")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    return j.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_set(F.when(F.col("l_discount") > 0.05, F.col("p_brand")))).alias("prediction"),
+        F.array_sort(F.collect_set(F.when(F.col("l_quantity") > 25, F.col("p_brand")))).alias("label"))
+
+
+@register("eva03_multilabel")
+def _eva03(spark, d):
+    m = ev.multilabel(_multilabel_input(spark, d))
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+@register("eva04_ranking")
+def _eva04(spark, d):
+    r = ad.ratings(spark, d)
+    rel = r.filter(F.col("rating") >= 30)
+    m = ev.ranking(r, rel, "user", "item", "rating", (1, 3, 5))
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+def _price_pred(spark, d):
+    li = _t(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice")
+    p = _t(spark, d, "part").select("p_partkey", "p_retailprice")
+    j = li.join(p, li.l_partkey == p.p_partkey)
+    return j.select((F.col("l_quantity") * F.col("p_retailprice")).alias("prediction"),
+                    F.col("l_extendedprice").alias("label"))
+
+
+@register("eva05_regression")
+def _eva05(spark, d):
+    m = ev.regression(_price_pred(spark, d))
+    return m.select(*[F.round(c, 4).alias(c) for c in m.columns])
+
+
+@register("agg15_mse")
+def _agg15(spark, d):
+    m = ev.mse(_price_pred(spark, d), "prediction", "label")
+    return m.select(*[F.round(c, 4).alias(c) for c in m.columns])
+
+
+@register("eva06_error_rate")
+def _eva06(spark, d):
+    return ev.error_rate(_argmax_pred(spark, d)).withColumn("error_rate", F.round("error_rate", 6))
+
+
+@register("eva07_wssse")
+def _eva07(spark, d):
+    e = _t(spark, d, "embeddings").select(F.col("label").alias("cluster"),
+                                          F.col("embedding").cast("array<double>").alias("v"))
+    centers = (e.select("cluster", F.posexplode("v").alias("i", "x"))
+                .groupBy("cluster", "i").agg(F.avg("x").alias("m"))
+                .groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("s"))
+                .select("cluster", F.transform("s", lambda z: z["m"]).alias("center")))
+    return ev.wssse(e, "v", centers, "cluster").withColumn("wssse", F.round("wssse", 4))
