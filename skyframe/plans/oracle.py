@@ -620,3 +620,16 @@ WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(1,
            FROM embeddings),
 c AS (SELECT label, i, AVG(x) AS m FROM x GROUP BY label, i)
 SELECT round(SUM((x.x - c.m) ^ 2), 4) AS wssse FROM x JOIN c USING (label, i)"""
+
+
+# ---------------------------------------------------------------- UDFs
+ORACLE["udf01_udaf_mean"] = "SELECT c_mktsegment, round(AVG(c_acctbal), 6) AS average FROM customer GROUP BY 1"
+ORACLE["udf02_sql_udaf"] = ORACLE["udf01_udaf_mean"]
+ORACLE["udf03_count_tokens"] = f"SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens FROM ({REGEX_TOKENS_NE})"
+ORACLE["udf03_count_tokens_pandas"] = ORACLE["udf03_count_tokens"]
+ORACLE["udf04_map_frames"] = """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS revenue FROM lineitem"""
+ORACLE["udf06_shift_transformer"] = "SELECT l_orderkey, l_linenumber, l_quantity + 1.5 AS shifted FROM lineitem"
+ORACLE["udf07_my_classifier"] = "SELECT vec_id AS id, CAST(0.0 AS DOUBLE) AS prediction FROM embeddings"
+ORACLE["snk10_roundtrip_count"] = """
+SELECT COUNT(*) AS before, COUNT(*) AS after, true AS equal FROM orders"""

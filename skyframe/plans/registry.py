@@ -963,3 +963,208 @@ def _eva07(spark, d):
                 .groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("s"))
                 .select("cluster", F.transform("s", lambda z: z["m"]).alias("center")))
     return ev.wssse(e, "v", centers, "cluster").withColumn("wssse", F.round("wssse", 4))
+
+
+# ---------------------------------------------------------------- UDFs
+from skyframe.functions import similarity as sim  # noqa: E402
+from skyframe.functions import udfs as uf  # noqa: E402
+from skyframe.ml import models as md  # noqa: E402
+
+
+@register("udf01_udaf_mean")
+def _udf01(spark, d):
+    r = uf.udaf_mean(_t(spark, d, "customer").select("c_mktsegment", "c_acctbal"), "c_mktsegment", "c_acctbal")
+    return r.withColumn("average", F.round("average", 6))
+
+
+@register("udf02_sql_udaf")
+def _udf02(spark, d):
+    uf.register_my_average(spark)
+    c = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    c.createOrReplaceTempView("customers_udaf")
+    # the registered aggregate runs over (segment, salt) sub-groups of
+    # bounded size; the partial means are merged weighted by their counts
+    return spark.sql("""
+        WITH salted AS (SELECT c_mktsegment, pmod(xxhash64(c_custkey), 64) AS salt, c_acctbal
+                        FROM customers_udaf),
+        a AS (SELECT c_mktsegment, salt, myAverage(c_acctbal) AS part_avg FROM salted GROUP BY c_mktsegment, salt),
+        n AS (SELECT c_mktsegment, salt, COUNT(c_acctbal) AS n FROM salted GROUP BY c_mktsegment, salt)
+        SELECT c_mktsegment, ROUND(SUM(part_avg * n) / SUM(n), 6) AS average
+        FROM a JOIN n USING (c_mktsegment, salt) GROUP BY c_mktsegment""")
+
+
+@register("udf03_count_tokens")
+def _udf03(spark, d):
+    return uf.count_tokens(_docs_tokens(spark, d), "tokens").select("doc_id", "n_tokens")
+
+
+@register("udf03_count_tokens_pandas")
+def _udf03b(spark, d):
+    return uf.count_tokens_pandas(_docs_tokens(spark, d), "tokens").select("doc_id", "n_tokens")
+
+
+def _revenue(pdf):
+    import pandas as pd
+    return pd.DataFrame({"l_orderkey": pdf["l_orderkey"], "l_linenumber": pdf["l_linenumber"],
+                         "revenue": (pdf["l_extendedprice"] * (1 - pdf["l_discount"])).round(4)})
+
+
+@register("udf04_map_frames")
+def _udf04(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
+    return uf.map_frames(li, _revenue, "l_orderkey long, l_linenumber int, revenue double")
+
+
+@register("udf05_apply_params")
+def _udf05(spark, d):
+    import numpy as np
+    import pandas as pd
+    li = _t(spark, d, "lineitem")
+    xs = ["l_quantity", "l_discount", "l_tax"]
+    # sufficient statistics X'X and X'y: one aggregate, (d+1)^2 numbers
+    cols = [F.lit(1.0)] + [F.col(c) for c in xs]
+    aggs = [F.sum(a * b).alias(f"xx_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    aggs += [F.sum(a * F.col("l_extendedprice")).alias(f"xy_{i}") for i, a in enumerate(cols)]
+    row = li.agg(*aggs).first()
+    k = len(cols)
+    xtx = np.array([[row[f"xx_{i}_{j}"] for j in range(k)] for i in range(k)])
+    xty = np.array([row[f"xy_{i}"] for i in range(k)])
+
+    def ridge(p):
+        w = np.linalg.solve(xtx + p["lambda"] * np.eye(k), xty)
+        return pd.DataFrame({"lambda": [p["lambda"]] * k, "term": ["intercept"] + xs, "coef": w})
+    return uf.apply_params(spark, [{"lambda": v} for v in (0.0, 1.0, 10.0, 100.0)], ridge,
+                           "lambda double, term string, coef double")
+
+
+@register("udf06_shift_transformer")
+def _udf06(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    t = md.ShiftTransformer(inputCol="l_quantity", outputCol="shifted", shift=1.5)
+    return t.transform(li).select("l_orderkey", "l_linenumber", "shifted")
+
+
+@register("udf07_my_classifier")
+def _udf07(spark, d):
+    v = ad.vectors(spark, d)
+    m = md.MyClassifier().fit(v)
+    return m.transform(v).select("id", "prediction")
+
+
+# ---------------------------------------------------------------- feature models (rows checks)
+@register("fea05_hashing_tf")
+def _fea05(spark, d):
+    t = fe.hashing_tf(_docs_tokens(spark, d), "tokens", 1 << 10)
+    return t.select("doc_id", F.size(vector_to_array_col("tf")).alias("dims"))
+
+
+def vector_to_array_col(c):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col(c))
+
+
+@register("fea08_word2vec")
+def _fea08(spark, d):
+    m, t = fe.word2vec(_docs_tokens(spark, d), "tokens", 8, 5)
+    return t.select("doc_id", vector_to_array_col("vector").alias("vector"))
+
+
+@register("fea11_quantile_buckets")
+def _fea11(spark, d):
+    return fe.quantile_buckets(_t(spark, d, "lineitem").select("l_extendedprice"), "l_extendedprice", 5) \
+             .groupBy("l_extendedprice_q").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("fea14_index_vector")
+def _fea14(spark, d):
+    li = _li_vec(spark, d)
+    _, t = fe.index_vector(li, "features", 10)
+    return t.select("l_orderkey", "l_linenumber", vector_to_array_col("indexed").alias("indexed"))
+
+
+@register("fea16_slice_vector")
+def _fea16(spark, d):
+    t = fe.slice_vector(ad.vectors(spark, d), "features", indices=[0, 2, 4])
+    return t.select("id", vector_to_array_col("sliced").alias("sliced"))
+
+
+@register("fea17_interact")
+def _fea17(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    v = fe.assemble(li, ["l_discount", "l_tax"], "dv")
+    t = fe.interact(v, ["l_quantity", "dv"])
+    return t.select("l_orderkey", "l_linenumber", vector_to_array_col("interaction").alias("interaction"))
+
+
+@register("fea18_poly")
+def _fea18(spark, d):
+    t = fe.poly(_li_vec(spark, d), "features", 2)
+    return t.select("l_orderkey", "l_linenumber", vector_to_array_col("poly").alias("poly"))
+
+
+@register("fea25_dct")
+def _fea25(spark, d):
+    t = fe.dct(ad.vectors(spark, d), "features")
+    return t.select("id", vector_to_array_col("dct").alias("dct"))
+
+
+@register("fea26_pca")
+def _fea26(spark, d):
+    _, t = fe.pca(ad.vectors(spark, d), "features", 3)
+    return t.select("id", vector_to_array_col("pca").alias("pca"))
+
+
+@register("fea27_chisq_select")
+def _fea27(spark, d):
+    li = _t(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("a"),
+                                         F.col("l_tax").alias("b"), F.col("l_discount").alias("c"),
+                                         (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    v = fe.assemble(li, ["a", "b", "c"], "features")
+    _, t = fe.chisq_select(v, 2)
+    return t.select(vector_to_array_col("selected").alias("selected"), "label")
+
+
+@register("fea28_rformula")
+def _fea28(spark, d):
+    c = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey",
+                                        (F.col("c_acctbal") > 0).cast("double").alias("clicked"))
+    t = fe.rformula(c, "clicked ~ c_mktsegment + c_nationkey")
+    return t.select("c_custkey", vector_to_array_col("features").alias("features"), "label")
+
+
+@register("fea29_brp_ann")
+def _fea29(spark, d):
+    v = ad.vectors(spark, d)
+    m = sim.brp(v, 0.05, 4)
+    key = v.orderBy("id").first()["features"]
+    return sim.ann(m, v, key, 5).select("id", "distCol")
+
+
+@register("fea30_minhash")
+def _fea30(spark, d):
+    b = ad.baskets(spark, d)
+    cv, _ = fe.count_vectors(b, "items", out="features")
+    nz = cv.filter(F.size(vector_to_array_col("features")) > 0)
+    m = sim.minhash(nz, 3)
+    key = nz.orderBy("order_id").first()["features"]
+    return sim.ann(m, nz.withColumnRenamed("order_id", "id"), key, 5).select("id", "distCol")
+
+
+@register("joi09_approx_join")
+def _joi09(spark, d):
+    v = ad.vectors(spark, d)
+    m = sim.brp(v, 0.05, 4)
+    return sim.approx_join(m, v, v, 1.2).filter(F.col("id_a") < F.col("id_b"))
+
+
+@register("fea31_vector_roundtrip")
+def _fea31(spark, d):
+    path = st.scratch(spark, "fea31")
+    back = fe.vector_roundtrip(ad.vectors(spark, d).select("id", "features"), path)
+    return back.select("id", F.size(vector_to_array_col("features")).alias("dims"))
+
+
+@register("snk10_roundtrip_count")
+def _snk10(spark, d):
+    from skyframe.sources import sinks as sk
+    return sk.roundtrip_count(_t(spark, d, "orders"), st.scratch(spark, "snk10"))
