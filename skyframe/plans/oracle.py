@@ -633,3 +633,20 @@ ORACLE["udf06_shift_transformer"] = "SELECT l_orderkey, l_linenumber, l_quantity
 ORACLE["udf07_my_classifier"] = "SELECT vec_id AS id, CAST(0.0 AS DOUBLE) AS prediction FROM embeddings"
 ORACLE["snk10_roundtrip_count"] = """
 SELECT COUNT(*) AS before, COUNT(*) AS after, true AS equal FROM orders"""
+
+
+# ---------------------------------------------------------------- models with a closed form
+ORACLE["mod12_linreg"] = """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem"""
+ORACLE["mod13_glr"] = ORACLE["mod12_linreg"]
+ORACLE["mod17_lloyd_step"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+c AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS ci, x AS c FROM (SELECT * FROM e ORDER BY vec_id LIMIT 3)),
+d AS (SELECT e.vec_id, c.ci,
+             list_sum(list_transform(range(1, len(e.x) + 1), lambda i: (e.x[i] - c.c[i]) * (e.x[i] - c.c[i]))) AS dist
+      FROM e, c),
+a AS (SELECT vec_id, arg_min(ci, dist) AS ci FROM d GROUP BY vec_id),
+u AS (SELECT a.ci, unnest(e.x) AS v, unnest(range(1, len(e.x) + 1)) AS i FROM a JOIN e USING (vec_id)),
+m AS (SELECT ci, i, round(AVG(v), 4) AS m FROM u GROUP BY ci, i)
+SELECT CAST(ci AS INTEGER) AS cluster, list(m ORDER BY i) AS center FROM m GROUP BY ci"""

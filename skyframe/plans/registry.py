@@ -1168,3 +1168,281 @@ def _fea31(spark, d):
 def _snk10(spark, d):
     from skyframe.sources import sinks as sk
     return sk.roundtrip_count(_t(spark, d, "orders"), st.scratch(spark, "snk10"))
+
+
+# ---------------------------------------------------------------- models (iterative: rows checks,
+# except where a closed form exists in SQL)
+def _vec_split(spark, d):
+    v = ad.vectors(spark, d)
+    train, test = smp.split(v, [0.8, 0.2], seed=11, key=["id"])
+    return train, test
+
+
+def _pred(model, df, cols=("id", "prediction")):
+    return model.transform(df).select(*cols)
+
+
+@register("mod01_logreg")
+def _mod01(spark, d):
+    train, test = _vec_split(spark, d)
+    m = md.logreg(train, label="binary", maxIter=50, regParam=0.01, elasticNetParam=0.5)
+    return _pred(m, test)
+
+
+@register("mod01_logreg_multinomial")
+def _mod01b(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.logreg(train, family="multinomial", maxIter=50, regParam=0.01), test)
+
+
+@register("mod02_logreg_summary")
+def _mod02(spark, d):
+    train, _ = _vec_split(spark, d)
+    s = md.logreg_summary(md.logreg(train, label="binary", maxIter=30))
+    return spark.createDataFrame([(float(s["auc"]), float(s["best_threshold"]), len(s["objective_history"]))],
+                                 "auc double, best_threshold double, iterations int")
+
+
+@register("mod03_logreg_gd")
+def _mod03(spark, d):
+    v = ad.vectors(spark, d).select("features", (F.col("binary") * 2 - 1).alias("y"))
+    w = md.logreg_gd(v, "features", "y", 64, iters=5)
+    return spark.createDataFrame([(i, float(x)) for i, x in enumerate(w)], "dim int, weight double")
+
+
+@register("mod04_logreg_lbfgs")
+def _mod04(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.logreg_lbfgs(train, label="binary"), test)
+
+
+@register("mod05_linear_svc")
+def _mod05(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.linear_svc(train, label="binary", maxIter=20, regParam=0.1), test)
+
+
+@register("mod06_naive_bayes")
+def _mod06(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.naive_bayes(train, model_type="gaussian"), test)
+
+
+@register("mod07_tree")
+def _mod07(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.tree(train, "classification", maxDepth=5, maxBins=32), test)
+
+
+@register("mod07_tree_regression")
+def _mod07b(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.tree(train, "regression", maxDepth=5), test)
+
+
+@register("mod08_forest")
+def _mod08(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.forest(train, "classification", numTrees=10, maxDepth=5, seed=7), test)
+
+
+@register("mod09_gbt")
+def _mod09(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.gbt(train, "classification", label="binary", maxIter=10, maxDepth=5, seed=7), test)
+
+
+@register("mod10_mlp")
+def _mod10(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.mlp(train, [64, 16, 10], iters=50), test)
+
+
+@register("mod11_one_vs_rest")
+def _mod11(spark, d):
+    train, test = _vec_split(spark, d)
+    return _pred(md.one_vs_rest(train), test)
+
+
+@register("mod12_linreg")
+def _mod12(spark, d):
+    li = fe.assemble(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"], "features")
+    m = md.linreg(li, label="l_extendedprice", regParam=0.0, solver="normal")
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+@register("mod13_glr")
+def _mod13(spark, d):
+    li = fe.assemble(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"], "features")
+    m = md.glr(li, "gaussian", "identity", label="l_extendedprice")
+    return spark.createDataFrame([(round(float(m.coefficients[0]), 4), round(float(m.intercept), 4))],
+                                 "slope double, intercept double")
+
+
+@register("mod14_isotonic")
+def _mod14(spark, d):
+    li = fe.assemble(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"], "features")
+    m = md.isotonic(li, True, label="l_extendedprice")
+    return m.transform(li).groupBy("l_quantity").agg(F.first("prediction").alias("prediction"))
+
+
+@register("mod15_aft")
+def _mod15(spark, d):
+    li = _t(spark, d, "lineitem").select(F.col("l_quantity").alias("label"),
+                                         (F.col("l_returnflag") != "R").cast("double").alias("censor"),
+                                         "l_discount", "l_tax")
+    v = fe.assemble(li, ["l_discount", "l_tax"], "features")
+    m = md.aft(v)
+    return m.transform(v).select("label", "prediction")
+
+
+@register("mod16_kmeans")
+def _mod16(spark, d):
+    m = md.kmeans(ad.vectors(spark, d), 5, seed=1)
+    return spark.createDataFrame([(float(m.summary.trainingCost), len(m.clusterCenters()))],
+                                 "training_cost double, k int")
+
+
+@register("mod17_lloyd_step")
+def _mod17(spark, d):
+    import numpy as np
+    e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    init = np.array([r["x"] for r in e.orderBy("vec_id").limit(3).collect()])   # k starting points
+    new = md.lloyd_step(e, "x", init)
+    return spark.createDataFrame([(i, [round(float(v), 4) for v in c]) for i, c in enumerate(new)],
+                                 "cluster int, center array<double>")
+
+
+@register("mod17_lloyd")
+def _mod17b(spark, d):
+    c = md.lloyd(ad.vectors(spark, d), "features", 3)
+    return spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(c)],
+                                 "cluster int, center array<double>")
+
+
+@register("mod18_bisecting")
+def _mod18(spark, d):
+    m = md.bisecting(ad.vectors(spark, d), 4)
+    return _pred(m, ad.vectors(spark, d))
+
+
+@register("mod19_gmm")
+def _mod19(spark, d):
+    m = md.gmm(_low_dim(spark, d), 2)
+    return spark.createDataFrame([(i, float(w)) for i, w in enumerate(m.weights)], "component int, weight double")
+
+
+def _low_dim(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    return fe.assemble(li, ["l_quantity", "l_discount"], "features")
+
+
+@register("mod30_gmm_membership")
+def _mod30(spark, d):
+    v = _low_dim(spark, d)
+    m = md.gmm(v, 2)
+    p = md.gmm_membership(m, v)
+    return p.select("l_orderkey", "l_linenumber", vector_to_array_col("probability").alias("probability"))
+
+
+def _doc_counts(spark, d):
+    t = fe.remove_stopwords(_docs_tokens(spark, d), "tokens")
+    cv, vocab = fe.count_vectors(t, "filtered", vocab_size=2000, min_df=2.0, out="features")
+    return cv, vocab
+
+
+@register("mod20_lda")
+def _mod20(spark, d):
+    cv, vocab = _doc_counts(spark, d)
+    m = md.lda(cv, k=5, iters=10)
+    return m.describeTopics(5)
+
+
+@register("mod21_lda_pipeline")
+def _mod21(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    m = md.lda_pipeline(docs, "text", k=5, vocab=2000)
+    return m.transform(docs).select("doc_id", vector_to_array_col("topicDistribution").alias("topics"))
+
+
+@register("mod22_als")
+def _mod22(spark, d):
+    r = ad.ratings(spark, d)
+    train, test = smp.split(r, [0.8, 0.2], seed=3, key=["user", "item"])
+    m = md.als(train, rank=5, iters=5)
+    return m.transform(test).select("user", "item", "rating", "prediction")
+
+
+@register("mod22_als_recommend")
+def _mod22b(spark, d):
+    m = md.als(ad.ratings(spark, d), rank=5, iters=5)
+    return m.recommendForAllUsers(10).select("user", F.size("recommendations").alias("n"))
+
+
+@register("mod29_als_factors")
+def _mod29(spark, d):
+    m = md.als(ad.ratings(spark, d), rank=5, iters=5)
+    users, _ = md.als_factors(m)
+    return users
+
+
+def _doc_labels(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    lab = _t(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return docs.join(lab, "doc_id")
+
+
+@register("mod24_pipeline")
+def _mod24(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, Tokenizer
+    data = _doc_labels(spark, d)
+    train, test = smp.split(data, [0.8, 0.2], seed=5, key=["doc_id"])
+    pipe = md.pipeline([Tokenizer(inputCol="text", outputCol="words"),
+                        HashingTF(inputCol="words", outputCol="features", numFeatures=1000),
+                        LogisticRegression(maxIter=10, regParam=0.001)])
+    model = pipe.fit(train)
+    path = st.scratch(spark, "mod24")
+    back = md.roundtrip(model, path)
+    return back.transform(test).select("doc_id", "prediction")
+
+
+@register("mod25_fit_with")
+def _mod25(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+    train, test = _vec_split(spark, d)
+    lr = LogisticRegression(maxIter=10, regParam=0.01, labelCol="binary")
+    m = md.fit_with(lr, train, {lr.maxIter: 30, lr.regParam: 0.1, lr.probabilityCol: "my_probability"})
+    return m.transform(test).select("id", "prediction", vector_to_array_col("my_probability").alias("p"))
+
+
+@register("mod26_cross_validate")
+def _mod26(spark, d):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    train, test = _vec_split(spark, d)
+    lr = LogisticRegression(maxIter=10, labelCol="binary")
+    g = md.grid(lr, regParam=[0.1, 0.01, 0.001], elasticNetParam=[0.0, 0.5])
+    cv = md.cross_validate(lr, g, BinaryClassificationEvaluator(labelCol="binary"), train, folds=2)
+    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(cv.avgMetrics)], "grid_point int, auc double")
+
+
+@register("mod27_train_validate")
+def _mod27(spark, d):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import LinearRegression
+    train, _ = _vec_split(spark, d)
+    lr = LinearRegression(maxIter=10)
+    g = md.grid(lr, regParam=[0.1, 0.01], elasticNetParam=[0.0, 0.5, 1.0])
+    tv = md.train_validate(lr, g, RegressionEvaluator(), train, 0.8)
+    return spark.createDataFrame([(i, float(m)) for i, m in enumerate(tv.validationMetrics)],
+                                 "grid_point int, rmse double")
+
+
+@register("mod28_model_roundtrip")
+def _mod28(spark, d):
+    v = ad.vectors(spark, d)
+    m = md.kmeans(v, 3, seed=1)
+    back = md.roundtrip(m, st.scratch(spark, "mod28"))
+    return _pred(back, v)
