@@ -650,3 +650,18 @@ a AS (SELECT vec_id, arg_min(ci, dist) AS ci FROM d GROUP BY vec_id),
 u AS (SELECT a.ci, unnest(e.x) AS v, unnest(range(1, len(e.x) + 1)) AS i FROM a JOIN e USING (vec_id)),
 m AS (SELECT ci, i, round(AVG(v), 4) AS m FROM u GROUP BY ci, i)
 SELECT CAST(ci AS INTEGER) AS cluster, list(m ORDER BY i) AS center FROM m GROUP BY ci"""
+
+
+# ---------------------------------------------------------------- more streaming
+ORACLE["str04_sliding_watermark"] = ORACLE["str03_windowed_count"]
+ORACLE["str10_restartable"] = WORD_COUNTS
+ORACLE["src22_file_stream_flights"] = ORACLE["air02_carriers_by_arr_delay"]
+ORACLE["src25_custom_source"] = WORD_COUNTS
+ORACLE["src26_union_streams"] = WORD_COUNTS
+ORACLE["str20_ab_test_final"] = """
+WITH g AS (SELECT event_type = 'purchase' AS label, COUNT(value) AS n, AVG(value) AS m, var_samp(value) AS v
+           FROM events WHERE event_type IN ('purchase', 'view') GROUP BY 1),
+a AS (SELECT * FROM g WHERE label), b AS (SELECT * FROM g WHERE NOT label)
+SELECT round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS statistic,
+       round((a.v / a.n + b.v / b.n) ^ 2 / ((a.v / a.n) ^ 2 / (a.n - 1) + (b.v / b.n) ^ 2 / (b.n - 1)), 4) AS dof
+FROM a, b"""

@@ -1446,3 +1446,120 @@ def _mod28(spark, d):
     m = md.kmeans(v, 3, seed=1)
     back = md.roundtrip(m, st.scratch(spark, "mod28"))
     return _pred(back, v)
+
+
+# ---------------------------------------------------------------- more streaming
+from skyframe.streaming import learners as lr_  # noqa: E402
+
+
+@register("str04_sliding_watermark")
+def _str04(spark, d):
+    out = st.scratch(spark, "str04")
+    s = _events_stream(spark, d, ["ts", "event_type"])
+    counts = st.sliding_count(s, "ts", "event_type", "1 hour", "15 minutes", watermark="2 hours")
+    st.run(counts, "update", ssk.upsert_parquet(out, ["window_start", "window_end", "event_type"]))
+    return ssk.latest(spark, out)
+
+
+@register("str10_restartable")
+def _str10(spark, d):
+    """Half the files, stop, the other half, restart from the same checkpoint."""
+    folder, out, ckpt = st.scratch(spark, "str10-in"), st.scratch(spark, "str10-out"), st.scratch(spark, "str10-ck")
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    first, second = smp.split(docs, [0.5, 0.5], seed=1, key=["doc_id"])
+    schema = "line string"
+    tx.lines(first, "text", "line").write.mode("append").parquet(folder)
+    q = lambda: st.running_word_count(st.files(spark, folder, "parquet", schema, 1), "line")
+    st.run(q(), "complete", ssk.replace_table(out), checkpoint=ckpt)
+    tx.lines(second, "text", "line").write.mode("append").parquet(folder)
+    st.run(q(), "complete", ssk.replace_table(out), checkpoint=ckpt)
+    return ssk.latest(spark, out)
+
+
+@register("src22_file_stream_flights")
+def _src22(spark, d):
+    from skyframe.sources import files as fsrc
+    from skyframe.sources import sinks as sk
+    folder = st.scratch(spark, "src22")
+    f = ad.flights(spark, d, ["year", "flt_date", "dep_time", "carrier", "arr_delay", "cancelled"])
+    full = f.select("year", "flt_date", "dep_time", F.lit(1).alias("day_of_week"), "carrier",
+                    F.lit("0").alias("flt_num"), F.lit("X").alias("origin"), F.lit("Y").alias("dest"),
+                    F.lit(None).cast("float").alias("dep_delay"), F.lit("0000").alias("arr_time"),
+                    "arr_delay", "cancelled")
+    sk.write_text(full.repartition(N_BATCHES), folder, sep=",")   # blank fields for nulls
+    lines = st.files(spark, folder, "text", "value string", 1)
+    flights = fsrc.parse_flight_lines(lines, "value")
+    return _complete(fl.carriers_by_arr_delay(flights, 10), spark, "src22-out")
+
+
+@register("src25_custom_source")
+def _src25(spark, d):
+    from skyframe.streaming.custom_source import LineFilesSource
+    folder = st.scratch(spark, "src25")
+    ad.doc_lines(spark, d).repartition(N_BATCHES).write.mode("overwrite").text(folder)
+    name = st.register_custom(spark, LineFilesSource)
+    s = spark.readStream.format(name).option("path", folder).load()
+    return _complete(st.running_word_count(s, "value"), spark, "src25-out")
+
+
+@register("src26_union_streams")
+def _src26(spark, d):
+    docs = _t(spark, d, "documents")
+    a = st.replay(spark, tx.lines(docs.filter(F.col("lang") == "en"), "text", "line"), 2)
+    b = st.replay(spark, tx.lines(docs.filter(F.col("lang") != "en"), "text", "line"), 2)
+    return _complete(st.running_word_count(st.union_all(a, b), "line"), spark, "src26-out")
+
+
+@register("snk09_batch_log")
+def _snk09(spark, d):
+    out = st.scratch(spark, "snk09")
+    counts = st.split_words(_words_stream(spark, d), "line").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    st.run(counts, "update", ssk.batch_log(out))
+    return spark.read.text(out)
+
+
+@register("str17_streaming_kmeans")
+def _str17(spark, d):
+    v = ad.vectors(spark, d)
+    init = [r["features"].toArray() for r in v.orderBy("id").limit(3).collect()]
+    km = lr_.StreamingKMeans(init, decay=1.0, state_path=st.scratch(spark, "str17"))
+    st.run(st.replay(spark, v.select("id", "features"), N_BATCHES), "append", km.update)
+    return km.predict(v).select("id", "prediction")
+
+
+@register("str18_streaming_linreg")
+def _str18(spark, d):
+    li = _t(spark, d, "lineitem").select(F.array((F.col("l_quantity") / 50), F.lit(1.0)).alias("x"),
+                                         (F.col("l_extendedprice") / 100000).alias("label"))
+    m = lr_.StreamingLinearRegression(2, step=0.5, iters=10, features="x")
+    st.run(st.replay(spark, li, N_BATCHES), "append", m.update)
+    return spark.createDataFrame([(i, float(w)) for i, w in enumerate(m.w)], "dim int, weight double")
+
+
+@register("str19_streaming_logreg")
+def _str19(spark, d):
+    v = ad.vectors(spark, d).select(vector_to_array_col("features").alias("x"), F.col("binary").alias("label"))
+    m = lr_.StreamingLogisticRegression(64, step=0.5, iters=10, features="x")
+    st.run(st.replay(spark, v, N_BATCHES), "append", m.update)
+    return m.predict(v).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ab_stream(spark, d):
+    ev_ = _t(spark, d, "events").filter(F.col("event_type").isin("purchase", "view"))
+    return ev_.select("ts", (F.col("event_type") == "purchase").alias("label"), "value")
+
+
+@register("str20_ab_test")
+def _str20(spark, d):
+    out = st.scratch(spark, "str20")
+    t = lr_.StreamingABTest("label", "value", window=0, peace=0, out_path=out)
+    st.run(st.replay(spark, _ab_stream(spark, d), N_BATCHES, order_col="ts"), "append", t.update)
+    return spark.read.parquet(out)
+
+
+@register("str20_ab_test_final")
+def _str20b(spark, d):
+    t = lr_.StreamingABTest("label", "value", window=0, peace=0)
+    st.run(st.replay(spark, _ab_stream(spark, d), N_BATCHES, order_col="ts"), "append", t.update)
+    _, stat, dof, _, _ = t.results[-1]
+    return spark.createDataFrame([(round(stat, 6), round(dof, 4))], "statistic double, dof double")

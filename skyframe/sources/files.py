@@ -37,7 +37,7 @@ def parse_flight_lines(df: DataFrame, col: str = "value") -> DataFrame:
     parts = F.split(F.col(col), ",", -1)
     out = []
     for i, f in enumerate(FLIGHT_SCHEMA.fields):
-        raw = F.nullif(F.trim(parts.getItem(i)), F.lit(""))
+        raw = F.nullif(F.trim(F.get(parts, i)), F.lit(""))   # missing trailing field -> null
         if isinstance(f.dataType, T.DateType):
             v = F.try_to_timestamp(raw, F.lit("yyyy-MM-dd")).cast("date")
         elif isinstance(f.dataType, T.StringType):

@@ -35,9 +35,10 @@ def write_bucketed(df: DataFrame, table: str, n: int, cols: list[str], sort: lis
 
 def write_text(df: DataFrame, path: str, cols: list[str] | None = None, sep: str = "\t",
                mode: str = "overwrite") -> None:
-    """One line per row, fields joined by ``sep``."""
+    """One line per row, fields joined by ``sep``; a null is an empty field
+    (so every line keeps all its positions)."""
     cols = cols or df.columns
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value")
+    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("value")
     df.select(line).write.mode(mode).text(path)
 
 

@@ -142,10 +142,16 @@ def windowed_count(stream: DataFrame, ts: str, key: str, win: str, slide: str |
                    watermark: str | None = None) -> DataFrame:
     """Count per (event-time window, key).  ``slide`` defaults to the window
     (tumbling); with a watermark old windows are finalised and dropped."""
-    s = stream.withWatermark(ts, watermark) if watermark else stream
+    ntz = dict(stream.dtypes)[ts] == "timestamp_ntz"
+    s = stream
+    if watermark:
+        # watermarks need an instant type; convert and convert back on output
+        s = s.withColumn(ts, F.col(ts).cast("timestamp")) if ntz else s
+        s = s.withWatermark(ts, watermark)
+    back = (lambda c: c.cast("timestamp_ntz")) if (watermark and ntz) else (lambda c: c)
     return (s.groupBy(F.window(ts, win, slide or win).alias("w"), key)
              .agg(F.count(F.lit(1)).alias("count"))
-             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+             .select(back(F.col("w.start")).alias("window_start"), back(F.col("w.end")).alias("window_end"),
                      key, "count"))
 
 
