@@ -16,8 +16,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "air01_top_airports",
-    "air02_carriers_by_arr_delay",
+    "air01_top_airports_star",
+    "air02_carriers_star",
     "air03_dests_by_dep_delay",
     "air04_carriers_on_route",
     "air06_itinerary",

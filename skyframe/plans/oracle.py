@@ -665,3 +665,5 @@ a AS (SELECT * FROM g WHERE label), b AS (SELECT * FROM g WHERE NOT label)
 SELECT round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS statistic,
        round((a.v / a.n + b.v / b.n) ^ 2 / ((a.v / a.n) ^ 2 / (a.n - 1) + (b.v / b.n) ^ 2 / (b.n - 1)), 4) AS dof
 FROM a, b"""
+ORACLE["air01_top_airports_star"] = ORACLE["air01_top_airports"]
+ORACLE["air02_carriers_star"] = ORACLE["air02_carriers_by_arr_delay"]

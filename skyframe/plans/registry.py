@@ -1563,3 +1563,17 @@ def _str20b(spark, d):
     st.run(st.replay(spark, _ab_stream(spark, d), N_BATCHES, order_col="ts"), "append", t.update)
     _, stat, dof, _, _ = t.results[-1]
     return spark.createDataFrame([(round(stat, 6), round(dof, 4))], "statistic double, dof double")
+
+
+# ---------------------------------------------------------------- airline on the star schema
+from skyframe.plans import flight_plans as fp  # noqa: E402
+
+
+@register("air01_top_airports_star")
+def _air01s(spark, d):
+    return fp.top_airports_star(spark, d, 10)
+
+
+@register("air02_carriers_star")
+def _air02s(spark, d):
+    return fp.carriers_by_arr_delay_star(spark, d, 10)
