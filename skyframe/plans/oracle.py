@@ -667,3 +667,44 @@ SELECT round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS statistic,
 FROM a, b"""
 ORACLE["air01_top_airports_star"] = ORACLE["air01_top_airports"]
 ORACLE["air02_carriers_star"] = ORACLE["air02_carriers_by_arr_delay"]
+
+
+# ---------------------------------------------------------------- file formats
+ORACLE["src01_flights_csv"] = ORACLE["air02_carriers_by_arr_delay"]
+ORACLE["src02_text_scan"] = f"""WITH {DOC_WORDS}
+SELECT word, COUNT(*) AS count FROM doc_words WHERE length(word) > 0 GROUP BY word"""
+ORACLE["src03_json_scan"] = """
+SELECT event_type, COUNT(*) AS n, round(SUM(value), 4) AS total FROM events GROUP BY event_type"""
+ORACLE["src06_merged_schema"] = """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS key, COUNT(*) AS n,
+       COUNT(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS with_price,
+       COUNT(CASE WHEN o_orderstatus <> 'F' THEN o_custkey END) AS with_customer
+FROM orders GROUP BY 1"""
+ORACLE["src09_csv_header"] = """
+SELECT c_mktsegment, COUNT(*) AS n, round(SUM(c_acctbal), 2) AS bal FROM customer GROUP BY 1"""
+ORACLE["src10_libsvm"] = """
+SELECT COUNT(*) AS n, CAST(SUM(label) AS DOUBLE) AS label_sum FROM embeddings"""
+ORACLE["src11_dense_vectors"] = """
+SELECT CAST(label AS DOUBLE) AS label, COUNT(*) AS n FROM embeddings GROUP BY 1"""
+ORACLE["src12_ratings_text"] = """
+SELECT COUNT(*) AS n, round(SUM(rating), 2) AS total FROM (
+  SELECT CAST(SUM(l_quantity) AS FLOAT) AS rating FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY o_custkey, l_partkey)"""
+ORACLE["src13_edge_list"] = f"""
+WITH {PART_CHAIN}
+SELECT COUNT(*) AS edges FROM (SELECT DISTINCT least(src, dst), greatest(src, dst) FROM pc)"""
+ORACLE["src15_catalog_table"] = "SELECT c_mktsegment, COUNT(*) AS n FROM customer GROUP BY 1"
+ORACLE["src24_replay_queue"] = "SELECT o_orderstatus, COUNT(*) AS count FROM orders GROUP BY 1"
+ORACLE["snk01_write_formats"] = "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS fmt, n_nationkey, n_name, n_regionkey FROM nation" for f in ("parquet", "json", "csv"))
+ORACLE["snk02_partitioned_write"] = "SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F'"
+ORACLE["snk03_bucketed_table"] = "SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1"
+ORACLE["snk04_text_write"] = """
+SELECT CAST(n_nationkey AS VARCHAR) || chr(9) || n_name AS value FROM nation"""
+ORACLE["joi02_join_attr"] = ORACLE["grf04_connected_components"].replace(
+    "SELECT id, MIN(label) AS label FROM reach GROUP BY id",
+    "SELECT r.id, r.label, p.p_name FROM (SELECT id, MIN(label) AS label FROM reach GROUP BY id) r "
+    "JOIN part p ON r.id = p.p_partkey")
+ORACLE["str07_update_mean"] = """
+SELECT event_type, COUNT(*) AS n, round(SUM(value), 4) AS total,
+       CAST(SUM(value) / COUNT(*) AS FLOAT) AS mean FROM events GROUP BY 1"""

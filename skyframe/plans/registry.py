@@ -1577,3 +1577,158 @@ def _air01s(spark, d):
 @register("air02_carriers_star")
 def _air02s(spark, d):
     return fp.carriers_by_arr_delay_star(spark, d, 10)
+
+
+# ---------------------------------------------------------------- file formats: write a shared table
+# in the reader's format under the checkpoint folder, then run the reader
+from skyframe.operators import graph as _gr  # noqa: E402,F811
+from skyframe.sources import sinks as sk  # noqa: E402
+
+
+@register("src01_flights_csv")
+def _src01(spark, d):
+    path = st.scratch(spark, "src01")
+    f = ad.flights(spark, d)
+    sk.write_text(f, path, sep=",")
+    return fl.carriers_by_arr_delay(src.read_flights(spark, path), 10)
+
+
+@register("src02_text_scan")
+def _src02(spark, d):
+    path = st.scratch(spark, "src02")
+    ad.doc_lines(spark, d).write.text(path)
+    return tx.word_count(src.read_text(spark, path), "value", " ")
+
+
+@register("src03_json_scan")
+def _src03(spark, d):
+    path = st.scratch(spark, "src03")
+    _t(spark, d, "events").select("event_id", "event_type", "value").write.json(path)
+    ev_ = src.read_json(spark, path)
+    return ev_.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@register("src06_merged_schema")
+def _src06(spark, d):
+    base = st.scratch(spark, "src06")
+    o = _t(spark, d, "orders")
+    o.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice").write.parquet(f"{base}/key=1")
+    o.filter(F.col("o_orderstatus") != "F").select("o_orderkey", "o_custkey").write.parquet(f"{base}/key=2")
+    m = src.read_merged(spark, base)
+    return m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count("o_totalprice").alias("with_price"),
+                                F.count("o_custkey").alias("with_customer"))
+
+
+@register("src09_csv_header")
+def _src09(spark, d):
+    path = st.scratch(spark, "src09")
+    _t(spark, d, "customer").write.option("header", True).csv(path)
+    c = src.read_csv(spark, path, header=True, infer=True)
+    return c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("bal"))
+
+
+@register("src10_libsvm")
+def _src10(spark, d):
+    path = st.scratch(spark, "src10")
+    e = _t(spark, d, "embeddings")
+    pairs = F.transform(F.col("embedding"), lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"),
+                                                                 x.cast("string")))
+    e.select(F.concat_ws(" ", F.col("label").cast("string"), F.array_join(pairs, " ")).alias("v")).write.text(path)
+    df = src.read_libsvm(spark, path, 64)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("label_sum"))
+
+
+@register("src11_dense_vectors")
+def _src11(spark, d):
+    path = st.scratch(spark, "src11")
+    e = _t(spark, d, "embeddings")
+    e.select(F.concat_ws(",", F.col("label").cast("string"),
+                         F.array_join(F.transform("embedding", lambda x: x.cast("string")), " ")).alias("v")) \
+     .write.text(path)
+    df = src.read_dense(spark, path, labelled=True)
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("src12_ratings_text")
+def _src12(spark, d):
+    path = st.scratch(spark, "src12")
+    r = ad.ratings(spark, d)
+    r.select(F.concat_ws("::", "user", "item", "rating", F.lit(0)).alias("v")).write.text(path)
+    back = src.read_ratings(spark, path)
+    return back.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("rating"), 2).alias("total"))
+
+
+@register("src13_edge_list")
+def _src13(spark, d):
+    path = st.scratch(spark, "src13")
+    ad.part_chain_edges(spark, d).select(F.concat_ws(" ", "src", "dst").alias("v")).write.text(path)
+    e = _gr.read_edges(spark, path, canonical=True)
+    return e.agg(F.count(F.lit(1)).alias("edges"))
+
+
+@register("src15_catalog_table")
+def _src15(spark, d):
+    name = "customer_tbl_" + st.scratch(spark, "x")[-12:]
+    path = st.scratch(spark, "src15")
+    _t(spark, d, "customer").write.option("path", path).saveAsTable(name)
+    out = cat.query(spark, spark.table(name), "c_view",
+                    "SELECT c_mktsegment, COUNT(*) AS n FROM c_view GROUP BY c_mktsegment")
+    return out
+
+
+@register("src24_replay_queue")
+def _src24(spark, d):
+    o = st.replay(spark, _t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), N_BATCHES)
+    return _complete(rel.group_count(o, "o_orderstatus"), spark, "src24-out")
+
+
+@register("snk01_write_formats")
+def _snk01(spark, d):
+    n = _t(spark, d, "nation")
+    out = None
+    for fmt in ("parquet", "json", "csv"):
+        path = st.scratch(spark, f"snk01-{fmt}")
+        sk.write(n, path, fmt, mode="overwrite", **({"header": "true"} if fmt == "csv" else {}))
+        back = src.load(spark, path, fmt, schema=n.schema, **({"header": "true"} if fmt == "csv" else {}))
+        part = back.select(F.lit(fmt).alias("fmt"), "n_nationkey", "n_name", "n_regionkey")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("snk02_partitioned_write")
+def _snk02(spark, d):
+    path = st.scratch(spark, "snk02")
+    sk.write_partitioned(_t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), path, ["o_orderstatus"])
+    back = spark.read.parquet(path)
+    return back.filter(F.col("o_orderstatus") == "F").agg(F.count(F.lit(1)).alias("n"))   # partition pruning
+
+
+@register("snk03_bucketed_table")
+def _snk03(spark, d):
+    name = "orders_bucketed_" + st.scratch(spark, "x")[-12:]
+    sk.write_bucketed(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), name, 16,
+                      ["o_custkey"], ["o_custkey"], path=st.scratch(spark, "snk03"))
+    b = spark.table(name)
+    return b.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))   # grouped on the bucket key: no shuffle
+
+
+@register("snk04_text_write")
+def _snk04(spark, d):
+    path = st.scratch(spark, "snk04")
+    sk.write_text(_t(spark, d, "nation"), path, ["n_nationkey", "n_name"])
+    return spark.read.text(path)
+
+
+@register("joi02_join_attr")
+def _joi02(spark, d):
+    labels = _gr.connected_components(_bulk_edges(spark, d))
+    names = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    return rel.join_inner(labels, names, "id")
+
+
+@register("str07_update_mean")
+def _str07(spark, d):
+    out = st.scratch(spark, "str07")
+    s = st.update_mean(_events_stream(spark, d, ["ts", "event_type", "value"]), "event_type", "value")
+    st.run(s, "update", ssk.upsert_parquet(out, ["event_type"]))
+    return ssk.latest(spark, out).select("event_type", "n", F.round("total", 4).alias("total"), "mean")
