@@ -708,3 +708,25 @@ ORACLE["joi02_join_attr"] = ORACLE["grf04_connected_components"].replace(
 ORACLE["str07_update_mean"] = """
 SELECT event_type, COUNT(*) AS n, round(SUM(value), 4) AS total,
        CAST(SUM(value) / COUNT(*) AS FLOAT) AS mean FROM events GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- vector transforms
+ORACLE["fea16_slice_vector"] = """
+SELECT vec_id AS id, [CAST(embedding[1] AS DOUBLE), CAST(embedding[3] AS DOUBLE), CAST(embedding[5] AS DOUBLE)]
+       AS sliced FROM embeddings"""
+ORACLE["fea17_interact"] = """
+SELECT l_orderkey, l_linenumber, [round(l_quantity * l_discount, 6), round(l_quantity * l_tax, 6)] AS interaction
+FROM lineitem"""
+ORACLE["fea18_poly"] = """
+SELECT l_orderkey, l_linenumber,
+       [round(q, 6), round(q * q, 6), round(d, 6), round(q * d, 6), round(d * d, 6),
+        round(t, 6), round(q * t, 6), round(d * t, 6), round(t * t, 6)] AS poly
+FROM (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_discount AS d, l_tax AS t FROM lineitem)"""
+ORACLE["fea25_dct"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings)
+SELECT vec_id AS id,
+       list_transform(range(0, 64), lambda k:
+         round(CASE WHEN k = 0 THEN sqrt(1 / 64) ELSE sqrt(2 / 64) END
+               * list_sum(list_transform(range(0, 64), lambda n: x[n + 1] * cos(pi() / 64 * (n + 0.5) * k))), 6))
+       AS dct
+FROM e"""

@@ -1092,20 +1092,20 @@ def _fea16(spark, d):
 def _fea17(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     v = fe.assemble(li, ["l_discount", "l_tax"], "dv")
-    t = fe.interact(v, ["l_quantity", "dv"])
-    return t.select("l_orderkey", "l_linenumber", vector_to_array_col("interaction").alias("interaction"))
+    t = fe.as_array(fe.interact(v, ["l_quantity", "dv"]), "interaction", 6)
+    return t.select("l_orderkey", "l_linenumber", "interaction")
 
 
 @register("fea18_poly")
 def _fea18(spark, d):
-    t = fe.poly(_li_vec(spark, d), "features", 2)
-    return t.select("l_orderkey", "l_linenumber", vector_to_array_col("poly").alias("poly"))
+    t = fe.as_array(fe.poly(_li_vec(spark, d), "features", 2), "poly", 6)
+    return t.select("l_orderkey", "l_linenumber", "poly")
 
 
 @register("fea25_dct")
 def _fea25(spark, d):
-    t = fe.dct(ad.vectors(spark, d), "features")
-    return t.select("id", vector_to_array_col("dct").alias("dct"))
+    t = fe.as_array(fe.dct(ad.vectors(spark, d), "features"), "dct", 6)
+    return t.select("id", "dct")
 
 
 @register("fea26_pca")
