@@ -66,15 +66,27 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def replay(spark: SparkSession, df: DataFrame, n_batches: int, fmt: str = "parquet",
            folder: str | None = None, order_col: str | None = None) -> DataFrame:
-    """Queue of batches: ``df`` written as ``n_batches`` files, read back as
-    a file stream with one file per trigger.  With ``order_col`` the files
-    follow that column's ranges (event time arrives roughly in order)."""
+    """Queue of batches: ``df`` written as ``n_batches`` file sets, read back
+    as a file stream with one file per trigger.
+
+    With ``order_col`` the batches are consecutive ranges of that column
+    (event time arriving in order), written one after the other so the
+    stream sees them in that order -- a later range never arrives first and
+    pushes the watermark past an earlier one.
+    """
     folder = folder or scratch(spark, "replay")
     if order_col:
-        parts = df.repartitionByRange(n_batches, order_col).sortWithinPartitions(order_col)
+        probs = [i / n_batches for i in range(1, n_batches)]
+        num = F.unix_micros(F.col(order_col).cast("timestamp")).cast("double") \
+            if dict(df.dtypes)[order_col].startswith("timestamp") else F.col(order_col)
+        cuts = df.select(num.alias("_o")).approxQuantile("_o", probs, 0.0) if probs else []
+        bucket = sum((F.when(num >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+        keyed = df.withColumn("_batch", bucket)
+        for i in range(n_batches):
+            (keyed.filter(F.col("_batch") == i).drop("_batch").coalesce(1)
+                  .write.mode("append").format(fmt).save(folder))
     else:
-        parts = df.repartition(n_batches)
-    parts.write.mode("overwrite").format(fmt).save(folder)
+        df.repartition(n_batches).write.mode("overwrite").format(fmt).save(folder)
     return files(spark, folder, fmt, schema=df.schema, max_files_per_trigger=1)
 
 
