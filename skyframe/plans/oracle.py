@@ -294,7 +294,6 @@ PART_CHAIN = """pc AS (
   SELECT a.l_partkey AS src, b.l_partkey AS dst, b.l_quantity AS weight
   FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber + 1 = b.l_linenumber
   WHERE a.l_partkey <> b.l_partkey)"""
-BULK = PART_CHAIN + ", bulk AS (SELECT * FROM pc WHERE weight = 50.0)"
 NATION_TRADE = """ne AS (
   SELECT DISTINCT CAST(s.s_nationkey AS BIGINT) AS src, CAST(c.c_nationkey AS BIGINT) AS dst
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -327,13 +326,18 @@ def _pagerank_sql(naive: bool, iters: int = 10) -> str:
 
 ORACLE["grf01_pagerank_naive"] = _pagerank_sql(True)
 ORACLE["grf02_pagerank"] = _pagerank_sql(False)
+# min-label propagation with a keyed recursive CTE: each round only the
+# vertices whose label dropped send it on
 ORACLE["grf04_connected_components"] = f"""
-WITH RECURSIVE {BULK},
-und AS (SELECT src, dst FROM bulk UNION SELECT dst, src FROM bulk),
-verts AS (SELECT src AS id FROM bulk UNION SELECT dst FROM bulk),
-reach(id, label) AS (SELECT id, id FROM verts
-                     UNION SELECT und.dst, reach.label FROM reach JOIN und ON reach.id = und.src)
-SELECT id, MIN(label) AS label FROM reach GROUP BY id"""
+WITH RECURSIVE {PART_CHAIN},
+und AS (SELECT DISTINCT src, dst FROM (SELECT src, dst FROM pc UNION ALL SELECT dst, src FROM pc)),
+verts AS (SELECT src AS id FROM pc UNION SELECT dst FROM pc),
+lab(id, label) USING KEY (id) AS (
+  SELECT id, id FROM verts
+  UNION
+  SELECT u.dst, MIN(l.label) FROM lab l JOIN und u ON l.id = u.src GROUP BY u.dst
+  HAVING MIN(l.label) < (SELECT r.label FROM recurring.lab r WHERE r.id = u.dst))
+SELECT id, label FROM lab"""
 ORACLE["grf05_triangles"] = f"""
 WITH {PART_CHAIN},
 c AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM pc WHERE src <> dst),
@@ -343,14 +347,15 @@ per AS (SELECT id, COUNT(*) AS n FROM (SELECT a AS id FROM t UNION ALL SELECT b
         GROUP BY id)
 SELECT verts.id, CAST(COALESCE(n, 0) AS BIGINT) AS triangles FROM verts LEFT JOIN per USING (id)"""
 ORACLE["grf06_sssp"] = f"""
-WITH RECURSIVE {BULK},
-verts AS (SELECT src AS id FROM bulk UNION SELECT dst FROM bulk),
-s0 AS (SELECT MIN(src) AS s FROM bulk),
-p(id, dist) AS (SELECT s, CAST(0.0 AS DOUBLE) FROM s0
-                UNION SELECT b.dst, p.dist + b.weight FROM p JOIN bulk b ON p.id = b.src
-                WHERE p.dist + b.weight <= 50.0 * (SELECT COUNT(*) FROM verts))
-SELECT verts.id, COALESCE(MIN(p.dist), CAST('inf' AS DOUBLE)) AS distance
-FROM verts LEFT JOIN p USING (id) GROUP BY verts.id"""
+WITH RECURSIVE {PART_CHAIN},
+verts AS (SELECT src AS id FROM pc UNION SELECT dst FROM pc),
+dist(id, d) USING KEY (id) AS (
+  SELECT MIN(src), CAST(0.0 AS DOUBLE) FROM pc
+  UNION
+  SELECT e.dst, MIN(x.d + e.weight) FROM dist x JOIN pc e ON x.id = e.src GROUP BY e.dst
+  HAVING MIN(x.d + e.weight) < COALESCE((SELECT r.d FROM recurring.dist r WHERE r.id = e.dst),
+                                         CAST('inf' AS DOUBLE)))
+SELECT verts.id, COALESCE(dist.d, CAST('inf' AS DOUBLE)) AS distance FROM verts LEFT JOIN dist USING (id)"""
 ORACLE["grf07_neighbour_mean"] = f"""
 WITH {PART_CHAIN}
 SELECT pc.dst AS id, COUNT(*) AS senders, round(AVG(a.p_retailprice), 6) AS mean_attr
@@ -702,9 +707,8 @@ ORACLE["snk03_bucketed_table"] = "SELECT o_custkey, COUNT(*) AS n FROM orders GR
 ORACLE["snk04_text_write"] = """
 SELECT CAST(n_nationkey AS VARCHAR) || chr(9) || n_name AS value FROM nation"""
 ORACLE["joi02_join_attr"] = ORACLE["grf04_connected_components"].replace(
-    "SELECT id, MIN(label) AS label FROM reach GROUP BY id",
-    "SELECT r.id, r.label, p.p_name FROM (SELECT id, MIN(label) AS label FROM reach GROUP BY id) r "
-    "JOIN part p ON r.id = p.p_partkey")
+    "SELECT id, label FROM lab",
+    "SELECT lab.id, lab.label, p.p_name FROM lab JOIN part p ON lab.id = p.p_partkey")
 ORACLE["str07_update_mean"] = """
 SELECT event_type, COUNT(*) AS n, round(SUM(value), 4) AS total,
        CAST(SUM(value) / COUNT(*) AS FLOAT) AS mean FROM events GROUP BY 1"""
