@@ -194,6 +194,8 @@ def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vpr
     """
     v = vertices.withColumn("value", init).withColumn(active_col, F.lit(True))
     e = edges.cache()
+    checkpoint_dir(v.sparkSession)
+    cached = None
     for i in range(max_iter):
         src = v.select(F.col("id").alias("_s"), F.col("value").alias("src_value"), active_col)
         dst = v.select(F.col("id").alias("_d"), F.col("value").alias("dst_value"))
@@ -203,14 +205,24 @@ def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vpr
                             .alias("_m"))
                     .filter(F.col("_m").isNotNull())
                     .groupBy("_id").agg(merge("_m").alias("_msg")))
-        if msgs.limit(1).count() == 0:
-            break
         nv = v.join(msgs, v.id == msgs._id, "left")
         newval = F.when(F.col("_msg").isNull(), F.col("value")).otherwise(vprog(F.col("value"), F.col("_msg")))
-        v = nv.select(*[c for c in vertices.columns], newval.alias("value"),
-                      (F.col("_msg").isNotNull() & (newval != F.col("value"))).alias(active_col))
-        checkpoint_dir(v.sparkSession)
-        v = v.checkpoint(eager=True)
+        nv = nv.select(*[c for c in vertices.columns], newval.alias("value"),
+                       (F.col("_msg").isNotNull() & (newval != F.col("value"))).alias(active_col))
+        # one heavy job per round: materialise the new state (a reliable
+        # checkpoint every few rounds, cached in between), then a cheap
+        # scan of it decides whether anything changed
+        if i % CHECKPOINT_EVERY == CHECKPOINT_EVERY - 1:
+            nv = nv.checkpoint(eager=True)
+        else:
+            nv = nv.cache()
+        still_active = nv.filter(F.col(active_col)).count()   # full scan fills the cache
+        if cached is not None:
+            cached.unpersist()
+        cached = nv if nv.storageLevel.useMemory or nv.storageLevel.useDisk else None
+        v = nv
+        if still_active == 0:
+            break
     return v.drop(active_col)
 
 
