@@ -16,11 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _arr(c: str) -> Column:
-    """Vector or array column -> array<double>."""
-    return F.col(c)
-
-
 # ---------------------------------------------------------------- text
 def tokenize(df: DataFrame, col: str, out: str = "tokens") -> DataFrame:
     """Lower-case, split on single whitespace characters (Tokenizer)."""
@@ -113,12 +108,13 @@ def index_strings(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Index by frequency (most frequent = 0), ties alphabetically.  One
     aggregate over the distinct labels; the label table is joined back
     (broadcast when small)."""
-    from pyspark.sql import Window
-
+    from skyframe.operators.relational import with_index
     from skyframe.plans.joins import broadcast_if_small
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).filter(F.col(col).isNotNull())
-    w = Window.orderBy(F.desc("_c"), F.asc(col))
-    labels = counts.select(col, (F.row_number().over(w) - 1).cast("double").alias(out or f"{col}_index"))
+    counts = (df.groupBy(col).agg(F.count(F.lit(1)).alias("_c")).filter(F.col(col).isNotNull())
+                .withColumn("_neg", -F.col("_c")))
+    # ranks over the distinct labels without a single-partition window
+    ranked = with_index(counts, ["_neg", col], "_idx")
+    labels = ranked.select(col, F.col("_idx").cast("double").alias(out or f"{col}_index"))
     return df.join(broadcast_if_small(labels), col, "left")
 
 

@@ -146,12 +146,43 @@ def column_cosine_approx(df: DataFrame, vec: str, threshold: float = 0.1):
     return sims.entries.toDF().withColumnRenamed("value", "similarity")
 
 
+def gram(df: DataFrame, vec: str) -> "np.ndarray":
+    """A^T A of the row matrix in one aggregate: each row contributes its
+    outer product x x^T (a d*d vector built by expressions), summed by the
+    vector Summarizer.  Only the d x d result reaches the driver."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    x = vector_to_array(F.col(vec)) if dict(df.dtypes)[vec] != "array<double>" else F.col(vec)
+    outer = F.flatten(F.transform(x, lambda a: F.transform(x, lambda b: a * b)))
+    g = df.select(array_to_vector(outer).alias("_g")).agg(Summarizer.sum(F.col("_g")).alias("s")).first()["s"]
+    arr = g.toArray()
+    d = int(round(len(arr) ** 0.5))
+    return np.asarray(arr).reshape(d, d)
+
+
 def svd(df: DataFrame, vec: str, k: int, compute_u: bool = False):
-    """Distributed SVD: returns (s as list, V as array rows, U RowMatrix or None)."""
-    r = _row_matrix(df, vec).computeSVD(k, computeU=compute_u)
-    return list(r.s.toArray()), r.V.toArray(), r.U
+    """Top-k singular values and right singular vectors of the row matrix
+    from the eigen-decomposition of A^T A (d x d, on the driver); U, when
+    asked for, is the distributed projection A V diag(1/s).
+    Returns (s as list, V as d x k array, U DataFrame or None)."""
+    import numpy as np
+    w, vecs = np.linalg.eigh(gram(df, vec))
+    order = np.argsort(w)[::-1][:k]
+    s_vals = np.sqrt(np.clip(w[order], 0, None))
+    v = vecs[:, order]
+    u = None
+    if compute_u:
+        x = vector_to_array(F.col(vec)) if dict(df.dtypes)[vec] != "array<double>" else F.col(vec)
+        cols = []
+        for j in range(v.shape[1]):
+            wj = F.array(*[F.lit(float(c)) for c in v[:, j] / (s_vals[j] or 1.0)])
+            cols.append(F.aggregate(F.zip_with(x, wj, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t))
+        u = df.select(F.array(*cols).alias("u"))
+    return list(s_vals), v, u
 
 
 def row_pca(df: DataFrame, vec: str, k: int):
-    """Principal components of the rows (columns of the returned matrix)."""
-    return _row_matrix(df, vec).computePrincipalComponents(k).toArray()
+    """Principal components of the rows (d x k), via pyspark.ml PCA."""
+    from pyspark.ml.feature import PCA
+    return PCA(k=k, inputCol=vec).fit(df.select(vec)).pc.toArray()
