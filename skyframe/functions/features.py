@@ -74,10 +74,16 @@ def count_vectors(df: DataFrame, col: str, vocab_size: int = 1 << 18, min_df: fl
     return model.transform(df), list(model.vocabulary)
 
 
-def word2vec(df: DataFrame, col: str, dim: int = 3, min_count: int = 0, seed: int = 42, out: str = "vector"):
+def word2vec(df: DataFrame, col: str, dim: int = 3, min_count: int = 0, seed: int = 42, out: str = "vector",
+             partitions: int | None = None):
     """Word2Vec; returns (model, transformed) -- the doc vector is the mean
-    of its word vectors; ``model.findSynonyms(word, n)`` gives neighbours."""
-    model = mlf.Word2Vec(vectorSize=dim, minCount=min_count, inputCol=col, outputCol=out, seed=seed).fit(df)
+    of its word vectors; ``model.findSynonyms(word, n)`` gives neighbours.
+
+    Training runs in ``partitions`` parallel tasks (default: the cluster's
+    parallelism) whose vectors are averaged, not in a single task."""
+    n = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+    model = mlf.Word2Vec(vectorSize=dim, minCount=min_count, inputCol=col, outputCol=out, seed=seed,
+                         numPartitions=n).fit(df)
     return model, model.transform(df)
 
 

@@ -66,7 +66,9 @@ def with_index(df: DataFrame, order_cols: list[str], name: str = "row_idx") -> D
     from skyframe.session import checkpoint_dir
 
     checkpoint_dir(spark)
-    parts = max(1, spark.sparkContext.defaultParallelism)
+    # as many ranges as the cluster's shuffle width (one count each)
+    parts = max(1, spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
     ordered = (df.repartitionByRange(parts, *order_cols)
                  .sortWithinPartitions(*order_cols)
                  .withColumn("_pid", F.spark_partition_id()))

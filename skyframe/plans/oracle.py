@@ -734,3 +734,5 @@ SELECT vec_id AS id,
                * list_sum(list_transform(range(0, 64), lambda n: x[n + 1] * cos(pi() / 64 * (n + 0.5) * k))), 6))
        AS dct
 FROM e"""
+ORACLE["air07_stream_itinerary"] = ORACLE["air06_itinerary"]
+ORACLE["air07_stream_route_delay"] = ORACLE["air05_route_delay"]

@@ -1724,3 +1724,23 @@ def _str07(spark, d):
     s = st.update_mean(_events_stream(spark, d, ["ts", "event_type", "value"]), "event_type", "value")
     st.run(s, "update", ssk.upsert_parquet(out, ["event_type"]))
     return ssk.latest(spark, out).select("event_type", "n", F.round("total", 4).alias("total"), "mean")
+
+
+# ---------------------------------------------------------------- running airline queries
+from skyframe.streaming import airline as sair  # noqa: E402
+
+
+@register("air07_stream_itinerary")
+def _air07c(spark, d):
+    out = st.scratch(spark, "air07c")
+    f = ad.flights(spark, d, ["origin", "dest", "flt_date", "dep_time", "carrier", "flt_num", "arr_delay"])
+    sair.itinerary(st.replay(spark, f, N_BATCHES), ORIGIN, TRANSIT, DEST, out, None, None, interval=None)
+    return ssk.latest(spark, out)
+
+
+@register("air07_stream_route_delay")
+def _air07d(spark, d):
+    out = st.scratch(spark, "air07d")
+    f = ad.flights(spark, d, ["origin", "dest", "arr_delay"])
+    sair.route_delay(st.replay(spark, f, N_BATCHES), ORIGIN, DEST, out, interval=None)
+    return ssk.latest(spark, out)
