@@ -439,8 +439,8 @@ def _str05(spark, d):
 def _str06(spark, d):
     out = st.scratch(spark, "str06")
     s = st.update_state(_events_stream(spark, d, ["ts", "user_id", "value"]), "user_id", "value")
-    st.run(s, "update", ssk.upsert_parquet(out, ["user_id"]))
-    return ssk.latest(spark, out).select("user_id", F.round("total", 6).alias("total"))
+    st.run(s, "update", ssk.upsert_bucketed(out, ["user_id"], 16))
+    return ssk.read_bucketed(spark, out).select("user_id", F.round("total", 6).alias("total"))
 
 
 @register("str08_sessions")

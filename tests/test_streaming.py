@@ -108,3 +108,17 @@ def test_welch_p_value():
     t, dof, p = lr.welch(10, 1.0, 1.0, 10, 0.0, 1.0)
     assert t == pytest.approx(2.2360679, rel=1e-6) and dof == pytest.approx(18.0)
     assert p == pytest.approx(0.03818, abs=1e-4)       # two-sided t(18) at 2.236
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp):
+    import os
+    path = f"{tmp}/bt"
+    w = ssk.upsert_bucketed(path, ["k"], 8)
+    w(spark.createDataFrame([(i, "a") for i in range(40)], "k int, v string"), 0)
+    before = {d: os.path.getmtime(f"{path}/{d}") for d in os.listdir(path) if d.startswith("_bucket=")}
+    w(spark.createDataFrame([(3, "b")], "k int, v string"), 1)
+    w(spark.createDataFrame([(3, "b")], "k int, v string"), 1)          # replayed batch: same result
+    got = {r.k: r.v for r in ssk.read_bucketed(spark, path).collect()}
+    assert len(got) == 40 and got[3] == "b" and got[4] == "a"
+    after = {d: os.path.getmtime(f"{path}/{d}") for d in os.listdir(path) if d.startswith("_bucket=")}
+    assert sum(1 for d in before if after[d] != before[d]) == 1
