@@ -123,15 +123,32 @@ def best_leg(df: DataFrame, group: list[str]) -> DataFrame:
     return best.select(*group, "b.*")
 
 
+def legs(df: DataFrame, origin: str, transit: str, dest: str, start_date: str | None = None,
+         year: int | None = 2008) -> DataFrame:
+    """Flights that can fly leg 1 (X->Y) or leg 2 (Y->Z), in one pass over
+    the data: one filter on both routes, then each row is tagged with the
+    legs it fits (a row fitting both, when the routes coincide, is kept
+    once per leg) and the start date it serves."""
+    c1 = (F.col("origin") == origin) & (F.col("dest") == transit)
+    c2 = (F.col("origin") == transit) & (F.col("dest") == dest)
+    hhmm = _hhmm_value("dep_time")
+    tags = F.filter(F.array(F.when(c1 & (hhmm < 1200), F.lit(1)), F.when(c2 & (hhmm > 1200), F.lit(2))),
+                    lambda x: x.isNotNull())
+    out = (df.filter(c1 | c2).withColumn("leg", F.explode(tags))
+             .withColumn("start_date", F.date_sub(F.col("flt_date"), F.when(F.col("leg") == 1, 0).otherwise(2))))
+    if start_date is not None:
+        out = out.filter(F.col("start_date") == F.lit(_dt.date.fromisoformat(start_date)))
+    if year is not None:
+        out = out.filter(F.year("flt_date") == year)
+    return out
+
+
 def itinerary(df: DataFrame, origin: str, transit: str, dest: str,
               start_date: str | None = None, year: int | None = 2008) -> DataFrame:
     """Best flight for X->Y on the start date before noon and for Y->Z two
     days later after noon; one row per leg (and per start date when
     ``start_date`` is None)."""
-    l1 = leg(on_route(df, origin, transit), 1, start_date, year)
-    l2 = leg(on_route(df, transit, dest), 2, start_date, year)
-    both = l1.unionByName(l2)
-    return best_leg(both, ["leg", "start_date"])
+    return best_leg(legs(df, origin, transit, dest, start_date, year), ["leg", "start_date"])
 
 
 def daily_delay(df: DataFrame, dest: str) -> DataFrame:

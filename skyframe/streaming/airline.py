@@ -59,10 +59,8 @@ def route_delay(stream: DataFrame, origin: str, dest: str, out: str, checkpoint:
 
 def itinerary(stream: DataFrame, origin: str, transit: str, dest: str, out: str, start_date: str | None = None,
               year: int | None = 2008, checkpoint: str | None = None, interval: str | None = BATCH_INTERVAL):
-    l1 = fl.leg(fl.on_route(stream, origin, transit), 1, start_date, year)
-    l2 = fl.leg(fl.on_route(stream, transit, dest), 2, start_date, year)
     keys = ["leg", "start_date", "origin", "dest", "flt_date", "carrier", "flt_num"]
-    per_flight = (l1.unionByName(l2).groupBy(*keys)
+    per_flight = (fl.legs(stream, origin, transit, dest, start_date, year).groupBy(*keys)
                     .agg(F.sum(fl.delay_int("arr_delay").cast("long")).alias("_total"),
                          F.count(F.lit(1)).alias("_n"), F.min("dep_time").alias("dep_time")))
     write = ssk.replace_table(out)
