@@ -32,13 +32,25 @@ def _save_state(path: str | None, batch_id: int, state: dict, spark) -> None:
              .write.mode("overwrite").json(os.path.join(path, f"batch={batch_id}"))
 
 
+def load_state(spark, path: str) -> dict | None:
+    """The state written by the newest batch under ``path`` (one small row),
+    so a restarted driver resumes the model where the stream left off."""
+    try:
+        df = spark.read.json(path)
+    except Exception:  # noqa: BLE001 -- nothing written yet
+        return None
+    row = df.orderBy(F.desc("batch")).select("state").first()
+    return json.loads(row["state"]) if row else None
+
+
 class StreamingKMeans:
     """Mini-batch k-means with decay ``a`` (1 = remember everything):
     c' = (c n a + sum(x)) / (n a + m),  n' = n a + m."""
 
-    def __init__(self, centres, decay: float = 1.0, features: str = "features", state_path: str | None = None):
+    def __init__(self, centres, decay: float = 1.0, features: str = "features", state_path: str | None = None,
+                 weights=None):
         self.centres = np.asarray(centres, dtype=float)
-        self.weights = np.zeros(len(self.centres))
+        self.weights = np.zeros(len(self.centres)) if weights is None else np.asarray(weights, dtype=float)
         self.decay = decay
         self.features = features
         self.state_path = state_path
@@ -60,6 +72,13 @@ class StreamingKMeans:
     def predict(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", closest_col(df, self.features, self.centres))
 
+    @classmethod
+    def resume(cls, spark, state_path: str, default_centres, **kw) -> "StreamingKMeans":
+        st = load_state(spark, state_path)
+        if st is None:
+            return cls(default_centres, state_path=state_path, **kw)
+        return cls(st["centres"], state_path=state_path, weights=st["weights"], **kw)
+
 
 def closest_col(df: DataFrame, col: str, centres):
     """Index of the nearest centre for a vector or array column."""
@@ -107,6 +126,14 @@ class _StreamingSGD:
     def predict(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self._link(self._dot(_arr(df, self.features))))
 
+    @classmethod
+    def resume(cls, spark, state_path: str, dims: int, **kw):
+        m = cls(dims, state_path=state_path, **kw)
+        st = load_state(spark, state_path)
+        if st is not None:
+            m.w = np.asarray(st["weights"], dtype=float)
+        return m
+
     def _link(self, dot):
         return dot
 
@@ -192,6 +219,12 @@ class StreamingABTest:
         self.batches: list[dict] = []
         self.seen = 0
         self.results: list[tuple] = []
+        self.stopped = False
+
+    def should_stop(self, max_batches: int | None = None) -> bool:
+        """True once the difference is significant or ``max_batches`` have
+        been seen (the caller stops the query)."""
+        return self.stopped or (max_batches is not None and self.seen >= max_batches)
 
     @staticmethod
     def _merge(a, b):
@@ -226,6 +259,7 @@ class StreamingABTest:
         else:
             row = (batch_id, float("nan"), float("nan"), float("nan"), False)
         self.results.append(row)
+        self.stopped = bool(row[4])
         if self.out_path:
             batch_df.sparkSession.createDataFrame(
                 [row], "batch long, statistic double, dof double, p_value double, significant boolean") \

@@ -127,6 +127,18 @@ def run(df: DataFrame, mode: str, writer=None, checkpoint: str | None = None,
     return q
 
 
+def run_until(query, predicate, poll_seconds: float = 1.0, timeout_seconds: float | None = None) -> None:
+    """Stop a running query once ``predicate()`` holds (e.g. a significance
+    test has decided) or the timeout passes."""
+    import time
+    start = time.time()
+    while query.isActive:
+        if predicate() or (timeout_seconds is not None and time.time() - start > timeout_seconds):
+            query.stop()
+            break
+        time.sleep(poll_seconds)
+
+
 # ---------------------------------------------------------------- operators
 def split_words(stream: DataFrame, col: str = "value", sep: str = " ") -> DataFrame:
     import re

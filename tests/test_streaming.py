@@ -122,3 +122,18 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp):
     assert len(got) == 40 and got[3] == "b" and got[4] == "a"
     after = {d: os.path.getmtime(f"{path}/{d}") for d in os.listdir(path) if d.startswith("_bucket=")}
     assert sum(1 for d in before if after[d] != before[d]) == 1
+
+
+def test_learner_state_resumes(spark, tmp):
+    path = f"{tmp}/km"
+    km = lr.StreamingKMeans([[0.0], [10.0]], state_path=path)
+    km.update(spark.createDataFrame([([1.0],), ([9.0],)], "features array<double>"), 0)
+    back = lr.StreamingKMeans.resume(spark, path, [[0.0], [10.0]])
+    assert back.centres.tolist() == [[1.0], [9.0]] and back.weights.tolist() == [1.0, 1.0]
+
+
+def test_ab_test_stops_when_significant(spark):
+    t = lr.StreamingABTest("g", "v")
+    rows = [(True, 10.0 + i % 3) for i in range(30)] + [(False, 0.0 + i % 3) for i in range(30)]
+    t.update(spark.createDataFrame(rows, "g boolean, v double"), 0)
+    assert t.should_stop() and t.results[-1][3] < 0.05
