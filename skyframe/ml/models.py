@@ -307,3 +307,64 @@ def grid(est, **values):
     for name, vs in values.items():
         b = b.addGrid(est.getParam(name), vs)
     return b.build()
+
+
+# ---------------------------------------------------------------- ALS by hand
+def _init_factors(ids: DataFrame, id_col: str, rank: int, seed: int) -> DataFrame:
+    """Deterministic pseudo-random start vectors in [0, 1) from the id."""
+    return ids.select(F.col(id_col).alias("id"), F.transform(
+        F.sequence(F.lit(1), F.lit(rank)),
+        lambda i: F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), i), F.lit(10_000)).cast("double") / 10_000.0
+    ).alias("f"))
+
+
+def _solve_side(ratings: DataFrame, key: str, other: str, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
+    """One half-step: for every ``key`` solve
+    (sum v v^T + lam * n * I) x = sum r v over its ratings.
+    The sums are one aggregate (partial sums merge, so a key with a third
+    of all ratings is combined in every task first); the k x k solves run
+    on Arrow batches of the aggregated rows."""
+    import pandas as pd
+    j = ratings.join(fixed.withColumnRenamed("id", other), other)
+    outer = F.flatten(F.transform("f", lambda a: F.transform("f", lambda b: a * b)))
+    per = (j.select(key, array_to_vector(outer).alias("o"),
+                    array_to_vector(F.transform("f", lambda a: a * F.col("rating"))).alias("b"))
+            .groupBy(key).agg(Summarizer.sum(F.col("o")).alias("ata"), Summarizer.sum(F.col("b")).alias("atb"),
+                              F.count(F.lit(1)).alias("n"))
+            .select(F.col(key).alias("id"), vector_to_array("ata").alias("ata"),
+                    vector_to_array("atb").alias("atb"), "n"))
+
+    def solve(batches):
+        eye = np.eye(rank)
+        for pdf in batches:
+            xs = [np.linalg.solve(np.asarray(a).reshape(rank, rank) + lam * n * eye, np.asarray(b)).tolist()
+                  for a, b, n in zip(pdf["ata"], pdf["atb"], pdf["n"])]
+            yield pd.DataFrame({"id": pdf["id"], "f": xs})
+
+    id_type = dict(per.dtypes)["id"]
+    return per.mapInPandas(solve, f"id {id_type}, f array<double>")
+
+
+def als_by_hand(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
+                rank: int = 5, iters: int = 5, lam: float = 0.01, seed: int = 42):
+    """Alternating least squares written as DataFrame steps (the explicit
+    form with lam * n on the diagonal).  Returns (user factors, item
+    factors, RMSE after each iteration).  Factors are checkpointed every
+    iteration; only the RMSE numbers reach the driver."""
+    from skyframe.session import checkpoint_dir
+    checkpoint_dir(ratings.sparkSession)
+    r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(rating).cast("double").alias("rating"))
+    r = r.cache()
+    v = _init_factors(r.select("i").distinct(), "i", rank, seed)
+    u = None
+    history = []
+    for _ in range(iters):
+        u = _solve_side(r, "u", "i", v, rank, lam).checkpoint(eager=True)
+        v = _solve_side(r, "i", "u", u, rank, lam).checkpoint(eager=True)
+        pred = (r.join(u.withColumnRenamed("id", "u").withColumnRenamed("f", "fu"), "u")
+                 .join(v.withColumnRenamed("id", "i").withColumnRenamed("f", "fv"), "i")
+                 .select((F.col("rating") - F.aggregate(F.zip_with("fu", "fv", lambda a, b: a * b), F.lit(0.0),
+                                                         lambda acc, x: acc + x)).alias("e")))
+        history.append(float(pred.agg(F.sqrt(F.avg(F.col("e") * F.col("e")))).first()[0]))
+    r.unpersist()
+    return u, v, history

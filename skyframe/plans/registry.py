@@ -1744,3 +1744,9 @@ def _air07d(spark, d):
     f = ad.flights(spark, d, ["origin", "dest", "arr_delay"])
     sair.route_delay(st.replay(spark, f, N_BATCHES), ORIGIN, DEST, out, interval=None)
     return ssk.latest(spark, out)
+
+
+@register("mod23_als_by_hand")
+def _mod23(spark, d):
+    _, _, hist = md.als_by_hand(ad.ratings(spark, d), rank=5, iters=5, lam=0.01)
+    return spark.createDataFrame([(i + 1, h) for i, h in enumerate(hist)], "iteration int, rmse double")

@@ -228,3 +228,14 @@ def test_models_fit(spark, tmp):
     als = md.als(ratings, rank=3, iters=3)
     users, items = md.als_factors(als)
     assert users.count() == 10 and users.first().value.count(",") == 3
+
+
+def test_als_by_hand_fits_low_rank(spark):
+    rng = np.random.default_rng(0)
+    a, b = rng.random((12, 2)), rng.random((9, 2))
+    r = a @ b.T
+    rows = [(u, i, float(r[u, i])) for u in range(12) for i in range(9)]
+    df = spark.createDataFrame(rows, "user int, item int, rating double")
+    u, v, hist = md.als_by_hand(df, rank=2, iters=10, lam=1e-4)
+    assert hist[-1] < 0.05 and hist[-1] <= hist[0]
+    assert u.count() == 12 and v.count() == 9
