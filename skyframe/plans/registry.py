@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyframe.operators import flights as fl
 from skyframe.plans import adapters as ad
+from skyframe.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,7 +24,12 @@ DEST = "NATION_11"
 
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)          # Python workers import skyframe
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = f"query_{name}"
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
