@@ -61,3 +61,33 @@ def salted_agg(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, Column
     merge = {"sum": F.sum, "min": F.min, "max": F.max}
     return first.groupBy(*keys).agg(
         *[merge[m](F.col(name)).alias(name) for name, (m, _) in aggs.items()])
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, max_keys: int = 1000) -> list:
+    """Keys holding more than ``share`` of the rows (at most 1 / share of
+    them exist).  One partial-aggregated count per key, filtered on the
+    executors; only the hot keys reach the driver."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    rows = counts.filter(F.col("_n") > share * total).orderBy(F.desc("_n")).limit(max_keys).collect()
+    return [r[key] for r in rows]
+
+
+def skew_join(big: DataFrame, other: DataFrame, key: str, how: str = "inner", share: float = 0.01,
+              buckets: int = 32) -> DataFrame:
+    """Equi-join on ``key`` that spreads hot keys.
+
+    Rows of ``big`` with a hot key get a salt (hash of the row mod
+    ``buckets``); the matching rows of ``other`` are copied once per salt,
+    so each hot key is joined by ``buckets`` tasks.  Cold keys join
+    normally.  ``how`` is inner or left (rows of ``big`` are kept)."""
+    hot = hot_keys(big, key, share)
+    if not hot:
+        return big.join(other, key, how)
+    is_hot = F.col(key).isin(hot)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets))
+    big_hot = big.filter(is_hot).withColumn("_salt", salt)
+    other_hot = other.filter(is_hot).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    hot_part = big_hot.join(other_hot, [key, "_salt"], how).drop("_salt")
+    cold_part = big.filter(~is_hot | F.col(key).isNull()).join(other.filter(~is_hot), key, how)
+    return hot_part.unionByName(cold_part)

@@ -63,3 +63,14 @@ def test_top_k_per_group_and_value_counts(spark):
     assert sorted((r.u, r.i) for r in top.collect()) == [("u1", 17), ("u1", 18), ("u1", 19), ("u2", 1)]
     vc = {r.u: (r["count"], round(r.fraction, 3)) for r in rel.value_counts(df, "u").collect()}
     assert vc == {"u1": (20, 0.952), "u2": (1, 0.048)}
+
+
+def test_skew_join_equals_plain_join(spark):
+    from skyframe.plans.joins import hot_keys, skew_join
+    big = spark.createDataFrame([("hot", i) for i in range(500)] + [("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    other = spark.createDataFrame([("hot", "H"), ("a", "A"), ("c", "C")], "k string, name string")
+    assert hot_keys(big, "k", 0.3) == ["hot"]
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, big.join(other, "k", how).select("k", "v", "name").collect()), key=str)
+        got = sorted(map(tuple, skew_join(big, other, "k", how, 0.3, 8).select("k", "v", "name").collect()), key=str)
+        assert got == want
