@@ -736,3 +736,22 @@ SELECT vec_id AS id,
 FROM e"""
 ORACLE["air07_stream_itinerary"] = ORACLE["air06_itinerary"]
 ORACLE["air07_stream_route_delay"] = ORACLE["air05_route_delay"]
+
+
+# ---------------------------------------------------------------- fitted transforms with a closed form
+# vector indexer: quantity (50 values) and discount (11 values) stay
+# continuous at maxCategories = 10; tax (9 values) becomes a category index
+# in ascending value order
+ORACLE["fea14_index_vector"] = """
+SELECT l_orderkey, l_linenumber,
+       [l_quantity, l_discount, CAST(dense_rank() OVER (ORDER BY l_tax) - 1 AS DOUBLE)] AS indexed
+FROM lineitem"""
+# R formula: the segment is dummy-coded by frequency (ties by name), last level dropped
+ORACLE["fea28_rformula"] = """
+WITH idx AS (SELECT c_mktsegment, row_number() OVER (ORDER BY COUNT(*) DESC, c_mktsegment) - 1 AS seg
+             FROM customer GROUP BY c_mktsegment)
+SELECT c_custkey,
+       list_concat(list_transform(range(0, 4), lambda j: CAST(CASE WHEN j = seg THEN 1 ELSE 0 END AS DOUBLE)),
+                   [CAST(c_nationkey AS DOUBLE)]) AS features,
+       CAST(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS DOUBLE) AS label
+FROM customer JOIN idx USING (c_mktsegment)"""
