@@ -5,6 +5,7 @@ are in ``skyframe.plans.oracle``; names and column aliases agree.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1666,7 +1667,7 @@ def _src13(spark, d):
 
 @register("src15_catalog_table")
 def _src15(spark, d):
-    name = "customer_tbl_" + st.scratch(spark, "x")[-12:]
+    name = f"customer_tbl_{uuid.uuid4().hex[:12]}"
     path = st.scratch(spark, "src15")
     _t(spark, d, "customer").write.option("path", path).saveAsTable(name)
     out = cat.query(spark, spark.table(name), "c_view",
@@ -1703,7 +1704,7 @@ def _snk02(spark, d):
 
 @register("snk03_bucketed_table")
 def _snk03(spark, d):
-    name = "orders_bucketed_" + st.scratch(spark, "x")[-12:]
+    name = f"orders_bucketed_{uuid.uuid4().hex[:12]}"
     sk.write_bucketed(_t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), name, 16,
                       ["o_custkey"], ["o_custkey"], path=st.scratch(spark, "snk03"))
     b = spark.table(name)
