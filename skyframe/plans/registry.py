@@ -9,9 +9,31 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from skyframe.functions import features as fe
+from skyframe.functions import similarity as sim
+from skyframe.functions import udfs as uf
+from skyframe.ml import models as md
+from skyframe.operators import clicks as ck
+from skyframe.operators import evaluation as ev
 from skyframe.operators import flights as fl
+from skyframe.operators import graph as gr
+from skyframe.operators import logs as lg
+from skyframe.operators import patterns as pt
+from skyframe.operators import relational as rel
+from skyframe.operators import sampling as smp
+from skyframe.operators import stats as sa
+from skyframe.operators import text as tx
 from skyframe.plans import adapters as ad
+from skyframe.plans import flight_plans as fp
+from skyframe.sources import catalog as cat
+from skyframe.sources import files as src
+from skyframe.sources import sinks as sk
+from skyframe.streaming import airline as sair
+from skyframe.streaming import learners as lr_
+from skyframe.streaming import sinks as ssk
+from skyframe.streaming import streams as st
 from skyframe.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +98,6 @@ def _air06(spark, d):
 
 @register("air08_daily_delay")
 def _air08(spark, d):
-    from pyspark.sql import functions as F
     out = fl.daily_delay(ad.flights(spark, d, ["flt_date", "dest", "dep_delay", "arr_delay"]), DEST)
     return out.select("flt_date", F.round("avg_dep_delay", 6).alias("avg_dep_delay"),
                       F.round("avg_arr_delay", 6).alias("avg_arr_delay"))
@@ -88,16 +109,6 @@ def _t(spark, d, name):
     return table(spark, d, name)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from skyframe.operators import clicks as ck  # noqa: E402
-from skyframe.operators import logs as lg  # noqa: E402
-from skyframe.operators import relational as rel  # noqa: E402
-from skyframe.operators import sampling as smp  # noqa: E402
-from skyframe.operators import text as tx  # noqa: E402
-from skyframe.sources import catalog as cat  # noqa: E402
-from skyframe.sources import files as src  # noqa: E402
-
 BLOCK_LIST = ["a", "b", "c"]   # fixed value: the word block list
 
 
@@ -390,8 +401,6 @@ def _smp05(spark, d):
 # ---------------------------------------------------------------- streaming
 # Each stream query replays a shared table as N files (one per trigger),
 # runs to the end of the available input, and returns what the sink holds.
-from skyframe.streaming import sinks as ssk  # noqa: E402
-from skyframe.streaming import streams as st  # noqa: E402
 
 N_BATCHES = 4
 SEED_COUNTS = [("hello", 1), ("world", 1)]   # fixed value: the initial state
@@ -537,7 +546,6 @@ def _air07b(spark, d):
 
 
 # ---------------------------------------------------------------- graph
-from skyframe.operators import graph as gr  # noqa: E402
 
 @register("grf01_pagerank_naive")
 def _grf01(spark, d):
@@ -612,7 +620,6 @@ def _grf13(spark, d):
 
 
 # ---------------------------------------------------------------- features
-from skyframe.functions import features as fe  # noqa: E402
 
 # fixed value: the custom stop-word list of the registered stop-word query
 STOP_WORDS = ["the", "and", "of", "a", "le", "la", "de", "der", "die", "und"]
@@ -746,9 +753,6 @@ def _fea24(spark, d):
 
 
 # ---------------------------------------------------------------- statistics
-from skyframe.operators import evaluation as ev  # noqa: E402
-from skyframe.operators import patterns as pt  # noqa: E402
-from skyframe.operators import stats as sa  # noqa: E402
 
 LI_NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 KDE_POINTS = [0.0, 0.05, 0.1]
@@ -965,9 +969,6 @@ def _eva07(spark, d):
 
 
 # ---------------------------------------------------------------- UDFs
-from skyframe.functions import similarity as sim  # noqa: E402
-from skyframe.functions import udfs as uf  # noqa: E402
-from skyframe.ml import models as md  # noqa: E402
 
 
 @register("udf01_udaf_mean")
@@ -1165,7 +1166,6 @@ def _fea31(spark, d):
 
 @register("snk10_roundtrip_count")
 def _snk10(spark, d):
-    from skyframe.sources import sinks as sk
     return sk.roundtrip_count(_t(spark, d, "orders"), st.scratch(spark, "snk10"))
 
 
@@ -1448,7 +1448,6 @@ def _mod28(spark, d):
 
 
 # ---------------------------------------------------------------- more streaming
-from skyframe.streaming import learners as lr_  # noqa: E402
 
 
 @register("str04_sliding_watermark")
@@ -1478,7 +1477,6 @@ def _str10(spark, d):
 @register("src22_file_stream_flights")
 def _src22(spark, d):
     from skyframe.sources import files as fsrc
-    from skyframe.sources import sinks as sk
     folder = st.scratch(spark, "src22")
     f = ad.flights(spark, d, ["year", "flt_date", "dep_time", "carrier", "arr_delay", "cancelled"])
     full = f.select("year", "flt_date", "dep_time", F.lit(1).alias("day_of_week"), "carrier",
@@ -1565,7 +1563,6 @@ def _str20b(spark, d):
 
 
 # ---------------------------------------------------------------- airline on the star schema
-from skyframe.plans import flight_plans as fp  # noqa: E402
 
 
 @register("air01_top_airports_star")
@@ -1580,8 +1577,6 @@ def _air02s(spark, d):
 
 # ---------------------------------------------------------------- file formats: write a shared table
 # in the reader's format under the checkpoint folder, then run the reader
-from skyframe.operators import graph as _gr  # noqa: E402,F811
-from skyframe.sources import sinks as sk  # noqa: E402
 
 
 @register("src01_flights_csv")
@@ -1661,7 +1656,7 @@ def _src12(spark, d):
 def _src13(spark, d):
     path = st.scratch(spark, "src13")
     ad.part_chain_edges(spark, d).select(F.concat_ws(" ", "src", "dst").alias("v")).write.text(path)
-    e = _gr.read_edges(spark, path, canonical=True)
+    e = gr.read_edges(spark, path, canonical=True)
     return e.agg(F.count(F.lit(1)).alias("edges"))
 
 
@@ -1720,7 +1715,7 @@ def _snk04(spark, d):
 
 @register("joi02_join_attr")
 def _joi02(spark, d):
-    labels = _gr.connected_components(ad.part_chain_edges(spark, d))
+    labels = gr.connected_components(ad.part_chain_edges(spark, d))
     names = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name")
     return rel.join_inner(labels, names, "id")
 
@@ -1734,7 +1729,6 @@ def _str07(spark, d):
 
 
 # ---------------------------------------------------------------- running airline queries
-from skyframe.streaming import airline as sair  # noqa: E402
 
 
 @register("air07_stream_itinerary")
