@@ -74,3 +74,17 @@ def test_skew_join_equals_plain_join(spark):
         want = sorted(map(tuple, big.join(other, "k", how).select("k", "v", "name").collect()), key=str)
         got = sorted(map(tuple, skew_join(big, other, "k", how, 0.3, 8).select("k", "v", "name").collect()), key=str)
         assert got == want
+
+
+def test_bucketed_layout_joins_without_shuffle(spark, tmp):
+    from skyframe.plans.layout import bucket_by_order, co_located_join
+    names = bucket_by_order(spark, "/root/testdata/sf0.001", "t_layout", tmp, buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as for two large tables
+    try:
+        j = co_located_join(spark, names)
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert j.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
