@@ -93,3 +93,13 @@ def test_itinerary_best_per_leg(spark, tmp):
 def test_daily_delay(spark, tmp):
     rows = fl.daily_delay(flights(spark, tmp), "ORD").collect()
     assert len(rows) == 1 and rows[0].flt_date == dt.date(2008, 1, 17)
+
+
+def test_equal_means_break_ties_by_name(spark):
+    rows = ["2008,2008-01-17,0900,4,ZZ,1,A,B,0,1000,4,0", "2008,2008-01-17,0900,4,AB,2,A,B,0,1000,4.7,0",
+            "2008,2008-01-17,0900,4,MM,3,A,B,0,1000,6,0"]
+    df = parse_flight_lines(spark.createDataFrame([(x,) for x in rows], "value string"))
+    got = [(r.carrier, r.mean_arr_delay) for r in fl.carriers_by_arr_delay(df, 10).collect()]
+    assert got == [("AB", 4.0), ("ZZ", 4.0), ("MM", 6.0)]      # 4.7 cut to 4: tie, then by name
+    bad = parse_flight_lines(spark.createDataFrame([("2008,17/01/2008,0900,4,ZZ,1,A,B,0,1000,4,0",)], "value string"))
+    assert bad.first().flt_date is None and fl.leg(bad, 1, "2008-01-17", 2008).count() == 0
