@@ -63,3 +63,17 @@ def users_seen(df: DataFrame, users: DataFrame, k: int | None = 10) -> DataFrame
     seen = df.select("user_id").distinct().join(broadcast_if_small(users), "user_id")
     seen = seen.orderBy("user_id")
     return seen.limit(k) if k else seen
+
+
+def window_users(df: DataFrame, win: str, slide: str) -> DataFrame:
+    """(window, user) pairs with their event counts: the streaming state
+    from which exact distinct users per window follow."""
+    return (df.groupBy(F.window("ts", win, slide).alias("w"), "user_id")
+              .agg(F.count(F.lit(1)).alias("events"))
+              .select(F.col("w.start").alias("window_start"), "user_id", "events"))
+
+
+def active_users_from_pairs(pairs: DataFrame) -> DataFrame:
+    """Exact distinct users per window from ``window_users`` (inside
+    foreachBatch on a stream, where a distinct count is not allowed)."""
+    return pairs.groupBy("window_start").agg(F.count(F.lit(1)).alias("active_users"))

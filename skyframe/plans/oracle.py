@@ -755,3 +755,4 @@ SELECT c_custkey,
                    [CAST(c_nationkey AS DOUBLE)]) AS features,
        CAST(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS DOUBLE) AS label
 FROM customer JOIN idx USING (c_mktsegment)"""
+ORACLE["str13_active_users_exact"] = ORACLE["str13_active_users_batch"]

@@ -1751,3 +1751,15 @@ def _air07d(spark, d):
 def _mod23(spark, d):
     _, _, hist = md.als_by_hand(ad.ratings(spark, d), rank=5, iters=5, lam=0.01)
     return spark.createDataFrame([(i + 1, h) for i, h in enumerate(hist)], "iteration int, rmse double")
+
+
+@register("str13_active_users_exact")
+def _str13c(spark, d):
+    """Exact distinct users on the stream: (window, user) state in complete
+    mode, counted per window in foreachBatch."""
+    out = st.scratch(spark, "str13c")
+    pv = st.replay(spark, ad.page_views(spark, d), N_BATCHES, order_col="ts")
+    write = ssk.replace_table(out)
+    st.run(ck.window_users(pv, "1 hour", "15 minutes"), "complete",
+           lambda b, i: write(ck.active_users_from_pairs(b), i))
+    return ssk.latest(spark, out)
