@@ -133,17 +133,42 @@ def column_cosine(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
 
 
-def _row_matrix(df: DataFrame, vec: str):
-    from pyspark.mllib.linalg import Vectors as MV
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    rows = df.select(vec).rdd.map(lambda r: MV.dense(r[0].toArray()))
-    return RowMatrix(rows)
-
-
-def column_cosine_approx(df: DataFrame, vec: str, threshold: float = 0.1):
-    """DIMSUM sampled column similarities (entries (i, j, value))."""
-    sims = _row_matrix(df, vec).columnSimilarities(threshold)
-    return sims.entries.toDF().withColumnRenamed("value", "similarity")
+def column_cosine_approx(df: DataFrame, vec: str, threshold: float = 0.1, seed: int = 42) -> DataFrame:
+    """Column cosine similarities by DIMSUM sampling (i < j, long form).
+
+    With column norms n_i (one aggregate) and gamma = 10 log(d) / threshold,
+    each row keeps its entry i with probability p_i = min(1, sqrt(gamma) /
+    n_i) and emits, for every kept pair, x_i x_j / (q_i q_j) with
+    q_i = min(sqrt(gamma), n_i): an unbiased estimate of the cosine whose
+    error is bounded for pairs above ``threshold``.  Coins are seeded
+    hashes of (row, column), so a retried task draws the same sample.
+    Work per row is bounded by the vector width; only the d norms and the
+    d x d result leave the executors."""
+    import math
+    x = vector_to_array(F.col(vec)) if dict(df.dtypes)[vec] != "array<double>" else F.col(vec)
+    rows = df.select(x.alias("x")).withColumn("_rid", F.monotonically_increasing_id())
+    norms_row = rows.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(
+        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("n")).collect()          # d numbers
+    d = max((r["i"] for r in norms_row), default=-1) + 1
+    norms = [1.0] * d
+    for r in norms_row:
+        norms[r["i"]] = r["n"] or 1.0
+    sg = math.sqrt(10 * math.log(max(d, 2)) / threshold)
+    p = F.array(*[F.lit(min(1.0, sg / n)) for n in norms])
+    q = F.array(*[F.lit(min(sg, n)) for n in norms])
+
+    def coin(i):
+        return F.pmod(F.xxhash64(F.lit(seed), F.col("_rid"), i), F.lit(1_000_003)) / F.lit(1_000_003.0)
+
+    entries = F.filter(F.transform("x", lambda a, i: F.struct(i.alias("i"), a.alias("a"))),
+                       lambda e: (e["a"] != 0) & (coin(e["i"]) < p[e["i"]]))
+    kept = rows.select(entries.alias("k"))
+    pairs = kept.select(F.explode(F.flatten(F.transform(
+        "k", lambda e1: F.transform(F.filter("k", lambda e2: e2["i"] > e1["i"]),
+                                    lambda e2: F.struct(e1["i"].alias("i"), e2["i"].alias("j"),
+                                                        (e1["a"] * e2["a"] / (q[e1["i"]] * q[e2["i"]]))
+                                                        .alias("w")))))).alias("e")).select("e.*")
+    return pairs.groupBy("i", "j").agg(F.sum("w").alias("similarity"))
 
 
 def gram(df: DataFrame, vec: str) -> "np.ndarray":

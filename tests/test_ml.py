@@ -239,3 +239,20 @@ def test_als_by_hand_fits_low_rank(spark):
     u, v, hist = md.als_by_hand(df, rank=2, iters=10, lam=1e-4)
     assert hist[-1] < 0.05 and hist[-1] <= hist[0]
     assert u.count() == 12 and v.count() == 9
+
+
+def test_dimsum_close_to_exact(spark):
+    rng = np.random.default_rng(1)
+    m = rng.random((400, 5))
+    m[:, 1] = m[:, 0] * 2 + 0.01 * rng.random(400)
+    df = spark.createDataFrame([([float(v) for v in r],) for r in m], "x array<double>")
+    n = np.linalg.norm(m, axis=0)
+    exact = (m.T @ m) / np.outer(n, n)
+    # a low threshold keeps (almost) every entry: close to exact
+    got = {(r.i, r.j): r.similarity for r in sa.column_cosine_approx(df, "x", 0.1).collect()}
+    assert all(abs(v - exact[i, j]) < 0.1 for (i, j), v in got.items()) and len(got) == 10
+    # a high threshold samples: unbiased on average over seeds
+    runs = [{(r.i, r.j): r.similarity for r in sa.column_cosine_approx(df, "x", 2.0, seed=s).collect()}
+            for s in range(8)]
+    mean01 = np.mean([r.get((0, 1), 0.0) for r in runs])
+    assert abs(mean01 - exact[0, 1]) < 0.15
