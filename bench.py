@@ -18,8 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "air01_top_airports_star",
     "air02_carriers_star",
-    "air03_dests_by_dep_delay",
-    "air04_carriers_on_route",
+    "air03_dests_star",
+    "air04_carriers_on_route_star",
     "air06_itinerary",
     "air08_daily_delay",
     "agg04_word_count",

@@ -756,3 +756,6 @@ SELECT c_custkey,
        CAST(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS DOUBLE) AS label
 FROM customer JOIN idx USING (c_mktsegment)"""
 ORACLE["str13_active_users_exact"] = ORACLE["str13_active_users_batch"]
+ORACLE["air03_dests_star"] = ORACLE["air03_dests_by_dep_delay"]
+ORACLE["air04_carriers_on_route_star"] = ORACLE["air04_carriers_on_route"]
+ORACLE["air05_route_delay_star"] = ORACLE["air05_route_delay"]

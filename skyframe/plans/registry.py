@@ -1763,3 +1763,18 @@ def _str13c(spark, d):
     st.run(ck.window_users(pv, "1 hour", "15 minutes"), "complete",
            lambda b, i: write(ck.active_users_from_pairs(b), i))
     return ssk.latest(spark, out)
+
+
+@register("air03_dests_star")
+def _air03s(spark, d):
+    return fp.dests_by_dep_delay_star(spark, d, ORIGIN, 10)
+
+
+@register("air04_carriers_on_route_star")
+def _air04s(spark, d):
+    return fp.carriers_on_route_star(spark, d, ORIGIN, DEST, 10)
+
+
+@register("air05_route_delay_star")
+def _air05s(spark, d):
+    return fp.route_delay_star(spark, d, ORIGIN, DEST)
