@@ -62,29 +62,18 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``skyframe`` importable in the Python workers of this
-    application (pandas UDFs, mapInPandas functions and the Python data
-    source are unpickled there).  The package is zipped once and added with
-    ``addPyFile``; Spark copies it to every executor.  On a cluster the same
-    zip (or a wheel) can be given to ``--py-files`` instead."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    """Make this package's functions and classes usable in the Python
+    workers (pandas UDFs, mapInPandas / applyInPandas functions, the Python
+    stream source): they are pickled by value, code included, so the
+    workers need no copy of the package and no files are staged anywhere.
+    Registered once per process."""
+    app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    import shutil
     import sys
 
-    # Functions and classes of this package travel by value as well, for
-    # the Python processes that do not see added files (e.g. the planner
-    # process of a Python streaming data source).
     from pyspark import cloudpickle
     cloudpickle.register_pickle_by_value(sys.modules["skyframe"])
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out = tempfile.mkdtemp(prefix="skyframe-pyfiles-")
-    archive = shutil.make_archive(os.path.join(out, "skyframe"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="skyframe")
-    sc.addPyFile(archive)
     _SHIPPED.add(app)
 
 
