@@ -55,10 +55,10 @@ def idf(df: DataFrame, col: str, min_df: int = 0, out: str = "tfidf") -> DataFra
 def idf_terms(docs: DataFrame, doc_col: str, tokens_col: str, min_df: int = 0) -> DataFrame:
     """Term-level IDF without hashing: idf = ln((N + 1) / (df + 1)),
     0 for terms below ``min_df``.  One distinct + one aggregate."""
-    n = docs.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(1))
+    n = docs.agg(F.count(F.lit(1))).scalar()              # scalar subquery, no join
     dfreq = (docs.select(doc_col, F.explode(F.array_distinct(tokens_col)).alias("term"))
-                 .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")).withColumn("_k", F.lit(1)))
-    j = dfreq.join(F.broadcast(n), "_k")
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
+    j = dfreq.withColumn("_n", n)
     weight = F.when(F.col("doc_freq") >= min_df, F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1))).otherwise(0.0)
     return j.select("term", "doc_freq", weight.alias("idf"))
 

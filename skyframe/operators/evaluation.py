@@ -72,10 +72,10 @@ def multiclass(df: DataFrame, prediction: str = "prediction", label: str = "labe
     tp = cm.filter(F.col("l") == F.col("p")).select(F.col("l").alias("label"), F.col("n").alias("tp"))
     actual = cm.groupBy(F.col("l").alias("label")).agg(F.sum("n").alias("actual"))
     predicted = cm.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("predicted"))
-    tot = cm.agg(F.sum("n").alias("total")).withColumn("_k", F.lit(1))
+    total = cm.agg(F.sum("n")).scalar()                 # scalar subquery, no join
     m = (actual.join(predicted, "label", "full").join(tp, "label", "left")
                .fillna(0, ["actual", "predicted", "tp"])
-               .withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k").drop("_k"))
+               .withColumn("total", total))
     prec = F.when(F.col("predicted") == 0, 0.0).otherwise(F.col("tp") / F.col("predicted"))
     rec = F.when(F.col("actual") == 0, 0.0).otherwise(F.col("tp") / F.col("actual"))
     fp = F.col("predicted") - F.col("tp")
@@ -103,7 +103,7 @@ def multilabel(df: DataFrame, prediction: str = "prediction", label: str = "labe
     per = df.select(inter.alias("i"), F.size(p).alias("np"), F.size(l).alias("nl"), union.alias("u"),
                     (F.array_sort(F.array_distinct(p)) == F.array_sort(F.array_distinct(l))).cast("int").alias("eq"),
                     F.array_union(p, l).alias("labels"))
-    n_labels = per.select(F.explode("labels").alias("x")).agg(F.count_distinct("x").alias("k")).withColumn("_k", F.lit(1))
+    n_labels = per.select(F.explode("labels").alias("x")).agg(F.count_distinct("x")).scalar()
     agg = per.agg(
         F.avg(F.when(F.col("np") > 0, F.col("i") / F.col("np")).otherwise(0.0)).alias("precision"),
         F.avg(F.when(F.col("nl") > 0, F.col("i") / F.col("nl")).otherwise(0.0)).alias("recall"),
@@ -115,10 +115,9 @@ def multilabel(df: DataFrame, prediction: str = "prediction", label: str = "labe
         (2 * F.sum("i") / (F.sum("np") + F.sum("nl"))).alias("micro_f1"),
         F.sum(F.col("np") + F.col("nl") - 2 * F.col("i")).alias("_ham"),
         F.count(F.lit(1)).alias("_docs"),
-        F.avg("eq").alias("subset_accuracy")).withColumn("_k", F.lit(1))
-    return (agg.join(F.broadcast(n_labels), "_k")
-               .withColumn("hamming_loss", F.col("_ham") / (F.col("_docs") * F.col("k")))
-               .drop("_k", "_ham", "_docs", "k"))
+        F.avg("eq").alias("subset_accuracy"))
+    return (agg.withColumn("hamming_loss", F.col("_ham") / (F.col("_docs") * n_labels))
+               .drop("_ham", "_docs"))
 
 
 def ranking(pred: DataFrame, relevant: DataFrame, user: str, item: str, score: str, ks=(1, 3, 5)) -> DataFrame:

@@ -172,14 +172,11 @@ def salted_group_count(df: DataFrame, key: str, buckets: int = 32) -> DataFrame:
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """Count and share of the total per value (the total is one more
-    aggregate joined back, never a driver round trip)."""
+    """Count and share of the total per value (the total is a scalar
+    subquery: one more aggregate, no join and no driver round trip)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).withColumn("_k", F.lit(1))
-    return (counts.withColumn("_k", F.lit(1))
-                  .join(F.broadcast(total), "_k")          # one-row side
-                  .withColumn("fraction", F.col("count") / F.col("_total"))
-                  .drop("_total", "_k"))
+    total = df.agg(F.count(F.lit(1))).scalar()           # scalar subquery, no join
+    return counts.withColumn("fraction", F.col("count") / total)
 
 
 def reduce_sum(df: DataFrame, expr, name: str = "total") -> DataFrame:

@@ -92,8 +92,8 @@ def chisq_gof(df: DataFrame, col: str, expected: DataFrame | None = None) -> Dat
     """Goodness of fit of the value counts of ``col`` against ``expected``
     (value, share) or, by default, the uniform distribution."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("o"))
-    tot = counts.agg(F.sum("o").alias("n"), F.count(F.lit(1)).alias("k")).withColumn("_k", F.lit(1))
-    j = counts.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")
+    j = (counts.withColumn("n", counts.agg(F.sum("o")).scalar())          # scalar subqueries
+               .withColumn("k", counts.agg(F.count(F.lit(1))).scalar()))
     if expected is None:
         j = j.withColumn("e", F.col("n") / F.col("k"))
     else:
