@@ -256,3 +256,23 @@ def test_dimsum_close_to_exact(spark):
             for s in range(8)]
     mean01 = np.mean([r.get((0, 1), 0.0) for r in runs])
     assert abs(mean01 - exact[0, 1]) < 0.15
+
+
+def test_more_estimators_shapes(spark):
+    df = spark.createDataFrame([(float(i), Vectors.dense([float(i % 4), float(i % 3), float(i)]), float(i % 2))
+                                for i in range(40)], ["x", "features", "label"])
+    q = fe.quantile_buckets(df, "x", 4, "qb")
+    assert q.select("qb").distinct().count() == 4
+    _, iv = fe.index_vector(df, "features", 4)
+    assert iv.first().indexed.size == 3
+    _, sel = fe.chisq_select(df, 2)
+    assert sel.first().selected.size == 2
+    words = spark.createDataFrame([(["a", "b", "c", "a"],), (["b", "c", "d"],)] * 5, "w array<string>")
+    m, t = fe.word2vec(words, "w", 3, 0, partitions=2)
+    assert m.findSynonyms("a", 2).count() == 2 and t.first().vector.size == 3
+    assert md.bisecting(df, 2).transform(df).select("prediction").distinct().count() == 2
+    cv, _ = fe.count_vectors(words, "w", out="features")
+    lda = md.lda(cv, k=2, iters=3)
+    assert lda.describeTopics(2).count() == 2
+    iso = md.isotonic(df.withColumn("features", F.col("features")), True, label="x")
+    assert iso.boundaries.size > 0
