@@ -124,13 +124,13 @@ def ranking(pred: DataFrame, relevant: DataFrame, user: str, item: str, score: s
     """precision@k, NDCG@k and MAP: ``pred`` ranks items per user by score
     (ties by item), ``relevant`` lists (user, item) pairs that count.
     Users without relevant items are skipped."""
-    w = Window.partitionBy(user).orderBy(F.desc(score), F.asc(item))
-    ranked = pred.select(user, item, F.row_number().over(w).alias("rank"))
+    from skyframe.operators.relational import ordered_running
     rel = relevant.select(user, item).distinct().withColumn("hit", F.lit(1))
     nrel = rel.groupBy(user).agg(F.count(F.lit(1)).alias("nrel"))
-    r = ranked.join(rel, [user, item], "left").fillna(0, ["hit"]).join(nrel, user)
-    wc = Window.partitionBy(user).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumn("hits_so_far", F.sum("hit").over(wc))
+    tagged = pred.select(user, item, score).join(rel, [user, item], "left").fillna(0, ["hit"])
+    # exact ranks and running hit counts per user without a per-user window
+    ranked = ordered_running(tagged, user, [F.desc(score), F.asc(item)], ["hit"])
+    r = ranked.withColumnRenamed("cum_hit", "hits_so_far").join(nrel, user)
     per_user = r.groupBy(user).agg(
         (F.sum(F.when(F.col("hit") == 1, F.col("hits_so_far") / F.col("rank")).otherwise(0.0))
          / F.first("nrel")).alias("ap"),

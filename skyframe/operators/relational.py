@@ -245,3 +245,34 @@ def describe_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(len(df.columns)).alias("column_count"), "row_count",
         F.lit(",".join(df.columns)).alias("columns"))
+
+
+def ordered_running(df: DataFrame, key: str, order: list, sums: list[str] = (),
+                    rank_name: str = "rank") -> DataFrame:
+    """Exact 1-based rank (and running sums of ``sums``) of each row within
+    its ``key`` in ``order`` -- without a window over a whole key.
+
+    Rows are range-partitioned on (key, order), so a key holding a third
+    of the table is spread over many partitions.  Positions are counted
+    inside each (key, partition) piece -- a piece never exceeds one range
+    partition -- and each piece is shifted by the totals of the key's
+    earlier pieces, computed on the small (key, partition) table.
+    """
+    from pyspark.sql import Window
+    spark = df.sparkSession
+    parts = max(1, spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
+    ranged = df.repartitionByRange(parts, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy(key, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_lr", F.count(F.lit(1)).over(w))
+    for c in sums:
+        local = local.withColumn(f"_l_{c}", F.sum(c).over(w))
+    pieces = local.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                            *[F.sum(c).alias(f"_t_{c}") for c in sums])
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(key, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    out = local.join(offsets, [key, "_pid"]).withColumn(rank_name, (F.col("_off") + F.col("_lr")).cast("long"))
+    for c in sums:
+        out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))
+    return out.drop("_pid", "_lr", "_off", *[f"_l_{c}" for c in sums], *[f"_o_{c}" for c in sums])

@@ -88,3 +88,16 @@ def test_bucketed_layout_joins_without_shuffle(spark, tmp):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert j.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
+def test_ordered_running_matches_window(spark):
+    from pyspark.sql import Window
+    rows = [("hot", i % 97, i) for i in range(3000)] + [("a", i, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, s long, item long").withColumn("hit", (F.col("item") % 3 == 0).cast("int"))
+    got = rel.ordered_running(df, "k", [F.desc("s"), F.asc("item")], ["hit"])
+    w = Window.partitionBy("k").orderBy(F.desc("s"), F.asc("item"))
+    want = df.withColumn("rank", F.row_number().over(w)).withColumn(
+        "cum_hit", F.sum("hit").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    a = sorted((r.k, r.item, r["rank"], r.cum_hit) for r in got.collect())
+    b = sorted((r.k, r.item, r["rank"], r.cum_hit) for r in want.collect())
+    assert a == b
