@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import pivotal_mix, secret_scan, uniform_shards
+from skyframe.llm import pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -44,3 +44,22 @@ def op7(spark, d):
 def op9(spark, d):
     """Uniform shuffle of all documents into 16 shards of equal row count."""
     return uniform_shards.shuffle_into_shards(table(spark, d, "documents"))
+
+
+@query("op4_toxicity")
+def op4(spark, d):
+    """Toxicity score of every text by its nearest labelled examples."""
+    return toxicity_knn.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op10_simhash_components")
+def op10(spark, d):
+    """Near-duplicate components of all documents by SimHash."""
+    found = simhash_pigeonring.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", simhash_pigeonring.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op1_quality")
+def op1(spark, d):
+    """Quality score of every text by boosted trees over its statistics."""
+    return quality_gbt.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
