@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
+from skyframe.llm import bpe_words, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -63,3 +63,9 @@ def op10(spark, d):
 def op1(spark, d):
     """Quality score of every text by boosted trees over its statistics."""
     return quality_gbt.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op8_bpe_round_trip")
+def op8(spark, d):
+    """Byte-pair ids of every text, and the text decoded from them."""
+    return bpe_words.digests(table(spark, d, "documents"))
