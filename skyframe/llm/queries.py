@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import bpe_words, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
+from skyframe.llm import bottomk, bpe_words, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -69,3 +69,9 @@ def op1(spark, d):
 def op8(spark, d):
     """Byte-pair ids of every text, and the text decoded from them."""
     return bpe_words.digests(table(spark, d, "documents"))
+
+
+@query("op2_bottom_k")
+def op2(spark, d):
+    """Bottom-k fingerprints of every text and its edited text."""
+    return bottomk.edited_report(table(spark, d, "documents"))
