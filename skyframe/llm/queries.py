@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import bottomk, bpe_words, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
+from skyframe.llm import bottomk, bpe_words, hilbert_ann, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -75,3 +75,9 @@ def op8(spark, d):
 def op2(spark, d):
     """Bottom-k fingerprints of every text and its edited text."""
     return bottomk.edited_report(table(spark, d, "documents"))
+
+
+@query("op3_hilbert_neighbours")
+def op3(spark, d):
+    """The 20 nearest rows of every 20th embedding, among all."""
+    return hilbert_ann.search(table(spark, d, "embeddings"))
