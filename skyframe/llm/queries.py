@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import bottomk, bpe_words, hilbert_ann, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, toxicity_knn, uniform_shards
+from skyframe.llm import bottomk, bpe_words, hilbert_ann, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, suffix_dedup, toxicity_knn, uniform_shards
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -81,3 +81,9 @@ def op2(spark, d):
 def op3(spark, d):
     """The 20 nearest rows of every 20th embedding, among all."""
     return hilbert_ann.search(table(spark, d, "embeddings"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark, d):
+    """Bytes left of every text after removal of repeated 200-byte strings."""
+    return suffix_dedup.digests(table(spark, d, "documents"))
