@@ -55,8 +55,9 @@ def union_sketch(a: Column, b: Column, k: int = K) -> Column:
 
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
-    """Estimated |A and B| / |A or B|."""
-    u = union_sketch(a, b, k)
+    """Estimated |A and B| / |A or B|; exact if both sketches hold whole sets."""
+    whole = (F.size(a) < k) & (F.size(b) < k)
+    u = F.when(whole, F.array_union(a, b)).otherwise(union_sketch(a, b, k))
     both = F.array_intersect(F.array_intersect(a, b), u)
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(
         F.size(both).cast("double") / F.size(u))

@@ -161,7 +161,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     spans by one mark); ``n_chars``, where present, is the new length.
     Same columns; null texts stay null; documents without a span are
     unchanged."""
-    s = scan(docs)
+    s = scan(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"))
     text = F.col("text")
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
@@ -173,9 +173,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     done = F.aggregate("__spans", state, step)
     rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
-    clean = F.when(F.size("__spans") > 0, F.concat(done["out"], rest)).otherwise(text)
-    out = s.withColumn("__new", clean)
-    cols = [F.col("__new").alias(c) if c == "text" else
-            (F.when(F.size("__spans") > 0, F.length("__new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-             if c == "n_chars" else F.col(f"`{c}`")) for c in docs.columns]
-    return out.select(*cols)
+    hit = F.size("__spans") > 0
+    out = s.withColumn("__new", F.when(hit, F.concat(done["out"], rest)).otherwise(text))
+
+    def column(c):
+        old = F.col("row").getField(c)
+        if c == "n_chars":
+            return F.when(hit, F.length("__new").cast(docs.schema[c].dataType)).otherwise(old)
+        return F.col("__new") if c == "text" else old
+
+    return out.select(*[column(c).alias(c) for c in docs.columns])

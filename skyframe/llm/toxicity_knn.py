@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples.
 
-The space is TF-IDF over terms that speak for the label: whole words and
-5-character pieces of words (word ends marked), kept if a likelihood-ratio
-test on the labelled examples finds them far likelier in toxic ones.  Document
+The space is TF-IDF over pieces of words that speak for the label: runs of 5
+characters of a lower-case word, its two ends marked, kept if a likelihood-ratio test on the
+labelled examples finds them far likelier in toxic ones.  Document
 frequencies come from all documents.  Examples lie in a block-max inverted
 index: per term the postings by example, and per block of 64 examples the
 largest weight.  A query adds up the block maxima to upper bounds, visits blocks
@@ -22,8 +22,6 @@ usable label every score is 0.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,18 +34,49 @@ from skyframe.llm.common import crc_remainder, written
 FOLDS, HELD_OUT = 4, 2
 PIECE, K, BLOCK = 5, 15, 64
 THRESHOLD = 0.3
-LETTERS = re.compile(r"[^\W\d_]+")
+SLICE_CHARS = 500_000
 VECTOR = "array<struct<term:int,tf:int>>"
-
-
-def pieces(word: str) -> set[str]:
-    """Terms of a lower-case word: itself and its 5-character pieces."""
-    w = f"<{word}>"
-    return {w, *[w[i:i + PIECE] for i in range(len(w) - PIECE + 1)]}
-
-
-def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+FACTORS = np.random.default_rng(3).integers(1 << 62, 1 << 63, PIECE, dtype=np.uint64) | np.uint64(1)
+LETTERS: list = []                           # per worker: code point -> itself if a letter, else 0
+
+
+def _letters() -> np.ndarray:
+    if not LETTERS:
+        points = np.arange(0x110000, dtype=np.uint32)
+        letter = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
+        LETTERS.append(np.where(letter, points, 0).astype(np.uint32))
+    return LETTERS[0]
+
+
+def pieces(texts) -> tuple[np.ndarray, np.ndarray]:
+    """All pieces of the texts: (index of the text, hash of the piece).
+    A piece is 5 characters of which only the first and the last may be no
+    letter; such an end marks where the word begins or ends."""
+    lines = [f" {t.lower()} " if t else "  " for t in texts]
+    code = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), np.uint32)
+    code = _letters()[code].astype(np.uint64)
+    n = len(code) - PIECE + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    total = code[:n] * FACTORS[0]
+    for i in range(1, PIECE):
+        total += code[i:n + i] * FACTORS[i]
+    inner = (code[1:n + 1] != 0) & (code[2:n + 2] != 0) & (code[3:n + 3] != 0)
+    at = np.flatnonzero(inner)
+    ends = np.cumsum([len(x) for x in lines])
+    return np.searchsorted(ends, at, side="right"), total[at]
+
+
+def slices(texts: pd.Series):
+    """Positions of the texts in slices of about SLICE_CHARS characters."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if t else 0
+        if size >= SLICE_CHARS:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 # ---------------------------------------------------------------- examples
@@ -65,30 +94,27 @@ def sample_labelled(labels: DataFrame, label: str, folds: int, held_out: int, bo
 
 
 def _term_counts(batches):
-    """Per term: in how many clean and toxic examples it occurs; partial
-    counts are passed on whenever they grow large."""
-    seen: Counter = Counter()
-
-    def rows():
-        terms, ys = zip(*seen) if seen else ((), ())
-        return pd.DataFrame({"term": terms, "y": np.array(ys, "int32"), "n": np.array(list(seen.values()), "int64")})
-
+    """Per term and label: in how many of a slice's examples it occurs."""
     for pdf in batches:
-        for text, y in zip(pdf["text"], pdf["y"]):
-            seen.update((t, y) for t in set().union(*map(pieces, set(words_of(text)))))
-            if len(seen) > 300_000:
-                yield rows()
-                seen.clear()
-    yield rows()
-
-
-def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift: float = 5.0) -> list[str]:
-    """Terms likelier in toxic examples, by the likelihood-ratio statistic."""
+        for a, b in slices(pdf["text"]):
+            doc, term = pieces(pdf["text"].iloc[a:b])
+            order = np.lexsort((term, doc))
+            doc, term = doc[order], term[order]
+            new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])))[:len(doc)]
+            y = pdf["y"].to_numpy()[a:b][doc[new]]
+            for label in (0, 1):
+                found, n = np.unique(term[new][y == label], return_counts=True)
+                yield pd.DataFrame({"term": found.view(np.int64), "y": np.full(len(found), label, np.int32), "n": n})
+
+
+def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift: float = 5.0) -> np.ndarray:
+    """Terms (hashes, ascending) likelier in toxic examples, by the
+    likelihood-ratio statistic."""
     size = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = float(size.get(1, 0)), float(size.get(0, 0))
     if not n1 or not n0:
-        return []
-    c = (examples.select("text", "y").mapInPandas(_term_counts, "term string, y int, n long").groupBy("term")
+        return np.zeros(0, np.uint64)
+    c = (examples.select("text", "y").mapInPandas(_term_counts, "term long, y int, n long").groupBy("term")
          .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"),
               F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
          .filter((F.col("a") >= 3) & (F.col("a") / n1 > lift * F.col("b") / n0)))
@@ -100,31 +126,31 @@ def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift
     g2 = 2 * (part(F.col("a"), n1, both) + part(F.col("b"), n0, both)
               + part(n1 - F.col("a"), n1, 1 - both) + part(n0 - F.col("b"), n0, 1 - both))
     top = c.select("term", g2.alias("g2")).filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(max_terms)
-    return [r["term"] for r in top.collect()]
+    return np.sort(np.array([r["term"] for r in top.collect()], np.int64).view(np.uint64))
 
 
 # ---------------------------------------------------------------- vectors
 class Terms:
-    """Term numbers of words, remembered per word."""
-
-    def __init__(self, terms: list[str]):
-        self.number = {t: i for i, t in enumerate(terms)}
-        self.known: dict[str, tuple] = {}
-
-    def vector(self, text: str | None) -> list[tuple[int, int]]:
-        words = words_of(text)
-        found: Counter = Counter()
-        for w in set(words):
-            ids = self.known.get(w)
-            if ids is None:
-                if len(self.known) > 500_000:
-                    self.known.clear()
-                ids = self.known[w] = tuple(self.number[t] for t in pieces(w) if t in self.number)
-            if ids:
-                n = words.count(w)
-                for i in ids:
-                    found[i] += n
-        return sorted(found.items())
+    """Finds the terms in texts; most pieces fall through a small filter."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(terms >> np.uint64(44)).astype(np.int64)] = True
+
+    def vectors(self, texts: pd.Series) -> list[list[dict]]:
+        out: list = [[] for _ in range(len(texts))]
+        for a, b in slices(texts) if len(self.terms) else ():
+            doc, piece = pieces(texts.iloc[a:b])
+            some = np.flatnonzero(self.maybe[(piece >> np.uint64(44)).astype(np.int64)])
+            doc, piece = doc[some], piece[some]
+            at = np.minimum(np.searchsorted(self.terms, piece), len(self.terms) - 1)
+            hit = self.terms[at] == piece
+            pairs, n = np.unique(doc[hit] * len(self.terms) + at[hit], return_counts=True)
+            for p, tf in zip(pairs.tolist(), n.tolist()):
+                d, t = divmod(p, len(self.terms))
+                out[a + d].append({"term": t, "tf": tf})
+        return out
 
 
 def vectors(text: Column, shared) -> Column:
@@ -135,7 +161,7 @@ def vectors(text: Column, shared) -> Column:
     def one(texts: pd.Series) -> pd.Series:
         if not made:
             made.append(Terms(shared.value))
-        return pd.Series([[{"term": t, "tf": n} for t, n in made[0].vector(x)] for x in texts], dtype=object)
+        return pd.Series(made[0].vectors(texts), dtype=object)
     return one(text)
 
 
@@ -146,8 +172,8 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     y: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: dict = field(default_factory=dict)     # term -> (examples, weights)
-    blocks: dict = field(default_factory=dict)       # term -> (blocks, maxima, starts)
+    postings: dict = field(default_factory=dict)     # term -> (places in their blocks, weights)
+    blocks: dict = field(default_factory=dict)       # term -> (maximum, first posting) by block
     prior: float = 0.0
     curve: tuple = ((0.0, 1.0), (0.0, 1.0))          # calibration: votes, shares
 
@@ -162,23 +188,24 @@ class Index:
         for e, vec in enumerate(vecs):
             for t, w in zip(*self.weights(vec)):
                 by_term.setdefault(int(t), []).append((e, w))
+        blocks = len(vecs) // BLOCK + 1
         for t, p in by_term.items():
             ex, w = np.array([x[0] for x in p]), np.array([x[1] for x in p])
-            blk, start = np.unique(ex // BLOCK, return_index=True)
-            self.postings[t] = (ex, w)
-            self.blocks[t] = (blk, np.maximum.reduceat(w, start), np.append(start, len(ex)))
+            start = np.searchsorted(ex // BLOCK, np.arange(blocks + 1))
+            most = np.zeros(blocks)
+            np.maximum.at(most, ex // BLOCK, w)
+            self.postings[t] = (ex % BLOCK, w)
+            self.blocks[t] = (most, start)
 
     def nearest(self, vec, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Exact k nearest examples (numbers, cosines), best first."""
         t, w = self.weights(vec)
-        known = [(self.postings[x], self.blocks[x], v) for x, v in zip(t.tolist(), w.tolist()) if x in self.postings]
-        if not known:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.zeros(len(self.ids) // BLOCK + 1)
-        for _, (blk, most, _), v in known:
-            bound[blk] += v * most
+        known = [(*self.postings[x], *self.blocks[x], v) for x, v in zip(t.tolist(), w.tolist()) if x in self.postings]
         best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.lexsort((np.arange(len(bound)), -bound)):
+        if not known:
+            return best_e, best_s
+        bound = sum(v * most for _, _, most, _, v in known)
+        for b in np.argsort(-bound, kind="stable").tolist():
             if bound[b] <= 0:
                 break
             if len(best_e) == k:
@@ -187,15 +214,14 @@ class Index:
                 if bound[b] <= best_s[-1] + 1e-12 and b * BLOCK > best_e.max():
                     continue
             score = np.zeros(BLOCK)
-            for (ex, wt), (blk, _, start), v in known:
-                j = np.searchsorted(blk, b)
-                if j < len(blk) and blk[j] == b:
-                    part = slice(start[j], start[j + 1])
-                    score[ex[part] - b * BLOCK] += v * wt[part]
-            here = np.flatnonzero(score > 0) + b * BLOCK
-            here = here[here != without]
-            e, s = np.append(best_e, here), np.append(best_s, score[here - b * BLOCK])
-            order = np.lexsort((e, -np.round(s, 12)))[:k]
+            for ex, wt, most, start, v in known:
+                if most[b] > 0:
+                    part = slice(start[b], start[b + 1])
+                    score[ex[part]] += v * wt[part]
+            here = np.flatnonzero(score > 0)
+            here = here[here + b * BLOCK != without]
+            e, s = np.concatenate((best_e, here + b * BLOCK)), np.concatenate((best_s, np.round(score[here], 12)))
+            order = np.lexsort((e, -s))[:k]
             best_e, best_s = e[order], s[order]
         return best_e, best_s
 
@@ -231,7 +257,7 @@ class Model:
     vectors: DataFrame   # doc_id, vec of every document
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 6000,
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 5000,
         max_terms: int = 4000) -> Model:
     spark = docs.sparkSession
     chosen, keep = sample_labelled(labels, label, FOLDS, HELD_OUT, max_examples)
@@ -280,7 +306,8 @@ def scored(vec: Column, model: Model) -> Column:
                 seen[key] = (ix.score(ix.vote(e, s)), ",".join(
                     f"{ix.ids[a]}:{int(ix.y[a])}:{c:.4f}" for a, c in zip(e[:3], s[:3])))
             out.append(seen[key])
-        return pd.DataFrame(out, columns=["score", "evidence"])
+        return pd.DataFrame({"score": np.array([o[0] for o in out], np.float64),
+                             "evidence": pd.Series([o[1] for o in out], dtype=object)})
     return one(vec)
 
 
@@ -295,5 +322,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """``docs`` without the documents predicted toxic; same columns."""
     model = fit(docs, labels, **bounds)
-    s = docs.withColumn("__s", scored(vectors(F.col("text"), model.terms), model))
-    return s.filter(F.col("__s.score") < THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    s = docs.select(F.struct(*cols).alias("row"), scored(vectors(F.col("text"), model.terms), model).alias("s"))
+    return s.filter(F.col("s.score") < THRESHOLD).select("row.*")
