@@ -79,7 +79,9 @@ def merge_parts(parts: DataFrame, key: str, sketch: str, k: int = K) -> DataFram
     """Sketch of each key's union over its parts' sketches.  Hashes are
     deduplicated before the k smallest are taken, and Spark keeps only k of
     a key per task before the exchange, so a hot key stays small."""
-    each = parts.select(key, F.explode(sketch).alias("h")).distinct()
+    # explode_outer: for explode Spark would push a filter on the sketch below
+    # the steps that make it, and compute them again inside it
+    each = parts.select(key, F.explode_outer(sketch).alias("h")).filter("h is not null").distinct()
     w = Window.partitionBy(key).orderBy("h")
     low = each.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
     merged = low.groupBy(key).agg(F.sort_array(F.collect_list("h")).alias(sketch))
