@@ -1,14 +1,14 @@
 """Byte-level BPE over a distinct-word table.
 
 Encoding takes three steps.  (1) Every task splits its texts into words and
-numbers the distinct words of a chunk of texts; the chunk keeps its documents
-as arrays of these numbers, i.e. by position.  (2) The chunks' words are
+numbers the distinct words of a chunk of texts by falling frequency; the chunk keeps its
+documents as arrays of these numbers, i.e. by position.  (2) The chunks' words are
 exchanged by a hash of the word, so equal words of all chunks meet in one bucket and each
 distinct word is encoded once.  (3) The ids come back to the chunk, and the position
 arrays turn into token ids.  What moves is each chunk's distinct words and
-their ids, packed and compressed per (chunk, bucket), not the texts; a
-frequent word is one entry per chunk, so no bucket grows hot, and the number of
-buckets follows the bytes of text.
+their ids, packed and compressed per (chunk, bucket), not the texts; the documents' arrays
+wait in a table bucketed by chunk.  A frequent word is one entry per chunk, so no
+bucket grows hot, and the number of buckets follows the bytes of text.
 
 Words are cut where no token can span: a word is an optional space and a run
 of non-spaces, or a run of white space less the space that belongs to the next word.  A text
@@ -17,6 +17,8 @@ U+001F, about which definitions of white space differ, is taken as a single word
 
 Decoding maps ids to byte pieces through the vocabulary's id-to-piece table
 (its size is fixed by the tokenizer file, so it is broadcast) and joins them.
+Where ids and their decoded text are wanted at once, as by ``digests``, pieces are
+joined once per distinct word of a chunk.
 
 Defined results: null and empty texts have no ids and decode to the empty
 string; texts are read whole, a text longer than a chunk is a chunk of its own; rows
@@ -26,8 +28,10 @@ table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -35,9 +39,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm.common import text_of, written
+from skyframe.llm.common import text_of
+from skyframe.session import checkpoint_dir
 
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 10_000_000
 BUCKET_BYTES = 8_000_000
 WORDS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 UNSURE = re.compile("[\x1c-\x1f]")
@@ -78,6 +83,16 @@ def smallest(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
+def planes(a: np.ndarray) -> list[np.ndarray]:
+    """Numbers below 2^32 as their low, second, ... bytes, as many as needed."""
+    top = int(a.max()) if len(a) else 0
+    return [(a >> 8 * i & 255).astype(np.uint8) for i in range(max(1, -(-top.bit_length() // 8)))]
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    return sum(p.astype(np.int64) << 8 * i for i, p in enumerate(parts))
+
+
 # ---------------------------------------------------------------- splitting
 def split_words(text: str, added: list[str]) -> list[str]:
     if UNSURE.search(text) or any(a in text for a in added):
@@ -89,23 +104,23 @@ def _splitter(buckets: int, added: list[str], chunk_chars: int):
     """Partition of (doc_id, text) -> packed chunks.  Bucket -1 holds the
     documents: their ids and, by position, the numbers of their words."""
     def rows(chunk, ids, docs, words):
+        flat = np.concatenate(docs)
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        number = np.empty(len(words), np.uint32)
+        number[order] = np.arange(len(words), dtype=np.uint32)
         names = list(words)
-        raw = [w.encode("utf-8", "replace") for w in names]
-        home = np.fromiter((zlib.crc32(r) % buckets for r in raw), np.int64, len(raw))
-        order = sorted(range(len(raw)), key=lambda i: (home[i], raw[i]))
-        number = np.empty(len(raw), np.uint32)
-        number[order] = np.arange(len(raw), dtype=np.uint32)
-        flat = number[np.concatenate(docs)] if docs else np.zeros(0, np.uint32)
-        counts = np.array([len(d) for d in docs], np.uint32)
+        raw = [names[i].encode("utf-8", "replace") for i in order.tolist()]
+        home = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % np.uint32(buckets)
         null = np.array([i is None for i in ids], np.uint8)
         value = np.array([0 if i is None else i for i in ids], np.int64)
-        out = [(chunk, -1, pack(value, null, counts, smallest(flat)))]
-        home = home[order]
-        edges = np.flatnonzero(np.diff(home, prepend=-1, append=-1)) if len(home) else []
+        counts = np.array([len(d) for d in docs], np.uint32)
+        out = [(chunk, -1, pack(value, null, counts, smallest(home), *planes(number[flat])))]
+        by_home = np.argsort(home, kind="stable")
+        edges = np.flatnonzero(np.diff(home[by_home].astype(np.int64), prepend=-1, append=-1)) if len(raw) else []
         for a, b in zip(edges[:-1], edges[1:]):
-            part = [raw[i] for i in order[a:b]]
-            out.append((chunk, int(home[a]), pack(smallest(np.array([len(r) for r in part])),
-                                                  np.frombuffer(b"".join(part), np.uint8))))
+            part = [raw[i] for i in by_home[a:b].tolist()]
+            out.append((chunk, int(home[by_home[a]]), pack(smallest(np.array([len(r) for r in part])),
+                                                           np.frombuffer(b"".join(part), np.uint8))))
         return pd.DataFrame(out, columns=["chunk", "bucket", "payload"])
 
     def run(batches):
@@ -192,41 +207,84 @@ def _bucket_encoder(source):
 
 def ranges(counts: np.ndarray, use: np.ndarray) -> np.ndarray:
     """Positions of the runs ``use`` in a flat array of runs of ``counts``."""
-    starts, n = np.concatenate(([0], np.cumsum(counts)[:-1])) if len(counts) else np.zeros(0, np.int64), counts[use]
+    starts, n = np.cumsum(counts) - counts, counts[use]
     total = np.concatenate(([0], np.cumsum(n)))
     return np.repeat(starts[use] - total[:-1], n) + np.arange(total[-1])
 
 
-def _assemble(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    """A chunk's documents and its words' ids -> ids of each document."""
+def _chunk_documents(docs: pd.DataFrame, words: pd.DataFrame):
+    """A chunk's documents and its words' ids: per word (in the chunk's
+    numbering) the number of ids, all ids in that order, and for each document its id
+    and word numbers."""
     parts = [unpack(p) for p in words.sort_values("bucket")["payload"]]
     counts = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
     flat = np.concatenate([p[1].astype(np.int32) for p in parts]) if parts else np.zeros(0, np.int32)
-    ids, out = [], []
-    for payload in docs["payload"]:
-        value, null, n, use = unpack(payload)
-        ends = np.cumsum(n, dtype=np.int64)
-        for i, gone, a, b in zip(value.tolist(), null, ends - n, ends):
-            ids.append(None if gone else i)
-            out.append(flat[ranges(counts, use[a:b].astype(np.int64))])
-    return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "ids": pd.Series(out, dtype=object)})
+    value, null, n, home, *use = unpack(docs["payload"].iloc[0])
+    place = np.empty(len(home), np.int64)    # the words came back by bucket
+    place[np.argsort(home, kind="stable")] = np.arange(len(home))
+    counts, flat = counts[place], flat[ranges(counts, place)]
+    use, ends = joined(use), np.cumsum(n, dtype=np.int64)
+    each = [(None if gone else i, use[a:b]) for i, gone, a, b in
+            zip(value.tolist(), null.tolist(), (ends - n).tolist(), ends.tolist())]
+    return counts, flat, each
+
+
+def _ids(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    counts, flat, each = _chunk_documents(docs, words)
+    starts, out = np.cumsum(counts) - counts, []
+    for _, use in each:
+        n = counts[use]
+        total = np.cumsum(n)
+        out.append(flat[np.repeat(starts[use] - total + n, n) + np.arange(total[-1] if len(n) else 0)])
+    return pd.DataFrame({"doc_id": pd.array([i for i, _ in each], dtype="Int64"), "ids": pd.Series(out, dtype=object)})
+
+
+def _digests(source):
+    """Digests of each document's ids and of the text they decode to."""
+    made: list = []
 
+    def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        if not made:
+            made.append(pieces_of(source.value))
+        counts, flat, each = _chunk_documents(docs, words)
+        ends = np.cumsum(counts).tolist()
+        runs = [flat[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)]
+        listed, text = [",".join(map(str, r)) for r in runs], [b"".join(map(made[0].__getitem__, r)) for r in runs]
+        out = []
+        for i, use in each:
+            use_ = use.tolist()
+            decoded = b"".join(map(text.__getitem__, use_)).decode("utf-8", "replace")
+            out.append((i, int(counts[use].sum()), hashlib.sha256(",".join(map(listed.__getitem__, use_)).encode()).hexdigest(),
+                        hashlib.sha256(decoded.encode()).hexdigest()))
+        return pd.DataFrame({"doc_id": pd.array([o[0] for o in out], dtype="Int64"),
+                             **{c: pd.Series([o[k] for o in out], dtype=kind) for k, c, kind in (
+                                 (1, "n_tokens", "int64"), (2, "ids_sha256", object), (3, "decoded_sha256", object))}})
+    return run
 
-def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS,
-           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, text) -> (doc_id, ids)."""
+
+def _through_words(docs: DataFrame, source: str, finish, schema: str, chunk_chars: int, bucket_bytes: int) -> DataFrame:
+    """Steps (1) to (3); ``finish`` gets a chunk's documents and words."""
     spark = docs.sparkSession
-    source = tokenizer_json(path)
     added = [a["content"] for a in json.loads(source).get("added_tokens", [])]
     shared = spark.sparkContext.broadcast(source)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    chunks = written(docs.mapInPandas(_splitter(buckets, added, chunk_chars), CHUNKS), "bpe-chunks")
-    ids = (chunks.filter("bucket >= 0").groupBy("bucket")
-                 .applyInPandas(_bucket_encoder(shared), CHUNKS))
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
+    (docs.mapInPandas(_splitter(buckets, added, chunk_chars), CHUNKS).write
+         .option("path", f"{checkpoint_dir(spark)}/{name}").option("compression", "none")      # packed already
+         .bucketBy(int(min(50_000, max(1, -(-total // 16_000_000)))), "chunk").saveAsTable(name))
+    chunks = spark.table(name)
+    ids = chunks.filter("bucket >= 0").groupBy("bucket").applyInPandas(_bucket_encoder(shared), CHUNKS)
     return (chunks.filter("bucket < 0").groupBy("chunk").cogroup(ids.groupBy("chunk"))
-                  .applyInPandas(_assemble, "doc_id long, ids array<int>"))
+                  .applyInPandas(finish(shared), schema))
+
+
+def encode(docs: DataFrame, path: str | None = None, chunk_chars: int = CHUNK_CHARS,
+           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, text) -> (doc_id, ids)."""
+    return _through_words(docs, tokenizer_json(path), lambda _: _ids, "doc_id long, ids array<int>",
+                          chunk_chars, bucket_bytes)
 
 
 # ---------------------------------------------------------------- decoding
@@ -262,9 +320,5 @@ def decode(spark: SparkSession, ids: Column, path: str | None = None) -> Column:
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text."""
-    coded = encode(docs, path)
-    text = decode(docs.sparkSession, F.col("ids"), path)
-    return (coded.select("doc_id", "ids", text.alias("decoded"))
-            .select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                    F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-                    F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")))
+    return _through_words(docs, tokenizer_json(path), _digests,
+                          "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", CHUNK_CHARS, BUCKET_BYTES)

@@ -295,6 +295,8 @@ def test_byte_pairs(docs, rows, none):
     small = bpe_words.encode(docs, chunk_chars=2000, bucket_bytes=20_000)
     got = Counter((r["doc_id"], len(r["ids"])) for r in small.collect())
     assert got == Counter((k[0], k[1]) for k in want.elements())
+    again = bpe_words.encode(docs).select("doc_id", bpe_words.decode(docs.sparkSession, F.col("ids")).alias("t"))
+    assert multiset(again.collect()) == Counter((r[0], r[1] or "") for r in rows)
     assert bpe_words.digests(none).count() == 0
 
 
