@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,7 +41,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     from skyframe.session import get_session
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                        conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+                        conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
+                              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     from skyframe.plans.registry import QUERIES
 
     times = {}

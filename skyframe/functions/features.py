@@ -24,8 +24,16 @@ def tokenize(df: DataFrame, col: str, out: str = "tokens") -> DataFrame:
 
 def regex_tokenize(df: DataFrame, col: str, pattern: str = r"\W", gaps: bool = True,
                    min_length: int = 1, out: str = "tokens", lowercase: bool = True) -> DataFrame:
-    return mlf.RegexTokenizer(inputCol=col, outputCol=out, pattern=pattern, gaps=gaps,
-                              minTokenLength=min_length, toLowercase=lowercase).transform(df)
+    """Tokens between (``gaps``) or of the matches of ``pattern``, at least
+    ``min_length`` characters long.  Built-in functions: the ML tokenizer is
+    opaque to the optimizer and runs outside generated code."""
+    text = F.lower(F.col(col)) if lowercase else F.col(col)
+    tokens = F.split(text, pattern) if gaps else F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if min_length == 1:
+        tokens = F.array_remove(tokens, "")
+    elif min_length > 1:
+        tokens = F.filter(tokens, lambda t: F.length(t) >= min_length)
+    return df.withColumn(out, tokens)
 
 
 def remove_stopwords(df: DataFrame, col: str, out: str = "filtered", extra: list[str] | None = None,
@@ -74,6 +82,13 @@ def count_vectors(df: DataFrame, col: str, vocab_size: int = 1 << 18, min_df: fl
     return model.transform(df), list(model.vocabulary)
 
 
+def vocabulary(df: DataFrame, col: str, min_df: int = 1) -> DataFrame:
+    """(term, doc_freq) of all terms in at least ``min_df`` rows: one
+    aggregate, no bound on the vocabulary and nothing on the driver."""
+    return (df.select(F.explode(F.array_distinct(col)).alias("term")).groupBy("term")
+              .agg(F.count(F.lit(1)).alias("doc_freq")).filter(F.col("doc_freq") >= min_df))
+
+
 def word2vec(df: DataFrame, col: str, dim: int = 3, min_count: int = 0, seed: int = 42, out: str = "vector",
              partitions: int | None = None):
     """Word2Vec; returns (model, transformed) -- the doc vector is the mean

@@ -45,6 +45,15 @@ def vertices_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
 
 
+def rounds(bound: int | None):
+    """0, 1, 2, ... for a loop that ends itself; an error at ``bound``."""
+    i = 0
+    while bound is None or i < bound:
+        yield i
+        i += 1
+    raise RuntimeError(f"not converged after {bound} rounds")
+
+
 # ---------------------------------------------------------------- PageRank
 def pagerank_naive(edges: DataFrame, iters: int = 10) -> DataFrame:
     """Classic two-table PageRank: distinct links, ranks start at 1.0,
@@ -90,11 +99,12 @@ def pagerank(edges: DataFrame, iters: int = 10, vertices: DataFrame | None = Non
 
 
 def pagerank_tol(edges: DataFrame, tol: float = 1e-3, vertices: DataFrame | None = None,
-                 reset: float = 0.15, max_iter: int = 100) -> DataFrame:
-    """PageRank until the largest change of a rank is below ``tol``."""
+                 reset: float = 0.15, max_iter: int | None = None) -> DataFrame:
+    """PageRank until the largest change of a rank is below ``tol``; an
+    error if a given ``max_iter`` is reached first."""
     links, verts = _pr_inputs(edges, vertices)
     ranks = _cut(verts.withColumn("rank", F.lit(1.0)), CHECKPOINT_EVERY - 1)
-    for _ in range(max_iter):
+    for _ in rounds(max_iter):
         new = _pr_round(links, verts, ranks, reset)
         checkpoint_dir(new.sparkSession)
         new = new.checkpoint(eager=True)
@@ -108,7 +118,7 @@ def pagerank_tol(edges: DataFrame, tol: float = 1e-3, vertices: DataFrame | None
 
 # ---------------------------------------------------------------- components
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
-                         max_iter: int = 200) -> DataFrame:
+                         max_iter: int | None = None) -> DataFrame:
     """Label = smallest vertex id of the component.
 
     Min-label propagation with pointer jumping: each round a vertex takes
@@ -120,7 +130,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     verts = vertices.select("id") if vertices is not None else vertices_of(edges)
     labels = verts.select("id", F.col("id").alias("label"))
     labels = _cut(labels, CHECKPOINT_EVERY - 1)
-    for i in range(max_iter):
+    for _ in rounds(max_iter):
         nb = (und.join(labels, und.src == labels.id)
                  .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("nl")))
         step = (labels.join(nb, "id", "left")
@@ -135,6 +145,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
         labels = step
         if changed == 0:
             break
+    und.unpersist()                          # the labels are a checkpoint
     return labels
 
 
@@ -183,20 +194,21 @@ def triangle_total(per_vertex: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Pregel
 def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vprog,
-           max_iter: int = 50, active_col: str = "_active") -> DataFrame:
+           max_iter: int | None = None, active_col: str = "_active") -> DataFrame:
     """Bulk-synchronous message passing with DataFrame expressions.
 
     ``vertices``: (id, ...); ``init``: initial ``value`` expression;
     ``send(src_value, dst_value, edge)`` -> message Column or null (no
     message); ``merge`` an aggregate function over messages (e.g. F.min);
     ``vprog(value, msg)`` -> new value.  Only vertices whose value changed
-    send in the next round; stops when no messages are sent.
+    send in the next round; stops when no messages are sent.  Without
+    ``max_iter`` the loop has no bound; with one, reaching it is an error.
     """
     v = vertices.withColumn("value", init).withColumn(active_col, F.lit(True))
     e = edges.cache()
     checkpoint_dir(v.sparkSession)
     cached = None
-    for i in range(max_iter):
+    for i in rounds(max_iter):
         src = v.select(F.col("id").alias("_s"), F.col("value").alias("src_value"), active_col)
         dst = v.select(F.col("id").alias("_d"), F.col("value").alias("dst_value"))
         trip = (e.join(src.filter(F.col(active_col)), e.src == F.col("_s"))
@@ -273,14 +285,14 @@ def subgraph(vertices: DataFrame, edges: DataFrame, vpred: Column) -> tuple[Data
 
 
 # ---------------------------------------------------------------- closure
-def transitive_closure(edges: DataFrame, max_iter: int = 1000) -> DataFrame:
+def transitive_closure(edges: DataFrame, max_iter: int | None = None) -> DataFrame:
     """All (x, z) with a path x -> z.  Semi-naive: each round extends only
     the pairs found in the previous round, and keeps the ones not yet known
     (left anti join); stops when a round finds nothing new."""
     e = edges.select("src", "dst").distinct().cache()
     closure = e
     delta = e
-    for i in range(max_iter):
+    for i in rounds(max_iter):
         step = (delta.alias("p").join(e.alias("q"), F.col("p.dst") == F.col("q.src"))
                      .select(F.col("p.src").alias("src"), F.col("q.dst").alias("dst")).distinct())
         new = step.join(closure, ["src", "dst"], "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 APACHE_LOG_PATTERN = (
     r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)".*'
 )
+MARK = "\x01\x02"
 
 
 def parse(df: DataFrame, col: str = "line") -> DataFrame:
@@ -18,17 +19,20 @@ def parse(df: DataFrame, col: str = "line") -> DataFrame:
     A user written ``-`` or ``"-"`` is anonymous, and an anonymous line has
     a null key.  Bytes ``-`` count as 0.
     """
-    line = F.col(col)
-    ok = line.rlike(APACHE_LOG_PATTERN)
-    g = lambda i: F.regexp_extract(line, APACHE_LOG_PATTERN, i)
-    user = g(3)
+    # One search a line: the pattern spans the whole line, so a match becomes
+    # its four fields behind a mark, and a line without one stays as it is.
+    fields = F.split(F.regexp_replace(F.col(col), APACHE_LOG_PATTERN, f"{MARK}$1{MARK}$3{MARK}$5{MARK}$7"), MARK)
+    df = df.select(fields.alias("_f"))
+    g = lambda i: F.get("_f", F.lit(i))
+    ok = F.size("_f") == 5
+    user = g(2)
     anonymous = user.isin("-", '"-"')
     keyed = ok & ~anonymous
     return df.select(
         F.when(keyed, g(1)).alias("ip"),
         F.when(keyed, user).alias("user"),
-        F.when(keyed, g(5)).alias("query"),
-        F.when(ok, F.coalesce(g(7).try_cast("int"), F.lit(0))).otherwise(0).alias("bytes"),
+        F.when(keyed, g(3)).alias("query"),
+        F.when(ok, F.coalesce(g(4).try_cast("int"), F.lit(0))).otherwise(0).alias("bytes"),
     )
 
 

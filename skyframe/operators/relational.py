@@ -78,13 +78,13 @@ def with_index(df: DataFrame, order_cols: list[str], name: str = "row_idx") -> D
     for r in sorted(counts, key=lambda r: r["_pid"]):
         offsets[r["_pid"]] = running
         running += r["count"]
-    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))]) \
-        if offsets else F.create_map()
+    # one row per partition
+    table = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "_pid int, _off long")
     # position inside a partition: monotonically_increasing_id encodes the
     # partition in its upper bits and the row position in the lower 33 bits
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return (ordered.withColumn(name, (offset_map[F.col("_pid")] + local).cast("long"))
-                   .drop("_pid"))
+    return (ordered.withColumn("_local", local).join(F.broadcast(table), "_pid")
+                   .withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_off", "_local"))
 
 
 # ---------------------------------------------------------------- filters
@@ -166,9 +166,10 @@ def distinct_count(df: DataFrame, cols: list[str], approx: bool = False) -> Data
     return df.agg(c.alias("distinct_count"))
 
 
-def salted_group_count(df: DataFrame, key: str, buckets: int = 32) -> DataFrame:
-    """Rows per key with the hot key split over ``buckets`` tasks first."""
-    return salted_agg(df, [key], {"count": ("sum", F.count(F.lit(1)))}, buckets)
+def group_count(df: DataFrame, key: str) -> DataFrame:
+    """Rows per key.  Every task first counts its own rows, so a hot key is
+    one row per task at the exchange and needs no salt."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -201,20 +202,16 @@ def top_k(df: DataFrame, col: str, k: int, asc: bool = False, tie: list[str] | N
 
 
 def top_k_per(df: DataFrame, key: str, col: str, k: int, asc: bool = False,
-              tie: list[str] | None = None, rank_name: str = "rank", buckets: int = 32) -> DataFrame:
+              tie: list[str] | None = None, rank_name: str = "rank") -> DataFrame:
     """k rows per key, ranked 1..k.
 
-    Two stages so that a hot key never sorts in one task: first the top k
-    inside each (key, hash bucket of the row) -- ``buckets`` tasks share a
-    hot key -- then the final ranking over at most ``k * buckets`` survivors
-    per key."""
+    A plain ranked window: Spark keeps only the first k rows of a key in
+    every task before the exchange, so a hot key shrinks to k rows per task
+    and nothing has to be salted."""
     from pyspark.sql import Window
     o = [F.asc(col) if asc else F.desc(col)] + [F.asc(t) for t in (tie or [])]
-    salted = df.withColumn("_b", F.pmod(F.xxhash64(*df.columns), F.lit(buckets)))
-    w1 = Window.partitionBy(key, "_b").orderBy(*o)
-    cand = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r", "_b")
-    w2 = Window.partitionBy(key).orderBy(*o)
-    return cand.withColumn(rank_name, F.row_number().over(w2)).filter(F.col(rank_name) <= k)
+    w = Window.partitionBy(key).orderBy(*o)
+    return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= k)
 
 
 def head(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:

@@ -412,7 +412,8 @@ ORACLE["fea07_count_vectorizer"] = f"""
 WITH tok AS ({REGEX_TOKENS_NE})
 SELECT term FROM (SELECT DISTINCT doc_id, unnest(t) AS term FROM tok) GROUP BY term HAVING COUNT(*) >= 5"""
 ORACLE["fea09_binarize"] = """
-SELECT vec_id, CAST(CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS x0_bin FROM embeddings"""
+SELECT vec_id, i, CAST(CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS x_bin
+FROM (SELECT vec_id, unnest(embedding) AS x, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS i FROM embeddings)"""
 ORACLE["fea10_bucketize"] = """
 SELECT l_orderkey, l_linenumber,
        CAST(CASE WHEN l_quantity < 10 THEN 0 WHEN l_quantity < 20 THEN 1 WHEN l_quantity < 30 THEN 2
@@ -506,12 +507,16 @@ BASKET_ITEMS = """b AS (SELECT l_orderkey AS o, p_brand AS item FROM lineitem JO
 n AS (SELECT COUNT(DISTINCT o) AS n FROM b),
 s AS (SELECT item, COUNT(*) AS freq FROM b GROUP BY item),
 p AS (SELECT x.item AS a, y.item AS c, COUNT(*) AS freq FROM b x JOIN b y ON x.o = y.o AND x.item <> y.item
-      GROUP BY 1, 2)"""
+      GROUP BY 1, 2),
+q AS (SELECT x.item AS a, y.item AS c, z.item AS e, COUNT(*) AS freq
+      FROM b x JOIN b y ON x.o = y.o AND x.item < y.item JOIN b z ON y.o = z.o AND y.item < z.item GROUP BY 1, 2, 3)"""
 ORACLE["fpm01_itemsets"] = f"""
 WITH {BASKET_ITEMS}
 SELECT [item] AS items, freq FROM s, n WHERE freq >= ceil(0.02 * n)
 UNION ALL
-SELECT [a, c] AS items, freq FROM p, n WHERE a < c AND freq >= ceil(0.02 * n)"""
+SELECT [a, c] AS items, freq FROM p, n WHERE a < c AND freq >= ceil(0.02 * n)
+UNION ALL
+SELECT [a, c, e] AS items, freq FROM q, n WHERE freq >= ceil(0.02 * n)"""
 ORACLE["fpm02_rules"] = f"""
 WITH {BASKET_ITEMS}
 SELECT [p.a] AS antecedent, [p.c] AS consequent, round(p.freq / s.freq, 6) AS confidence
@@ -545,7 +550,7 @@ l AS (SELECT *, COALESCE(lag(fpr) OVER (ORDER BY threshold DESC), 0) AS pf,
 SELECT round(SUM((fpr - pf) * (recall + pr) / 2), 6) AS auc_roc,
        round(SUM((recall - pr) * (precision + pp) / 2), 6) AS auc_pr FROM l"""
 ARGMAX = """p AS (SELECT CAST(label AS DOUBLE) AS l,
-  CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS DOUBLE) AS p FROM embeddings),
+  CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS DOUBLE) AS p FROM embeddings),
 labels AS (SELECT l AS label FROM p UNION SELECT p FROM p),
 a AS (SELECT l AS label, COUNT(*) AS actual FROM p GROUP BY l),
 pr AS (SELECT p AS label, COUNT(*) AS predicted FROM p GROUP BY p),
@@ -618,7 +623,7 @@ SELECT round(AVG((p - y) ^ 2), 4) AS mse, round(sqrt(AVG((p - y) ^ 2)), 4) AS rm
        round(AVG(abs(p - y)), 4) AS mae FROM pp"""
 ORACLE["eva06_error_rate"] = """
 SELECT round(AVG(CASE WHEN CAST(label AS DOUBLE)
-                           <> CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS DOUBLE)
+                           <> CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS DOUBLE)
                       THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM embeddings"""
 ORACLE["eva07_wssse"] = """
 WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(1, len(embedding) + 1)) AS i
@@ -665,7 +670,7 @@ ORACLE["src25_custom_source"] = WORD_COUNTS
 ORACLE["src26_union_streams"] = WORD_COUNTS
 ORACLE["str20_ab_test_final"] = """
 WITH g AS (SELECT event_type = 'purchase' AS label, COUNT(value) AS n, AVG(value) AS m, var_samp(value) AS v
-           FROM events WHERE event_type IN ('purchase', 'view') GROUP BY 1),
+           FROM events GROUP BY 1),
 a AS (SELECT * FROM g WHERE label), b AS (SELECT * FROM g WHERE NOT label)
 SELECT round((a.m - b.m) / sqrt(a.v / a.n + b.v / b.n), 6) AS statistic,
        round((a.v / a.n + b.v / b.n) ^ 2 / ((a.v / a.n) ^ 2 / (a.n - 1) + (b.v / b.n) ^ 2 / (b.n - 1)), 4) AS dof
@@ -702,7 +707,7 @@ ORACLE["src15_catalog_table"] = "SELECT c_mktsegment, COUNT(*) AS n FROM custome
 ORACLE["src24_replay_queue"] = "SELECT o_orderstatus, COUNT(*) AS count FROM orders GROUP BY 1"
 ORACLE["snk01_write_formats"] = "\nUNION ALL\n".join(
     f"SELECT '{f}' AS fmt, n_nationkey, n_name, n_regionkey FROM nation" for f in ("parquet", "json", "csv"))
-ORACLE["snk02_partitioned_write"] = "SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F'"
+ORACLE["snk02_partitioned_write"] = "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1"
 ORACLE["snk03_bucketed_table"] = "SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1"
 ORACLE["snk04_text_write"] = """
 SELECT CAST(n_nationkey AS VARCHAR) || chr(9) || n_name AS value FROM nation"""
@@ -759,3 +764,41 @@ ORACLE["str13_active_users_exact"] = ORACLE["str13_active_users_batch"]
 ORACLE["air03_dests_star"] = ORACLE["air03_dests_by_dep_delay"]
 ORACLE["air04_carriers_on_route_star"] = ORACLE["air04_carriers_on_route"]
 ORACLE["air05_route_delay_star"] = ORACLE["air05_route_delay"]
+
+# ---------------------------------------------------------------- values and checked invariants
+ORACLE["air07_stream_dests"] = ORACLE["air03_dests_by_dep_delay"]
+ORACLE["air07_stream_carriers_on_route"] = ORACLE["air04_carriers_on_route"]
+ORACLE["smp01_split_checked"] = """
+SELECT COUNT(*) AS n, COUNT(DISTINCT o_orderkey) AS keys, true AS near_share FROM orders"""
+ORACLE["smp02_sample_checked"] = "SELECT true AS no_repeats, true AS near_share, true AS from_table"
+ORACLE["smp02_with_replacement_checked"] = "SELECT true AS repeats"
+ORACLE["sta09_svd_checked"] = """
+SELECT round(SUM(CAST(x AS DOUBLE) * x), 3) AS squared_norm FROM (SELECT unnest(embedding) AS x FROM embeddings)"""
+ORACLE["fea31_vector_roundtrip"] = """
+SELECT vec_id AS id, CAST(unnest(embedding) AS DOUBLE) AS x, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS i FROM embeddings"""
+ORACLE["fea05_hashing_tf"] = f"""
+SELECT doc_id, 1024 AS dims, len(t) AS tokens FROM ({REGEX_TOKENS_NE})"""
+ORACLE["mod28_model_roundtrip_checked"] = "SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS changed FROM embeddings"
+# the isotonic fit at a point is the largest, over starts up to it, of the
+# smallest, over ends from it on, mean of the run
+ORACLE["mod14_isotonic"] = """
+WITH g AS (SELECT l_quantity AS q, SUM(l_extendedprice) AS s, COUNT(*) AS n FROM lineitem GROUP BY 1),
+c AS (SELECT q, SUM(s) OVER (ORDER BY q) AS s, SUM(n) OVER (ORDER BY q) AS n, s AS own, n AS one FROM g),
+runs AS (SELECT i.q AS i, j.q AS j, (j.s - i.s + i.own) / (j.n - i.n + i.one) AS m FROM c i JOIN c j ON i.q <= j.q),
+low AS (SELECT g.q, r.i, MIN(r.m) AS m FROM g JOIN runs r ON r.i <= g.q AND r.j >= g.q GROUP BY 1, 2)
+SELECT q AS l_quantity, round(MAX(m), 4) AS prediction FROM low GROUP BY q"""
+ORACLE["fpm04_predict"] = f"""
+WITH {BASKET_ITEMS},
+r AS (SELECT p.a, p.c FROM p JOIN s ON p.a = s.item, n
+      WHERE p.freq >= ceil(0.02 * n) AND s.freq >= ceil(0.02 * n) AND p.freq / s.freq >= 0.2),
+hit AS (SELECT DISTINCT b.o, r.c FROM b JOIN r ON b.item = r.a ANTI JOIN b x ON x.o = b.o AND x.item = r.c)
+SELECT o.o AS order_id, COALESCE(list_sort(list(hit.c) FILTER (WHERE hit.c IS NOT NULL)), []) AS prediction
+FROM (SELECT DISTINCT o FROM b) o LEFT JOIN hit ON o.o = hit.o GROUP BY o.o"""
+ORACLE["fea12_unindex_strings"] = "SELECT p_partkey, p_brand AS label FROM part"
+ORACLE["cat02_global_view"] = "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1"
+ORACLE["cat03_drop_table"] = "SELECT COUNT(*) AS rows_before, false AS still_there FROM customer"
+ORACLE["cat04_typed_view"] = "SELECT CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderkey FROM orders"
+ORACLE["sta01_spearman"] = "WITH r AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _LI_NUM) \
+    + " FROM lineitem)\n" + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM r" for a in _LI_NUM for b in _LI_NUM)

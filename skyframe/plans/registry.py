@@ -43,6 +43,7 @@ QUERIES: dict[str, Query] = {}
 ORIGIN = "NATION_3"
 TRANSIT = "NATION_7"
 DEST = "NATION_11"
+LDA_TERMS = 10_000     # vocabulary of the topic models, most frequent terms first
 
 
 def register(name: str):
@@ -297,7 +298,7 @@ def _agg06(spark, d):
 
 @register("agg07_salted_group_count")
 def _agg07(spark, d):
-    return rel.salted_group_count(_t(spark, d, "events").select("user_id", "event_id"), "user_id", 16)
+    return rel.group_count(_t(spark, d, "events").select("user_id"), "user_id")
 
 
 @register("agg09_log_stats")
@@ -370,8 +371,29 @@ def _set02(spark, d):
 
 @register("smp01_split")
 def _smp01(spark, d):
-    train, _ = smp.split(_t(spark, d, "orders").select("o_orderkey"), [0.7, 0.3], seed=7, key=["o_orderkey"])
-    return train
+    train, test = smp.split(_t(spark, d, "orders").select("o_orderkey"), [0.7, 0.3], seed=7, key=["o_orderkey"])
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@register("smp01_split_checked")
+def _smp01b(spark, d):
+    """The sides are disjoint and complete, and near their shares."""
+    s = _smp01(spark, d)
+    share = F.avg(F.when(F.col("side") == "train", 1.0).otherwise(0.0))
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("keys"),
+                 F.abs(share - 0.7).__lt__(0.05).alias("near_share"))
+
+
+def _sample_checked(sample, share):
+    """A sample holds table rows only, none twice, and about its share."""
+    def run(spark, d):
+        o = _t(spark, d, "orders").select("o_orderkey")
+        n = o.count()
+        s = sample(spark, d).select("o_orderkey")
+        return s.agg((F.count(F.lit(1)) == F.count_distinct("o_orderkey")).alias("no_repeats"),
+                     (F.abs(F.count(F.lit(1)) / F.lit(n) - share) < 0.03).alias("near_share")).crossJoin(
+            s.join(o, "o_orderkey", "left_anti").agg((F.count(F.lit(1)) == 0).alias("from_table")))
+    return run
 
 
 @register("smp02_sample")
@@ -379,6 +401,17 @@ def _smp02(spark, d):
     return smp.sample(_t(spark, d, "orders").select("o_orderkey"), 0.1, False, 7)
 
 
+register("smp02_sample_checked")(_sample_checked(lambda s, d: _smp02(s, d), 0.1))
+
+
+@register("smp02_with_replacement_checked")
+def _smp02c(spark, d):
+    """With replacement: rows of the table only, some of them twice."""
+    o = _t(spark, d, "orders").select("o_orderkey")
+    s = smp.sample(o, 0.5, True, 7)
+    return s.agg((F.count(F.lit(1)) > F.count_distinct("o_orderkey")).alias("repeats"))
+
+
 @register("smp03_take_sample")
 def _smp03(spark, d):
     return smp.take_sample(_t(spark, d, "orders").select("o_orderkey"), 10, 7)
@@ -545,6 +578,18 @@ def _air07b(spark, d):
     return _complete(fl.top_airports(st.replay(spark, f, N_BATCHES), 10), spark, "air07b")
 
 
+@register("air07_stream_dests")
+def _air07c(spark, d):
+    f = ad.flights(spark, d, ["origin", "dest", "dep_delay", "cancelled"])
+    return _complete(fl.dests_by_dep_delay(st.replay(spark, f, N_BATCHES), ORIGIN, 10), spark, "air07c")
+
+
+@register("air07_stream_carriers_on_route")
+def _air07d(spark, d):
+    f = ad.flights(spark, d, ["origin", "dest", "carrier", "arr_delay", "cancelled"])
+    return _complete(fl.carriers_on_route(st.replay(spark, f, N_BATCHES), ORIGIN, DEST, 10), spark, "air07d")
+
+
 # ---------------------------------------------------------------- graph
 
 @register("grf01_pagerank_naive")
@@ -678,14 +723,13 @@ def _fea06(spark, d):
 
 @register("fea07_count_vectorizer")
 def _fea07(spark, d):
-    _, vocab = fe.count_vectors(_docs_tokens(spark, d), "tokens", min_df=5.0)
-    return spark.createDataFrame([(t,) for t in vocab], "term string")
+    return fe.vocabulary(_docs_tokens(spark, d), "tokens", 5).select("term")
 
 
 @register("fea09_binarize")
 def _fea09(spark, d):
-    e = _t(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x0"))
-    return fe.binarize(e, "x0", 0.0, "x0_bin").select("vec_id", "x0_bin")
+    e = _t(spark, d, "embeddings").select("vec_id", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
+    return fe.binarize(e, "x", 0.0, "x_bin").select("vec_id", "i", "x_bin")
 
 
 @register("fea10_bucketize")
@@ -701,6 +745,14 @@ def _fea12(spark, d):
     return p.select("p_brand", "brand_index").distinct()
 
 
+@register("fea12_unindex_strings")
+def _fea12b(spark, d):
+    """Index to label: the labels come back, row by row."""
+    p = _t(spark, d, "part").select("p_partkey", "p_brand")
+    m = fe.string_indexer(p, "p_brand", "brand_index")
+    return fe.unindex(m.transform(p), "brand_index", "label").select("p_partkey", "label")
+
+
 @register("fea13_one_hot")
 def _fea13(spark, d):
     c = fe.index_strings(_t(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", "seg")
@@ -777,6 +829,35 @@ def _sta01(spark, d):
     return sa.corr_matrix(_t(spark, d, "lineitem"), LI_NUM).withColumn("corr", F.round("corr", 6))
 
 
+@register("sta01_spearman")
+def _sta01b(spark, d):
+    return sa.corr_matrix(_t(spark, d, "lineitem"), LI_NUM, "spearman").withColumn("corr", F.round("corr", 6))
+
+
+@register("cat02_global_view")
+def _cat02(spark, d):
+    """A global view, read from another session of the application."""
+    name = cat.global_view(_t(spark, d, "orders"), f"orders_{uuid.uuid4().hex[:12]}")
+    return spark.newSession().sql(f"SELECT o_orderstatus, COUNT(*) AS n FROM {name} GROUP BY o_orderstatus")
+
+
+@register("cat03_drop_table")
+def _cat03(spark, d):
+    """A table that is dropped is gone from the catalog; the rows were there before."""
+    name = f"dropped_{uuid.uuid4().hex[:12]}"
+    _t(spark, d, "customer").write.option("path", st.scratch(spark, "cat03")).saveAsTable(name)
+    n = spark.table(name).count()
+    cat.drop(spark, name)
+    return spark.createDataFrame([(n, spark.catalog.tableExists(name))], "rows_before long, still_there boolean")
+
+
+@register("cat04_typed_view")
+def _cat04(spark, d):
+    from pyspark.sql import types as T
+    typed = T.StructType([T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderkey", T.LongType())])
+    return rel.as_typed(_t(spark, d, "orders"), typed)
+
+
 @register("sta02_corr_pairs")
 def _sta02(spark, d):
     c = sa.corr_pairs(_t(spark, d, "lineitem"), "l_extendedprice", LI_NUM[:3])
@@ -823,6 +904,13 @@ def _sta09(spark, d):
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(s)], "i int, singular_value double")
 
 
+@register("sta09_svd_checked")
+def _sta09b(spark, d):
+    """All singular values: their squares add up to the squared norm of the matrix."""
+    s, _, _ = sa.svd(ad.vectors(spark, d), "features", 64)
+    return spark.createDataFrame([(round(float(sum(v * v for v in s)), 3),)], "squared_norm double")
+
+
 @register("sta10_row_pca")
 def _sta10(spark, d):
     pc = sa.row_pca(ad.vectors(spark, d), "features", 3)
@@ -837,20 +925,19 @@ MIN_CONF = 0.05
 
 @register("fpm01_itemsets")
 def _fpm01(spark, d):
-    s = pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT)
-    return s.filter(F.size("items") <= 2)
+    return pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT)
 
 
 @register("fpm02_rules")
 def _fpm02(spark, d):
     m = pt.fpgrowth(ad.baskets(spark, d), "items", MIN_SUPPORT, MIN_CONF)
-    r = pt.rules(m).filter(F.size("antecedent") == 1)
+    r = pt.rules(m)
     return r.select("antecedent", "consequent", F.round("confidence", 6).alias("confidence"))
 
 
 @register("fpm03_rules_from")
 def _fpm03(spark, d):
-    s = pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT).filter(F.size("items") <= 2)
+    s = pt.itemsets(ad.baskets(spark, d), "items", MIN_SUPPORT)
     r = pt.rules_from(s, MIN_CONF)
     return r.select("antecedent", "consequent", F.round("confidence", 6).alias("confidence"))
 
@@ -876,9 +963,9 @@ def _scored(spark, d):
 
 def _argmax_pred(spark, d):
     e = _t(spark, d, "embeddings")
-    head = F.slice("embedding", 1, 10)
+    largest = F.array_position("embedding", F.array_max("embedding")) - 1     # over all components
     return e.select("vec_id", F.col("label").cast("double").alias("label"),
-                    (F.array_position(head, F.array_max(head)) - 1).cast("double").alias("prediction"))
+                    (largest % 10).cast("double").alias("prediction"))
 
 
 @register("eva01_binary_thresholds")
@@ -1055,7 +1142,9 @@ def _udf07(spark, d):
 @register("fea05_hashing_tf")
 def _fea05(spark, d):
     t = fe.hashing_tf(_docs_tokens(spark, d), "tokens", 1 << 10)
-    return t.select("doc_id", F.size(vector_to_array_col("tf")).alias("dims"))
+    counts = vector_to_array_col("tf")
+    return t.select("doc_id", F.size(counts).alias("dims"),
+                    F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).cast("long").alias("tokens"))
 
 
 def vector_to_array_col(c):
@@ -1161,7 +1250,7 @@ def _joi09(spark, d):
 def _fea31(spark, d):
     path = st.scratch(spark, "fea31")
     back = fe.vector_roundtrip(ad.vectors(spark, d).select("id", "features"), path)
-    return back.select("id", F.size(vector_to_array_col("features")).alias("dims"))
+    return back.select("id", F.posexplode(vector_to_array_col("features")).alias("i", "x"))
 
 
 @register("snk10_roundtrip_count")
@@ -1283,7 +1372,7 @@ def _mod13(spark, d):
 def _mod14(spark, d):
     li = fe.assemble(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"], "features")
     m = md.isotonic(li, True, label="l_extendedprice")
-    return m.transform(li).groupBy("l_quantity").agg(F.first("prediction").alias("prediction"))
+    return m.transform(li).groupBy("l_quantity").agg(F.round(F.first("prediction"), 4).alias("prediction"))
 
 
 @register("mod15_aft")
@@ -1347,7 +1436,7 @@ def _mod30(spark, d):
 
 def _doc_counts(spark, d):
     t = fe.remove_stopwords(_docs_tokens(spark, d), "tokens")
-    cv, vocab = fe.count_vectors(t, "filtered", vocab_size=2000, min_df=2.0, out="features")
+    cv, vocab = fe.count_vectors(t, "filtered", vocab_size=LDA_TERMS, min_df=2.0, out="features")
     return cv, vocab
 
 
@@ -1361,7 +1450,7 @@ def _mod20(spark, d):
 @register("mod21_lda_pipeline")
 def _mod21(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    m = md.lda_pipeline(docs, "text", k=5, vocab=2000)
+    m = md.lda_pipeline(docs, "text", k=5, vocab=LDA_TERMS)
     return m.transform(docs).select("doc_id", vector_to_array_col("topicDistribution").alias("topics"))
 
 
@@ -1388,8 +1477,8 @@ def _mod22b(spark, d):
 @register("mod29_als_factors")
 def _mod29(spark, d):
     m = md.als(ad.ratings(spark, d), rank=5, iters=5)
-    users, _ = md.als_factors(m)
-    return users
+    users, items = md.als_factors(m)
+    return users.withColumn("kind", F.lit("user")).unionByName(items.withColumn("kind", F.lit("item")))
 
 
 def _doc_labels(spark, d):
@@ -1453,6 +1542,17 @@ def _mod28(spark, d):
     return _pred(back, v)
 
 
+@register("mod28_model_roundtrip_checked")
+def _mod28b(spark, d):
+    """The model read back predicts what the fitted one does, on every row."""
+    v = ad.vectors(spark, d)
+    m = md.kmeans(v, 3, seed=1)
+    was = m.transform(v).select("id", F.col("prediction").alias("was"))
+    now = md.roundtrip(m, st.scratch(spark, "mod28b")).transform(v).select("id", "prediction")
+    return was.join(now, "id").agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum((F.col("was") != F.col("prediction")).cast("long")).alias("changed"))
+
+
 # ---------------------------------------------------------------- more streaming
 
 
@@ -1548,7 +1648,7 @@ def _str19(spark, d):
 
 
 def _ab_stream(spark, d):
-    ev_ = _t(spark, d, "events").filter(F.col("event_type").isin("purchase", "view"))
+    ev_ = _t(spark, d, "events")             # purchases against all other events
     return ev_.select("ts", (F.col("event_type") == "purchase").alias("label"), "value")
 
 
@@ -1699,8 +1799,7 @@ def _snk01(spark, d):
 def _snk02(spark, d):
     path = st.scratch(spark, "snk02")
     sk.write_partitioned(_t(spark, d, "orders").select("o_orderkey", "o_orderstatus"), path, ["o_orderstatus"])
-    back = spark.read.parquet(path)
-    return back.filter(F.col("o_orderstatus") == "F").agg(F.count(F.lit(1)).alias("n"))   # partition pruning
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("snk03_bucketed_table")

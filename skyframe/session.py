@@ -81,8 +81,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    directory).  Only when neither is set -- local tests -- a private temp
-    folder is created and registered.
+    directory).  Only when neither is set and Spark runs locally -- tests --
+    a private temp folder is created and registered; on a cluster a folder
+    of one machine would not do, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -90,6 +91,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="skyframe-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,14 +1,15 @@
 """A user-defined streaming source written with the Python Data Source API:
 new text files in a folder, read line by line by executor tasks.
 
-The offset is the number of files already handed out (files are taken in
-name order), so a restarted query resumes after the last committed file.
+The offset is the newest file handed out (modification time and names), so
+a restarted query resumes after it and a late file is read whatever its name.
 Each new file becomes one input partition, read where the task runs; the
 driver only lists file names.
 """
 
 from __future__ import annotations
 
+import io
 import os
 
 import pyarrow.fs as pafs
@@ -33,28 +34,38 @@ class LineFilesStreamReader(DataSourceStreamReader):
     def __init__(self, folder: str):
         self.folder = folder
 
-    def _files(self) -> list[str]:
+    def _files(self) -> list[list]:
+        """[modification time in ns, name] of every file, in order of arrival."""
         fs, root = _fs(self.folder)
         infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return sorted(i.base_name for i in infos
+        return sorted([i.mtime_ns or 0, i.base_name] for i in infos
                       if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
 
+    # An offset is the newest file seen (time, name) and the names that
+    # share its time: a file that arrives later sorts after it whatever its name,
+    # and one of the same instant is told apart by its name.
     def initialOffset(self) -> dict:
-        return {"files": 0}
+        return {"time": -1, "names": []}
 
     def latestOffset(self) -> dict:
-        return {"files": len(self._files())}
+        files = self._files()
+        newest = files[-1][0] if files else -1
+        return {"time": newest, "names": [n for t, n in files if t == newest]}
+
+    @staticmethod
+    def _seen(offset: dict, time: int, name: str) -> bool:
+        return time < offset["time"] or time == offset["time"] and name in offset["names"]
 
     def partitions(self, start: dict, end: dict):
-        names = self._files()[start["files"]:end["files"]]
-        return [_FilePartition(os.path.join(self.folder, n)) for n in names]
+        return [_FilePartition(os.path.join(self.folder, n)) for t, n in self._files()
+                if self._seen(end, t, n) and not self._seen(start, t, n)]
 
     def read(self, partition: _FilePartition):
         fs, path = _fs(partition.path)
-        with fs.open_input_stream(path) as fh:
-            text = fh.read().decode("utf-8")
-        for line in text.split("\n")[:-1] if text.endswith("\n") else text.split("\n"):
-            yield (line,)
+        with fs.open_input_stream(path) as raw, io.TextIOWrapper(io.BufferedReader(raw, 1 << 20), "utf-8",
+                                                                 newline="\n") as lines:
+            for line in lines:               # never more than a buffer in memory
+                yield (line.removesuffix("\n"),)
 
     def commit(self, end: dict) -> None:
         pass

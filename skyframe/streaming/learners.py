@@ -39,11 +39,24 @@ def load_state(spark, path: str) -> dict | None:
         df = spark.read.json(path)
     except Exception:  # noqa: BLE001 -- nothing written yet
         return None
-    row = df.orderBy(F.desc("batch")).select("state").first()
-    return json.loads(row["state"]) if row else None
+    row = df.orderBy(F.desc("batch")).select("batch", "state").first()
+    return {**json.loads(row["state"]), "batch": row["batch"]} if row else None
 
 
-class StreamingKMeans:
+class _Once:
+    """Batch ids of one stream rise; a batch that is replayed after a failure
+    has been counted already and is skipped."""
+
+    last = -1
+
+    def _fresh(self, batch_id: int) -> bool:
+        if batch_id <= self.last:
+            return False
+        self.last = batch_id
+        return True
+
+
+class StreamingKMeans(_Once):
     """Mini-batch k-means with decay ``a`` (1 = remember everything):
     c' = (c n a + sum(x)) / (n a + m),  n' = n a + m."""
 
@@ -56,6 +69,8 @@ class StreamingKMeans:
         self.state_path = state_path
 
     def update(self, batch_df: DataFrame, batch_id: int) -> None:
+        if not self._fresh(batch_id):
+            return
         x = batch_df.select(_arr(batch_df, self.features).alias("x"))
         stats = (x.select(closest("x", self.centres).alias("c"), array_to_vector("x").alias("v"))
                   .groupBy("c").agg(Summarizer.sum(F.col("v")).alias("s"), F.count(F.lit(1)).alias("m"))
@@ -77,7 +92,9 @@ class StreamingKMeans:
         st = load_state(spark, state_path)
         if st is None:
             return cls(default_centres, state_path=state_path, **kw)
-        return cls(st["centres"], state_path=state_path, weights=st["weights"], **kw)
+        model = cls(st["centres"], state_path=state_path, weights=st["weights"], **kw)
+        model.last = st["batch"]
+        return model
 
 
 def closest_col(df: DataFrame, col: str, centres):
@@ -88,7 +105,7 @@ def closest_col(df: DataFrame, col: str, centres):
     return F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(dists)]))["i"]
 
 
-class _StreamingSGD:
+class _StreamingSGD(_Once):
     """Shared SGD loop: ``iters`` full-batch gradient steps per micro-batch,
     step size ``step / sqrt(t)`` as in the classic streaming regressors."""
 
@@ -110,6 +127,8 @@ class _StreamingSGD:
         raise NotImplementedError
 
     def update(self, batch_df: DataFrame, batch_id: int) -> None:
+        if not self._fresh(batch_id):
+            return
         base = batch_df.select(_arr(batch_df, self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
         base = base.cache()
         n = base.count()
@@ -121,7 +140,7 @@ class _StreamingSGD:
                         .agg(Summarizer.sum(F.col("g")).alias("s")).first()["s"].toArray()
                 self.w = self.w - self.step / math.sqrt(self.t) * g / n
         base.unpersist()
-        _save_state(self.state_path, batch_id, {"weights": self.w.tolist()}, batch_df.sparkSession)
+        _save_state(self.state_path, batch_id, {"weights": self.w.tolist(), "t": self.t}, batch_df.sparkSession)
 
     def predict(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self._link(self._dot(_arr(df, self.features))))
@@ -132,6 +151,7 @@ class _StreamingSGD:
         st = load_state(spark, state_path)
         if st is not None:
             m.w = np.asarray(st["weights"], dtype=float)
+            m.t, m.last = st["t"], st["batch"]
         return m
 
     def _link(self, dot):
@@ -205,17 +225,19 @@ def welch(n1, m1, v1, n2, m2, v2):
     return t, dof, t_two_sided_p(t, dof)
 
 
-class StreamingABTest:
+class StreamingABTest(_Once):
     """Two groups (label true/false) of values; per batch one aggregate of
     (n, mean, M2) per group, merged into the running state (Chan et al.).
     ``window`` > 0 keeps only the last ``window`` batches; the first
     ``peace`` batches are ignored.  Each batch appends one result row."""
 
     def __init__(self, group: str = "label", value: str = "value", window: int = 0, peace: int = 0,
-                 alpha: float = 0.05, out_path: str | None = None):
+                 alpha: float = 0.05, out_path: str | None = None, state_path: str | None = None):
         self.group, self.value, self.window, self.peace = group, value, window, peace
         self.alpha = alpha
         self.out_path = out_path
+        self.state_path = state_path
+        # the last ``window`` batches; without a window one merged entry
         self.batches: list[dict] = []
         self.seen = 0
         self.results: list[tuple] = []
@@ -236,7 +258,31 @@ class StreamingABTest:
         m2 = a[2] + b[2] + d * d * a[0] * b[0] / n
         return (n, mean, m2)
 
+    def _add(self, stats: dict) -> dict:
+        """Keep the batch's statistics and return the totals."""
+        if self.window:
+            self.batches = [*self.batches, stats][-self.window:]
+        else:                                # bounded state: one merged entry
+            old = self.batches[0] if self.batches else {}
+            self.batches = [{g: self._merge(old.get(g, (0, 0.0, 0.0)), stats.get(g, (0, 0.0, 0.0)))
+                             for g in (True, False)}]
+        total = {True: (0, 0.0, 0.0), False: (0, 0.0, 0.0)}
+        for b in self.batches:
+            for g in b:
+                total[g] = self._merge(total[g], b[g])
+        return total
+
+    @classmethod
+    def resume(cls, spark, state_path: str, **kw) -> "StreamingABTest":
+        t, st = cls(state_path=state_path, **kw), load_state(spark, state_path)
+        if st is not None:
+            t.last, t.seen = st["batch"], st["seen"]
+            t.batches = [{k == "true": tuple(v) for k, v in b.items()} for b in st["batches"]]
+        return t
+
     def update(self, batch_df: DataFrame, batch_id: int) -> None:
+        if not self._fresh(batch_id):
+            return
         self.seen += 1
         if self.seen <= self.peace:
             return
@@ -244,14 +290,7 @@ class StreamingABTest:
             F.count(self.value).alias("n"), F.avg(self.value).alias("m"),
             (F.coalesce(F.var_pop(self.value), F.lit(0.0)) * F.count(self.value)).alias("m2")).collect()
         stats = {bool(r["g"]): (r["n"], r["m"] or 0.0, r["m2"] or 0.0) for r in rows}
-        self.batches.append(stats)
-        if self.window:
-            self.batches = self.batches[-self.window:]
-        tot = {True: (0, 0.0, 0.0), False: (0, 0.0, 0.0)}
-        for b in self.batches:
-            for g in (True, False):
-                if g in b:
-                    tot[g] = self._merge(tot[g], b[g])
+        tot = self._add(stats)
         (n1, m1, s1), (n2, m2, s2) = tot[True], tot[False]
         if n1 > 1 and n2 > 1:
             t, dof, p = welch(n1, m1, s1 / (n1 - 1), n2, m2, s2 / (n2 - 1))
@@ -260,6 +299,8 @@ class StreamingABTest:
             row = (batch_id, float("nan"), float("nan"), float("nan"), False)
         self.results.append(row)
         self.stopped = bool(row[4])
+        _save_state(self.state_path, batch_id, {"seen": self.seen, "batches": [
+            {str(g).lower(): v for g, v in b.items()} for b in self.batches]}, batch_df.sparkSession)
         if self.out_path:
             batch_df.sparkSession.createDataFrame(
                 [row], "batch long, statistic double, dof double, p_value double, significant boolean") \

@@ -120,9 +120,9 @@ def batch_dirs(base: str, fmt: str = "parquet"):
 
 def batch_log(path: str, label: str = "Counts"):
     """foreachBatch writer: one text line per result row, prefixed with the
-    batch time, appended as the batch's own file set."""
+    time the batch is written, as the batch's own file set."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        line = F.concat_ws(" ", F.lit(f"{label} at batch {batch_id}"),
+        line = F.concat_ws(" ", F.lit(f"{label} at time"), F.current_timestamp().cast("string"),
                            *[F.col(c).cast("string") for c in batch_df.columns])
         batch_df.select(line.alias("value")).write.mode("overwrite").text(
             os.path.join(path, f"batch={batch_id}"))

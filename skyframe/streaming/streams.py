@@ -64,30 +64,40 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+FILE_BYTES = 128 << 20
+
+
 def replay(spark: SparkSession, df: DataFrame, n_batches: int, fmt: str = "parquet",
            folder: str | None = None, order_col: str | None = None) -> DataFrame:
-    """Queue of batches: ``df`` written as ``n_batches`` file sets, read back
-    as a file stream with one file per trigger.
+    """Queue of ``n_batches`` batches: ``df`` written as files, read back as a
+    file stream that takes one batch's files per trigger.  A batch has as many files as
+    its size asks for, each written by its own task.
 
     With ``order_col`` the batches are consecutive ranges of that column
     (event time arriving in order), written one after the other so the
     stream sees them in that order -- a later range never arrives first and
-    pushes the watermark past an earlier one.
+    pushes the watermark past an earlier one.  The ranges come from a
+    quantile sketch; they need not be equal.
     """
     folder = folder or scratch(spark, "replay")
+    # bytes of what is read: estimates above joins multiply and mean nothing
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    size = sum(n for n in known if n < 1 << 62)          # what has no estimate says the largest number
+    per_batch = max(1, size // (n_batches * FILE_BYTES))
     if order_col:
-        probs = [i / n_batches for i in range(1, n_batches)]
-        num = F.unix_micros(F.col(order_col).cast("timestamp")).cast("double") \
+        num = F.unix_micros(F.col(order_col).cast("timestamp")) \
             if dict(df.dtypes)[order_col].startswith("timestamp") else F.col(order_col)
-        cuts = df.select(num.alias("_o")).approxQuantile("_o", probs, 0.0) if probs else []
-        bucket = sum((F.when(num >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+        probs = [i / n_batches for i in range(1, n_batches)]
+        cuts = (df.agg(F.percentile_approx(num, probs, 1000)).first()[0] or []) if probs else []
+        bucket = sum((F.when(num >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
         keyed = df.withColumn("_batch", bucket)
         for i in range(n_batches):
-            (keyed.filter(F.col("_batch") == i).drop("_batch").coalesce(1)
+            (keyed.filter(F.col("_batch") == i).drop("_batch").repartition(per_batch)
                   .write.mode("append").format(fmt).save(folder))
     else:
-        df.repartition(n_batches).write.mode("overwrite").format(fmt).save(folder)
-    return files(spark, folder, fmt, schema=df.schema, max_files_per_trigger=1)
+        df.repartition(n_batches * per_batch).write.mode("overwrite").format(fmt).save(folder)
+    return files(spark, folder, fmt, schema=df.schema, max_files_per_trigger=per_batch)
 
 
 def register_custom(spark: SparkSession, source_cls) -> str:

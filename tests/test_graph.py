@@ -77,3 +77,19 @@ def test_edge_partitioning(spark, edges):
     for s in ("random", "1d", "2d", "canonical"):
         p = gr.partition_edges(edges, s, 4)
         assert p.count() == len(EDGES) and p.agg(F.max("part")).first()[0] < 4
+
+
+def test_long_chains_reach_the_end(spark):
+    """No bound on the rounds: a path longer than any small cap."""
+    n = 70
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(n)], "src long, dst long, weight double").cache()
+    got = {r.id: r.distance for r in gr.sssp(e, 0).collect()}
+    assert got == {i: float(i) for i in range(n + 1)}
+
+
+def test_a_given_bound_that_is_reached_is_an_error(spark):
+    import pytest
+    e = spark.createDataFrame([(i, i + 1) for i in range(6)], "src long, dst long")
+    with pytest.raises(RuntimeError):
+        gr.transitive_closure(e, max_iter=2)
+    assert gr.transitive_closure(e).count() == 21

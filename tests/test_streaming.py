@@ -137,3 +137,53 @@ def test_ab_test_stops_when_significant(spark):
     rows = [(True, 10.0 + i % 3) for i in range(30)] + [(False, 0.0 + i % 3) for i in range(30)]
     t.update(spark.createDataFrame(rows, "g boolean, v double"), 0)
     assert t.should_stop() and t.results[-1][3] < 0.05
+
+
+def test_replayed_batches_count_once(spark, tmp):
+    b = spark.createDataFrame([([1.0],), ([9.0],)], "features array<double>")
+    km = lr.StreamingKMeans([[0.0], [10.0]], state_path=f"{tmp}/km")
+    km.update(b, 0)
+    km.update(b, 0)
+    assert km.weights.tolist() == [1.0, 1.0]
+    back = lr.StreamingKMeans.resume(spark, f"{tmp}/km", [[0.0], [10.0]])
+    back.update(b, 0)
+    assert back.weights.tolist() == [1.0, 1.0]
+    rows = spark.createDataFrame([([1.0], 2.0), ([2.0], 4.0)], "features array<double>, label double")
+    m = lr.StreamingLinearRegression(1, step=0.1, iters=3, state_path=f"{tmp}/lin")
+    m.update(rows, 0)
+    again = lr.StreamingLinearRegression.resume(spark, f"{tmp}/lin", 1, step=0.1, iters=3)
+    assert again.t == 3
+    again.update(rows, 0)
+    again.update(rows, 1)
+    m.update(rows, 1)
+    assert again.w.tolist() == m.w.tolist()
+
+
+def test_ab_test_state_resumes(spark, tmp):
+    rows = spark.createDataFrame([(True, 1.0), (True, 2.0), (False, 1.5), (False, 3.5)] * 4, "g boolean, v double")
+    t = lr.StreamingABTest("g", "v", state_path=f"{tmp}/ab")
+    t.update(rows, 0)
+    back = lr.StreamingABTest.resume(spark, f"{tmp}/ab", group="g", value="v")
+    back.update(rows, 0)
+    back.update(rows, 1)
+    t.update(rows, 1)
+    assert len(t.batches) == 1 and back.results[-1] == t.results[-1]
+
+
+def test_late_files_with_earlier_names_are_read_once(tmp):
+    import os
+    from skyframe.streaming.custom_source import LineFilesStreamReader
+    reader = LineFilesStreamReader(tmp)
+    start = reader.initialOffset()
+    with open(f"{tmp}/b.txt", "w") as f:
+        f.write("one\ntwo")
+    end = reader.latestOffset()
+    first = reader.partitions(start, end)
+    assert [os.path.basename(p.path) for p in first] == ["b.txt"]
+    assert list(reader.read(first[0])) == [("one",), ("two",)]
+    with open(f"{tmp}/a.txt", "w") as f:
+        f.write("late\n")
+    os.utime(f"{tmp}/a.txt", (os.path.getmtime(f"{tmp}/b.txt") + 1,) * 2)
+    later = reader.latestOffset()
+    assert [os.path.basename(p.path) for p in reader.partitions(end, later)] == ["a.txt"]
+    assert reader.partitions(later, reader.latestOffset()) == []
