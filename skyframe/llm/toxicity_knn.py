@@ -11,8 +11,9 @@ k nearest by cosine are exact.  Votes are weighted by nearness
 and calibrated by an isotonic fit of the examples' own leave-one-out votes.
 
 Bounds (parameters): at most about ``max_examples`` examples of either label,
-chosen by a hash of the id over all labelled rows; at most ``max_terms`` terms.
-The index is broadcast; its size is bounded by these two.
+chosen by a hash of the id over all labelled rows; at most ``max_terms`` terms;
+the calibration uses every n-th example, about ``CALIBRATED`` of them.
+The index is broadcast; its size is bounded by the first two.
 
 Defined results: null and empty texts, and texts without any such term, get the
 share of toxic examples among those without any.  Texts are read whole.  Equal texts
@@ -34,8 +35,8 @@ from skyframe.llm.common import crc_remainder, written
 FOLDS, HELD_OUT = 4, 2
 PIECE, K, BLOCK = 5, 15, 64
 THRESHOLD = 0.3
-SLICE_CHARS = 500_000
-VECTOR = "array<struct<term:int,tf:int>>"
+SLICE_CHARS, CALIBRATED = 500_000, 2000
+VECTOR = "struct<term:array<int>,tf:array<int>>"
 FACTORS = np.random.default_rng(3).integers(1 << 62, 1 << 63, PIECE, dtype=np.uint64) | np.uint64(1)
 LETTERS: list = []                           # per worker: code point -> itself if a letter, else 0
 
@@ -107,9 +108,10 @@ def _term_counts(batches):
                 yield pd.DataFrame({"term": found.view(np.int64), "y": np.full(len(found), label, np.int32), "n": n})
 
 
-def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift: float = 5.0) -> np.ndarray:
-    """Terms (hashes, ascending) likelier in toxic examples, by the
-    likelihood-ratio statistic."""
+def telling_terms(examples: DataFrame, max_terms: int, lift: float = 5.0) -> np.ndarray:
+    """Terms (hashes, ascending) ``lift`` times likelier in toxic examples, by
+    the likelihood-ratio statistic; it must pass 2.5 ln(number of terms tested), which
+    by chance less than one term in all does."""
     size = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = float(size.get(1, 0)), float(size.get(0, 0))
     if not n1 or not n0:
@@ -117,7 +119,9 @@ def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift
     c = (examples.select("text", "y").mapInPandas(_term_counts, "term long, y int, n long").groupBy("term")
          .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"),
               F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
-         .filter((F.col("a") >= 3) & (F.col("a") / n1 > lift * F.col("b") / n0)))
+         .filter(F.col("a") + F.col("b") >= 3))
+    c = written(c, "toxic-terms")
+    least = 2.5 * float(np.log(max(c.count(), 2)))
     both = (F.col("a") + F.col("b")) / (n1 + n0)
 
     def part(k, m, p):
@@ -125,6 +129,7 @@ def telling_terms(examples: DataFrame, max_terms: int, least: float = 30.0, lift
 
     g2 = 2 * (part(F.col("a"), n1, both) + part(F.col("b"), n0, both)
               + part(n1 - F.col("a"), n1, 1 - both) + part(n0 - F.col("b"), n0, 1 - both))
+    c = c.filter((F.col("a") >= 3) & (F.col("a") / n1 > lift * F.col("b") / n0))
     top = c.select("term", g2.alias("g2")).filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(max_terms)
     return np.sort(np.array([r["term"] for r in top.collect()], np.int64).view(np.uint64))
 
@@ -138,8 +143,9 @@ class Terms:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(terms >> np.uint64(44)).astype(np.int64)] = True
 
-    def vectors(self, texts: pd.Series) -> list[list[dict]]:
-        out: list = [[] for _ in range(len(texts))]
+    def vectors(self, texts: pd.Series) -> pd.DataFrame:
+        none = np.zeros(0, np.int32)
+        term, tf = [none] * len(texts), [none] * len(texts)
         for a, b in slices(texts) if len(self.terms) else ():
             doc, piece = pieces(texts.iloc[a:b])
             some = np.flatnonzero(self.maybe[(piece >> np.uint64(44)).astype(np.int64)])
@@ -147,10 +153,11 @@ class Terms:
             at = np.minimum(np.searchsorted(self.terms, piece), len(self.terms) - 1)
             hit = self.terms[at] == piece
             pairs, n = np.unique(doc[hit] * len(self.terms) + at[hit], return_counts=True)
-            for p, tf in zip(pairs.tolist(), n.tolist()):
-                d, t = divmod(p, len(self.terms))
-                out[a + d].append({"term": t, "tf": tf})
-        return out
+            doc, found = np.divmod(pairs, len(self.terms))
+            edges = np.flatnonzero(np.diff(doc, prepend=-1, append=-1)) if len(doc) else []
+            for i, j in zip(edges[:-1], edges[1:]):
+                term[a + doc[i]], tf[a + doc[i]] = found[i:j].astype(np.int32), n[i:j].astype(np.int32)
+        return pd.DataFrame({"term": pd.Series(term, dtype=object), "tf": pd.Series(tf, dtype=object)})
 
 
 def vectors(text: Column, shared) -> Column:
@@ -158,10 +165,10 @@ def vectors(text: Column, shared) -> Column:
     made: list = []
 
     @F.pandas_udf(VECTOR)
-    def one(texts: pd.Series) -> pd.Series:
+    def one(texts: pd.Series) -> pd.DataFrame:
         if not made:
             made.append(Terms(shared.value))
-        return pd.Series(made[0].vectors(texts), dtype=object)
+        return made[0].vectors(texts)
     return one(text)
 
 
@@ -174,33 +181,45 @@ class Index:
     y: np.ndarray = field(default_factory=lambda: np.zeros(0))
     postings: dict = field(default_factory=dict)     # term -> (places in their blocks, weights)
     blocks: dict = field(default_factory=dict)       # term -> (maximum, first posting) by block
+    least: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))   # smallest id by block
+    vecs: list = field(default_factory=list)         # (terms, counts) of the examples until calibrated
     prior: float = 0.0
     curve: tuple = ((0.0, 1.0), (0.0, 1.0))          # calibration: votes, shares
 
-    def weights(self, vec) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array([v["term"] for v in vec], np.int64)
-        w = (1 + np.log(np.array([v["tf"] for v in vec], np.float64))) * self.idf[t]
-        norm = np.sqrt((w * w).sum())
-        return (t, w / norm) if norm > 0 else (t[:0], w[:0])
-
-    def add(self, vecs: list) -> None:
-        by_term: dict[int, list] = {}
-        for e, vec in enumerate(vecs):
-            for t, w in zip(*self.weights(vec)):
-                by_term.setdefault(int(t), []).append((e, w))
-        blocks = len(vecs) // BLOCK + 1
-        for t, p in by_term.items():
-            ex, w = np.array([x[0] for x in p]), np.array([x[1] for x in p])
-            start = np.searchsorted(ex // BLOCK, np.arange(blocks + 1))
+    def weights(self, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """Unit vector: (1 + ln tf) * idf."""
+        w = (1 + np.log(tf)) * self.idf[term]
+        return w / np.sqrt((w * w).sum())
+
+    def add(self, ids: list, y: list, terms: list, tfs: list) -> None:
+        """Index the examples.  Those with the same weightiest term stand
+        together, which keeps the block maxima telling."""
+        weights = [self.weights(t, n) for t, n in zip(terms, tfs)]
+        lead = [int(t[w.argmax()]) for t, w in zip(terms, weights)]
+        order = sorted(range(len(ids)), key=lambda e: (lead[e], ids[e]))
+        self.ids, self.y = np.array(ids, np.int64)[order], np.array(y, np.float64)[order]
+        self.vecs = [(terms[e], tfs[e]) for e in order]
+        blocks = len(ids) // BLOCK + 1
+        self.least = np.full(blocks, np.iinfo(np.int64).max)
+        np.minimum.at(self.least, np.arange(len(ids)) // BLOCK, self.ids)
+        if not order:
+            return
+        example = np.repeat(np.arange(len(order)), [len(terms[e]) for e in order])
+        term, weight = np.concatenate([terms[e] for e in order]), np.concatenate([weights[e] for e in order])
+        by_term = np.argsort(term, kind="stable")
+        term, example, weight = term[by_term], example[by_term], weight[by_term]
+        edges = np.flatnonzero(np.diff(term, prepend=-1, append=-1))
+        for a, b in zip(edges[:-1], edges[1:]):
+            ex, w = example[a:b], weight[a:b]
             most = np.zeros(blocks)
             np.maximum.at(most, ex // BLOCK, w)
-            self.postings[t] = (ex % BLOCK, w)
-            self.blocks[t] = (most, start)
+            self.postings[int(term[a])] = (ex % BLOCK, w)
+            self.blocks[int(term[a])] = (most, np.searchsorted(ex // BLOCK, np.arange(blocks + 1)))
 
-    def nearest(self, vec, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, term: np.ndarray, tf: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Exact k nearest examples (numbers, cosines), best first."""
-        t, w = self.weights(vec)
-        known = [(*self.postings[x], *self.blocks[x], v) for x, v in zip(t.tolist(), w.tolist()) if x in self.postings]
+        known = [(*self.postings[x], *self.blocks[x], v) for x, v in
+                 zip(term.tolist(), self.weights(term, tf).tolist()) if x in self.postings]
         best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
         if not known:
             return best_e, best_s
@@ -209,9 +228,9 @@ class Index:
             if bound[b] <= 0:
                 break
             if len(best_e) == k:
-                if bound[b] < best_s[-1] - 1e-12:
+                if bound[b] < best_s[-1] - 1e-11:
                     break
-                if bound[b] <= best_s[-1] + 1e-12 and b * BLOCK > best_e.max():
+                if bound[b] <= best_s[-1] + 1e-11 and self.least[b] > self.ids[best_e].max():
                     continue
             score = np.zeros(BLOCK)
             for ex, wt, most, start, v in known:
@@ -221,7 +240,7 @@ class Index:
             here = np.flatnonzero(score > 0)
             here = here[here + b * BLOCK != without]
             e, s = np.concatenate((best_e, here + b * BLOCK)), np.concatenate((best_s, np.round(score[here], 12)))
-            order = np.lexsort((e, -s))[:k]
+            order = np.lexsort((self.ids[e], -s))[:k]
             best_e, best_s = e[order], s[order]
         return best_e, best_s
 
@@ -235,19 +254,22 @@ class Index:
         share = np.interp(vote, *self.curve)
         return float(min(1.0, max(0.0, 0.98 * share + 0.02 * vote)))
 
-    def calibrate(self, vecs: list, weight: np.ndarray) -> None:
-        """Isotonic fit (pool adjacent violators) of labels on the votes the
-        examples get from all others."""
-        votes = np.array([self.vote(*self.nearest(v, without=e)) for e, v in enumerate(vecs)])
-        order = np.argsort(votes, kind="stable")
+    def calibrate(self, weight: dict) -> None:
+        """Isotonic fit (pool adjacent violators) of labels on the votes that
+        examples get from all others.  ``weight``: how many labelled rows an example
+        of a label stands for."""
+        some = range(0, len(self.vecs), max(1, len(self.vecs) // CALIBRATED))
+        votes = sorted((self.vote(*self.nearest(*self.vecs[e], without=e)), e) for e in some)
         pools: list[list[float]] = []            # weight, toxic weight, sum of votes
-        for i in order:
-            pools.append([weight[i], weight[i] * self.y[i], weight[i] * votes[i]])
+        for v, e in votes:
+            w = weight[int(self.y[e])]
+            pools.append([w, w * self.y[e], w * v])
             while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
                 last = pools.pop()
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
         if pools:
             self.curve = ([p[2] / p[0] for p in pools], [(p[1] + 0.1 * self.prior) / (p[0] + 0.1) for p in pools])
+        self.vecs = []                           # not broadcast
 
 
 @dataclass
@@ -258,7 +280,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 5000,
-        max_terms: int = 4000) -> Model:
+        max_terms: int = 1500) -> Model:
     spark = docs.sparkSession
     chosen, keep = sample_labelled(labels, label, FOLDS, HELD_OUT, max_examples)
     # at most about 2 * max_examples ids
@@ -273,15 +295,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     for r in vecs.select(F.explode("vec.term").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         df[r["t"]] = r["n"]
     index = Index(np.log((n + 1) / (df + 1)) + 1)
-    rows = examples.select("doc_id", "y", vectors(F.col("text"), terms).alias("vec")).collect()
+    rows = (examples.select("doc_id", "y", vectors(F.col("text"), terms).alias("vec"))
+                    .select("doc_id", "y", "vec.term", "vec.tf").toArrow().to_pandas())
     weight = {y: 1 / (keep.get(y) or 1.0) for y in (0, 1)}
-    bare = [r["y"] for r in rows if not r["vec"]]
-    toxic, clean = sum(bare) * weight[1], (len(bare) - sum(bare)) * weight[0]
-    index.prior = toxic / (toxic + clean + 1) if bare else 0.0
-    rows = sorted((r for r in rows if r["vec"]), key=lambda r: r["doc_id"])
-    index.ids, index.y = np.array([r["doc_id"] for r in rows], np.int64), np.array([r["y"] for r in rows], float)
-    index.add([r["vec"] for r in rows])
-    index.calibrate([r["vec"] for r in rows], np.array([weight[r["y"]] for r in rows]))
+    bare = rows["y"][rows["term"].map(len) == 0]
+    toxic, clean = (bare == 1).sum() * weight[1], (bare == 0).sum() * weight[0]
+    index.prior = float(toxic / (toxic + clean + 1))
+    rows = rows[rows["term"].map(len) > 0]
+    index.add(rows["doc_id"].tolist(), rows["y"].tolist(), rows["term"].tolist(), rows["tf"].tolist())
+    index.calibrate(weight)
     return Model(terms, spark.sparkContext.broadcast(index), vecs)
 
 
@@ -292,29 +314,32 @@ def scored(vec: Column, model: Model) -> Column:
     seen: dict = {}
 
     @F.pandas_udf("struct<score:double,evidence:string>")
-    def one(batch: pd.Series) -> pd.DataFrame:
-        ix, out = index.value, []
-        for vec in batch:
-            if vec is None or len(vec) == 0:
-                out.append((ix.prior, ""))
-                continue
-            key = tuple((v["term"], v["tf"]) for v in vec)
-            if key not in seen:
-                if len(seen) > 100_000:
-                    seen.clear()
-                e, s = ix.nearest(vec)
-                seen[key] = (ix.score(ix.vote(e, s)), ",".join(
-                    f"{ix.ids[a]}:{int(ix.y[a])}:{c:.4f}" for a, c in zip(e[:3], s[:3])))
-            out.append(seen[key])
-        return pd.DataFrame({"score": np.array([o[0] for o in out], np.float64),
-                             "evidence": pd.Series([o[1] for o in out], dtype=object)})
+    def one(batch: pd.DataFrame) -> pd.DataFrame:
+        ix, score, evidence = index.value, [], []
+        for term, tf in zip(batch["term"], batch["tf"]):
+            if term is None or len(term) == 0:
+                found = (ix.prior, "")
+            else:
+                key = term.tobytes() + tf.tobytes()
+                if key not in seen:
+                    if len(seen) > 20_000:
+                        seen.clear()
+                    e, s = ix.nearest(term, tf)
+                    seen[key] = (ix.score(ix.vote(e, s)), ",".join(
+                        f"{ix.ids[a]}:{int(ix.y[a])}:{c:.4f}" for a, c in zip(e[:3], s[:3])))
+                found = seen[key]
+            score.append(found[0])
+            evidence.append(found[1])
+        return pd.DataFrame({"score": np.array(score, np.float64), "evidence": pd.Series(evidence, dtype=object)})
     return one(vec)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence of every document."""
     model = fit(docs, labels, **bounds)
-    s = model.vectors.select("doc_id", scored(F.col("vec"), model).alias("s"))
+    # The vectors are small and scoring them is the work: spread them anew.
+    vecs = model.vectors.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    s = vecs.select("doc_id", scored(F.col("vec"), model).alias("s"))
     return s.select("doc_id", (crc_remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "s.score",
                     F.when(F.col("s.score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), "s.evidence")
 

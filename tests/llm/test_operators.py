@@ -210,12 +210,12 @@ def test_mix_meets_targets_with_a_hot_source(spark):
     rng = random.Random(1)
     rows = [(i, "w " * int(rng.lognormvariate(3, 1) + 1), "hot" if i % 3 else f"s{i % 7}") for i in range(3000)]
     got = pivotal_mix.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    taken, copies = Counter(), Counter()
+    taken, largest = Counter(), Counter()
     for r in got:
         taken[r["source_size"], r["target"]] += r["size"] * r["copies"]
-        copies[r["source_size"]] += 1
-    for (_, target), n in taken.items():
-        assert abs(n - target) <= max(60, 0.01 * target)
+        largest[r["source_size"], r["target"]] = max(largest[r["source_size"], r["target"]], r["size"])
+    for key, n in taken.items():
+        assert abs(n - key[1]) < largest[key]
 
 
 def test_rounding_is_unbiased(spark):
@@ -490,19 +490,17 @@ def test_toxicity(spark):
 
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(5)
-    vecs = [[{"term": int(t), "tf": int(rng.integers(1, 4))} for t in np.sort(rng.choice(30, rng.integers(1, 6), False))]
-            for _ in range(700)]
+    terms = [np.sort(rng.choice(30, rng.integers(1, 6), False)) for _ in range(700)]
+    tfs = [rng.integers(1, 4, len(t)) for t in terms]
     ix = toxicity_knn.Index(rng.random(30) + 0.5)
-    ix.ids, ix.y = np.arange(700), np.zeros(700)
-    ix.add(vecs)
+    ix.add(rng.permutation(700).tolist(), [0] * 700, terms, tfs)
     dense = np.zeros((700, 30))
-    for e, v in enumerate(vecs):
-        t, w = ix.weights(v)
-        dense[e, t] = w
+    for e, (t, n) in enumerate(ix.vecs):
+        dense[e, t] = ix.weights(t, n)
     for q in range(0, 700, 23):
-        e, s = ix.nearest(vecs[q])
+        e, s = ix.nearest(*ix.vecs[q])
         cos = np.round(dense @ dense[q], 12)
-        want = [i for i in np.lexsort((np.arange(700), -cos)) if cos[i] > 0][:toxicity_knn.K]
+        want = [i for i in np.lexsort((ix.ids, -cos)) if cos[i] > 0][:toxicity_knn.K]
         assert e.tolist() == want and np.allclose(s, cos[want])
 
 
