@@ -98,6 +98,7 @@ def mlp(df: DataFrame, layers: list[int], features="features", label="label", bl
 
 
 def one_vs_rest(df: DataFrame, base=None, features="features", label="label"):
+    # fixed values: the settings whose results are to match
     base = base or C.LogisticRegression(maxIter=10, tol=1e-6, fitIntercept=True)
     return C.OneVsRest(classifier=base, featuresCol=features, labelCol=label).fit(df)
 

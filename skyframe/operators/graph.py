@@ -328,8 +328,13 @@ def partition_edges(edges: DataFrame, strategy: str, n: int) -> DataFrame:
     return edges.withColumn("part", p.cast("int")).repartition(n, "part")
 
 
-def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree", seed: int = 42) -> DataFrame:
-    """Power iteration clustering on (src, dst, weight) similarities."""
+def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree") -> DataFrame:
+    """Power iteration clustering on (src, dst, weight) similarities.  The
+    estimator wants every unordered pair once, so parallel and opposite edges are
+    added up and loops left out.  ``init`` "degree" draws nothing at random."""
+    a, b = F.least("src", "dst"), F.greatest("src", "dst")
+    similarities = (similarities.filter(F.col("src") != F.col("dst")).groupBy(a.alias("src"), b.alias("dst"))
+                                .agg(F.sum("weight").alias("weight")))
     from pyspark.ml.clustering import PowerIterationClustering
     p = PowerIterationClustering(k=k, maxIter=iters, initMode=init, srcCol="src", dstCol="dst",
                                  weightCol="weight")

@@ -260,6 +260,11 @@ def ordered_running(df: DataFrame, key: str, order: list, sums: list[str] = (),
     parts = max(1, spark.sparkContext.defaultParallelism,
                 int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
     ranged = df.repartitionByRange(parts, F.col(key), *order).withColumn("_pid", F.spark_partition_id())
+    # Written once: both sides of the join below must see the same ranges,
+    # also after a lost executor, and the input is read only here.
+    from skyframe.session import checkpoint_dir
+    checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     w = Window.partitionBy(key, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_lr", F.count(F.lit(1)).over(w))
     for c in sums:

@@ -8,6 +8,8 @@ HUGEINT).
 
 from __future__ import annotations
 
+from skyframe.operators.logs import APACHE_LOG_PATTERN as LOG_PATTERN
+
 ORACLE: dict[str, str] = {}
 
 ORIGIN = "NATION_3"
@@ -117,7 +119,6 @@ PAGE_VIEWS = """page_views AS (
   SELECT event_type AS url, CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
          CAST(user_id % 10 AS INTEGER) AS zip, user_id, ts FROM events)"""
 
-LOG_PATTERN = r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\d\-]+) "([^"]+)" "([^"]+)".*'
 LOG_LINES = """log_lines AS (
   SELECT CASE WHEN event_type = 'error' THEN 'malformed ' || CAST(event_id AS VARCHAR) ELSE
     '10.0.' || CAST((user_id // 256) % 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR) || ' - ' ||

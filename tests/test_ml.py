@@ -1,5 +1,6 @@
 """Features, statistics, patterns, evaluation, UDFs and models on the small
-inputs of the original examples (values derived by hand where noted)."""
+inputs of the original examples (values derived by hand where noted).  Those
+input tables are fixed values: the asserted results belong to them."""
 
 import math
 

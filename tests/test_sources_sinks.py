@@ -13,6 +13,7 @@ from skyframe.sources import catalog as cat
 from skyframe.sources import files as src
 from skyframe.sources import sinks as sk
 
+# The rows whose results are to match.
 PEOPLE = [{"name": "Michael"}, {"name": "Andy", "age": 30}, {"name": "Justin", "age": 19}]
 EMPLOYEES = [{"name": "Michael", "salary": 3000}, {"name": "Andy", "salary": 4500},
              {"name": "Justin", "salary": 3500}, {"name": "Berta", "salary": 4000}]
