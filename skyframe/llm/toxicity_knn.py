@@ -38,24 +38,22 @@ THRESHOLD = 0.3
 SLICE_CHARS, CALIBRATED = 500_000, 2000
 VECTOR = "struct<term:array<int>,tf:array<int>>"
 FACTORS = np.random.default_rng(3).integers(1 << 62, 1 << 63, PIECE, dtype=np.uint64) | np.uint64(1)
-LETTERS: list = []                           # per worker: code point -> itself if a letter, else 0
 
 
-def _letters() -> np.ndarray:
-    if not LETTERS:
-        points = np.arange(0x110000, dtype=np.uint32)
-        letter = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
-        LETTERS.append(np.where(letter, points, 0).astype(np.uint32))
-    return LETTERS[0]
+def letter_table() -> np.ndarray:
+    """Code point -> itself if it is a letter, else 0.  Made once and
+    broadcast (4 MB): functions reach the workers anew with every task."""
+    letter = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
+    return np.where(letter, np.arange(0x110000, dtype=np.uint32), 0).astype(np.uint32)
 
 
-def pieces(texts) -> tuple[np.ndarray, np.ndarray]:
+def pieces(texts, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pieces of the texts: (index of the text, hash of the piece).
     A piece is 5 characters of which only the first and the last may be no
     letter; such an end marks where the word begins or ends."""
     lines = [f" {t.lower()} " if t else "  " for t in texts]
     code = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), np.uint32)
-    code = _letters()[code].astype(np.uint64)
+    code = letters[code].astype(np.uint64)
     n = len(code) - PIECE + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -94,11 +92,11 @@ def sample_labelled(labels: DataFrame, label: str, folds: int, held_out: int, bo
     return y.filter(unit < rate), keep
 
 
-def _term_counts(batches):
+def _term_counts(batches, letters: np.ndarray):
     """Per term and label: in how many of a slice's examples it occurs."""
     for pdf in batches:
         for a, b in slices(pdf["text"]):
-            doc, term = pieces(pdf["text"].iloc[a:b])
+            doc, term = pieces(pdf["text"].iloc[a:b], letters)
             order = np.lexsort((term, doc))
             doc, term = doc[order], term[order]
             new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])))[:len(doc)]
@@ -108,7 +106,7 @@ def _term_counts(batches):
                 yield pd.DataFrame({"term": found.view(np.int64), "y": np.full(len(found), label, np.int32), "n": n})
 
 
-def telling_terms(examples: DataFrame, max_terms: int, lift: float = 5.0) -> np.ndarray:
+def telling_terms(examples: DataFrame, letters, max_terms: int, lift: float = 5.0) -> np.ndarray:
     """Terms (hashes, ascending) ``lift`` times likelier in toxic examples, by
     the likelihood-ratio statistic; it must pass 2.5 ln(number of terms tested), which
     by chance less than one term in all does."""
@@ -116,7 +114,7 @@ def telling_terms(examples: DataFrame, max_terms: int, lift: float = 5.0) -> np.
     n1, n0 = float(size.get(1, 0)), float(size.get(0, 0))
     if not n1 or not n0:
         return np.zeros(0, np.uint64)
-    c = (examples.select("text", "y").mapInPandas(_term_counts, "term long, y int, n long").groupBy("term")
+    c = (examples.select("text", "y").mapInPandas(lambda b: _term_counts(b, letters.value), "term long, y int, n long").groupBy("term")
          .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"),
               F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
          .filter(F.col("a") + F.col("b") >= 3))
@@ -138,8 +136,8 @@ def telling_terms(examples: DataFrame, max_terms: int, lift: float = 5.0) -> np.
 class Terms:
     """Finds the terms in texts; most pieces fall through a small filter."""
 
-    def __init__(self, terms: np.ndarray):
-        self.terms = terms
+    def __init__(self, terms: np.ndarray, letters: np.ndarray):
+        self.terms, self.letters = terms, letters
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(terms >> np.uint64(44)).astype(np.int64)] = True
 
@@ -147,7 +145,7 @@ class Terms:
         none = np.zeros(0, np.int32)
         term, tf = [none] * len(texts), [none] * len(texts)
         for a, b in slices(texts) if len(self.terms) else ():
-            doc, piece = pieces(texts.iloc[a:b])
+            doc, piece = pieces(texts.iloc[a:b], self.letters)
             some = np.flatnonzero(self.maybe[(piece >> np.uint64(44)).astype(np.int64)])
             doc, piece = doc[some], piece[some]
             at = np.minimum(np.searchsorted(self.terms, piece), len(self.terms) - 1)
@@ -161,13 +159,14 @@ class Terms:
 
 
 def vectors(text: Column, shared) -> Column:
-    """Term numbers and counts of each text; ``shared`` broadcasts the terms."""
+    """Term numbers and counts of each text; ``shared`` broadcasts the terms
+    and the letter table."""
     made: list = []
 
     @F.pandas_udf(VECTOR)
     def one(texts: pd.Series) -> pd.DataFrame:
         if not made:
-            made.append(Terms(shared.value))
+            made.append(Terms(*shared.value))
         return made[0].vectors(texts)
     return one(text)
 
@@ -288,10 +287,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     examples = (examples.groupBy(F.xxhash64("text").alias("th"))      # copies count once
                         .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("y").alias("y")))
     examples = written(examples, "toxic-examples")
-    terms = spark.sparkContext.broadcast(telling_terms(examples, max_terms))
+    letters = spark.sparkContext.broadcast(letter_table())
+    found = telling_terms(examples, letters, max_terms)
+    terms = spark.sparkContext.broadcast((found, letters.value))
     vecs = written(docs.select("doc_id", vectors(F.col("text"), terms).alias("vec")), "toxic-vectors")
     n = vecs.count()
-    df = np.zeros(len(terms.value))
+    df = np.zeros(len(found))
     for r in vecs.select(F.explode("vec.term").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         df[r["t"]] = r["n"]
     index = Index(np.log((n + 1) / (df + 1)) + 1)
