@@ -1,5 +1,64 @@
-"""DuckDB statements for the queries that SQL can express."""
+"""DuckDB statements for the queries that SQL can express, written from the
+contracts rather than from the Spark code."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# The patterns of the contract; runs are written with their
+# least length.
+_PATTERNS = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", "AKIA[A-Z0-9]{16,}"), ("hex", "[0-9a-f]{24,}"), ("entropy", "[A-Za-z0-9+/_=-]{20,}"))
+
+
+def _spans(k: int) -> str:
+    """Spans of pattern ``k`` per text: pieces between matches give the places."""
+    kind, pattern = _PATTERNS[k]
+    p = pattern.replace("'", "''")
+    return f"""{kind}_hits AS (
+  SELECT row, regexp_extract_all(text, '{p}') AS hits, regexp_split_to_array(text, '{p}') AS gaps FROM t
+  WHERE regexp_matches(text, '{p}')),
+{kind}_at AS (
+  SELECT row, hits[i] AS hit, {k} AS kind,
+         CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+              + COALESCE(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM {kind}_hits))"""
+
+
+ORACLE: dict[str, str] = {"op7_secret_scan": f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, COALESCE(text, '') AS text FROM documents),
+{", ".join(_spans(k) for k in range(4))},
+base AS (
+  SELECT row, kind, s, s + length(hit) AS e FROM assign_at
+  WHERE length(regexp_extract(hit, '{_PATTERNS[0][1].replace("'", "''")}', 1)) >= 6
+  UNION ALL SELECT row, kind, s, s + length(hit) FROM access_at
+  UNION ALL SELECT row, kind, s, s + length(hit) FROM hex_at),
+bits AS (
+  SELECT row, kind, s, s + length(hit) AS e, hit,
+         list_max(list_transform(range(1, length(hit) - 18), lambda i: list_sum(list_transform(
+           list_distinct(string_split(hit[i:i + 19], '')), lambda c:
+           -(20 - length(replace(hit[i:i + 19], c, ''))) / 20.0 * log2((20 - length(replace(hit[i:i + 19], c, ''))) / 20.0)
+         )))) AS h
+  FROM entropy_at
+  WHERE regexp_matches(hit, '[0-9]') AND NOT regexp_full_match(hit, '[0-9_=+/-]+')
+    AND NOT regexp_full_match(hit, '[0-9A-Fa-f]{{8}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{12}}')
+    AND NOT regexp_matches(hit, '(?i:example|sample|placeholder|xxxxxx)')
+    AND NOT list_contains(list_transform(range(1, length(hit) - 8),
+                                         lambda i: hit[i:i + 9] = repeat(hit[i:i], 10)), true)
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = entropy_at.row AND b.s < entropy_at.s + length(hit)
+                    AND entropy_at.s < b.e)),
+extra AS (
+  SELECT row, kind, s, e FROM bits
+  WHERE h >= CASE WHEN regexp_full_match(hit, '[0-9A-Fa-f]+') THEN 3.0
+                  WHEN regexp_full_match(hit, '[A-Z0-9]+') THEN 3.4 ELSE 3.7 END),
+b AS (
+  SELECT row, COUNT(*) FILTER (WHERE kind = 0) AS n_assign, COUNT(*) FILTER (WHERE kind = 1) AS n_access,
+         COUNT(*) FILTER (WHERE kind = 2) AS n_hex,
+         string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind) AS listed
+  FROM base GROUP BY row),
+a AS (
+  SELECT row, string_agg(['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind)
+           AS listed
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM extra) GROUP BY row)
+SELECT t.doc_id, COALESCE(b.n_assign, 0) AS n_assign, COALESCE(b.n_access, 0) AS n_access,
+       COALESCE(b.n_hex, 0) AS n_hex, sha256(COALESCE(b.listed, '')) AS base_sha256, COALESCE(a.listed, '') AS spans
+FROM t LEFT JOIN b ON t.row = b.row LEFT JOIN a ON t.row = a.row"""}

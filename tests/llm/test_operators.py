@@ -520,3 +520,20 @@ def test_flattened_trees():
             total += leaf[i - len(f)]
         return 1 / (1 + math.exp(-total))
     assert np.allclose(t.score(x[:50]), [walk(r) for r in x[:50]])
+
+
+def test_secret_sql_agrees(spark, docs):
+    """The DuckDB statement, entropy spans included."""
+    import duckdb
+    from skyframe.llm.sql import ORACLE
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    more = [(2000 + i, "x " + "".join(rng.choice(chars[:rng.randint(8, 64)]) for _ in range(rng.randint(18, 60))) + " y")
+            for i in range(40)] + [(3000, "0123456789" * 4 + "a"), (3001, "aaaaaaaaaaaaaaaaaaaaaaaa1")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    got = secret_scan.report(df)
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE['op7_secret_scan']})").fetchall()
+    assert multiset(got.collect()) == Counter(want)
+    assert any("entropy" in r[5] for r in want)
