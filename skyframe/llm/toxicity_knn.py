@@ -1,22 +1,24 @@
 """Toxicity by the nearest labelled examples.
 
-The space is TF-IDF over pieces of words that speak for the label: runs of 5
-characters of a lower-case word, its two ends marked, kept if a likelihood-ratio test on the
-labelled examples finds them far likelier in toxic ones.  Document
-frequencies come from all documents.  Examples lie in a block-max inverted
-index: per term the postings by example, and per block of 64 examples the
-largest weight.  A query adds up the block maxima to upper bounds, visits blocks
-from the highest bound and stops when no bound can beat the k-th best, so the
+The space is TF-IDF over pieces of words: runs of 5 characters of a lower-case
+word, its two ends marked.  The terms are all pieces of the labelled examples;
+document frequencies come from all documents.  Examples lie in an inverted
+index: terms of at least ``1 / COMMON`` of the examples as rows of a matrix, the others
+as postings.  A batch of queries gets its cosines with every example in single precision;
+those within ``MARGIN`` of the k-th best are summed again in double, so the
 k nearest by cosine are exact.  Votes are weighted by nearness
 and calibrated by an isotonic fit of the examples' own leave-one-out votes.
 
 Bounds (parameters): at most about ``max_examples`` examples of either label,
-chosen by a hash of the id over all labelled rows; at most ``max_terms`` terms;
-the calibration uses every n-th example, about ``CALIBRATED`` of them.
-The index is broadcast; its size is bounded by the first two.
-
-Defined results: null and empty texts, and texts without any such term, get the
-share of toxic examples among those without any.  Texts are read whole.  Equal texts
+chosen by a hash of the id over all labelled rows; the calibration uses every
+n-th example, about ``CALIBRATED`` of them.  The index is collected and broadcast; it
+holds the examples' distinct pieces, so its size is bounded by the number and length of
+the examples.
+
+Defined results: texts without any term of the examples (null and empty ones too)
+get the share of toxic examples among those without any, drawn to the share among all
+labelled rows.  Pieces that no example has are no terms, and not in a text's norm.
+Texts are read whole.  Equal texts
 get equal scores; ties among examples go to the smaller doc_id.  Without any
 usable label every score is 0.
 """
@@ -24,6 +26,7 @@ usable label every score is 0.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 from skyframe.llm.common import crc_remainder, written
 
 FOLDS, HELD_OUT = 4, 2
-PIECE, K, BLOCK = 5, 15, 64
+PIECE, K = 5, 15
+COMMON, MARGIN = 8, 2e-4
 THRESHOLD = 0.3
 SLICE_CHARS, CALIBRATED = 500_000, 2000
 VECTOR = "struct<term:array<int>,tf:array<int>>"
@@ -92,72 +96,79 @@ def sample_labelled(labels: DataFrame, label: str, folds: int, held_out: int, bo
     return y.filter(unit < rate), keep
 
 
-def _term_counts(batches, letters: np.ndarray):
-    """Per term and label: in how many of a slice's examples it occurs."""
+def _distinct_pieces(batches, letters):
     for pdf in batches:
         for a, b in slices(pdf["text"]):
-            doc, term = pieces(pdf["text"].iloc[a:b], letters)
-            order = np.lexsort((term, doc))
-            doc, term = doc[order], term[order]
-            new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])))[:len(doc)]
-            y = pdf["y"].to_numpy()[a:b][doc[new]]
-            for label in (0, 1):
-                found, n = np.unique(term[new][y == label], return_counts=True)
-                yield pd.DataFrame({"term": found.view(np.int64), "y": np.full(len(found), label, np.int32), "n": n})
-
-
-def telling_terms(examples: DataFrame, letters, max_terms: int, lift: float = 5.0) -> np.ndarray:
-    """Terms (hashes, ascending) ``lift`` times likelier in toxic examples, by
-    the likelihood-ratio statistic; it must pass 2.5 ln(number of terms tested), which
-    by chance less than one term in all does."""
-    size = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = float(size.get(1, 0)), float(size.get(0, 0))
-    if not n1 or not n0:
-        return np.zeros(0, np.uint64)
-    c = (examples.select("text", "y").mapInPandas(lambda b: _term_counts(b, letters.value), "term long, y int, n long").groupBy("term")
-         .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).cast("double").alias("a"),
-              F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).cast("double").alias("b"))
-         .filter(F.col("a") + F.col("b") >= 3))
-    c = written(c, "toxic-terms")
-    least = 2.5 * float(np.log(max(c.count(), 2)))
-    both = (F.col("a") + F.col("b")) / (n1 + n0)
-
-    def part(k, m, p):
-        return F.when(k > 0, k * F.log(k / (m * p))).otherwise(0.0)
-
-    g2 = 2 * (part(F.col("a"), n1, both) + part(F.col("b"), n0, both)
-              + part(n1 - F.col("a"), n1, 1 - both) + part(n0 - F.col("b"), n0, 1 - both))
-    c = c.filter((F.col("a") >= 3) & (F.col("a") / n1 > lift * F.col("b") / n0))
-    top = c.select("term", g2.alias("g2")).filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(max_terms)
-    return np.sort(np.array([r["term"] for r in top.collect()], np.int64).view(np.uint64))
+            yield pd.DataFrame({"term": np.unique(pieces(pdf["text"].iloc[a:b], letters.value)[1]).view(np.int64)})
+
+
+def vocabulary(examples: DataFrame, letters) -> np.ndarray:
+    """All terms (hashes, ascending) of the examples."""
+    found = examples.select("text").mapInPandas(lambda b: _distinct_pieces(b, letters), "term long").distinct()
+    return np.sort(found.toArrow()["term"].to_numpy().view(np.uint64))
 
 
 # ---------------------------------------------------------------- vectors
 class Terms:
-    """Finds the terms in texts; most pieces fall through a small filter."""
+    """Finds the terms in texts, by a table over the first bits of their hashes."""
+    SHIFT = np.uint64(43)
 
     def __init__(self, terms: np.ndarray, letters: np.ndarray):
         self.terms, self.letters = terms, letters
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(terms >> np.uint64(44)).astype(np.int64)] = True
-
-    def vectors(self, texts: pd.Series) -> pd.DataFrame:
+        slot = (terms >> self.SHIFT).astype(np.int64)
+        self.first = np.zeros(1 << 21, np.int32)             # slot -> its first term
+        self.first[slot[::-1]] = np.arange(len(terms), dtype=np.int32)[::-1]
+        self.crowded = np.bincount(slot, minlength=1 << 21) > 1
+
+    def found(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of the text, number of the term, count), in that order."""
+        doc, piece = pieces(texts, self.letters)
+        slot = (piece >> self.SHIFT).astype(np.int64)
+        at = self.first[slot].astype(np.int64)
+        rest = np.flatnonzero((self.terms[at] != piece) & self.crowded[slot])
+        at[rest] = np.minimum(np.searchsorted(self.terms, piece[rest]), len(self.terms) - 1)
+        hit = self.terms[at] == piece
+        pairs, n = np.unique(doc[hit] * len(self.terms) + at[hit], return_counts=True)
+        doc, term = np.divmod(pairs, len(self.terms))
+        return doc, term.astype(np.int32), n.astype(np.int32)
+
+    def each(self, texts: pd.Series) -> tuple[list, list]:
+        """Term numbers and counts of each text."""
         none = np.zeros(0, np.int32)
-        term, tf = [none] * len(texts), [none] * len(texts)
-        for a, b in slices(texts) if len(self.terms) else ():
-            doc, piece = pieces(texts.iloc[a:b], self.letters)
-            some = np.flatnonzero(self.maybe[(piece >> np.uint64(44)).astype(np.int64)])
-            doc, piece = doc[some], piece[some]
-            at = np.minimum(np.searchsorted(self.terms, piece), len(self.terms) - 1)
-            hit = self.terms[at] == piece
-            pairs, n = np.unique(doc[hit] * len(self.terms) + at[hit], return_counts=True)
-            doc, found = np.divmod(pairs, len(self.terms))
+        terms, tfs = [none] * len(texts), [none] * len(texts)
+        if len(self.terms):
+            doc, term, tf = self.found(texts)
             edges = np.flatnonzero(np.diff(doc, prepend=-1, append=-1)) if len(doc) else []
             for i, j in zip(edges[:-1], edges[1:]):
-                term[a + doc[i]], tf[a + doc[i]] = found[i:j].astype(np.int32), n[i:j].astype(np.int32)
+                terms[doc[i]], tfs[doc[i]] = term[i:j], tf[i:j]
+        return terms, tfs
+
+    def vectors(self, texts: pd.Series) -> pd.DataFrame:
+        term, tf = [], []
+        for a, b in slices(texts):
+            terms, tfs = self.each(texts.iloc[a:b])
+            term += terms
+            tf += tfs
         return pd.DataFrame({"term": pd.Series(term, dtype=object), "tf": pd.Series(tf, dtype=object)})
 
 
+def frequencies(docs: DataFrame, shared, terms: int) -> tuple[np.ndarray, int]:
+    """In how many documents each term occurs, and the number of documents."""
+    def count(batches):
+        known, total, rows = Terms(*shared.value), np.zeros(terms, np.int64), 0
+        for pdf in batches:
+            rows += len(pdf)
+            for a, b in slices(pdf["text"]) if terms else ():
+                total += np.bincount(known.found(pdf["text"].iloc[a:b])[1], minlength=terms)
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(total[some], rows)})
+
+    counts = docs.select("text").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(terms + 1, np.int64)
+    df[counts["term"].to_numpy()] = counts["n"].to_numpy()
+    return df[:-1], int(df[-1])
+
+
 def vectors(text: Column, shared) -> Column:
     """Term numbers and counts of each text; ``shared`` broadcasts the terms
     and the letter table."""
@@ -174,13 +185,15 @@ def vectors(text: Column, shared) -> Column:
 # ---------------------------------------------------------------- index
 @dataclass
 class Index:
-    """Block-max inverted index over the examples' unit vectors."""
+    """Inverted index over the examples' unit vectors."""
     idf: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     y: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    postings: dict = field(default_factory=dict)     # term -> (places in their blocks, weights)
-    blocks: dict = field(default_factory=dict)       # term -> (maximum, first posting) by block
-    least: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))   # smallest id by block
+    start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))   # of each example in the next two
+    term: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    tf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    norm: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    lists: tuple | None = None                       # made from these, once in a process
     vecs: list = field(default_factory=list)         # (terms, counts) of the examples until calibrated
     prior: float = 0.0
     curve: tuple = ((0.0, 1.0), (0.0, 1.0))          # calibration: votes, shares
@@ -191,57 +204,86 @@ class Index:
         return w / np.sqrt((w * w).sum())
 
     def add(self, ids: list, y: list, terms: list, tfs: list) -> None:
-        """Index the examples.  Those with the same weightiest term stand
-        together, which keeps the block maxima telling."""
-        weights = [self.weights(t, n) for t, n in zip(terms, tfs)]
-        lead = [int(t[w.argmax()]) for t, w in zip(terms, weights)]
-        order = sorted(range(len(ids)), key=lambda e: (lead[e], ids[e]))
+        """Index the examples, by ascending id."""
+        order = sorted(range(len(ids)), key=lambda e: ids[e])
         self.ids, self.y = np.array(ids, np.int64)[order], np.array(y, np.float64)[order]
         self.vecs = [(terms[e], tfs[e]) for e in order]
-        blocks = len(ids) // BLOCK + 1
-        self.least = np.full(blocks, np.iinfo(np.int64).max)
-        np.minimum.at(self.least, np.arange(len(ids)) // BLOCK, self.ids)
+        self.start = np.cumsum([0] + [len(t) for t, _ in self.vecs])
         if not order:
             return
-        example = np.repeat(np.arange(len(order)), [len(terms[e]) for e in order])
-        term, weight = np.concatenate([terms[e] for e in order]), np.concatenate([weights[e] for e in order])
-        by_term = np.argsort(term, kind="stable")
-        term, example, weight = term[by_term], example[by_term], weight[by_term]
-        edges = np.flatnonzero(np.diff(term, prepend=-1, append=-1))
-        for a, b in zip(edges[:-1], edges[1:]):
-            ex, w = example[a:b], weight[a:b]
-            most = np.zeros(blocks)
-            np.maximum.at(most, ex // BLOCK, w)
-            self.postings[int(term[a])] = (ex % BLOCK, w)
-            self.blocks[int(term[a])] = (most, np.searchsorted(ex // BLOCK, np.arange(blocks + 1)))
-
-    def nearest(self, term: np.ndarray, tf: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Exact k nearest examples (numbers, cosines), best first."""
-        known = [(*self.postings[x], *self.blocks[x], v) for x, v in
-                 zip(term.tolist(), self.weights(term, tf).tolist()) if x in self.postings]
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        if not known:
-            return best_e, best_s
-        bound = sum(v * most for _, _, most, _, v in known)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0:
-                break
-            if len(best_e) == k:
-                if bound[b] < best_s[-1] - 1e-11:
-                    break
-                if bound[b] <= best_s[-1] + 1e-11 and self.least[b] > self.ids[best_e].max():
-                    continue
-            score = np.zeros(BLOCK)
-            for ex, wt, most, start, v in known:
-                if most[b] > 0:
-                    part = slice(start[b], start[b + 1])
-                    score[ex[part]] += v * wt[part]
-            here = np.flatnonzero(score > 0)
-            here = here[here + b * BLOCK != without]
-            e, s = np.concatenate((best_e, here + b * BLOCK)), np.concatenate((best_s, np.round(score[here], 12)))
-            order = np.lexsort((self.ids[e], -s))[:k]
-            best_e, best_s = e[order], s[order]
-        return best_e, best_s
+        self.term = np.concatenate([t for t, _ in self.vecs]).astype(np.int32)
+        self.tf = np.concatenate([n for _, n in self.vecs])
+        self.tf = self.tf.astype(np.min_scalar_type(self.tf.max()))
+        self.norm = np.array([np.sqrt((((1 + np.log(n)) * self.idf[t]) ** 2).sum()) for t, n in self.vecs])
+
+    def made(self) -> tuple:
+        """(row of each term in the matrix or -1, matrix of the common terms by example,
+        first posting of each term, examples, weights of the others), in single precision."""
+        if self.lists is None:
+            n, terms = len(self.ids), len(self.idf)
+            example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+            weight = ((1 + np.log(self.tf, dtype=np.float32)) * self.idf.astype(np.float32)[self.term]
+                      / self.norm.astype(np.float32)[example])
+            common = np.flatnonzero(np.bincount(self.term, minlength=terms) * COMMON >= n)
+            row = np.full(terms, -1)
+            row[common] = np.arange(len(common))
+            matrix = np.zeros((len(common), n), np.float32)
+            dense = row[self.term] >= 0
+            matrix[row[self.term[dense]], example[dense]] = weight[dense]
+            term, example, weight = self.term[~dense], example[~dense], weight[~dense]
+            by_term = np.argsort(term, kind="stable")
+            first = np.append(0, np.cumsum(np.bincount(term, minlength=terms)))
+            self.lists = row, matrix, first, example[by_term], weight[by_term]
+        return self.lists
+
+    def rough(self, queries: list) -> np.ndarray:
+        """Cosine of every query, as (terms, weights), and every example, in single precision."""
+        row, matrix, first, example, weight = self.made()
+        common = np.zeros((len(queries), len(matrix)), np.float32)
+        for q, (term, w) in enumerate(queries):
+            at = row[term]
+            common[q, at[at >= 0]] = w[at >= 0]
+        score = common @ matrix
+        for q, (term, w) in enumerate(queries):
+            a, b = first[term], first[term + 1]
+            some = np.flatnonzero(b > a)
+            if len(some):
+                cuts = list(zip(a[some].tolist(), b[some].tolist()))
+                found = np.concatenate([weight[i:j] for i, j in cuts]) * np.repeat(w[some].astype(np.float32), b[some] - a[some])
+                np.add.at(score[q], np.concatenate([example[i:j] for i, j in cuts], dtype=np.intp), found)
+        return score
+
+    def exact(self, some: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Cosines of some examples with a query (weight by term), to 12 places."""
+        size = self.start[some + 1] - self.start[some]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.start[some] - ends + size, size)
+        term = self.term[at]
+        part = (1 + np.log(self.tf[at], dtype=np.float64)) * self.idf[term] * query[term]
+        return np.round(np.add.reduceat(part, ends - size) / self.norm[some], 12)
+
+    def nearest_of(self, vecs: list, k: int = K, without: list | None = None) -> list:
+        """Exact k nearest examples (numbers, cosines) of each vector, best first."""
+        queries = [(term, self.weights(term, tf)) for term, tf in vecs]
+        out, weight = [], np.zeros(len(self.idf))
+        for q, score in enumerate(self.rough(queries)):
+            if without:
+                score[without[q]] = 0
+            least = np.partition(score, -k)[-k] - MARGIN if len(score) > k else 0
+            some = np.flatnonzero((score >= least) & (score > 0))
+            if not len(some):
+                out.append((some, np.zeros(0)))
+                continue
+            term, w = queries[q]
+            weight[term] = w
+            s = self.exact(some, weight)
+            weight[term] = 0
+            order = np.lexsort((self.ids[some], -s))[:k]
+            out.append((some[order], s[order]))
+        return out
+
+    def nearest(self, term: np.ndarray, tf: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        return self.nearest_of([(term, tf)], k)[0]
 
     def vote(self, e: np.ndarray, s: np.ndarray) -> float:
         """Share of toxic examples among the nearest, weighted by nearness,
@@ -257,8 +299,13 @@ class Index:
         """Isotonic fit (pool adjacent violators) of labels on the votes that
         examples get from all others.  ``weight``: how many labelled rows an example
         of a label stands for."""
-        some = range(0, len(self.vecs), max(1, len(self.vecs) // CALIBRATED))
-        votes = sorted((self.vote(*self.nearest(*self.vecs[e], without=e)), e) for e in some)
+        some = list(range(0, len(self.vecs), max(1, len(self.vecs) // CALIBRATED)))
+        votes = []
+        for i in range(0, len(some), 100):
+            part = some[i:i + 100]
+            found = self.nearest_of([self.vecs[e] for e in part], without=part)
+            votes += [(self.vote(*f), e) for f, e in zip(found, part)]
+        votes.sort()
         pools: list[list[float]] = []            # weight, toxic weight, sum of votes
         for v, e in votes:
             w = weight[int(self.y[e])]
@@ -268,18 +315,16 @@ class Index:
                 pools[-1] = [a + b for a, b in zip(pools[-1], last)]
         if pools:
             self.curve = ([p[2] / p[0] for p in pools], [(p[1] + 0.1 * self.prior) / (p[0] + 0.1) for p in pools])
-        self.vecs = []                           # not broadcast
+        self.vecs, self.lists = [], None         # not broadcast
 
 
 @dataclass
 class Model:
-    terms: object        # broadcast list of terms
+    terms: object        # broadcast terms and letter table
     index: object        # broadcast Index
-    vectors: DataFrame   # doc_id, vec of every document
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 5000,
-        max_terms: int = 1500) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 5000) -> Model:
     spark = docs.sparkSession
     chosen, keep = sample_labelled(labels, label, FOLDS, HELD_OUT, max_examples)
     # at most about 2 * max_examples ids
@@ -288,59 +333,54 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
                         .agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"), F.max("y").alias("y")))
     examples = written(examples, "toxic-examples")
     letters = spark.sparkContext.broadcast(letter_table())
-    found = telling_terms(examples, letters, max_terms)
+    found = vocabulary(examples, letters)
     terms = spark.sparkContext.broadcast((found, letters.value))
-    vecs = written(docs.select("doc_id", vectors(F.col("text"), terms).alias("vec")), "toxic-vectors")
-    n = vecs.count()
-    df = np.zeros(len(found))
-    for r in vecs.select(F.explode("vec.term").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        df[r["t"]] = r["n"]
+    df, n = frequencies(docs, terms, len(found))
     index = Index(np.log((n + 1) / (df + 1)) + 1)
     rows = (examples.select("doc_id", "y", vectors(F.col("text"), terms).alias("vec"))
                     .select("doc_id", "y", "vec.term", "vec.tf").toArrow().to_pandas())
     weight = {y: 1 / (keep.get(y) or 1.0) for y in (0, 1)}
-    bare = rows["y"][rows["term"].map(len) == 0]
-    toxic, clean = (bare == 1).sum() * weight[1], (bare == 0).sum() * weight[0]
-    index.prior = float(toxic / (toxic + clean + 1))
-    rows = rows[rows["term"].map(len) > 0]
+    stands = rows["y"].map(weight).astype(float)
+    bare = rows["term"].map(len) == 0
+    every = float((stands * rows["y"]).sum() / max(stands.sum(), 1))
+    index.prior = float(((stands * rows["y"])[bare].sum() + every) / (stands[bare].sum() + 1))
+    rows = rows[~bare.astype(bool)]
     index.add(rows["doc_id"].tolist(), rows["y"].tolist(), rows["term"].tolist(), rows["tf"].tolist())
     index.calibrate(weight)
-    return Model(terms, spark.sparkContext.broadcast(index), vecs)
+    return Model(terms, spark.sparkContext.broadcast(index))
 
 
-def scored(vec: Column, model: Model) -> Column:
-    """struct<score, evidence> of a vector; evidence lists the three nearest
+def scored(text: Column, model: Model) -> Column:
+    """struct<score, evidence> of a text; evidence lists the three nearest
     examples as doc_id:label:cosine."""
-    index = model.index
+    terms, index = model.terms, model.index
+    made: list = []
     seen: dict = {}
 
     @F.pandas_udf("struct<score:double,evidence:string>")
-    def one(batch: pd.DataFrame) -> pd.DataFrame:
-        ix, score, evidence = index.value, [], []
-        for term, tf in zip(batch["term"], batch["tf"]):
-            if term is None or len(term) == 0:
-                found = (ix.prior, "")
-            else:
-                key = term.tobytes() + tf.tobytes()
-                if key not in seen:
-                    if len(seen) > 20_000:
-                        seen.clear()
-                    e, s = ix.nearest(term, tf)
-                    seen[key] = (ix.score(ix.vote(e, s)), ",".join(
-                        f"{ix.ids[a]}:{int(ix.y[a])}:{c:.4f}" for a, c in zip(e[:3], s[:3])))
-                found = seen[key]
-            score.append(found[0])
-            evidence.append(found[1])
-        return pd.DataFrame({"score": np.array(score, np.float64), "evidence": pd.Series(evidence, dtype=object)})
-    return one(vec)
+    def one(texts: pd.Series) -> pd.DataFrame:
+        if not made:
+            made.append(Terms(*terms.value))
+        ix, out = index.value, []
+        for a, b in slices(texts):
+            vecs = list(zip(*made[0].each(texts.iloc[a:b])))
+            keys = [blake2b(term.tobytes() + tf.tobytes(), digest_size=16).digest() for term, tf in vecs]
+            if len(seen) > 20_000:
+                seen.clear()
+            new = {key: v for key, v in zip(keys, vecs) if key not in seen and len(v[0])}
+            for key, (e, s) in zip(new, ix.nearest_of(list(new.values())) if new else ()):
+                seen[key] = (ix.score(ix.vote(e, s)), ",".join(
+                    f"{ix.ids[i]}:{int(ix.y[i])}:{c:.4f}" for i, c in zip(e[:3], s[:3])))
+            out += [seen.get(key, (ix.prior, "")) for key in keys]
+        return pd.DataFrame({"score": np.array([x for x, _ in out], np.float64),
+                             "evidence": pd.Series([x for _, x in out], dtype=object)})
+    return one(text)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence of every document."""
     model = fit(docs, labels, **bounds)
-    # The vectors are small and scoring them is the work: spread them anew.
-    vecs = model.vectors.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    s = vecs.select("doc_id", scored(F.col("vec"), model).alias("s"))
+    s = docs.select("doc_id", scored(F.col("text"), model).alias("s"))
     return s.select("doc_id", (crc_remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "s.score",
                     F.when(F.col("s.score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), "s.evidence")
 
@@ -349,5 +389,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
     """``docs`` without the documents predicted toxic; same columns."""
     model = fit(docs, labels, **bounds)
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    s = docs.select(F.struct(*cols).alias("row"), scored(vectors(F.col("text"), model.terms), model).alias("s"))
+    s = docs.select(F.struct(*cols).alias("row"), scored(F.col("text"), model).alias("s"))
     return s.filter(F.col("s.score") < THRESHOLD).select("row.*")

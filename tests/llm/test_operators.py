@@ -504,6 +504,39 @@ def test_block_max_search_is_exact():
         assert e.tolist() == want and np.allclose(s, cos[want])
 
 
+def test_toxic_neighbours_over_all_terms(spark):
+    """Held against dense TF-IDF over every piece of the examples; also with
+    so few toxic examples that no piece could be found to speak for the label."""
+    ready(spark)
+    rng = random.Random(8)
+    text = [prose(rng, rng.randint(8, 40)) for _ in range(160)] + ["вполне чужие слова здесь", "漢字漢字漢字"]
+    text[4], text[6] = "вполне чужие слова", "sollten schlimme worte " + text[6]
+    toxic = {4, 6}
+    docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(0, 120)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity_knn.score_documents(docs, labels).collect()}
+
+    def counts(t):
+        low = "".join(c if c.isalpha() else " " for c in f" {t.lower()} ")
+        return Counter(low[i:i + 5] for i in range(len(low) - 4) if " " not in low[i + 1:i + 4])
+    vecs = [counts(t) for t in text]
+    examples = [i for i in range(120) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert toxic <= set(examples)
+    vocabulary = set().union(*(vecs[i] for i in examples))
+    df = Counter(p for v in vecs for p in v)
+
+    def unit(v):
+        w = {p: (1 + math.log(n)) * (math.log((len(text) + 1) / (df[p] + 1)) + 1) for p, n in v.items() if p in vocabulary}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        return {p: x / size for p, x in w.items()}
+    units = [unit(v) for v in vecs]
+    for i, u in enumerate(units):
+        cos = sorted(((-round(sum(x * units[e].get(p, 0) for p, x in u.items()), 12), e) for e in examples))
+        want = ",".join(f"{e}:{int(e in toxic)}:{-c:.4f}" for c, e in cos[:3] if c < 0)
+        assert got[i]["evidence"] == want, i
+    assert got[160]["evidence"].startswith("4:1:") and got[161]["evidence"] == ""
+
+
 def test_flattened_trees():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(800, 4))
