@@ -953,7 +953,7 @@ def _fpm04(spark, d):
 
 @register("fpm05_prefixspan")
 def _fpm05(spark, d):
-    return pt.sequences(ad.basket_sequences(spark, d), "sequence", 0.1, 2)
+    return pt.sequences(ad.basket_sequences(spark, d), "sequence", 0.1)
 
 
 # ---------------------------------------------------------------- evaluation

@@ -129,6 +129,32 @@ def test_patterns(spark):
     assert ps["[[1, 2]]"] == 3
 
 
+def test_sequences_of_the_query_have_up_to_five_items(spark, tmp):
+    import itertools
+    import random
+    from collections import Counter
+    from skyframe.plans.registry import QUERIES
+    rng = random.Random(2)
+    baskets = [[sorted(rng.sample("abcde", rng.randint(1, 2))) for _ in range(4)] for _ in range(12)]
+    line, orders = [], []
+    for c, seq in enumerate(baskets):
+        for day, items in enumerate(seq):
+            orders.append((c * 10 + day, c, f"1995-01-0{day + 1}"))
+            line += [(c * 10 + day, ord(x)) for x in items]
+    for name, rows, kind in (("lineitem", line, "l_orderkey long, l_partkey long"),
+                             ("part", [(ord(x), x) for x in "abcde"], "p_partkey long, p_brand string"),
+                             ("orders", orders, "o_orderkey long, o_custkey long, o_orderdate string")):
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp}/{name}.parquet")
+    want = Counter()
+    for seq in baskets:
+        parts = [[c for n in range(len(b) + 1) for c in itertools.combinations(b, n)] for b in seq]
+        found = {tuple(x for x in pick if x) for pick in itertools.product(*parts)}
+        want.update(f for f in found if 1 <= sum(map(len, f)) <= 5)
+    want = {k: n for k, n in want.items() if n >= 1.2}
+    got = {tuple(tuple(sorted(x)) for x in r.sequence): r.freq for r in QUERIES["fpm05_prefixspan"](spark, tmp).collect()}
+    assert got == want and max(sum(map(len, k)) for k in got) == 5
+
+
 def test_evaluation(spark):
     df = spark.createDataFrame([(0.9, 1.0), (0.8, 1.0), (0.7, 0.0), (0.6, 1.0), (0.2, 0.0)], "score double, label double")
     t = ev.threshold_table(df, num_bins=None)
