@@ -134,23 +134,24 @@ def kmeans(df: DataFrame, k: int, init: str = "k-means||", seed: int = 1, featur
 
 
 def lloyd(df: DataFrame, features: str, k: int, eps: float = 1e-4, seed: int = 42,
-          max_iter: int = 50) -> np.ndarray:
+          max_iter: int | None = None) -> np.ndarray:
     """Lloyd's k-means by hand: k seeded sample rows as starting centres,
     then per round one aggregate (mean of the points closest to each
-    centre) until the total movement is at most ``eps``.  A centre that
+    centre) until the total movement is at most ``eps``; an error if
+    ``max_iter`` rounds are not enough.  A centre that
     loses all its points keeps its old position."""
+    from skyframe.operators.graph import rounds
     from skyframe.operators.sampling import take_sample
     x = vector_to_array(F.col(features)) if dict(df.dtypes)[features] != "array<double>" else F.col(features)
     pts = df.select(x.alias("x"))
     init = take_sample(pts.withColumn("_rid", F.monotonically_increasing_id()), k, seed, key=["x"]).collect()
     centres = np.array([r["x"] for r in init], dtype=float)
-    for _ in range(max_iter):
+    for _ in rounds(max_iter):
         new = lloyd_step(pts, "x", centres)
         moved = float(np.sum((new - centres) ** 2))
         centres = new
         if moved <= eps:
-            break
-    return centres
+            return centres
 
 
 def closest(x_col: str, centres: np.ndarray) -> F.Column:

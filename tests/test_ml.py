@@ -155,6 +155,19 @@ def test_sequences_of_the_query_have_up_to_five_items(spark, tmp):
     assert got == want and max(sum(map(len, k)) for k in got) == 5
 
 
+def test_lloyd_ends_by_movement_or_raises(spark, monkeypatch):
+    df = spark.createDataFrame([(Vectors.dense([float(i)]),) for i in range(12)], ["features"])
+    with pytest.raises(RuntimeError):
+        md.lloyd(df, "features", 2, max_iter=1, eps=-1.0)
+    seen = []
+
+    def slow(pts, x, centres):
+        seen.append(centres.copy())
+        return centres + (1.0 if len(seen) <= 70 else 0.0)
+    monkeypatch.setattr(md, "lloyd_step", slow)
+    assert np.array_equal(md.lloyd(df, "features", 2), seen[0] + 70) and len(seen) == 71
+
+
 def test_evaluation(spark):
     df = spark.createDataFrame([(0.9, 1.0), (0.8, 1.0), (0.7, 0.0), (0.6, 1.0), (0.2, 0.0)], "score double, label double")
     t = ev.threshold_table(df, num_bins=None)
