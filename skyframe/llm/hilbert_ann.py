@@ -14,6 +14,9 @@ neighbours are searched among all rows, and the window is made so wide that ``TA
 these pairs lie in it.  On data with structure it stays narrow; on data without any
 (independent directions in many dimensions) it grows with the table.
 
+Memory.  A task scores one block of at most ``WIDTH`` ranks against the queries of at
+most ``SPAN`` ranks, ``TILE`` queries at a time; a wider window means more blocks.
+
 Skew.  Equal vectors form one class with one position on a curve; a class
 keeps its 21 smallest ids, which is all that any answer of 20 can show.  Blocks of a
 curve are cut by rank, so they are equal however the keys fall.
@@ -37,6 +40,7 @@ from skyframe.operators.relational import with_index
 CURVES, DIMS, BITS, SEED = 16, 8, 7, 29
 PROBES, TARGET = 200, 0.96
 EVERY, TOP = 20, 20
+WIDTH, SPAN, TILE = 4096, 40_960, 256
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -137,10 +141,20 @@ def best_rows(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndar
     what else was in the block."""
     rough = q @ x.T
     k = min(k, len(x))
-    at = np.argpartition(-rough, k - 1, axis=1)[:, :k]
+    at = np.argpartition(-rough, k - 1, axis=1)[:, :k].copy()           # not a view that keeps the block
     return at, np.einsum("qd,qkd->qk", q, x[at], optimize=False)
 
 
+def block_width(reach: int) -> int:
+    return min(WIDTH, max(64, -(-reach // 2)))
+
+
+def best_in_tiles(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``best_rows``, of ``TILE`` queries at a time."""
+    found = [best_rows(q[i:i + TILE], x, k) for i in range(0, len(q), TILE)]
+    return np.concatenate([at for at, _ in found]), np.concatenate([s for _, s in found])
+
+
 def _probe(batches, ids, vecs):
     top: pd.DataFrame | None = None
     for pdf in batches:
@@ -205,25 +219,28 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embedding") -
     keyed = both.mapInPandas(keys, "curve int, key long, query int, cid long")
     ranked = with_index(keyed, [F.col("curve"), F.col("key"), F.col("cid"), F.col("query")], "rank")
     reach = _window(base, queries, ranked)
-    block = max(64, -(-reach // 2))
+    block, span = block_width(reach), SPAN
     n = ranked.agg(F.max("rank")).first()[0]
     places = ranked.filter("query = 0").select("cid", F.floor(F.col("rank") / block).alias("block"))
-    rows = places.join(base.select("cid", "vec"), "cid").select("block", F.lit(0).alias("query"), "cid", "vec")
-    visits = ranked.filter("query = 1").select(F.col("cid"), F.explode(F.sequence(
+    # a block meets the queries of all spans from which it can be reached
+    rows = places.join(base.select("cid", "vec"), "cid").select("block", F.explode(F.sequence(
+        F.floor(F.greatest(F.col("block") * block - reach - block, F.lit(0)) / span),
+        F.floor((F.col("block") * block + reach + block) / span))).alias("span"), F.lit(0).alias("query"), "cid", "vec")
+    visits = ranked.filter("query = 1").select(F.col("cid"), F.floor(F.col("rank") / span).alias("span"), F.explode(F.sequence(
         F.floor(F.greatest(F.col("rank") - reach, F.lit(0)) / block),
         F.floor(F.least(F.col("rank") + reach, F.lit(n)) / block))).alias("block"))
     asks = (visits.join(queries.dropDuplicates(["qid"]).select(F.col("qid").alias("cid"), "vec"), "cid")
-                  .select("block", F.lit(1).alias("query"), "cid", "vec"))
+                  .select("block", "span", F.lit(1).alias("query"), "cid", "vec"))
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         q, x = pdf[pdf["query"] == 1], pdf[pdf["query"] == 0]
         if not len(q) or not len(x):
             return pd.DataFrame({"qid": [], "cid": [], "score": []})
-        at, s = best_rows(np.stack(q["vec"].to_numpy()), np.stack(x["vec"].to_numpy()), TOP + 1)
+        at, s = best_in_tiles(np.stack(q["vec"].to_numpy()), np.stack(x["vec"].to_numpy()), TOP + 1)
         return pd.DataFrame({"qid": np.repeat(q["cid"].to_numpy(), at.shape[1]),
                              "cid": x["cid"].to_numpy()[at.ravel()], "score": s.ravel()})
 
-    found = (rows.unionByName(asks).groupBy("block")
+    found = (rows.unionByName(asks).groupBy("block", "span")
                  .applyInPandas(score, "qid long, cid long, score double")
                  .groupBy("qid", "cid").agg(F.max("score").alias("score")))
     top = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")

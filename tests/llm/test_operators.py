@@ -418,6 +418,29 @@ def test_neighbours(spark):
     assert [a for a, _ in got[1000]] == [a for a, _ in want[1000]] and got[1000][0][1] == pytest.approx(exact[got[1000][0][0]])
 
 
+def test_neighbours_in_narrow_blocks(spark, monkeypatch):
+    import tracemalloc
+    assert max(hilbert_ann.block_width(r) for r in (1, 10_000, 10_000_000)) <= hilbert_ann.WIDTH
+    rng = np.random.default_rng(2)
+    q, x = rng.normal(size=(6000, 8)), rng.normal(size=(4096, 8))
+    tracemalloc.start()
+    at, s = hilbert_ann.best_in_tiles(q, x, 21)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6                                                        # the whole product alone is 197 MB
+    want, score = hilbert_ann.best_rows(q[:300], x, 21)
+    assert (np.sort(at[:300]) == np.sort(want)).all() and np.allclose(np.sort(s[:300]), np.sort(score))
+    df = spark.createDataFrame(vector_rows(400, 16, 6), "vec_id long, embedding array<float>")
+    monkeypatch.setattr(hilbert_ann, "_window", lambda *a: 10_000)             # every row within reach
+    monkeypatch.setattr(hilbert_ann, "WIDTH", 700)
+    monkeypatch.setattr(hilbert_ann, "SPAN", 900)
+    got = {}
+    for r in hilbert_ann.search(df).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    want = brute_neighbours(vector_rows(400, 16, 6), 16)
+    assert got == {k: [a for a, _ in v] for k, v in want.items()}
+
+
 def test_neighbours_of_few_or_none(spark):
     assert hilbert_ann.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [2.0, 1.0]), (20, [0.0, 1.0])]
