@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyframe.llm import bottomk, bpe_words, hilbert_ann, pivotal_mix, quality_gbt, secret_scan, simhash_pigeonring, suffix_dedup, toxicity_knn, uniform_shards
+from skyframe.llm import (bottomk, bpe_words, hard_negatives, hilbert_ann, pii_semicrf, pivotal_mix, quality_gbt, secret_scan,
+                          simhash_pigeonring, spelling_fm, suffix_dedup, toxicity_knn, uniform_shards)
 from skyframe.llm.common import ready
 from skyframe.session import table
 
@@ -87,3 +88,21 @@ def op3(spark, d):
 def op6(spark, d):
     """Bytes left of every text after removal of repeated 200-byte strings."""
     return suffix_dedup.digests(table(spark, d, "documents"))
+
+
+@query("op11_pii")
+def op11(spark, d):
+    """Personal data in every text: pattern spans and the field's spans."""
+    return pii_semicrf.report(table(spark, d, "documents"))
+
+
+@query("op12_spelling_variants")
+def op12(spark, d):
+    """Words of all texts, the more frequent word one edit away, and where such steps end."""
+    return spelling_fm.group_variants(table(spark, d, "documents"))
+
+
+@query("op13_hard_negatives")
+def op13(spark, d):
+    """Rows of another label that score 50 to 95 percent of an anchor's positives."""
+    return hard_negatives.mine(table(spark, d, "embeddings"))

@@ -62,3 +62,70 @@ a AS (
 SELECT t.doc_id, COALESCE(b.n_assign, 0) AS n_assign, COALESCE(b.n_access, 0) AS n_access,
        COALESCE(b.n_hex, 0) AS n_hex, sha256(COALESCE(b.listed, '')) AS base_sha256, COALESCE(a.listed, '') AS spans
 FROM t LEFT JOIN b ON t.row = b.row LEFT JOIN a ON t.row = a.row"""}
+
+# crc32 by its rule: the table of all bytes, then byte by byte.
+_CRC = """tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab)"""
+
+
+def _crc32(s: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_transform(range(strlen({s})), lambda i:
+      CAST('0x' || hex(encode({s}))[2 * i + 1:2 * i + 2] AS BIGINT)),
+      lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1]), 4294967295))"""
+
+
+ORACLE["op12_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC},
+runs AS (
+  SELECT COALESCE(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]{{5,}}')) AS run
+  FROM documents),
+counted AS (SELECT id, run, COUNT(*) AS k FROM runs GROUP BY id, run),
+hashed AS (SELECT run, k, {_crc32("(id || ':' || run)")} AS h FROM counted, tab),
+vocabulary AS (
+  SELECT word, CAST(SUM(k) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k
+        FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING SUM(k) >= 3),
+gaps AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest
+         FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+near AS (
+  SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM gaps x JOIN gaps y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, x.n, y.word, y.n FROM vocabulary x JOIN gaps y ON x.word = y.rest
+  UNION SELECT y.word, y.n, x.word, x.n FROM vocabulary x JOIN gaps y ON x.word = y.rest),
+best AS (
+  SELECT word, COUNT(*) AS n_near, MAX(other_n) AS top_n, arg_min(other, (-other_n, encode(other))) AS top
+  FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, COALESCE(b.n_near, 0) AS n_near,
+         CASE WHEN b.top_n >= 2 * v.n THEN b.top END AS form, CASE WHEN b.top_n >= 2 * v.n THEN b.top_n END AS form_n
+  FROM vocabulary v LEFT JOIN best b ON v.word = b.word),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT w.word, f.form FROM walk w JOIN forms f ON w.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk w ON f.word = w.word JOIN forms e ON w.at = e.word AND e.form IS NULL"""
+
+ORACLE["op13_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)),
+s AS (
+  SELECT a.id AS anchor, c.id AS other, a.label = c.label AS same,
+         CAST(list_sum(list_transform(range(1, len(a.vec) + 1), lambda i: a.vec[i] * c.vec[i])) AS BIGINT) AS score
+  FROM r a JOIN r c ON a.id <> c.id WHERE a.id % 50 = 0),
+p AS (
+  SELECT anchor, other AS positive, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.anchor, p.positive, p.score AS positive_score, s.other, s.score,
+         row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same
+   AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor AS anchor_id, positive AS positive_id, CAST(rank AS INTEGER) AS rank, other AS negative_id,
+       positive_score, score AS negative_score
+FROM n WHERE rank <= 3"""
