@@ -10,6 +10,7 @@ data is a distributed aggregate.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml import classification as C
@@ -320,53 +321,128 @@ def _init_factors(ids: DataFrame, id_col: str, rank: int, seed: int) -> DataFram
     ).alias("f"))
 
 
-def _solve_side(ratings: DataFrame, key: str, other: str, fixed: DataFrame, rank: int, lam: float) -> DataFrame:
+def _solve_side(ratings: DataFrame, key: str, other: str, fixed: DataFrame, rank: int, lam: float,
+                total: int, alpha: float | None = None) -> DataFrame:
     """One half-step: for every ``key`` solve
     (sum v v^T + lam * n * I) x = sum r v over its ratings.
+
+    With ``alpha`` (implicit preferences) every pair counts: an unrated one
+    with preference 0 and confidence 1, a rated one with preference 1 where the
+    rating is positive and confidence 1 + alpha |r|.  All pairs' share is one matrix
+    V^T V for everyone, to which each key adds alpha |r| v v^T of its own ratings;
+    so the work follows the ratings, not the pairs.
+
     The sums are one aggregate (partial sums merge, so a key with a third
-    of all ratings is combined in every task first); the k x k solves run
-    on Arrow batches of the aggregated rows."""
-    import pandas as pd
-    j = ratings.join(fixed.withColumnRenamed("id", other), other)
-    outer = F.flatten(F.transform("f", lambda a: F.transform("f", lambda b: a * b)))
-    per = (j.select(key, array_to_vector(outer).alias("o"),
-                    array_to_vector(F.transform("f", lambda a: a * F.col("rating"))).alias("b"))
-            .groupBy(key).agg(Summarizer.sum(F.col("o")).alias("ata"), Summarizer.sum(F.col("b")).alias("atb"),
-                              F.count(F.lit(1)).alias("n"))
-            .select(F.col(key).alias("id"), vector_to_array("ata").alias("ata"),
-                    vector_to_array("atb").alias("atb"), "n"))
+    of all ratings is combined in every task first), a popular ``other`` is looked up by ``keyed_join``, and the
+    k x k systems of an Arrow batch are solved as one stack."""
+    system = _systems(ratings, key, other, fixed, rank, total, alpha)
+    shared = _gram(fixed, rank) if alpha is not None else np.zeros((rank, rank))
 
     def solve(batches):
-        eye = np.eye(rank)
         for pdf in batches:
-            xs = [np.linalg.solve(np.asarray(a).reshape(rank, rank) + lam * n * eye, np.asarray(b)).tolist()
-                  for a, b, n in zip(pdf["ata"], pdf["atb"], pdf["n"])]
-            yield pd.DataFrame({"id": pdf["id"], "f": xs})
+            a = np.stack(pdf["ata"].to_numpy()).reshape(-1, rank, rank) if len(pdf) else np.zeros((0, rank, rank))
+            b = np.stack(pdf["atb"].to_numpy()) if len(pdf) else np.zeros((0, rank))
+            a = a + shared + lam * pdf["n"].to_numpy()[:, None, None] * np.eye(rank)
+            x = np.linalg.solve(a, b[:, :, None])[:, :, 0] if len(pdf) else b
+            yield pd.DataFrame({"id": pdf["id"], "f": list(x)})
+
+    id_type = dict(system.dtypes)["id"]
+    return system.mapInPandas(solve, f"id {id_type}, f array<double>")
+
+
+def _systems(ratings: DataFrame, key: str, other: str, fixed: DataFrame, rank: int, total: int,
+             alpha: float | None) -> DataFrame:
+    """(id, ata, atb, n): each key's own part of its normal equations."""
+    from skyframe.plans.joins import keyed_join
+    j = keyed_join(ratings, fixed.withColumnRenamed("id", other), other, total)
+    r = F.col("rating")
+    weight = F.lit(1.0) if alpha is None else alpha * F.abs(r)
+    goal = r if alpha is None else F.when(r > 0, 1.0 + alpha * F.abs(r)).otherwise(0.0)
+    outer = F.flatten(F.transform("f", lambda a: F.transform("f", lambda b: a * b * weight)))
+    return (j.select(key, array_to_vector(outer).alias("o"),
+                     array_to_vector(F.transform("f", lambda a: a * goal)).alias("b"))
+             .groupBy(key).agg(Summarizer.sum(F.col("o")).alias("ata"), Summarizer.sum(F.col("b")).alias("atb"),
+                               F.count(F.lit(1)).alias("n"))
+             .select(F.col(key).alias("id"), vector_to_array("ata").alias("ata"),
+                     vector_to_array("atb").alias("atb"), "n"))
+
+
+def _gram(factors: DataFrame, rank: int) -> np.ndarray:
+    """V^T V of a factor table: rank^2 numbers from one aggregate."""
+    outer = F.flatten(F.transform("f", lambda a: F.transform("f", lambda b: a * b)))
+    s = factors.select(array_to_vector(outer).alias("o")).agg(Summarizer.sum(F.col("o")).alias("s")).first()["s"]
+    return np.zeros((rank, rank)) if s is None else s.toArray().reshape(rank, rank)
+
 
-    id_type = dict(per.dtypes)["id"]
-    return per.mapInPandas(solve, f"id {id_type}, f array<double>")
+def _dot(a: str, b: str) -> F.Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _rated(ratings: DataFrame, users: DataFrame, items: DataFrame, total: int) -> DataFrame:
+    """(rating, s): every rating with its predicted value."""
+    from skyframe.plans.joins import keyed_join
+    j = keyed_join(ratings, users.select(F.col("id").alias("u"), F.col("f").alias("fu")), "u", total)
+    j = keyed_join(j, items.select(F.col("id").alias("i"), F.col("f").alias("fv")), "i", total)
+    return j.select("u", "i", "rating", _dot("fu", "fv").alias("s"))
 
 
 def als_by_hand(ratings: DataFrame, user: str = "user", item: str = "item", rating: str = "rating",
-                rank: int = 5, iters: int = 5, lam: float = 0.01, seed: int = 42):
-    """Alternating least squares written as DataFrame steps (the explicit
-    form with lam * n on the diagonal).  Returns (user factors, item
-    factors, RMSE after each iteration).  Factors are checkpointed every
-    iteration; only the RMSE numbers reach the driver."""
+                rank: int = 5, iters: int = 5, lam: float = 0.01, seed: int = 42, alpha: float | None = None):
+    """Alternating least squares written as DataFrame steps (lam * n on the
+    diagonal).  Returns (user factors, item factors, history): explicit
+    ratings by default, with the RMSE after each iteration; with ``alpha``
+    implicit preferences, with the objective over all user-item pairs after each iteration.
+    Factors are checkpointed every iteration; only the history reaches the driver."""
     from skyframe.session import checkpoint_dir
     checkpoint_dir(ratings.sparkSession)
     r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(rating).cast("double").alias("rating"))
-    r = r.cache()
+    r = r.checkpoint(eager=True)
+    total = r.count()
     v = _init_factors(r.select("i").distinct(), "i", rank, seed)
+    if alpha is not None:
+        v = v.checkpoint(eager=True)
     u = None
     history = []
     for _ in range(iters):
-        u = _solve_side(r, "u", "i", v, rank, lam).checkpoint(eager=True)
-        v = _solve_side(r, "i", "u", u, rank, lam).checkpoint(eager=True)
-        pred = (r.join(u.withColumnRenamed("id", "u").withColumnRenamed("f", "fu"), "u")
-                 .join(v.withColumnRenamed("id", "i").withColumnRenamed("f", "fv"), "i")
-                 .select((F.col("rating") - F.aggregate(F.zip_with("fu", "fv", lambda a, b: a * b), F.lit(0.0),
-                                                         lambda acc, x: acc + x)).alias("e")))
-        history.append(float(pred.agg(F.sqrt(F.avg(F.col("e") * F.col("e")))).first()[0]))
-    r.unpersist()
+        u = _solve_side(r, "u", "i", v, rank, lam, total, alpha).checkpoint(eager=True)
+        v = _solve_side(r, "i", "u", u, rank, lam, total, alpha).checkpoint(eager=True)
+        rated = _rated(r, u, v, total)
+        if alpha is None:
+            history.append(float(rated.agg(F.sqrt(F.avg((F.col("rating") - F.col("s")) ** 2))).first()[0]))
+        else:
+            history.append(_implicit_objective(r, rated, u, v, rank, lam, alpha))
     return u, v, history
+
+
+def _implicit_objective(r: DataFrame, rated: DataFrame, u: DataFrame, v: DataFrame, rank: int, lam: float, alpha: float) -> float:
+    """Weighted squared error over all pairs plus the penalty.  All pairs'
+    squared predictions add up to the product of the two Gram matrices, so
+    only rated pairs are visited."""
+    s, c = F.col("s"), 1.0 + alpha * F.abs("rating")
+    p = F.when(F.col("rating") > 0, 1.0).otherwise(0.0)
+    extra = rated.agg(F.sum(c * (p - s) ** 2 - s * s)).first()[0]
+    penalty = 0.0
+    for side, f in (("u", u), ("i", v)):
+        n = r.groupBy(F.col(side).alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        penalty += f.join(n, "id").agg(F.sum(F.col("n") * _dot("f", "f"))).first()[0]
+    return float(np.sum(_gram(u, rank) * _gram(v, rank)) + extra + lam * penalty)
+
+
+def als_residual(ratings: DataFrame, key: str, other: str, solved: DataFrame, fixed: DataFrame, lam: float,
+                 alpha: float | None = None) -> DataFrame:
+    """(id, residual): how far each solved factor is from its normal
+    equations, as the largest component of |A x - b|.  ``ratings``: (u, i, rating)."""
+    rank = solved.select(F.size("f")).first()[0]
+    system = _systems(ratings, key, other, fixed, rank, ratings.count(), alpha)
+    shared = _gram(fixed, rank) if alpha is not None else np.zeros((rank, rank))
+
+    def residual(batches):
+        for pdf in batches:
+            a = np.stack(pdf["ata"].to_numpy()).reshape(-1, rank, rank) if len(pdf) else np.zeros((0, rank, rank))
+            a = a + shared + lam * pdf["n"].to_numpy()[:, None, None] * np.eye(rank)
+            f, b = (np.stack(pdf[c].to_numpy()) if len(pdf) else np.zeros((0, rank)) for c in ("f", "atb"))
+            out = np.abs(np.einsum("nij,nj->ni", a, f) - b).max(1) if len(pdf) else np.zeros(0)
+            yield pd.DataFrame({"id": pdf["id"], "residual": out})
+
+    return (system.join(solved, "id").select("id", "ata", "atb", "n", "f")
+                  .mapInPandas(residual, f"id {dict(system.dtypes)['id']}, residual double"))

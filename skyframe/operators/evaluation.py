@@ -1,42 +1,43 @@
 """Evaluation metrics as aggregates: binary (threshold curves, AUC),
 multiclass, multilabel, ranking, regression, error rate, clustering cost.
 
-Curves are computed on the table of distinct scores (optionally binned),
-not on the rows: one aggregate collapses the data first, and only the
-small score table is ordered.
+Curves are computed on the table of distinct scores, not on the rows, by
+prefix sums over ranges of scores.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def threshold_table(df: DataFrame, score: str = "score", label: str = "label",
-                    num_bins: int | None = 1000) -> DataFrame:
+                    num_bins: int | None = None) -> DataFrame:
     """Per threshold (distinct score, descending): cumulative true and false
-    positives, precision, recall, false-positive rate.
+    positives, precision, recall, false-positive rate, and the threshold's
+    own positives and negatives with the totals of both.
 
-    Scores are first collapsed to at most ``num_bins`` equal-width bins, so
-    the ordered running sums run over a bounded table whatever the data
-    size; ``num_bins=None`` keeps every distinct score (exact curve, for
-    scores with few distinct values)."""
+    The curve is exact however many distinct scores there are: one aggregate per
+    score, then prefix sums over ranges of scores -- sums inside each range, shifted by the totals
+    of the ranges above it -- so no task orders more than its range.  ``num_bins``
+    instead rounds the scores down to that many steps of equal width."""
+    from skyframe.operators.relational import ordered_running
     s = F.col(score)
     if num_bins:
         lo_hi = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
-        width = (lo_hi["hi"] - lo_hi["lo"]) / num_bins or 1.0
-        s = F.lit(lo_hi["lo"]) + F.floor((s - F.lit(lo_hi["lo"])) / width) * width
+        lo, hi = (lo_hi["lo"], lo_hi["hi"]) if lo_hi["lo"] is not None else (0.0, 0.0)
+        width = (hi - lo) / num_bins or 1.0
+        s = F.lit(lo) + F.floor((s - F.lit(lo)) / width) * width
     counts = df.groupBy(s.alias("threshold")).agg(
         F.sum(F.when(F.col(label) > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) > 0.5, 0).otherwise(1)).alias("neg"))
-    w = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = (counts.withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w))
-               .withColumn("P", F.sum("pos").over(tot)).withColumn("N", F.sum("neg").over(tot)))
-    return t.select("threshold", "tp", "fp",
-                    (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                    (F.col("tp") / F.col("P")).alias("recall"),
-                    (F.col("fp") / F.col("N")).alias("fpr"))
+    t = ordered_running(counts.withColumn("_all", F.lit(0)), "_all", [F.desc("threshold")], ["pos", "neg"], totals=True)
+    tp, fp = F.col("cum_pos"), F.col("cum_neg")
+    return t.select("threshold", tp.alias("tp"), fp.alias("fp"),
+                    (tp / (tp + fp)).alias("precision"),
+                    F.when(F.col("tot_pos") > 0, tp / F.col("tot_pos")).alias("recall"),
+                    F.when(F.col("tot_neg") > 0, fp / F.col("tot_neg")).alias("fpr"),
+                    "pos", "neg", "tot_pos", "tot_neg")
 
 
 def f_measure(table: DataFrame, beta: float = 1.0) -> DataFrame:
@@ -46,23 +47,19 @@ def f_measure(table: DataFrame, beta: float = 1.0) -> DataFrame:
 
 
 def auc_roc(table: DataFrame) -> DataFrame:
-    """Area under ROC by the trapezoid rule from (0, 0) to (1, 1)."""
-    w = Window.orderBy(F.desc("threshold"))
-    t = table.select("threshold", "fpr", "recall")
-    t = (t.withColumn("pf", F.coalesce(F.lag("fpr").over(w), F.lit(0.0)))
-          .withColumn("pr", F.coalesce(F.lag("recall").over(w), F.lit(0.0))))
-    return t.agg(F.sum((F.col("fpr") - F.col("pf")) * (F.col("recall") + F.col("pr")) / 2).alias("auc_roc"))
+    """Area under ROC by the trapezoid rule from (0, 0) to (1, 1).  A
+    threshold's own counts give the point before it, so this is one aggregate."""
+    before = F.col("tp") - F.col("pos")
+    area = F.col("neg") / F.col("tot_neg") * (before + F.col("tp")) / (2 * F.col("tot_pos"))
+    return table.agg(F.sum(area).alias("auc_roc"))
 
 
 def auc_pr(table: DataFrame) -> DataFrame:
     """Area under precision-recall (trapezoid, first point at recall 0 with
-    the first precision)."""
-    w = Window.orderBy(F.desc("threshold"))
-    t = table.select("threshold", "precision", "recall")
-    first_p = F.first("precision").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    t = (t.withColumn("pp", F.coalesce(F.lag("precision").over(w), first_p))
-          .withColumn("pr", F.coalesce(F.lag("recall").over(w), F.lit(0.0))))
-    return t.agg(F.sum((F.col("recall") - F.col("pr")) * (F.col("precision") + F.col("pp")) / 2).alias("auc_pr"))
+    the first precision); one aggregate."""
+    seen = F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg")
+    last = F.when(seen == 0, F.col("precision")).otherwise((F.col("tp") - F.col("pos")) / seen)
+    return table.agg(F.sum(F.col("pos") / F.col("tot_pos") * (F.col("precision") + last) / 2).alias("auc_pr"))
 
 
 def multiclass(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyframe.plans.joins import keyed_join
 from skyframe.session import checkpoint_dir
 
 CHECKPOINT_EVERY = 3
@@ -121,32 +122,48 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
                          max_iter: int | None = None) -> DataFrame:
     """Label = smallest vertex id of the component.
 
-    Min-label propagation with pointer jumping: each round a vertex takes
-    the smallest label among itself and its neighbours, then the label of
-    its label; rounds stop when no label changes (one count per round).
-    """
-    und = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = und.filter(F.col("src") != F.col("dst")).distinct().cache()
+    Alternating star contraction on edges (a, b), a > b.  Large star: every
+    neighbour above a vertex is linked to the vertex's smallest neighbour
+    (or to itself if none is smaller).  Small star: a vertex and its smaller neighbours are
+    linked to the smallest of them.  Both keep components connected and end in one star per
+    component, after a number of rounds that grows with the logarithm of the longest path.
+
+    Minima are partial aggregates, and an edge looks its minimum up by
+    ``keyed_join``, so the adjacency of a hub is never in one task."""
+    links = canonical_edges(edges).select(F.col("dst").alias("a"), F.col("src").alias("b"))
+    links = _cut(links, CHECKPOINT_EVERY - 1)
     verts = vertices.select("id") if vertices is not None else vertices_of(edges)
-    labels = verts.select("id", F.col("id").alias("label"))
-    labels = _cut(labels, CHECKPOINT_EVERY - 1)
     for _ in rounds(max_iter):
-        nb = (und.join(labels, und.src == labels.id)
-                 .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("nl")))
-        step = (labels.join(nb, "id", "left")
-                      .select("id", F.least("label", F.coalesce("nl", "label")).alias("label")))
-        # pointer jumping: adopt the label of my label
-        jump = step.select(F.col("id").alias("lid"), F.col("label").alias("ll"))
-        step = (step.join(jump, step.label == jump.lid, "left")
-                    .select("id", F.least("label", F.coalesce("ll", "label")).alias("label")))
-        step = step.checkpoint(eager=True) if _ensure(step) else step
-        changed = (step.join(labels.withColumnRenamed("label", "old"), "id")
-                       .filter(F.col("label") != F.col("old")).limit(1).count())
-        labels = step
-        if changed == 0:
+        if _is_star_forest(links):
             break
-    und.unpersist()                          # the labels are a checkpoint
-    return labels
+        links = _small_star(_large_star(links)).distinct()
+        links = _cut(links, CHECKPOINT_EVERY - 1)
+    stars = links.select(F.col("a").alias("id"), F.col("b").alias("label"))
+    return verts.join(stars, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
+
+
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether every upper end has one link and is no lower end."""
+    ends = (links.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("low"))
+                 .union(links.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("low"))))
+    return (ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+                .filter((F.col("up") > 1) | (F.col("up") > 0) & (F.col("low") > 0)).isEmpty())
+
+
+def _large_star(links: DataFrame) -> DataFrame:
+    """Every (a, b) becomes (a, smallest neighbour of b, or b)."""
+    least = links.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m"))
+    joined = keyed_join(links, least, "b", links.count(), "left")
+    star = joined.select("a", F.coalesce("m", "b").alias("b")).distinct()
+    return _cut(star, CHECKPOINT_EVERY - 1)
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """Every a and each of its b but the smallest becomes linked to the smallest."""
+    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    several = least.filter("n > 1").select("a", "m")
+    moved = keyed_join(links, several, "a", links.count()).filter(F.col("b") != F.col("m"))
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
 
 
 def _ensure(df: DataFrame) -> bool:

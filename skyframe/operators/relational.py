@@ -245,9 +245,11 @@ def describe_shape(df: DataFrame) -> DataFrame:
 
 
 def ordered_running(df: DataFrame, key: str, order: list, sums: list[str] = (),
-                    rank_name: str = "rank") -> DataFrame:
+                    rank_name: str = "rank", totals: bool = False) -> DataFrame:
     """Exact 1-based rank (and running sums of ``sums``) of each row within
     its ``key`` in ``order`` -- without a window over a whole key.
+    ``totals`` adds the sums over the whole key as ``tot_<column>``, and the
+    number of its rows as ``tot_rows``.
 
     Rows are range-partitioned on (key, order), so a key holding a third
     of the table is spread over many partitions.  Positions are counted
@@ -272,8 +274,11 @@ def ordered_running(df: DataFrame, key: str, order: list, sums: list[str] = (),
     pieces = local.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_n"),
                                             *[F.sum(c).alias(f"_t_{c}") for c in sums])
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(key)                      # of pieces: as many rows as there are ranges
     offsets = pieces.select(key, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                            *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+                            *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
+                            *([F.sum("_n").over(whole).alias("tot_rows")] if totals else []),
+                            *[F.sum(f"_t_{c}").over(whole).alias(f"tot_{c}") for c in sums if totals])
     out = local.join(offsets, [key, "_pid"]).withColumn(rank_name, (F.col("_off") + F.col("_lr")).cast("long"))
     for c in sums:
         out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.col(f"_l_{c}"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -109,6 +109,63 @@ def ks_normal(df: DataFrame, col: str, mean: float = 0.0, sd: float = 1.0) -> Da
     return KolmogorovSmirnovTest.test(df, col, "norm", mean, sd)
 
 
+# Hart's rational approximation of the upper normal tail, as
+# polynomials in |z| from the highest power down.
+TAIL_TOP = (3.52624965998911e-2, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871,
+            221.213596169931, 220.206867912376)
+TAIL_DOWN = (8.83883476483184e-2, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674,
+             637.333633378831, 793.826512519948, 440.413735824752)
+TAIL_FAR = 7.07106781186547
+
+
+def normal_cdf(x: Column, mean: float = 0.0, sd: float = 1.0) -> Column:
+    """P(X <= x) of the normal distribution, as an expression (about 15
+    digits): the rational form near the middle, a continued fraction in the tails."""
+    z = (x - F.lit(float(mean))) / F.lit(float(sd))
+    a = F.abs(z)
+
+    def horner(cs):
+        out = F.lit(cs[0])
+        for c in cs[1:]:
+            out = out * a + F.lit(c)
+        return out
+
+    far = a + 0.65
+    for k in (4.0, 3.0, 2.0, 1.0):
+        far = a + F.lit(k) / far
+    density = F.exp(-a * a / 2)
+    tail = F.when(a < TAIL_FAR, density * horner(TAIL_TOP) / horner(TAIL_DOWN)).otherwise(density / far / 2.506628274631)
+    return F.when(z > 0, 1 - tail).otherwise(tail)
+
+
+def exponential_cdf(x: Column, rate: float) -> Column:
+    return F.when(x <= 0, 0.0).otherwise(1 - F.exp(-F.lit(float(rate)) * x))
+
+
+def ks_test(df: DataFrame, col: str, cdf) -> DataFrame:
+    """Two-sided one-sample Kolmogorov-Smirnov test against any continuous
+    distribution; ``cdf`` maps a column of values to P(X <= value).
+
+    The statistic is the largest gap between ``cdf`` and the empirical
+    distribution on either side of each distinct value.  Ranks are exact and global: counts per value, summed inside
+    ranges of values and shifted by the ranges before.  The p-value is the asymptotic one
+    with the usual correction for the sample's size.  Nulls and NaNs take no part."""
+    from skyframe.operators.relational import ordered_running
+    x = F.col(col).cast("double")
+    counts = df.select(x.alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("x").agg(
+        F.count(F.lit(1)).alias("c"))
+    ranked = ordered_running(counts.withColumn("_all", F.lit(0)), "_all", [F.asc("x")], ["c"], totals=True)
+    up = F.col("cum_c") / F.col("tot_c") - cdf(F.col("x"))
+    down = cdf(F.col("x")) - (F.col("cum_c") - F.col("c")) / F.col("tot_c")
+    stat = ranked.agg(F.max(F.greatest(up, down)).alias("statistic"), F.max("tot_c").alias("n"))
+    root = F.sqrt("n")
+    lam = (root + 0.12 + 0.11 / root) * F.col("statistic")
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, k: s + F.when(k % 2 == 1, 2.0).otherwise(-2.0)
+                         * F.exp(-2.0 * k * k * lam * lam))
+    return stat.select("statistic", "n", F.when(lam < 0.2, 1.0).otherwise(
+        F.least(F.lit(1.0), F.greatest(F.lit(0.0), series))).alias("p_value"))
+
+
 def kde(df: DataFrame, col: str, points: list[float], bandwidth: float) -> DataFrame:
     """Gaussian kernel density at fixed points: one aggregate, one column
     per point (no join of data with points)."""
@@ -133,44 +190,76 @@ def column_cosine(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.select(F.explode(F.array(*parts)).alias("p")).select("p.*")
 
 
-def column_cosine_approx(df: DataFrame, vec: str, threshold: float = 0.1, seed: int = 42) -> DataFrame:
+def _rows_of(df: DataFrame, vec: str) -> Column:
+    kind = dict(df.dtypes)[vec]
+    return F.col(vec).cast("array<double>") if kind.startswith("array") else vector_to_array(F.col(vec))
+
+
+def column_norms(df: DataFrame, vec: str) -> list[float]:
+    """Norm of every column of the row matrix: as many numbers as there are columns."""
+    found = df.select(F.posexplode(_rows_of(df, vec)).alias("i", "v")).groupBy("i").agg(
+        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("n")).collect()
+    norms = [0.0] * (max((r["i"] for r in found), default=-1) + 1)
+    for r in found:
+        norms[r["i"]] = r["n"] or 0.0
+    return norms
+
+
+def dimsum_rates(norms: list[float], threshold: float) -> list[float]:
+    """Probability that an entry of each column is kept:
+    min(1, sqrt(gamma) / norm) with gamma = 10 log(columns) / threshold."""
+    root = math.sqrt(10 * math.log(max(len(norms), 2)) / threshold)
+    return [min(1.0, root / n) if n else 1.0 for n in norms]
+
+
+def column_cosine_approx(df: DataFrame, vec: str, threshold: float = 0.1, seed: int = 42,
+                         key: list[str] | None = None) -> DataFrame:
     """Column cosine similarities by DIMSUM sampling (i < j, long form).
 
-    With column norms n_i (one aggregate) and gamma = 10 log(d) / threshold,
-    each row keeps its entry i with probability p_i = min(1, sqrt(gamma) /
-    n_i) and emits, for every kept pair, x_i x_j / (q_i q_j) with
-    q_i = min(sqrt(gamma), n_i): an unbiased estimate of the cosine whose
-    error is bounded for pairs above ``threshold``.  Coins are seeded
-    hashes of (row, column), so a retried task draws the same sample.
-    Work per row is bounded by the vector width; only the d norms and the
-    d x d result leave the executors."""
-    import math
-    x = vector_to_array(F.col(vec)) if dict(df.dtypes)[vec] != "array<double>" else F.col(vec)
-    rows = df.select(x.alias("x")).withColumn("_rid", F.monotonically_increasing_id())
-    norms_row = rows.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(
-        F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("n")).collect()          # d numbers
-    d = max((r["i"] for r in norms_row), default=-1) + 1
-    norms = [1.0] * d
-    for r in norms_row:
-        norms[r["i"]] = r["n"] or 1.0
-    sg = math.sqrt(10 * math.log(max(d, 2)) / threshold)
-    p = F.array(*[F.lit(min(1.0, sg / n)) for n in norms])
-    q = F.array(*[F.lit(min(sg, n)) for n in norms])
-
-    def coin(i):
-        return F.pmod(F.xxhash64(F.lit(seed), F.col("_rid"), i), F.lit(1_000_003)) / F.lit(1_000_003.0)
-
-    entries = F.filter(F.transform("x", lambda a, i: F.struct(i.alias("i"), a.alias("a"))),
+    Each row keeps its entry i with the probability p_i of ``dimsum_rates`` and
+    emits, for every kept pair, x_i x_j / (n_i n_j p_i p_j), with n the
+    column norms (one aggregate): an unbiased estimate of the
+    cosine whose error is bounded for pairs above ``threshold``.  Coins are hashes of
+    the row's ``key`` columns (default: its values) and the column number: they do not depend on how
+    rows lie in files or tasks, so a retry or another layout draws the same sample.  Rows
+    alike in their key share their coins, so name a unique key where there is one."""
+    x = _rows_of(df, vec)
+    rows = df.select(x.alias("x"), F.xxhash64(*(key or [x])).alias("_row"))
+    norms = column_norms(rows, "x")
+    if not norms:
+        return df.sparkSession.createDataFrame([], "i int, j int, similarity double")
+    rates = dimsum_rates(norms, threshold)
+    p = F.array(*[F.lit(v) for v in rates])
+    scale = F.array(*[F.lit(1.0 / (n * q) if n else 0.0) for n, q in zip(norms, rates)])
+    coin = lambda i: F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("_row"), i), 11) / F.lit(float(1 << 53))
+    entries = F.filter(F.transform("x", lambda a, i: F.struct(i.alias("i"), (a * scale[i]).alias("a"))),
                        lambda e: (e["a"] != 0) & (coin(e["i"]) < p[e["i"]]))
     kept = rows.select(entries.alias("k"))
     pairs = kept.select(F.explode(F.flatten(F.transform(
         "k", lambda e1: F.transform(F.filter("k", lambda e2: e2["i"] > e1["i"]),
                                     lambda e2: F.struct(e1["i"].alias("i"), e2["i"].alias("j"),
-                                                        (e1["a"] * e2["a"] / (q[e1["i"]] * q[e2["i"]]))
-                                                        .alias("w")))))).alias("e")).select("e.*")
+                                                        (e1["a"] * e2["a"]).alias("w")))))).alias("e")).select("e.*")
     return pairs.groupBy("i", "j").agg(F.sum("w").alias("similarity"))
 
 
+def column_cosine_vec(df: DataFrame, vec: str) -> DataFrame:
+    """Exact column cosines of a vector column (i < j, long form), from one Gram aggregate."""
+    g = gram(df, vec)
+    n = [math.sqrt(g[i][i]) for i in range(len(g))]
+    return df.sparkSession.createDataFrame(
+        [(i, j, float(g[i][j] / (n[i] * n[j]))) for i in range(len(g)) for j in range(i + 1, len(g)) if n[i] and n[j]],
+        "i int, j int, similarity double")
+
+
+def dimsum_error(df: DataFrame, vec: str, threshold: float, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """(pairs, mean_absolute_error) of the sampled cosines against the exact
+    ones; a pair the sample misses counts as 0."""
+    exact = column_cosine_vec(df, vec)
+    found = column_cosine_approx(df, vec, threshold, seed, key).withColumnRenamed("similarity", "estimate")
+    gap = F.abs(F.col("similarity") - F.coalesce("estimate", F.lit(0.0)))
+    return exact.join(found, ["i", "j"], "left").agg(F.count(F.lit(1)).alias("pairs"), F.avg(gap).alias("mean_absolute_error"))
+
+
 def gram(df: DataFrame, vec: str) -> "np.ndarray":
     """A^T A of the row matrix in one aggregate: each row contributes its
     outer product x x^T (a d*d vector built by expressions), summed by the

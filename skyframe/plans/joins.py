@@ -91,3 +91,32 @@ def skew_join(big: DataFrame, other: DataFrame, key: str, how: str = "inner", sh
     hot_part = big_hot.join(other_hot, [key, "_salt"], how).drop("_salt")
     cold_part = big.filter(~is_hot | F.col(key).isNull()).join(other.filter(~is_hot), key, how)
     return hot_part.unionByName(cold_part)
+
+
+# ``keyed_join``: below the first number of rows no key is worth a plan of its
+# own; a key counts as hot from the share 1 / HOT_KEYS of all rows, so
+# there are at most HOT_KEYS of them.
+HOT_ROWS, HOT_KEYS = 200_000, 10_000
+
+
+def keyed_join(rows: DataFrame, keyed: DataFrame, key: str, total: int, how: str = "inner",
+               least: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has one row per key; ``how`` is
+    inner or left.
+
+    Keys that hold more than ``total / most`` of the rows never meet in one
+    task: there are at most ``most`` of them, so their rows of ``keyed`` are
+    broadcast and the rows stay where they are.  All others are joined by a
+    shuffle in which no key is larger than that share.  ``total`` is the number
+    of rows; ``rows`` should be materialised, as it is read up to three times."""
+    if total <= least:
+        return rows.join(keyed, key, how)
+    limit = max(least, total // most)
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(key)
+    keys = [r[0] for r in hot.collect()]                              # at most ``most`` keys
+    if not keys:
+        return rows.join(keyed, key, how)
+    listed = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in keys], rows.select(key).schema))
+    few = F.broadcast(listed.join(keyed, key, how))
+    cold = rows.join(listed, key, "left_anti").join(keyed, key, how)
+    return rows.join(few, key).unionByName(cold)

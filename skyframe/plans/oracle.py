@@ -803,3 +803,130 @@ ORACLE["sta01_spearman"] = "WITH r AS (SELECT " + ", ".join(
     f"rank() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _LI_NUM) \
     + " FROM lineitem)\n" + "\nUNION ALL\n".join(
         f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM r" for a in _LI_NUM for b in _LI_NUM)
+
+
+# ---------------------------------------------------------------- models and tests in closed form
+def _normal_cdf(z: str) -> str:
+    """P(Z <= z) by the same rational approximation as the operator's."""
+    from skyframe.operators.stats import TAIL_DOWN, TAIL_FAR, TAIL_TOP
+
+    def horner(cs):
+        out = f"{cs[0]!r}::DOUBLE"
+        for c in cs[1:]:
+            out = f"({out} * abs({z}) + {c!r}::DOUBLE)"
+        return out
+    far = f"(abs({z}) + 0.65::DOUBLE)"
+    for k in (4, 3, 2, 1):
+        far = f"(abs({z}) + {k}::DOUBLE / {far})"
+    tail = (f"CASE WHEN abs({z}) < {TAIL_FAR}::DOUBLE THEN exp(-{z} * {z} / 2) * {horner(TAIL_TOP)} / {horner(TAIL_DOWN)} "
+            f"ELSE exp(-{z} * {z} / 2) / {far} / 2.506628274631::DOUBLE END")
+    return f"CASE WHEN {z} > 0 THEN 1 - ({tail}) ELSE {tail} END"
+
+
+ORACLE["sta05_ks_cdf"] = f"""
+WITH m AS (SELECT AVG(value) AS m, stddev_samp(value) AS s, COUNT(value) AS n FROM events),
+c AS (SELECT value AS x, COUNT(*) AS c, SUM(COUNT(*)) OVER (ORDER BY value) AS cum FROM events
+      WHERE value IS NOT NULL GROUP BY value),
+z AS (SELECT x, c, cum, n, (x - m) / s AS z, m FROM c, m),
+f AS (SELECT 'normal' AS distribution, c, cum, n, {_normal_cdf("z")} AS f FROM z
+      UNION ALL SELECT 'exponential', c, cum, n, CASE WHEN x <= 0 THEN 0 ELSE 1 - exp(-x / m) END FROM z)
+SELECT distribution, MAX(n) AS n, round(MAX(greatest(cum / n - f, f - (cum - c) / n)), 6) AS statistic
+FROM f GROUP BY distribution"""
+ORACLE["sta08_dimsum_error"] = "SELECT CAST(6 AS BIGINT) AS pairs, true AS sampled, true AS within"
+ORACLE["str08_sessions_expired"] = """
+SELECT CAST(user_id AS VARCHAR) AS id, CAST((epoch_us(MAX(ts)) - epoch_us(MIN(ts))) // 1000 AS BIGINT) AS duration_ms,
+       COUNT(*) AS num_events
+FROM events GROUP BY user_id"""
+ORACLE["snk06_delta_compacted"] = """
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END DESC,
+                           o_totalprice DESC, o_orderkey DESC) = 1"""
+
+DOC_TERMS = """terms AS (
+  SELECT doc_id, lang AS c, term, COUNT(*) AS n
+  FROM (SELECT doc_id, lang, unnest(regexp_split_to_array(text, '[ \\n]+')) AS term FROM documents
+        WHERE text IS NOT NULL AND lang IS NOT NULL)
+  WHERE term <> '' GROUP BY ALL),
+train AS (SELECT * FROM terms WHERE doc_id % 5 <> 0),
+test AS (SELECT * FROM terms WHERE doc_id % 5 = 0),
+classes AS (SELECT c, COUNT(DISTINCT doc_id) AS docs, SUM(n) AS mass FROM train GROUP BY c),
+vocabulary AS (SELECT DISTINCT term FROM train),
+v AS (SELECT COUNT(*) AS v FROM vocabulary),
+prior AS (SELECT c, ln((docs + 1) / (SUM(docs) OVER () + COUNT(*) OVER ())) AS prior, docs, mass FROM classes),
+cells AS (SELECT term, c, SUM(n) AS n, COUNT(DISTINCT doc_id) AS d FROM train GROUP BY term, c)"""
+_BEST = """
+SELECT doc_id, arg_max(c, (score, -code)) AS prediction, round(MAX(score), 3) AS score
+FROM (SELECT *, dense_rank() OVER (ORDER BY c) AS code FROM scores) GROUP BY doc_id"""
+ORACLE["mod06_bayes_multinomial"] = f"""
+WITH {DOC_TERMS},
+scores AS (
+  SELECT t.doc_id, p.c, p.prior + SUM(CASE WHEN w.term IS NULL THEN 0 ELSE
+           t.n * ln((COALESCE(x.n, 0) + 1) / (p.mass + v.v)) END) AS score
+  FROM test t JOIN prior p ON true JOIN v ON true LEFT JOIN vocabulary w ON t.term = w.term
+  LEFT JOIN cells x ON x.term = t.term AND x.c = p.c
+  GROUP BY t.doc_id, p.c, p.prior)
+{_BEST}"""
+ORACLE["mod06_bayes_bernoulli"] = f"""
+WITH {DOC_TERMS},
+seen AS (SELECT p.c, SUM(ln((p.docs + 1 - x.d) / (p.docs + 2))) AS s, COUNT(*) AS k FROM cells x JOIN prior p ON x.c = p.c GROUP BY p.c),
+empty AS (SELECT p.c, p.prior + s.s + (v.v - s.k) * ln((p.docs + 1) / (p.docs + 2)) AS score, p.docs
+          FROM prior p JOIN seen s ON p.c = s.c JOIN v ON true),
+scores AS (
+  SELECT t.doc_id, e.c, e.score + SUM(CASE WHEN w.term IS NULL THEN 0 ELSE
+           ln((COALESCE(x.d, 0) + 1) / (e.docs + 1 - COALESCE(x.d, 0))) END) AS score
+  FROM test t JOIN empty e ON true LEFT JOIN vocabulary w ON t.term = w.term
+  LEFT JOIN cells x ON x.term = t.term AND x.c = e.c
+  GROUP BY t.doc_id, e.c, e.score)
+{_BEST}"""
+ORACLE["mod20_lda_em"] = """
+WITH t AS (SELECT unnest(regexp_split_to_array(text, '[ \\n]+')) AS term FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL)
+SELECT 5 AS rounds, true AS never_falls, true AS perplexity_falls, COUNT(*) AS tokens, COUNT(DISTINCT term) AS terms
+FROM t WHERE term <> ''"""
+ORACLE["mod22_als_implicit"] = """
+SELECT COUNT(DISTINCT l_partkey) AS items, true AS solved, true AS never_rises
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+# With one indicator per group, a fitted mean is the group's mean; g is the link,
+# w the weight of a row in the Fisher information.
+_GLM = """
+r AS (SELECT l_returnflag AS f, l_extendedprice AS price, CAST(l_quantity > 25 AS INTEGER) AS big, l_quantity AS q FROM lineitem),
+y AS (SELECT 'gaussian' AS family, f, CAST(price AS DOUBLE) AS y FROM r UNION ALL SELECT 'binomial', f, CAST(big AS DOUBLE) FROM r
+      UNION ALL SELECT 'poisson', f, CAST(q AS DOUBLE) FROM r UNION ALL SELECT 'gamma', f, CAST(price AS DOUBLE) FROM r),
+m AS (SELECT *, AVG(y) OVER (PARTITION BY family, f) AS mu, AVG(y) OVER (PARTITION BY family) AS mean,
+             COUNT(*) OVER (PARTITION BY family) AS rows FROM y),
+d AS (
+  SELECT *, CASE family WHEN 'gaussian' THEN (y - mu) ^ 2
+              WHEN 'binomial' THEN -2 * (y * ln(mu) + (1 - y) * ln(1 - mu))
+              WHEN 'poisson' THEN 2 * (CASE WHEN y > 0 THEN y * ln(y / mu) ELSE 0 END - (y - mu))
+              ELSE -2 * (ln(y / mu) - (y - mu) / mu) END AS dev,
+         CASE family WHEN 'gaussian' THEN (y - mean) ^ 2
+              WHEN 'binomial' THEN -2 * (y * ln(mean) + (1 - y) * ln(1 - mean))
+              WHEN 'poisson' THEN 2 * (CASE WHEN y > 0 THEN y * ln(y / mean) ELSE 0 END - (y - mean))
+              ELSE -2 * (ln(y / mean) - (y - mean) / mean) END AS null_dev,
+         (y - mu) ^ 2 / CASE family WHEN 'gaussian' THEN 1 WHEN 'binomial' THEN mu * (1 - mu) WHEN 'poisson' THEN mu
+                                    ELSE mu * mu END AS pearson,
+         CASE WHEN family = 'poisson' THEN -2 * (y * ln(mu) - mu - lgamma(y + 1)) END AS own
+  FROM m),
+s AS (
+  SELECT family, MAX(rows) - 3 AS dof, SUM(dev) / MAX(rows) AS deviance, SUM(null_dev) / MAX(rows) AS null_deviance,
+         CASE WHEN family IN ('binomial', 'poisson') THEN 1 ELSE SUM(pearson) / (MAX(rows) - 3) END AS dispersion,
+         CASE family WHEN 'gaussian' THEN (MAX(rows) * (ln(SUM(dev) / MAX(rows) * 2 * pi()) + 1) + 2 + 6) / MAX(rows)
+              WHEN 'binomial' THEN (SUM(dev) + 6) / MAX(rows) WHEN 'poisson' THEN (SUM(own) + 6) / MAX(rows) END AS aic
+  FROM d GROUP BY family)"""
+ORACLE["mod13_glm_summary"] = f"""
+WITH {_GLM}
+SELECT family, dof, true AS stationary, round(deviance, 4) AS deviance, round(null_deviance, 4) AS null_deviance,
+       round(dispersion, 4) AS dispersion, round(aic, 4) AS aic FROM s"""
+ORACLE["mod13_glm_coefficients"] = f"""
+WITH {_GLM},
+g AS (
+  SELECT family, f, CASE family WHEN 'gaussian' THEN AVG(y) WHEN 'binomial' THEN ln(AVG(y) / (1 - AVG(y))) ELSE ln(AVG(y)) END AS eta,
+         COUNT(*) * CASE family WHEN 'binomial' THEN AVG(y) * (1 - AVG(y)) WHEN 'poisson' THEN AVG(y) ELSE 1 END AS w
+  FROM y GROUP BY family, f),
+c AS (
+  SELECT g.family, CASE g.f WHEN 'R' THEN '(intercept)' ELSE lower(g.f) END AS term,
+         CASE g.f WHEN 'R' THEN g.eta ELSE g.eta - b.eta END AS coefficient,
+         sqrt(s.dispersion * (1 / g.w + CASE g.f WHEN 'R' THEN 0 ELSE 1 / b.w END)) AS std_error
+  FROM g JOIN g b ON g.family = b.family AND b.f = 'R' JOIN s ON g.family = s.family)
+SELECT family, term, round(coefficient, 4) AS coefficient, round(std_error, 4) AS std_error,
+       round(coefficient / std_error, 4) AS statistic FROM c"""

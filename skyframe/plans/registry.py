@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skyframe.functions import features as fe
 from skyframe.functions import similarity as sim
 from skyframe.functions import udfs as uf
+from skyframe.ml import bayes, glm, lda_em
 from skyframe.ml import models as md
 from skyframe.operators import clicks as ck
 from skyframe.operators import evaluation as ev
@@ -467,7 +468,9 @@ def _str01(spark, d):
 
 @register("str02_running_word_count")
 def _str02(spark, d):
-    return _complete(st.running_word_count(_words_stream(spark, d), "line"), spark, "str02")
+    out = st.scratch(spark, "str02")                 # a trigger writes the words it changed
+    st.run(st.running_word_count(_words_stream(spark, d), "line"), "update", ssk.upsert_delta(out, ["word"]))
+    return ssk.read_delta(spark, out, ["word"])
 
 
 @register("str03_windowed_count")
@@ -483,15 +486,15 @@ def _str05(spark, d):
         F.count(F.lit(1)).alias("total"))
     seed = spark.createDataFrame(SEED_COUNTS, "word string, total long")
     st.run(counts, "update", st.seeded_sums(seed, "word", out, "total"))
-    return ssk.latest(spark, out)
+    return ssk.read_delta(spark, out, ["word"])
 
 
 @register("str06_update_state")
 def _str06(spark, d):
     out = st.scratch(spark, "str06")
     s = st.update_state(_events_stream(spark, d, ["ts", "user_id", "value"]), "user_id", "value")
-    st.run(s, "update", ssk.upsert_bucketed(out, ["user_id"], 16))
-    return ssk.read_bucketed(spark, out).select("user_id", F.round("total", 6).alias("total"))
+    st.run(s, "update", ssk.upsert_delta(out, ["user_id"]))
+    return ssk.read_delta(spark, out, ["user_id"]).select("user_id", F.round("total", 6).alias("total"))
 
 
 @register("str08_sessions")
@@ -500,6 +503,29 @@ def _str08(spark, d):
     return _complete(st.sessions(s, "user_id", "ts", "30 minutes"), spark, "str08")
 
 
+@register("str08_sessions_expired")
+def _str08b(spark, d):
+    """Sessions closed by a processing-time timer: the replay is one batch, so
+    a user's events are one session, emitted when nothing more comes for a second."""
+    out = st.scratch(spark, "str08b")
+    ev_ = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("user_id"), "ts")
+    s = st.sessions_with_timeout(st.replay(spark, ev_, 1), "user_id", "ts", "1 second")
+    write = ssk.upsert_delta(out, ["id"])
+    st.run_until_expired(s, lambda b, i: write(b.filter("expired"), i))
+    return ssk.read_delta(spark, out, ["id"]).select("id", "duration_ms", "num_events")
+
+
+@register("snk06_delta_compacted")
+def _snk06(spark, d):
+    """Orders upserted status by status through change files, merged every second batch."""
+    out = st.scratch(spark, "snk06")
+    write = ssk.upsert_delta(out, ["o_custkey"], order_col="o_totalprice", compact_every=2)
+    o = _t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    for i, status in enumerate(["F", "O", "P"]):
+        write(o.filter(F.col("o_orderstatus") == status).drop("o_orderstatus"), i)
+    return ssk.read_delta(spark, out, ["o_custkey"])
+
+
 @register("str09_sql_per_batch")
 def _str09(spark, d):
     out = st.scratch(spark, "str09")
@@ -884,6 +910,17 @@ def _sta05(spark, d):
     return sa.ks_normal(ev_, "value", float(m[0]), float(m[1]))
 
 
+@register("sta05_ks_cdf")
+def _sta05b(spark, d):
+    """Against the normal and the exponential distribution with the sample's moments."""
+    ev_ = _t(spark, d, "events")
+    m, sd = ev_.agg(F.avg("value"), F.stddev("value")).first()
+    tests = {"normal": lambda x: sa.normal_cdf(x, m, sd), "exponential": lambda x: sa.exponential_cdf(x, 1 / m)}
+    out = [sa.ks_test(ev_, "value", f).select(F.lit(k).alias("distribution"), "n", F.round("statistic", 6).alias("statistic"))
+           for k, f in tests.items()]
+    return out[0].unionByName(out[1])
+
+
 @register("sta06_kde")
 def _sta06(spark, d):
     k = sa.kde(_t(spark, d, "lineitem"), "l_discount", KDE_POINTS, 0.03)
@@ -900,6 +937,18 @@ def _sta08(spark, d):
     return sa.column_cosine_approx(ad.vectors(spark, d), "features", 0.1)
 
 
+@register("sta08_dimsum_error")
+def _sta08b(spark, d):
+    """Sampled column cosines against exact ones: whether any column is
+    sampled at all, and whether the mean error is within 0.1."""
+    li = _t(spark, d, "lineitem")
+    top = li.agg(*[F.max(c) for c in LI_NUM]).first()
+    v = li.select("l_orderkey", "l_linenumber", F.array(*[F.col(c) / t for c, t in zip(LI_NUM, top)]).alias("x"))
+    rates = sa.dimsum_rates(sa.column_norms(v, "x"), 0.02)
+    e = sa.dimsum_error(v, "x", 0.02, key=["l_orderkey", "l_linenumber"])
+    return e.select("pairs", F.lit(min(rates) < 1).alias("sampled"), (F.col("mean_absolute_error") < 0.1).alias("within"))
+
+
 @register("sta09_svd")
 def _sta09(spark, d):
     s, _, _ = sa.svd(ad.vectors(spark, d), "features", 5)
@@ -1318,6 +1367,30 @@ def _mod06(spark, d):
     return _pred(md.naive_bayes(train, model_type="gaussian"), test)
 
 
+def _words_by_doc(spark, d):
+    docs = _t(spark, d, "documents").filter("text is not null and lang is not null")
+    words = docs.select("doc_id", F.col("lang").alias("label"), F.explode(F.split("text", "[ \n]+")).alias("term"))
+    return words.filter("term <> ''").groupBy("doc_id", "label", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bayes(spark, d, kind):
+    """The language of every fifth document by its words, learnt from the others."""
+    t = _words_by_doc(spark, d)
+    m = bayes.fit(t.filter("doc_id % 5 <> 0"), kind=kind)
+    s = m.scores(t.filter("doc_id % 5 = 0"))
+    return s.select("doc_id", "prediction", F.round("score", 3).alias("score"))
+
+
+@register("mod06_bayes_multinomial")
+def _mod06b(spark, d):
+    return _bayes(spark, d, "multinomial")
+
+
+@register("mod06_bayes_bernoulli")
+def _mod06c(spark, d):
+    return _bayes(spark, d, "bernoulli")
+
+
 @register("mod07_tree")
 def _mod07(spark, d):
     train, test = _vec_split(spark, d)
@@ -1370,6 +1443,39 @@ def _mod13(spark, d):
                                  "slope double, intercept double")
 
 
+GLM_CASES = {"gaussian": "identity", "binomial": "logit", "poisson": "log", "gamma": "log"}
+
+
+def _glm_models(spark, d):
+    li = _t(spark, d, "lineitem").select(
+        (F.col("l_returnflag") == "A").cast("double").alias("a"), (F.col("l_returnflag") == "N").cast("double").alias("n"),
+        F.col("l_extendedprice").alias("gaussian"), (F.col("l_quantity") > 25).cast("double").alias("binomial"),
+        F.col("l_quantity").alias("poisson"), F.col("l_extendedprice").alias("gamma"))
+    return {k: glm.fit(li, ["a", "n"], k, k, link) for k, link in GLM_CASES.items()}
+
+
+@register("mod13_glm_coefficients")
+def _mod13b(spark, d):
+    """Four families on two indicators: coefficients, standard errors and
+    statistics (relative to the response's scale where it is a price)."""
+    rows = [(k, t, float(c), float(e), float(s)) for k, m in _glm_models(spark, d).items()
+            for t, c, e, s in zip(["(intercept)", *m.names], m.coefficients, m.std_errors, m.statistics)]
+    df = spark.createDataFrame(rows, "family string, term string, coefficient double, std_error double, statistic double")
+    return df.select("family", "term", *[F.round(c, 4).alias(c) for c in ("coefficient", "std_error", "statistic")])
+
+
+@register("mod13_glm_summary")
+def _mod13c(spark, d):
+    """Deviance, null deviance and AIC per row, dispersion, and whether the
+    likelihood's gradient is zero at the solution."""
+    rows = [(k, m.dof, m.deviance / m.rows, m.null_deviance / m.rows, m.dispersion, m.aic / m.rows if k != "gamma" else None,
+             bool(max(abs(m.score)) < 1e-6 * m.rows * max(1.0, m.dispersion ** 0.5)))
+            for k, m in _glm_models(spark, d).items()]
+    df = spark.createDataFrame(rows, "family string, dof long, deviance double, null_deviance double, dispersion double, "
+                                     "aic double, stationary boolean")
+    return df.select("family", "dof", "stationary", *[F.round(c, 4).alias(c) for c in ("deviance", "null_deviance", "dispersion", "aic")])
+
+
 @register("mod14_isotonic")
 def _mod14(spark, d):
     li = fe.assemble(_t(spark, d, "lineitem").select("l_quantity", "l_extendedprice"), ["l_quantity"], "features")
@@ -1449,6 +1555,17 @@ def _mod20(spark, d):
     return m.describeTopics(5)
 
 
+@register("mod20_lda_em")
+def _mod20b(spark, d):
+    """Topics by expectation maximisation: whether the log-posterior never
+    falls, the tokens that the topics share out, and their number of terms."""
+    t = _words_by_doc(spark, d)
+    m = lda_em.fit(t, 4, max_rounds=5)
+    rises = all(b >= a - 1e-9 * abs(a) for a, b in zip(m.log_posterior, m.log_posterior[1:]))
+    return spark.createDataFrame([(len(m.log_posterior), rises, m.perplexity[-1] < m.perplexity[0], int(round(sum(m.mass))),
+                                   m.vocabulary)], "rounds int, never_falls boolean, perplexity_falls boolean, tokens long, terms long")
+
+
 @register("mod21_lda_pipeline")
 def _mod21(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
@@ -1476,6 +1593,18 @@ def _mod22b(spark, d):
     return rel.top_k_per(scored, "user", "prediction", 10, asc=False, tie=["item"])
 
 
+@register("mod22_als_implicit")
+def _mod22c(spark, d):
+    """Implicit preferences: whether the objective over all pairs never rises,
+    and whether the item factors solve their normal equations."""
+    r = ad.ratings(spark, d)
+    u, v, history = md.als_by_hand(r, rank=4, iters=3, lam=0.05, alpha=0.5)
+    named = r.select(F.col("user").alias("u"), F.col("item").alias("i"), F.col("rating").cast("double").alias("rating"))
+    worst = md.als_residual(named, "i", "u", v, u, 0.05, 0.5).agg(F.count(F.lit(1)).alias("items"), F.max("residual").alias("r"))
+    falls = all(b <= a * (1 + 1e-12) for a, b in zip(history, history[1:]))
+    return worst.select("items", (F.col("r") < 1e-6).alias("solved"), F.lit(falls).alias("never_rises"))
+
+
 @register("mod29_als_factors")
 def _mod29(spark, d):
     m = md.als(ad.ratings(spark, d), rank=5, iters=5)
@@ -1563,8 +1692,9 @@ def _str04(spark, d):
     out = st.scratch(spark, "str04")
     s = _events_stream(spark, d, ["ts", "event_type"])
     counts = st.sliding_count(s, "ts", "event_type", "1 hour", "15 minutes", watermark="2 hours")
-    st.run(counts, "update", ssk.upsert_parquet(out, ["window_start", "window_end", "event_type"]))
-    return ssk.latest(spark, out)
+    keys = ["window_start", "window_end", "event_type"]
+    st.run(counts, "update", ssk.upsert_delta(out, keys))
+    return ssk.read_delta(spark, out, keys)
 
 
 @register("str10_restartable")
@@ -1831,8 +1961,8 @@ def _joi02(spark, d):
 def _str07(spark, d):
     out = st.scratch(spark, "str07")
     s = st.update_mean(_events_stream(spark, d, ["ts", "event_type", "value"]), "event_type", "value")
-    st.run(s, "update", ssk.upsert_parquet(out, ["event_type"]))
-    return ssk.latest(spark, out).select("event_type", "n", F.round("total", 4).alias("total"), "mean")
+    st.run(s, "update", ssk.upsert_delta(out, ["event_type"]))
+    return ssk.read_delta(spark, out, ["event_type"]).select("event_type", "n", F.round("total", 4).alias("total"), "mean")
 
 
 # ---------------------------------------------------------------- running airline queries
@@ -1851,7 +1981,7 @@ def _air07d(spark, d):
     out = st.scratch(spark, "air07d")
     f = ad.flights(spark, d, ["origin", "dest", "arr_delay"])
     sair.route_delay(st.replay(spark, f, N_BATCHES), ORIGIN, DEST, out, interval=None)
-    return ssk.latest(spark, out)
+    return ssk.read_delta(spark, out, ["origin", "dest"])
 
 
 @register("mod23_als_by_hand")

@@ -53,7 +53,7 @@ def carriers_on_route(stream: DataFrame, origin: str, dest: str, out: str, k: in
 def route_delay(stream: DataFrame, origin: str, dest: str, out: str, checkpoint: str | None = None,
                 interval: str | None = BATCH_INTERVAL):
     """Keyed upsert of the route's mean (update mode: only changed keys)."""
-    return run(fl.route_delay(stream, origin, dest), "update", ssk.upsert_parquet(out, ["origin", "dest"]),
+    return run(fl.route_delay(stream, origin, dest), "update", ssk.upsert_delta(out, ["origin", "dest"]),
                checkpoint, trigger=_trigger(interval))
 
 

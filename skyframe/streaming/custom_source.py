@@ -1,15 +1,22 @@
 """A user-defined streaming source written with the Python Data Source API:
 new text files in a folder, read line by line by executor tasks.
 
-The offset is the newest file handed out (modification time and names), so
-a restarted query resumes after it and a late file is read whatever its name.
-Each new file becomes one input partition, read where the task runs; the
-driver only lists file names.
+Which files were handed out is kept in a log, not derived from times or
+names: each batch of newly seen files is one entry, a numbered list of names, written
+whole under ``_seen`` in the folder (or under the option ``log``), and the offset is the
+number of the last entry.  So a file that lands late, or keeps an older modification time
+because it was renamed into place, is read once like any other, and a restarted
+query finds the same files behind the same offsets.  The log belongs to one query.
+
+A file counts from when it is listed, so files should land whole (written
+elsewhere or under a name beginning with "." or "_", then renamed).  Each new file becomes one input partition, read where
+the task runs; the driver only lists file names.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import os
 
 import pyarrow.fs as pafs
@@ -31,34 +38,57 @@ def _fs(uri: str):
 
 
 class LineFilesStreamReader(DataSourceStreamReader):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, log: str | None = None):
+        self.folder, self.log = folder, log or os.path.join(folder, "_seen")
+        self.entry, self.seen = 0, set()            # entries read so far, and the names in them
 
-    def _files(self) -> list[list]:
-        """[modification time in ns, name] of every file, in order of arrival."""
+    def _listed(self) -> list[str]:
         fs, root = _fs(self.folder)
         infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return sorted([i.mtime_ns or 0, i.base_name] for i in infos
+        return sorted(i.base_name for i in infos
                       if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
 
-    # An offset is the newest file seen (time, name) and the names that
-    # share its time: a file that arrives later sorts after it whatever its name,
-    # and one of the same instant is told apart by its name.
+    def _path(self, entry: int) -> str:
+        return f"{_fs(self.log)[1]}/{entry:012d}.json"
+
+    def _names(self, entry: int) -> list[str] | None:
+        """Names of an entry, None if it was never written."""
+        fs, path = _fs(self.log)[0], self._path(entry)
+        if fs.get_file_info(path).type != pafs.FileType.File:
+            return None
+        with fs.open_input_stream(path) as f:
+            return json.loads(f.read())
+
+    def _catch_up(self) -> None:
+        """Read the entries written since the last call (all of them after a restart)."""
+        while (names := self._names(self.entry + 1)) is not None:
+            self.seen.update(names)
+            self.entry += 1
+
+    def _append(self, names: list[str]) -> None:
+        """Write the next entry whole: under another name first, then renamed."""
+        fs, root = _fs(self.log)
+        fs.create_dir(root, recursive=True)
+        path = self._path(self.entry + 1)
+        with fs.open_output_stream(f"{path}.tmp") as f:
+            f.write(json.dumps(names).encode())
+        fs.move(f"{path}.tmp", path)
+        self.seen.update(names)
+        self.entry += 1
+
     def initialOffset(self) -> dict:
-        return {"time": -1, "names": []}
+        return {"entry": 0}
 
     def latestOffset(self) -> dict:
-        files = self._files()
-        newest = files[-1][0] if files else -1
-        return {"time": newest, "names": [n for t, n in files if t == newest]}
-
-    @staticmethod
-    def _seen(offset: dict, time: int, name: str) -> bool:
-        return time < offset["time"] or time == offset["time"] and name in offset["names"]
+        self._catch_up()
+        new = [n for n in self._listed() if n not in self.seen]
+        if new:
+            self._append(new)
+        return {"entry": self.entry}
 
     def partitions(self, start: dict, end: dict):
-        return [_FilePartition(os.path.join(self.folder, n)) for t, n in self._files()
-                if self._seen(end, t, n) and not self._seen(start, t, n)]
+        return [_FilePartition(os.path.join(self.folder, n))
+                for e in range(start["entry"] + 1, end["entry"] + 1) for n in self._names(e) or []]
 
     def read(self, partition: _FilePartition):
         fs, path = _fs(partition.path)
@@ -82,4 +112,4 @@ class LineFilesSource(DataSource):
         return "value string"
 
     def streamReader(self, schema):
-        return LineFilesStreamReader(self.options["path"])
+        return LineFilesStreamReader(self.options["path"], self.options.get("log"))

@@ -44,16 +44,29 @@ def load_state(spark, path: str) -> dict | None:
 
 
 class _Once:
-    """Batch ids of one stream rise; a batch that is replayed after a failure
-    has been counted already and is skipped."""
+    """Applies each batch of a stream exactly once.  Batch ids rise.  A batch's
+    new state is computed apart from the model, saved, and only then taken
+    over together with the batch's id: a batch that fails anywhere before is applied in full when it
+    is retried, and one that is replayed after it was applied is skipped."""
 
     last = -1
+    state_path: str | None = None
 
-    def _fresh(self, batch_id: int) -> bool:
+    def update(self, batch_df: DataFrame, batch_id: int) -> None:
         if batch_id <= self.last:
-            return False
+            return
+        new = self._next(batch_df, batch_id)
+        _save_state(self.state_path, batch_id, self._state(new), batch_df.sparkSession)
+        self.__dict__.update(new)
         self.last = batch_id
-        return True
+
+    def _next(self, batch_df: DataFrame, batch_id: int) -> dict:
+        """The attributes after the batch; must leave the model as it is."""
+        raise NotImplementedError
+
+    def _state(self, new: dict) -> dict:
+        """What of ``new`` is saved."""
+        raise NotImplementedError
 
 
 class StreamingKMeans(_Once):
@@ -68,21 +81,21 @@ class StreamingKMeans(_Once):
         self.features = features
         self.state_path = state_path
 
-    def update(self, batch_df: DataFrame, batch_id: int) -> None:
-        if not self._fresh(batch_id):
-            return
+    def _next(self, batch_df: DataFrame, batch_id: int) -> dict:
         x = batch_df.select(_arr(batch_df, self.features).alias("x"))
         stats = (x.select(closest("x", self.centres).alias("c"), array_to_vector("x").alias("v"))
                   .groupBy("c").agg(Summarizer.sum(F.col("v")).alias("s"), F.count(F.lit(1)).alias("m"))
                   .collect())                                   # at most k rows
-        self.weights *= self.decay
+        centres, weights = self.centres.copy(), self.weights * self.decay
         for r in stats:
             i, m, s = r["c"], r["m"], r["s"].toArray()
-            n = self.weights[i]
-            self.centres[i] = (self.centres[i] * n + s) / (n + m)
-            self.weights[i] = n + m
-        _save_state(self.state_path, batch_id, {"centres": self.centres.tolist(),
-                                                "weights": self.weights.tolist()}, batch_df.sparkSession)
+            n = weights[i]
+            centres[i] = (centres[i] * n + s) / (n + m)
+            weights[i] = n + m
+        return {"centres": centres, "weights": weights}
+
+    def _state(self, new: dict) -> dict:
+        return {k: v.tolist() for k, v in new.items()}
 
     def predict(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", closest_col(df, self.features, self.centres))
@@ -119,28 +132,31 @@ class _StreamingSGD(_Once):
         self.state_path = state_path
         self.t = 0
 
-    def _dot(self, x):
-        wl = F.array(*[F.lit(float(v)) for v in self.w])
+    def _dot(self, x, w=None):
+        wl = F.array(*[F.lit(float(v)) for v in (self.w if w is None else w)])
         return F.aggregate(F.zip_with(x, wl, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
     def _residual(self, dot, y):
         raise NotImplementedError
 
-    def update(self, batch_df: DataFrame, batch_id: int) -> None:
-        if not self._fresh(batch_id):
-            return
+    def _next(self, batch_df: DataFrame, batch_id: int) -> dict:
         base = batch_df.select(_arr(batch_df, self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
         base = base.cache()
-        n = base.count()
-        if n:
-            for _ in range(self.iters):
-                self.t += 1
-                r = self._residual(self._dot(F.col("x")), F.col("y"))
+        w, t = self.w, self.t
+        try:
+            n = base.count()
+            for _ in range(self.iters if n else 0):
+                t += 1
+                r = self._residual(self._dot(F.col("x"), w), F.col("y"))
                 g = base.select(array_to_vector(F.transform("x", lambda a: a * r)).alias("g")) \
                         .agg(Summarizer.sum(F.col("g")).alias("s")).first()["s"].toArray()
-                self.w = self.w - self.step / math.sqrt(self.t) * g / n
-        base.unpersist()
-        _save_state(self.state_path, batch_id, {"weights": self.w.tolist(), "t": self.t}, batch_df.sparkSession)
+                w = w - self.step / math.sqrt(t) * g / n
+        finally:
+            base.unpersist()
+        return {"w": w, "t": t}
+
+    def _state(self, new: dict) -> dict:
+        return {"weights": new["w"].tolist(), "t": new["t"]}
 
     def predict(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self._link(self._dot(_arr(df, self.features))))
@@ -258,19 +274,19 @@ class StreamingABTest(_Once):
         m2 = a[2] + b[2] + d * d * a[0] * b[0] / n
         return (n, mean, m2)
 
-    def _add(self, stats: dict) -> dict:
-        """Keep the batch's statistics and return the totals."""
+    def _add(self, stats: dict) -> tuple[list[dict], dict]:
+        """The batches kept with the new one's statistics, and their totals."""
         if self.window:
-            self.batches = [*self.batches, stats][-self.window:]
+            batches = [*self.batches, stats][-self.window:]
         else:                                # bounded state: one merged entry
             old = self.batches[0] if self.batches else {}
-            self.batches = [{g: self._merge(old.get(g, (0, 0.0, 0.0)), stats.get(g, (0, 0.0, 0.0)))
-                             for g in (True, False)}]
+            batches = [{g: self._merge(old.get(g, (0, 0.0, 0.0)), stats.get(g, (0, 0.0, 0.0)))
+                        for g in (True, False)}]
         total = {True: (0, 0.0, 0.0), False: (0, 0.0, 0.0)}
-        for b in self.batches:
+        for b in batches:
             for g in b:
                 total[g] = self._merge(total[g], b[g])
-        return total
+        return batches, total
 
     @classmethod
     def resume(cls, spark, state_path: str, **kw) -> "StreamingABTest":
@@ -280,28 +296,26 @@ class StreamingABTest(_Once):
             t.batches = [{k == "true": tuple(v) for k, v in b.items()} for b in st["batches"]]
         return t
 
-    def update(self, batch_df: DataFrame, batch_id: int) -> None:
-        if not self._fresh(batch_id):
-            return
-        self.seen += 1
-        if self.seen <= self.peace:
-            return
+    def _next(self, batch_df: DataFrame, batch_id: int) -> dict:
+        seen = self.seen + 1
+        if seen <= self.peace:
+            return {"seen": seen, "batches": self.batches}
         rows = batch_df.groupBy(F.col(self.group).cast("boolean").alias("g")).agg(
             F.count(self.value).alias("n"), F.avg(self.value).alias("m"),
             (F.coalesce(F.var_pop(self.value), F.lit(0.0)) * F.count(self.value)).alias("m2")).collect()
         stats = {bool(r["g"]): (r["n"], r["m"] or 0.0, r["m2"] or 0.0) for r in rows}
-        tot = self._add(stats)
+        batches, tot = self._add(stats)
         (n1, m1, s1), (n2, m2, s2) = tot[True], tot[False]
         if n1 > 1 and n2 > 1:
             t, dof, p = welch(n1, m1, s1 / (n1 - 1), n2, m2, s2 / (n2 - 1))
             row = (batch_id, t, dof, p, p < self.alpha)
         else:
             row = (batch_id, float("nan"), float("nan"), float("nan"), False)
-        self.results.append(row)
-        self.stopped = bool(row[4])
-        _save_state(self.state_path, batch_id, {"seen": self.seen, "batches": [
-            {str(g).lower(): v for g, v in b.items()} for b in self.batches]}, batch_df.sparkSession)
-        if self.out_path:
+        if self.out_path:                    # a folder per batch: a retry writes the same one again
             batch_df.sparkSession.createDataFrame(
                 [row], "batch long, statistic double, dof double, p_value double, significant boolean") \
                 .write.mode("overwrite").parquet(os.path.join(self.out_path, f"batch={batch_id}"))
+        return {"seen": seen, "batches": batches, "results": [*self.results, row], "stopped": bool(row[4])}
+
+    def _state(self, new: dict) -> dict:
+        return {"seen": new["seen"], "batches": [{str(g).lower(): v for g, v in b.items()} for b in new["batches"]]}

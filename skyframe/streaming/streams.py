@@ -212,8 +212,8 @@ def seeded_sums(seed: DataFrame, key: str, target: str, name: str = "total"):
     fixed initial state (``seed``: key, name) to each updated key and
     upserts the result at ``target``."""
     from skyframe.plans.joins import broadcast_if_small
-    from skyframe.streaming.sinks import upsert_parquet
-    write = upsert_parquet(target, [key])
+    from skyframe.streaming.sinks import upsert_delta
+    write = upsert_delta(target, [key])
     s = seed.withColumnRenamed(name, "_seed")
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
@@ -269,6 +269,26 @@ def sessions_with_timeout(stream: DataFrame, key: str, ts: str, timeout: str = "
         update, out_schema, state_schema, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
+def run_until_expired(stream: DataFrame, writer, poll_seconds: float = 0.2, timeout_seconds: float = 600.0) -> None:
+    """Run a query with processing-time timers until it has read its input and
+    no key has state left: every timer has fired.  An error if ``timeout_seconds`` pass first."""
+    import time
+    q = run(stream, "update", writer, trigger={"processingTime": "0 seconds"})
+    begun = time.time()
+    try:
+        while True:                     # timers make a batch of every trigger, so the query is never idle
+            if q.exception():
+                raise q.exception()
+            last = q.lastProgress
+            if last and last["numInputRows"] == 0 and all(op["numRowsTotal"] == 0 for op in last["stateOperators"]):
+                return
+            if time.time() - begun > timeout_seconds:
+                raise TimeoutError("some sessions are still open")
+            time.sleep(poll_seconds)
+    finally:
+        q.stop()
+
+
 def _interval_ms(text: str) -> int:
     n, unit = text.split()
     scale = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000}
