@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A model broadcast by value, its class included, so that workers need
+    no copy of the package; rebuilt once in a worker process."""
+
+    def __init__(self, spark: SparkSession, value) -> None:
+        ready(spark)
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if not hasattr(self._bytes, "_made"):
+            self._bytes._made = pickle.loads(self._bytes.value)
+        return self._bytes._made
+
+
 def ready(spark: SparkSession) -> None:
     """Functions sent to Python workers are pickled by value."""
     ship_package(spark)

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyframe.llm.common import written
+from skyframe.llm.common import Shared, written
 from skyframe.operators.relational import with_index
 
 CURVES, DIMS, BITS, SEED = 16, 8, 7, 29
@@ -199,7 +199,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", vec: str = "embedding") -
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if base.isEmpty():
         return empty
-    curves = spark.sparkContext.broadcast(_fit(base))
+    curves = Shared(spark, _fit(base))
     # every query row with its class; a class keeps only its smallest ids, so they are read anew
     v = F.transform(F.col(vec).cast("array<double>"), lambda x: x + F.lit(0.0))
     asked = (vectors.filter(F.col(vec_id).isNotNull() & (F.col(vec_id) % EVERY == 0))

@@ -162,10 +162,12 @@ def mixed_documents(docs: DataFrame, seed: int = 17, max_repeat: int = 3) -> Dat
     group whose copies are added up, so they are kept once and repeated by a
     generator, never gathered."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(F.struct(*cols).alias("row"), F.xxhash64(F.lit(seed), *cols).alias("k"))
-    plan = mix(docs.select("doc_id", "text", "source", F.xxhash64(F.lit(seed), *cols).alias("__k")),
-               seed, max_repeat, carry=["__k"])
-    plan = plan.filter("copies > 0").groupBy(F.col("__k").alias("k")).agg(F.sum("copies").alias("n"))
-    once = keyed.groupBy("k").agg(F.first("row").alias("row"))
-    return (once.join(plan, "k").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
+    # two hashes, of the columns forwards and backwards: 128 bits name a row
+    k, j = F.xxhash64(F.lit(seed), *cols), F.xxhash64(F.lit(seed + 1), *cols[::-1])
+    keyed = docs.select(F.struct(*cols).alias("row"), k.alias("k"), j.alias("j"))
+    plan = mix(docs.select("doc_id", "text", "source", k.alias("__k"), j.alias("__j")),
+               seed, max_repeat, carry=["__k", "__j"])
+    plan = plan.filter("copies > 0").groupBy(F.col("__k").alias("k"), F.col("__j").alias("j")).agg(F.sum("copies").alias("n"))
+    once = keyed.groupBy("k", "j").agg(F.first("row").alias("row"))
+    return (once.join(plan, ["k", "j"]).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
                 .select("row.*"))

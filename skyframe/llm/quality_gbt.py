@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyframe.llm.common import crc_remainder, written
+from skyframe.llm.common import Shared, crc_remainder, written
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
 
@@ -178,7 +178,7 @@ def scored(stats: Column, model) -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, max_rows: int = 30_000) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     stats = written(docs.select("doc_id", statistics_of(F.col("text")).alias("stats")), "quality-stats")
-    model = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, max_rows=max_rows))
+    model = Shared(docs.sparkSession, fit(stats, labels, max_rows=max_rows))
     out = stats.select("doc_id", (crc_remainder("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
                        scored(F.col("stats"), model).alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyframe.llm.common import crc_remainder, written
+from skyframe.llm.common import Shared, crc_remainder, written
 
 FOLDS, HELD_OUT = 4, 2
 PIECE, K = 5, 15
@@ -194,9 +194,7 @@ class Index:
     tf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     norm: np.ndarray = field(default_factory=lambda: np.zeros(0))
     lists: tuple | None = None                       # made from these, once in a process
-    vecs: list = field(default_factory=list)         # (terms, counts) of the examples until calibrated
     prior: float = 0.0
-    curve: tuple = ((0.0, 1.0), (0.0, 1.0))          # calibration: votes, shares
 
     def weights(self, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
         """Unit vector: (1 + ln tf) * idf."""
@@ -207,14 +205,13 @@ class Index:
         """Index the examples, by ascending id."""
         order = sorted(range(len(ids)), key=lambda e: ids[e])
         self.ids, self.y = np.array(ids, np.int64)[order], np.array(y, np.float64)[order]
-        self.vecs = [(terms[e], tfs[e]) for e in order]
-        self.start = np.cumsum([0] + [len(t) for t, _ in self.vecs])
+        self.start = np.cumsum([0] + [len(terms[e]) for e in order])
         if not order:
             return
-        self.term = np.concatenate([t for t, _ in self.vecs]).astype(np.int32)
-        self.tf = np.concatenate([n for _, n in self.vecs])
+        self.term = np.concatenate([terms[e] for e in order]).astype(np.int32)
+        self.tf = np.concatenate([tfs[e] for e in order])
+        self.norm = np.array([np.sqrt((((1 + np.log(tfs[e])) * self.idf[terms[e]]) ** 2).sum()) for e in order])
         self.tf = self.tf.astype(np.min_scalar_type(self.tf.max()))
-        self.norm = np.array([np.sqrt((((1 + np.log(n)) * self.idf[t]) ** 2).sum()) for t, n in self.vecs])
 
     def made(self) -> tuple:
         """(row of each term in the matrix or -1, matrix of the common terms by example,
@@ -291,37 +288,59 @@ class Index:
         w = s * s
         return float(((w * self.y[e]).sum() + 0.25 * self.prior) / (w.sum() + 0.25))
 
-    def score(self, vote: float) -> float:
-        share = np.interp(vote, *self.curve)
-        return float(min(1.0, max(0.0, 0.98 * share + 0.02 * vote)))
-
-    def calibrate(self, weight: dict) -> None:
-        """Isotonic fit (pool adjacent violators) of labels on the votes that
-        examples get from all others.  ``weight``: how many labelled rows an example
-        of a label stands for."""
-        some = list(range(0, len(self.vecs), max(1, len(self.vecs) // CALIBRATED)))
-        votes = []
-        for i in range(0, len(some), 100):
-            part = some[i:i + 100]
-            found = self.nearest_of([self.vecs[e] for e in part], without=part)
-            votes += [(self.vote(*f), e) for f, e in zip(found, part)]
-        votes.sort()
-        pools: list[list[float]] = []            # weight, toxic weight, sum of votes
-        for v, e in votes:
-            w = weight[int(self.y[e])]
-            pools.append([w, w * self.y[e], w * v])
-            while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
-                last = pools.pop()
-                pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-        if pools:
-            self.curve = ([p[2] / p[0] for p in pools], [(p[1] + 0.1 * self.prior) / (p[0] + 0.1) for p in pools])
-        self.vecs, self.lists = [], None         # not broadcast
+    def vec(self, e: int) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and counts of an example."""
+        at = slice(self.start[e], self.start[e + 1])
+        return self.term[at], self.tf[at].astype(np.int64)
+
+    @property
+    def vecs(self) -> list:
+        return [self.vec(e) for e in range(len(self.ids))]
+
+    def own_votes(self, examples: list[int]) -> list[float]:
+        """The votes that some examples get from all others."""
+        found = self.nearest_of([self.vec(e) for e in examples], without=examples)
+        return [self.vote(*f) for f in found]
+
+
+def calibrated(spark, index: Shared, n: int, y: np.ndarray, prior: float, weight: dict) -> tuple:
+    """Isotonic fit (pool adjacent violators) of labels on the votes that
+    examples get from all others: (votes, shares) to interpolate.  Every n-th example, about
+    ``CALIBRATED``, votes on the executors; only its number and vote come back.
+    ``weight``: how many labelled rows an example of a label stands for."""
+    some = list(range(0, n, max(1, n // CALIBRATED)))
+    if not some:
+        return (0.0, 1.0), (0.0, 1.0)
+
+    def ask(batches):
+        for pdf in batches:
+            for i in range(0, len(pdf), 100):
+                part = pdf["e"].iloc[i:i + 100].tolist()
+                yield pd.DataFrame({"e": part, "vote": index.value.own_votes(part)})
+
+    parts = -(-len(some) // 100)
+    asked = spark.createDataFrame([(e,) for e in some], "e long").repartition(parts, F.col("e"))
+    votes = sorted((r["vote"], r["e"]) for r in asked.mapInPandas(ask, "e long, vote double").collect())   # about CALIBRATED
+    pools: list[list[float]] = []            # weight, toxic weight, sum of votes
+    for v, e in votes:
+        w = weight[int(y[e])]
+        pools.append([w, w * y[e], w * v])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    return [p[2] / p[0] for p in pools], [(p[1] + 0.1 * prior) / (p[0] + 0.1) for p in pools]
+
+
+def share_of(vote: float, curve: tuple) -> float:
+    """The calibrated score of a vote."""
+    return float(min(1.0, max(0.0, 0.98 * np.interp(vote, *curve) + 0.02 * vote)))
 
 
 @dataclass
 class Model:
     terms: object        # broadcast terms and letter table
-    index: object        # broadcast Index
+    index: object        # shared Index
+    curve: tuple         # calibration: votes, shares
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples: int = 5000) -> Model:
@@ -346,14 +365,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_examples:
     index.prior = float(((stands * rows["y"])[bare].sum() + every) / (stands[bare].sum() + 1))
     rows = rows[~bare.astype(bool)]
     index.add(rows["doc_id"].tolist(), rows["y"].tolist(), rows["term"].tolist(), rows["tf"].tolist())
-    index.calibrate(weight)
-    return Model(terms, spark.sparkContext.broadcast(index))
+    n, y, prior = len(index.ids), index.y, index.prior
+    index = Shared(spark, index)
+    return Model(terms, index, calibrated(spark, index, n, y, prior, weight))
 
 
 def scored(text: Column, model: Model) -> Column:
     """struct<score, evidence> of a text; evidence lists the three nearest
     examples as doc_id:label:cosine."""
-    terms, index = model.terms, model.index
+    terms, index, curve = model.terms, model.index, model.curve
     made: list = []
     seen: dict = {}
 
@@ -369,7 +389,7 @@ def scored(text: Column, model: Model) -> Column:
                 seen.clear()
             new = {key: v for key, v in zip(keys, vecs) if key not in seen and len(v[0])}
             for key, (e, s) in zip(new, ix.nearest_of(list(new.values())) if new else ()):
-                seen[key] = (ix.score(ix.vote(e, s)), ",".join(
+                seen[key] = (share_of(ix.vote(e, s), curve), ",".join(
                     f"{ix.ids[i]}:{int(ix.y[i])}:{c:.4f}" for i, c in zip(e[:3], s[:3])))
             out += [seen.get(key, (ix.prior, "")) for key in keys]
         return pd.DataFrame({"score": np.array([x for x, _ in out], np.float64),
