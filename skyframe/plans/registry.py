@@ -485,7 +485,7 @@ def _str05(spark, d):
     counts = st.split_words(_words_stream(spark, d), "line").groupBy("word").agg(
         F.count(F.lit(1)).alias("total"))
     seed = spark.createDataFrame(SEED_COUNTS, "word string, total long")
-    st.run(counts, "update", st.seeded_sums(seed, "word", out, "total"))
+    st.run(counts, "update", st.seeded_sums(seed, "word", out, "total", ssk.upsert_delta))
     return ssk.read_delta(spark, out, ["word"])
 
 

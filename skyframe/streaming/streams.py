@@ -207,13 +207,13 @@ def update_mean(stream: DataFrame, key: str, value: str, name: str = "mean") ->
                   .withColumn(name, (F.col("total") / F.col("n")).cast("float")))
 
 
-def seeded_sums(seed: DataFrame, key: str, target: str, name: str = "total"):
+def seeded_sums(seed: DataFrame, key: str, target: str, name: str = "total", sink=None):
     """foreachBatch writer for a running-sum stream in update mode: adds a
     fixed initial state (``seed``: key, name) to each updated key and
-    upserts the result at ``target``."""
+    upserts the result at ``target``, by ``sink`` (path, keys) -> writer."""
     from skyframe.plans.joins import broadcast_if_small
-    from skyframe.streaming.sinks import upsert_delta
-    write = upsert_delta(target, [key])
+    from skyframe.streaming.sinks import upsert_parquet
+    write = (sink or upsert_parquet)(target, [key])
     s = seed.withColumnRenamed(name, "_seed")
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
