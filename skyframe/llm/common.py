@@ -45,6 +45,7 @@ class Shared:
     def value(self):
         if not hasattr(self._bytes, "_made"):
             self._bytes._made = pickle.loads(self._bytes.value)
+            del self._bytes._value                   # the value is enough
         return self._bytes._made
 
 

@@ -218,18 +218,24 @@ class Index:
         first posting of each term, examples, weights of the others), in single precision."""
         if self.lists is None:
             n, terms = len(self.ids), len(self.idf)
-            example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
-            weight = ((1 + np.log(self.tf, dtype=np.float32)) * self.idf.astype(np.float32)[self.term]
-                      / self.norm.astype(np.float32)[example])
             common = np.flatnonzero(np.bincount(self.term, minlength=terms) * COMMON >= n)
-            row = np.full(terms, -1)
-            row[common] = np.arange(len(common))
-            matrix = np.zeros((len(common), n), np.float32)
+            row = np.full(terms, -1, np.int32)
+            row[common] = np.arange(len(common), dtype=np.int32)
+            # in place and in small types, as every worker makes its own lists
+            example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+            weight = np.log(self.tf, dtype=np.float32)
+            weight += 1
+            weight *= self.idf.astype(np.float32)[self.term]
+            weight /= self.norm.astype(np.float32)[example]
             dense = row[self.term] >= 0
+            matrix = np.zeros((len(common), n), np.float32)
             matrix[row[self.term[dense]], example[dense]] = weight[dense]
-            term, example, weight = self.term[~dense], example[~dense], weight[~dense]
-            by_term = np.argsort(term, kind="stable")
+            dense = ~dense
+            term, example, weight = self.term[dense], example[dense], weight[dense]
+            del dense
             first = np.append(0, np.cumsum(np.bincount(term, minlength=terms)))
+            by_term = np.argsort(term, kind="stable").astype(np.int32)
+            del term
             self.lists = row, matrix, first, example[by_term], weight[by_term]
         return self.lists
 
