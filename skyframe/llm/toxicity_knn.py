@@ -1,23 +1,24 @@
 """Toxicity by the nearest labelled examples.
 
-The space is TF-IDF over pieces of words: runs of 5 characters of a lower-case
-word, its two ends marked.  The terms are all pieces of the labelled examples;
-document frequencies come from all documents.  Examples lie in an inverted
-index: terms of at least ``1 / COMMON`` of the examples as rows of a matrix, the others
-as postings.  A batch of queries gets its cosines with every example in single precision;
-those within ``MARGIN`` of the k-th best are summed again in double, so the
-k nearest by cosine are exact.  Votes are weighted by nearness
+The space is TF-IDF over stems: the first 5 letters of lower-case words (a letter of a
+script without spaces is a word).  The terms are all stems of the labelled examples;
+document frequencies come from all documents.  Examples lie in an inverted block-max index: alike examples share a block of at most ``BLOCK``; terms of at least
+``1 / COMMON`` of the examples are rows of a matrix, the others postings by term and block with
+the highest weight of every term in every block.  The product of the common terms and those maxima
+bound the cosines of a block: blocks that cannot reach the k-th nearest are skipped.  The others get
+their cosines in single precision; those within ``MARGIN`` of the k-th best are summed again in
+double, so the k nearest by cosine are exact.  Votes are weighted by nearness
 and calibrated by an isotonic fit of the examples' own leave-one-out votes.
 
 Bounds (parameters): at most about ``max_examples`` examples of either label,
 chosen by a hash of the id over all labelled rows; the calibration uses every
 n-th example, about ``CALIBRATED`` of them.  The index is collected and broadcast; it
-holds the examples' distinct pieces, so its size is bounded by the number and length of
+holds the examples' distinct stems, so its size is bounded by the number and length of
 the examples.
 
 Defined results: texts without any term of the examples (null and empty ones too)
 get the share of toxic examples among those without any, drawn to the share among all
-labelled rows.  Pieces that no example has are no terms, and not in a text's norm.
+labelled rows.  Stems that no example has are no terms, and not in a text's norm.
 Texts are read whole.  Equal texts
 get equal scores; ties among examples go to the smaller doc_id.  Without any
 usable label every score is 0.
@@ -36,8 +37,9 @@ from pyspark.sql import functions as F
 from skyframe.llm.common import Shared, crc_remainder, written
 
 FOLDS, HELD_OUT = 4, 2
-PIECE, K = 5, 15
+PIECE, WIDE, K = 5, 0x2E80, 15
 COMMON, MARGIN = 8, 2e-4
+BLOCK, GAP, PROJECTED = 256, 4, 48
 THRESHOLD = 0.3
 SLICE_CHARS, CALIBRATED = 500_000, 2000
 VECTOR = "struct<term:array<int>,tf:array<int>>"
@@ -52,22 +54,20 @@ def letter_table() -> np.ndarray:
 
 
 def pieces(texts, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pieces of the texts: (index of the text, hash of the piece).
-    A piece is 5 characters of which only the first and the last may be no
-    letter; such an end marks where the word begins or ends."""
+    """All terms of the texts: (index of the text, hash of the term), in order.  A term
+    is the first PIECE letters of a word; a letter of a script from WIDE on is a word."""
     lines = [f" {t.lower()} " if t else "  " for t in texts]
-    code = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), np.uint32)
-    code = letters[code].astype(np.uint64)
-    n = len(code) - PIECE + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = code[:n] * FACTORS[0]
+    code = np.frombuffer(("".join(lines) + " " * PIECE).encode("utf-32-le", "replace"), np.uint32)
+    code = letters[code]
+    letter, wide = code != 0, code >= WIDE
+    at = np.flatnonzero(letter[1:] & (~letter[:-1] | wide[1:] | wide[:-1])) + 1
+    total = code[at] * FACTORS[0]
+    inside = ~wide[at]
     for i in range(1, PIECE):
-        total += code[i:n + i] * FACTORS[i]
-    inner = (code[1:n + 1] != 0) & (code[2:n + 2] != 0) & (code[3:n + 3] != 0)
-    at = np.flatnonzero(inner)
+        inside &= letter[at + i] & ~wide[at + i]
+        total += np.where(inside, code[at + i], 0) * FACTORS[i]
     ends = np.cumsum([len(x) for x in lines])
-    return np.searchsorted(ends, at, side="right"), total[at]
+    return np.searchsorted(ends, at, side="right"), total
 
 
 def slices(texts: pd.Series):
@@ -183,9 +183,27 @@ def vectors(text: Column, shared) -> Column:
 
 
 # ---------------------------------------------------------------- index
+def halved(place: np.ndarray, some: np.ndarray) -> list[np.ndarray]:
+    """Rows in groups of at most BLOCK: halves along the direction in which they differ most."""
+    if len(some) <= BLOCK:
+        return [some]
+    off = place[some] - place[some].mean(axis=0)
+    order = some[np.argsort(off @ np.linalg.eigh(off.T @ off)[1][:, -1], kind="stable")]
+    return halved(place, order[:len(order) // 2]) + halved(place, order[len(order) // 2:])
+
+
+def stretches(alive: np.ndarray) -> list[tuple[int, int]]:
+    """Runs (first block, end) that cover the live blocks; gaps of up to GAP blocks are read over."""
+    at = np.flatnonzero(alive)
+    if not len(at):
+        return []
+    new = np.flatnonzero(np.diff(at) > GAP + 1)
+    return list(zip(at[np.append(0, new + 1)].tolist(), (at[np.append(new, len(at) - 1)] + 1).tolist()))
+
+
 @dataclass
 class Index:
-    """Inverted index over the examples' unit vectors."""
+    """Block-max inverted index over the examples' unit vectors."""
     idf: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     y: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -193,6 +211,7 @@ class Index:
     term: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     tf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     norm: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))   # where each block of examples starts
     lists: tuple | None = None                       # made from these, once in a process
     prior: float = 0.0
 
@@ -202,8 +221,14 @@ class Index:
         return w / np.sqrt((w * w).sum())
 
     def add(self, ids: list, y: list, terms: list, tfs: list) -> None:
-        """Index the examples, by ascending id."""
+        """Index the examples, alike ones in one block."""
         order = sorted(range(len(ids)), key=lambda e: ids[e])
+        if order:
+            drawn = np.random.default_rng(4).standard_normal((len(self.idf), PROJECTED), np.float32)
+            place = np.stack([self.weights(terms[e], tfs[e]) @ drawn[terms[e]] for e in order])
+            leaves = halved(place, np.arange(len(order)))
+            order = [order[i] for leaf in leaves for i in leaf]
+            self.block = np.cumsum([0] + [len(leaf) for leaf in leaves])
         self.ids, self.y = np.array(ids, np.int64)[order], np.array(y, np.float64)[order]
         self.start = np.cumsum([0] + [len(terms[e]) for e in order])
         if not order:
@@ -215,9 +240,11 @@ class Index:
 
     def made(self) -> tuple:
         """(row of each term in the matrix or -1, matrix of the common terms by example,
-        first posting of each term, examples, weights of the others), in single precision."""
+        postings of the others by term and example, first posting of each term in each block,
+        highest weight of each term in each block, 1 + ln tf by tf).  A posting is an example and its weight in single precision,
+        side by side in 64 bits."""
         if self.lists is None:
-            n, terms = len(self.ids), len(self.idf)
+            n, terms, blocks = len(self.ids), len(self.idf), len(self.block) - 1
             common = np.flatnonzero(np.bincount(self.term, minlength=terms) * COMMON >= n)
             row = np.full(terms, -1, np.int32)
             row[common] = np.arange(len(common), dtype=np.int32)
@@ -232,53 +259,83 @@ class Index:
             matrix[row[self.term[dense]], example[dense]] = weight[dense]
             dense = ~dense
             term, example, weight = self.term[dense], example[dense], weight[dense]
-            del dense
-            first = np.append(0, np.cumsum(np.bincount(term, minlength=terms)))
             by_term = np.argsort(term, kind="stable").astype(np.int32)
-            del term
-            self.lists = row, matrix, first, example[by_term], weight[by_term]
+            pair = np.empty((len(term), 2), np.int32)
+            pair[:, 0], pair[:, 1] = example[by_term], weight[by_term].view(np.int32)
+            key = term[by_term] * np.int64(blocks)
+            del dense, term, example, weight, by_term
+            key += np.repeat(np.arange(blocks), np.diff(self.block))[pair[:, 0]]
+            first = np.zeros(terms * blocks + 1, np.int32)
+            np.cumsum(np.bincount(key, minlength=terms * blocks), out=first[1:])
+            highest = np.zeros(terms * blocks, np.float32)
+            edge = np.flatnonzero(np.diff(key, prepend=-1))
+            if len(edge):
+                highest[key[edge]] = np.maximum.reduceat(pair[:, 1].view(np.float32), edge)
+            counts = 1 + np.log(np.arange(1, int(self.tf.max()) + 1, dtype=np.float64))
+            self.lists = (row, matrix, pair.reshape(-1).view(np.int64), first, highest.reshape(terms, blocks),
+                          np.append(0.0, counts))
         return self.lists
 
-    def rough(self, queries: list) -> np.ndarray:
-        """Cosine of every query, as (terms, weights), and every example, in single precision."""
-        row, matrix, first, example, weight = self.made()
+    def rough(self, queries: list, k: int, without: list | None) -> np.ndarray:
+        """Cosine of every query, as (terms, weights), and every example, in single precision;
+        -1 for those in blocks that cannot hold one of the k nearest, and for example ``without[q]``."""
+        row, matrix, postings, first, highest, _ = self.made()
+        blocks, size = len(self.block) - 1, np.diff(self.block)
         common = np.zeros((len(queries), len(matrix)), np.float32)
         for q, (term, w) in enumerate(queries):
             at = row[term]
             common[q, at[at >= 0]] = w[at >= 0]
-        score = common @ matrix
+        scores, weight = common @ matrix, np.zeros(len(self.idf))
         for q, (term, w) in enumerate(queries):
-            a, b = first[term], first[term + 1]
-            some = np.flatnonzero(b > a)
-            if len(some):
-                cuts = list(zip(a[some].tolist(), b[some].tolist()))
-                found = np.concatenate([weight[i:j] for i, j in cuts]) * np.repeat(w[some].astype(np.float32), b[some] - a[some])
-                np.add.at(score[q], np.concatenate([example[i:j] for i, j in cuts], dtype=np.intp), found)
-        return score
+            score, alive = scores[q], np.ones(blocks, bool)
+            if without:
+                score[without[q]] = -1
+            rare = row[term] < 0
+            rare, w32 = term[rare], w[rare].astype(np.float32)
+            if len(score) - bool(without) > k:
+                # the k best by common terms: the k-th nearest is no farther than the worst of them
+                seeds = np.argpartition(score, -k)[-k:]
+                weight[term] = w * self.idf[term]
+                least = self.exact(seeds, weight).min() - MARGIN
+                weight[term] = 0
+                alive = np.maximum.reduceat(score, self.block[:-1]) + w32 @ highest[rare] >= least
+            cuts, most = [], []
+            for a, b in stretches(alive):
+                i, j = first[rare * np.int64(blocks) + a], first[rare * np.int64(blocks) + b]
+                some = np.flatnonzero(j > i)
+                cuts += [postings[x:y] for x, y in zip(i[some].tolist(), j[some].tolist())]
+                most.append(np.repeat(w32[some], j[some] - i[some]))
+            if cuts:
+                found = np.concatenate(cuts)
+                part = found.view(np.float32)[1::2] * np.concatenate(most)
+                np.add.at(score, found.view(np.int32)[0::2].astype(np.intp), part)
+            if without:
+                score[without[q]] = -1
+            if not alive.all():
+                score[np.repeat(~alive, size)] = -1
+        return scores
 
     def exact(self, some: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Cosines of some examples with a query (weight by term), to 12 places."""
+        """Cosines of some examples with a query (weight times idf, by term), to 12 places."""
+        log_tf = self.made()[5]
+        cuts = [slice(a, b) for a, b in zip(self.start[some].tolist(), self.start[some + 1].tolist())]
+        part = log_tf[np.concatenate([self.tf[c] for c in cuts])]
+        part *= query[np.concatenate([self.term[c] for c in cuts])]
         size = self.start[some + 1] - self.start[some]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(self.start[some] - ends + size, size)
-        term = self.term[at]
-        part = (1 + np.log(self.tf[at], dtype=np.float64)) * self.idf[term] * query[term]
-        return np.round(np.add.reduceat(part, ends - size) / self.norm[some], 12)
+        return np.round(np.add.reduceat(part, np.cumsum(size) - size) / self.norm[some], 12)
 
     def nearest_of(self, vecs: list, k: int = K, without: list | None = None) -> list:
         """Exact k nearest examples (numbers, cosines) of each vector, best first."""
         queries = [(term, self.weights(term, tf)) for term, tf in vecs]
         out, weight = [], np.zeros(len(self.idf))
-        for q, score in enumerate(self.rough(queries)):
-            if without:
-                score[without[q]] = 0
+        for q, score in enumerate(self.rough(queries, k, without)):
             least = np.partition(score, -k)[-k] - MARGIN if len(score) > k else 0
             some = np.flatnonzero((score >= least) & (score > 0))
             if not len(some):
                 out.append((some, np.zeros(0)))
                 continue
             term, w = queries[q]
-            weight[term] = w
+            weight[term] = w * self.idf[term]
             s = self.exact(some, weight)
             weight[term] = 0
             order = np.lexsort((self.ids[some], -s))[:k]
