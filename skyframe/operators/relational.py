@@ -139,7 +139,8 @@ def lookup(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame
 
 # ---------------------------------------------------------------- aggregates
 def group_count(df: DataFrame, key) -> DataFrame:
-    """Rows per key; a null key is its own group."""
+    """Rows per key; a null key is its own group.  Every task first counts its
+    own rows, so a hot key is one row per task at the exchange and needs no salt."""
     keys = [key] if isinstance(key, str) else list(key)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
 
@@ -166,12 +167,6 @@ def distinct_count(df: DataFrame, cols: list[str], approx: bool = False) -> Data
     return df.agg(c.alias("distinct_count"))
 
 
-def group_count(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key.  Every task first counts its own rows, so a hot key is
-    one row per task at the exchange and needs no salt."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-
-
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count and share of the total per value (the total is a scalar
     subquery: one more aggregate, no join and no driver round trip)."""
