@@ -18,6 +18,11 @@ residual that is passed on is a small document.  At the root one document is
 left; it is rounded by its own probability, so a source's words miss its
 target by less than that one document.
 
+Rows alike in id and text are one item: of ``n`` rows with fraction ``p`` the whole part
+of ``n * p`` takes a copy each, and one row with the rest as its probability is
+paired.  So repeated rows, null ids included, are counted before anything
+is gathered.
+
 Defined results: null text or a text without words has size 0 and is never
 taken; a null source is a source of its own, last in order; identical rows
 are interchangeable; an empty table gives no rows.  All random numbers are
@@ -33,6 +38,7 @@ from skyframe.llm.common import WORD, cut, text_of, unsigned_unit, written
 from skyframe.operators.relational import with_index
 
 BLOCK = 64
+CHUNK = 1 << 16
 
 
 def words_in(col: str = "text") -> Column:
@@ -129,31 +135,48 @@ def pivotal_round(rows: DataFrame, group: str, size: str, prob: str, row: str, o
     return out
 
 
-def mix(docs: DataFrame, seed: int = 17, max_repeat: int = 3, carry: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 17, max_repeat: int = 3, carry: list[str] | None = None,
+        chunk: int = CHUNK) -> DataFrame:
     """Copies of every document so that each source's words meet its target.
 
     Returns doc_id, ``carry`` columns, size, source_size, target and copies
     (0 to ``max_repeat``).  Only ids and sizes move; texts are read once."""
     carry = carry or []
-    base = written(docs.select(F.struct(F.col("doc_id"), *[F.col(c) for c in carry]).alias("row"),
-                               F.col("source").cast("string").alias("source"), words_in().alias("size"),
-                               F.xxhash64(F.lit(seed), "doc_id", text_of()).alias("u")), "mix")
-    targets = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), max_repeat)
+    rows = docs.select(F.struct(F.col("doc_id"), *[F.col(c) for c in carry]).alias("row"),
+                       F.col("source").cast("string").alias("source"), words_in().alias("size"),
+                       F.xxhash64(F.lit(seed), "doc_id", text_of()).alias("u"))
+    base = written(rows.groupBy("row", "source", "size", "u").agg(F.count(F.lit(1)).alias("n")), "mix")
+    targets = source_targets(base.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), max_repeat)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     t = targets.select(F.col("source").alias("s2"), "source_size", "target", rate.alias("rate"))
     # One row per source, broadcast by Spark only below its own size limit;
     # otherwise a sort-merge join whose hot source AQE splits.
+    want = F.col("n") * (F.col("rate") - F.floor("rate"))
     rows = (base.join(t, F.col("source").eqNullSafe(F.col("s2")))
-                .select("source", "u", "size", F.floor("rate").alias("whole"),
-                        (F.col("rate") - F.floor("rate")).alias("p"),
-                        F.struct("row", "size", "source_size", "target", F.floor("rate").alias("whole")).alias("keep")))
+                .select("source", "u", "size", (want - F.floor(want)).alias("p"),
+                        F.struct("row", "size", "source_size", "target", F.floor("rate").alias("whole"), "n", "u",
+                                 F.floor(want).alias("sure")).alias("keep")))
     open_ = (F.col("p") > 0) & (F.col("size") > 0)
     settled = rows.filter(~open_).select(F.col("keep").alias("row"), F.lit(0).alias("copy"))
     rounded = pivotal_round(rows.filter(open_), "source", "size", "p", "keep", "u", seed)
-    return (settled.unionByName(rounded)
-            .select("row.row.*", "row.size", "row.source_size", "row.target",
-                    F.when(F.col("row.size") > 0, F.col("row.whole") + F.col("copy"))
-                     .otherwise(0).cast("int").alias("copies")))
+    done = cut(settled.unionByName(rounded).select("row.*", (F.col("row.sure") + F.col("copy")).alias("more")))
+    most = done.agg(F.max("n")).first()[0] or 0
+    return (each_row(done, most, chunk).select("row.*", "size", "source_size", "target",
+                                        F.when(F.col("size") > 0, F.col("whole") + (F.col("i") <= F.col("more")).cast("int"))
+                                         .otherwise(0).cast("int").alias("copies")))
+
+
+def each_row(groups: DataFrame, most: int, chunk: int = CHUNK) -> DataFrame:
+    """Every row ``n`` times (at most ``most``), numbered ``i`` from 1.  Groups above ``chunk``
+    are cut into chunks that are dealt over tasks by ``u`` and number."""
+    one = F.lit(1).cast("long")
+    out = groups.filter(F.col("n") <= chunk).withColumn("i", F.explode(F.sequence(one, F.col("n"))))
+    if most <= chunk:
+        return out
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / chunk))
+    large = groups.filter(F.col("n") > chunk).withColumn("c", F.explode(parts)).repartition("u", "c")
+    last = F.least(F.col("n"), (F.col("c") + 1) * chunk)
+    return out.unionByName(large.withColumn("i", F.explode(F.sequence(F.col("c") * chunk + 1, last))).drop("c"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 17, max_repeat: int = 3) -> DataFrame:
@@ -167,7 +190,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17, max_repeat: int = 3) -> Dat
     keyed = docs.select(F.struct(*cols).alias("row"), k.alias("k"), j.alias("j"))
     plan = mix(docs.select("doc_id", "text", "source", k.alias("__k"), j.alias("__j")),
                seed, max_repeat, carry=["__k", "__j"])
-    plan = plan.filter("copies > 0").groupBy(F.col("__k").alias("k"), F.col("__j").alias("j")).agg(F.sum("copies").alias("n"))
+    plan = cut(plan.filter("copies > 0").groupBy(F.col("__k").alias("k"), F.col("__j").alias("j"))
+                   .agg(F.sum("copies").alias("n")))
+    most = plan.agg(F.max("n")).first()[0] or 0
     once = keyed.groupBy("k", "j").agg(F.first("row").alias("row"))
-    return (once.join(plan, ["k", "j"]).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
-                .select("row.*"))
+    return each_row(once.join(plan, ["k", "j"]).select("row", "n", F.col("k").alias("u")), most).select("row.*")
