@@ -8,8 +8,9 @@ counts are kept incrementally: one character enters, one leaves, and only
 their two terms ``c * log2(c)`` change.  Each character class (hex,
 upper-case and digits, all of the alphabet) has its own threshold.  Allow-listed
 strings (words, plain numbers, identifiers such as UUIDs, documented
-examples, mere repetitions) are suppressed, and so are candidates that a
-pattern already covers.
+examples, mere repetitions) are suppressed.  What a pattern already covers is
+cut out of a candidate, and the pieces left are judged on their own, so a key
+next to an access id is found.
 
 Everything is DataFrame functions.  Positions are code points, end
 exclusive.  Null text counts as empty; an empty text has no span; texts of
@@ -111,12 +112,30 @@ def peak_entropy(s: Column, window: int = WINDOW) -> Column:
     return F.when(F.length(s) > 0, F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step)["best"]).otherwise(0.0)
 
 
+def outside(c: Column, covered: Column) -> Column:
+    """The pieces of a candidate between the spans of ``covered`` (ordered by
+    start), as spans; pieces below the window's length are no candidates."""
+    def piece(at, end):
+        return F.struct(at.alias("start"), F.lit(3).alias("kind"), end.alias("end"),
+                        F.substring(c["hit"], (at - c["start"] + 1).cast("int"), (end - at).cast("int")).alias("hit"))
+
+    def add(out, at, end):
+        return F.when(end - at >= WINDOW, F.concat(out, F.array(piece(at, end)))).otherwise(out)
+
+    def step(acc, b):
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), add(acc["out"], acc["at"], b["start"]).alias("out"))
+
+    start = F.struct(c["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+    met = F.filter(covered, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    return F.aggregate(met, start, step, lambda acc: add(acc["out"], acc["at"], c["end"]))
+
+
 def entropy_spans(text: Column, covered: Column) -> Column:
     """Candidates whose entropy reaches their class's threshold, not
-    allow-listed and not overlapping a span of ``covered``."""
+    allow-listed.  Spans of ``covered`` are cut out of them first; what is
+    left is judged piece by piece."""
     def keep(s):
-        hit = s["hit"]
-        free = ~F.exists(covered, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        hit, free = s["hit"], F.lit(True)
         for a in ALLOWED:
             free = free & ~F.rlike(hit, F.lit(a))
         need = F.lit(CLASSES[-1][2])
@@ -124,7 +143,9 @@ def entropy_spans(text: Column, covered: Column) -> Column:
             need = F.when(F.rlike(hit, F.lit(pattern)), bits).otherwise(need)
         return F.when(free, peak_entropy(hit) >= need).otherwise(False)
 
-    return located(text, CANDIDATE, 3, keep)
+    whole = located(text, CANDIDATE, 3)
+    cut_up = F.flatten(F.transform(whole, lambda c: outside(c, covered)))
+    return F.when(F.size(covered) > 0, F.filter(cut_up, keep)).otherwise(F.filter(whole, keep))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:

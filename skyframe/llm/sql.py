@@ -32,20 +32,30 @@ base AS (
   WHERE length(regexp_extract(hit, '{_PATTERNS[0][1].replace("'", "''")}', 1)) >= 6
   UNION ALL SELECT row, kind, s, s + length(hit) FROM access_at
   UNION ALL SELECT row, kind, s, s + length(hit) FROM hex_at),
+-- candidates without what base spans cover: a piece starts with the candidate or where a span ends
+starts AS (
+  SELECT row, s AS c, s + length(hit) AS c_end, hit, s FROM entropy_at
+  UNION SELECT c.row, c.s, c.s + length(c.hit), c.hit, b.e FROM entropy_at c
+  JOIN base b ON b.row = c.row AND b.e > c.s AND b.e < c.s + length(c.hit)),
+ends AS (
+  SELECT x.row, x.c, x.hit, x.s, LEAST(x.c_end, COALESCE(MIN(b.s) FILTER (WHERE b.s >= x.s), x.c_end)) AS e
+  FROM starts x LEFT JOIN base b ON b.row = x.row
+  GROUP BY x.row, x.c, x.c_end, x.hit, x.s
+  HAVING COUNT(*) FILTER (WHERE b.s <= x.s AND x.s < b.e) = 0),
+pieces AS (
+  SELECT row, 3 AS kind, s, e, hit[s - c + 1:e - c] AS hit FROM ends WHERE e - s >= 20),
 bits AS (
-  SELECT row, kind, s, s + length(hit) AS e, hit,
+  SELECT row, kind, s, e, hit,
          list_max(list_transform(range(1, length(hit) - 18), lambda i: list_sum(list_transform(
            list_distinct(string_split(hit[i:i + 19], '')), lambda c:
            -(20 - length(replace(hit[i:i + 19], c, ''))) / 20.0 * log2((20 - length(replace(hit[i:i + 19], c, ''))) / 20.0)
          )))) AS h
-  FROM entropy_at
+  FROM pieces
   WHERE regexp_matches(hit, '[0-9]') AND NOT regexp_full_match(hit, '[0-9_=+/-]+')
     AND NOT regexp_full_match(hit, '[0-9A-Fa-f]{{8}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{4}}-[0-9A-Fa-f]{{12}}')
     AND NOT regexp_matches(hit, '(?i:example|sample|placeholder|xxxxxx)')
     AND NOT list_contains(list_transform(range(1, length(hit) - 8),
-                                         lambda i: hit[i:i + 9] = repeat(hit[i:i], 10)), true)
-    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = entropy_at.row AND b.s < entropy_at.s + length(hit)
-                    AND entropy_at.s < b.e)),
+                                         lambda i: hit[i:i + 9] = repeat(hit[i:i], 10)), true)),
 extra AS (
   SELECT row, kind, s, e FROM bits
   WHERE h >= CASE WHEN regexp_full_match(hit, '[0-9A-Fa-f]+') THEN 3.0
