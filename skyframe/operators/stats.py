@@ -102,6 +102,39 @@ def chisq_gof(df: DataFrame, col: str, expected: DataFrame | None = None) -> Dat
                  (F.count(F.lit(1)) - 1).alias("dof"))
 
 
+def chi_square_tail(x: float, dof: int) -> float:
+    """P(chi-square with ``dof`` degrees of freedom > x): a finite sum, which
+    starts from exp for even and from erfc for odd degrees."""
+    if x <= 0 or dof <= 0:
+        return 1.0
+    h, odd = x / 2, dof % 2
+    log_term = (0.5 * math.log(h) - math.lgamma(1.5) if odd else 0.0) - h
+    total = math.erfc(math.sqrt(h)) if odd else 0.0
+    for i in range(dof // 2):
+        total += math.exp(log_term)
+        log_term += math.log(h) - math.log(i + (1.5 if odd else 1.0))
+    return min(1.0, total)
+
+
+def chisq_contingency(cells: DataFrame, row: str, col: str, n: str) -> DataFrame:
+    """Pearson independence test of a contingency matrix in long form (one or
+    more rows a cell, absent cells are 0): statistic, dof, p_value.
+
+    Margins are joined to the observed cells only; empty cells add to the
+    statistic through n alone.  Cells with a null count or name take no part;
+    without cells the statistic is 0 and the p-value 1."""
+    c = (cells.filter(F.col(row).isNotNull() & F.col(col).isNotNull() & (F.col(n) > 0))
+              .groupBy(F.col(row).alias("r"), F.col(col).alias("c")).agg(F.sum(n).cast("double").alias("o")))
+    rows, cols_ = c.groupBy("r").agg(F.sum("o").alias("nr")), c.groupBy("c").agg(F.sum("o").alias("nc"))
+    total = F.sum("o")
+    got = (c.join(rows, "r").join(cols_, "c")
+            .agg((F.sum(F.col("o") * F.col("o") / (F.col("nr") * F.col("nc"))) * total - total).alias("x"),
+                 F.count_distinct("r").alias("r"), F.count_distinct("c").alias("c")).first())
+    x, dof = max(0.0, got["x"] or 0.0), max(0, got["r"] - 1) * max(0, got["c"] - 1)
+    return cells.sparkSession.createDataFrame([(x, dof, chi_square_tail(x, dof))],
+                                              "statistic double, dof long, p_value double")
+
+
 def ks_normal(df: DataFrame, col: str, mean: float = 0.0, sd: float = 1.0) -> DataFrame:
     """Two-sided one-sample Kolmogorov-Smirnov statistic against N(mean, sd)
     using pyspark.ml's distributed test."""
@@ -300,3 +333,13 @@ def row_pca(df: DataFrame, vec: str, k: int):
     """Principal components of the rows (d x k), via pyspark.ml PCA."""
     from pyspark.ml.feature import PCA
     return PCA(k=k, inputCol=vec).fit(df.select(vec)).pc.toArray()
+
+
+def project_rows(df: DataFrame, vec: str, k: int, out: str = "projected") -> DataFrame:
+    """``df`` with each row's coordinates along the first ``k`` principal
+    components; only the components (d x k) reach the tasks."""
+    pc = row_pca(df, vec, k)
+    x = vector_to_array(F.col(vec)) if dict(df.dtypes)[vec] != "array<double>" else F.col(vec)
+    axes = F.array(*[F.array(*[F.lit(float(v)) for v in pc[:, j]]) for j in range(pc.shape[1])])
+    along = F.transform(axes, lambda w: F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda s, t: s + t))
+    return df.withColumn(out, along)

@@ -693,17 +693,18 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS key, COUNT(*) AS n,
 FROM orders GROUP BY 1"""
 ORACLE["src09_csv_header"] = """
 SELECT c_mktsegment, COUNT(*) AS n, round(SUM(c_acctbal), 2) AS bal FROM customer GROUP BY 1"""
-ORACLE["src10_libsvm"] = """
-SELECT COUNT(*) AS n, CAST(SUM(label) AS DOUBLE) AS label_sum FROM embeddings"""
-ORACLE["src11_dense_vectors"] = """
-SELECT CAST(label AS DOUBLE) AS label, COUNT(*) AS n FROM embeddings GROUP BY 1"""
+ORACLE["src10_libsvm"] = ORACLE["src11_dense_vectors"] = """
+SELECT CAST(label AS DOUBLE) AS label, CAST(pos - 1 AS INTEGER) AS pos, COUNT(*) AS n, MIN(x) AS lo, MAX(x) AS hi,
+       CAST(SUM(CAST(floor(x * 1e6) AS BIGINT)) AS BIGINT) AS millionths
+FROM (SELECT label, unnest(range(1, len(embedding) + 1)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+GROUP BY ALL"""
 ORACLE["src12_ratings_text"] = """
-SELECT COUNT(*) AS n, round(SUM(rating), 2) AS total FROM (
-  SELECT CAST(SUM(l_quantity) AS FLOAT) AS rating FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  GROUP BY o_custkey, l_partkey)"""
+SELECT CAST(o_custkey AS INTEGER) AS "userId", CAST(l_partkey AS INTEGER) AS "movieId",
+       CAST(CAST(SUM(l_quantity) AS FLOAT) AS DOUBLE) AS rating, CAST(o_custkey AS BIGINT) * 1000 AS "timestamp"
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey"""
 ORACLE["src13_edge_list"] = f"""
 WITH {PART_CHAIN}
-SELECT COUNT(*) AS edges FROM (SELECT DISTINCT least(src, dst), greatest(src, dst) FROM pc)"""
+SELECT DISTINCT CAST(least(src, dst) AS BIGINT) AS src, CAST(greatest(src, dst) AS BIGINT) AS dst FROM pc WHERE src <> dst"""
 ORACLE["src15_catalog_table"] = "SELECT c_mktsegment, COUNT(*) AS n FROM customer GROUP BY 1"
 ORACLE["src24_replay_queue"] = "SELECT o_orderstatus, COUNT(*) AS count FROM orders GROUP BY 1"
 ORACLE["snk01_write_formats"] = "\nUNION ALL\n".join(
@@ -930,3 +931,45 @@ c AS (
   FROM g JOIN g b ON g.family = b.family AND b.f = 'R' JOIN s ON g.family = s.family)
 SELECT family, term, round(coefficient, 4) AS coefficient, round(std_error, 4) AS std_error,
        round(coefficient / std_error, 4) AS statistic FROM c"""
+
+ORACLE["sta04_contingency"] = """
+WITH o AS (SELECT o_orderstatus AS r, o_orderpriority AS c, COUNT(*) AS n FROM orders GROUP BY ALL),
+m AS (SELECT r, c, SUM(n) OVER (PARTITION BY r) * SUM(n) OVER (PARTITION BY c) / SUM(n) OVER () AS e, n FROM o),
+t AS (SELECT SUM(n * n / e) - SUM(n) AS x, (COUNT(DISTINCT r) - 1) * (COUNT(DISTINCT c) - 1) AS dof FROM m)
+SELECT round(x, 6) AS statistic, CAST(dof AS BIGINT) AS dof,
+       -- the tail of an even number of degrees of freedom is a finite sum
+       round(exp(-x / 2) * list_sum(list_transform(range(dof // 2), lambda i: (x / 2) ^ i / gamma(i + 1))), 6) AS p_value
+FROM t"""
+ORACLE["sta10_projection_checked"] = """
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)), 3) AS squared_norm FROM embeddings"""
+ORACLE["mod08_forest_regression_checked"] = ORACLE["mod09_gbt_regression_checked"] = """
+SELECT COUNT(*) AS n, true AS explains_most FROM lineitem WHERE l_orderkey % 5 = 0"""
+ORACLE["mod16_kmeans_random_checked"] = "SELECT COUNT(*) AS n, true AS of_k, true AS cheaper FROM embeddings"
+
+# elastic net by coordinate descent over the three features' moments, 200 rounds
+_SOFT = "sign({p}) * greatest(abs({p}) - 0.24, 0) / (1 + ridge)"
+_NET = f"""RECURSIVE m AS (
+  SELECT stddev_pop(l_quantity) AS s1, stddev_pop(l_discount) AS s2, stddev_pop(l_tax) AS s3,
+         0.3 * 0.2 / stddev_pop(l_extendedprice) AS ridge,
+         covar_pop(l_quantity, l_discount) / (s1 * s2) AS c12, covar_pop(l_quantity, l_tax) / (s1 * s3) AS c13,
+         covar_pop(l_discount, l_tax) / (s2 * s3) AS c23, covar_pop(l_quantity, l_extendedprice) / s1 AS y1,
+         covar_pop(l_discount, l_extendedprice) / s2 AS y2, covar_pop(l_tax, l_extendedprice) / s3 AS y3,
+         AVG(l_quantity) AS m1, AVG(l_discount) AS m2, AVG(l_tax) AS m3, AVG(l_extendedprice) AS my FROM lineitem),
+net AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3
+  UNION ALL
+  SELECT i + 1, n1, n2, {_SOFT.format(p="(y3 - c13 * n1 - c23 * n2)")} FROM (
+    SELECT *, {_SOFT.format(p="(y2 - c12 * n1 - c23 * b3)")} AS n2 FROM (
+      SELECT net.*, m.*, {_SOFT.format(p="(y1 - c12 * b2 - c13 * b3)")} AS n1 FROM net, m WHERE i < 200))),
+w AS (
+  SELECT b1 / s1 AS w1, b2 / s2 AS w2, b3 / s3 AS w3, my - b1 / s1 * m1 - b2 / s2 * m2 - b3 / s3 * m3 AS w0
+  FROM net, m WHERE i = 200)"""
+ORACLE["mod12_elastic_net"] = f"""
+WITH {_NET}
+SELECT unnest(['(intercept)', 'l_quantity', 'l_discount', 'l_tax']) AS term,
+       round(unnest([w0, w1, w2, w3]), 3) AS coefficient FROM w"""
+ORACLE["mod12_linreg_summary"] = f"""
+WITH {_NET},
+r AS (SELECT l_extendedprice AS y, l_extendedprice - w0 - w1 * l_quantity - w2 * l_discount - w3 * l_tax AS r FROM lineitem, w)
+SELECT COUNT(*) AS n, round(AVG(abs(r)), 4) AS mae, round(MIN(r), 3) AS lowest, round(MAX(r), 3) AS highest,
+       round(sqrt(AVG(r * r)), 4) AS rmse, round(1 - AVG(r * r) / var_pop(y), 6) AS r2, true AS optimal FROM r"""
