@@ -64,7 +64,34 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-FILE_BYTES = 128 << 20
+FILE_BYTES = 64 << 20
+
+
+def _value_bytes(df: DataFrame, name: str, kind: str):
+    """Bytes of a column's value, as far as its type tells."""
+    c = F.col(f"`{name}`")
+    if kind in ("string", "binary"):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if kind == "vector":
+        from pyspark.ml.functions import vector_to_array
+        c, kind = vector_to_array(c), "array"
+    return 8 * F.greatest(F.size(c), F.lit(0)) if kind.startswith("array") else F.lit(8)
+
+
+def files_per_batch(df: DataFrame, n_batches: int) -> int:
+    """Files of a batch, so that none holds much more than ``FILE_BYTES``.
+
+    Rows of one table are added up, in one pass: stored text may be a small part of what it
+    is in a shuffle, and the smaller the more of it repeats.  Above joins, which a second
+    pass would repeat, the bytes of the tables count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    # estimates above joins multiply and mean nothing; what has no estimate says the largest number
+    known = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    size = sum(n for n in known if n < 1 << 62)
+    if leaves.size() == 1:
+        row = sum((_value_bytes(df, n, t) for n, t in df.dtypes), F.lit(0)).cast("long")
+        size = max(size, df.agg(F.sum(row)).first()[0] or 0)
+    return max(1, -(-size // (n_batches * FILE_BYTES)))
 
 
 def replay(spark: SparkSession, df: DataFrame, n_batches: int, fmt: str = "parquet",
@@ -80,11 +107,7 @@ def replay(spark: SparkSession, df: DataFrame, n_batches: int, fmt: str = "parqu
     quantile sketch; they need not be equal.
     """
     folder = folder or scratch(spark, "replay")
-    # bytes of what is read: estimates above joins multiply and mean nothing
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    known = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    size = sum(n for n in known if n < 1 << 62)          # what has no estimate says the largest number
-    per_batch = max(1, size // (n_batches * FILE_BYTES))
+    per_batch = files_per_batch(df, n_batches)
     if order_col:
         num = F.unix_micros(F.col(order_col).cast("timestamp")) \
             if dict(df.dtypes)[order_col].startswith("timestamp") else F.col(order_col)

@@ -2,6 +2,8 @@
 from a checkpoint, sessions with a processing-time timeout, seeded sums,
 online learners."""
 
+import glob
+import os
 import time
 
 import pytest
@@ -187,3 +189,27 @@ def test_late_files_with_earlier_names_are_read_once(tmp):
     later = reader.latestOffset()
     assert [os.path.basename(p.path) for p in reader.partitions(end, later)] == ["a.txt"]
     assert reader.partitions(later, reader.latestOffset()) == []
+
+
+def test_files_of_a_batch_follow_the_bytes_of_its_rows(spark, tmp, monkeypatch):
+    """Text that repeats takes little room as stored, but not in a shuffle."""
+    spark.range(4_000).selectExpr("repeat('word ', 200) AS line").coalesce(1).write.parquet(f"{tmp}/in")
+    df = spark.read.parquet(f"{tmp}/in")
+    assert sum(os.path.getsize(f) for f in glob.glob(f"{tmp}/in/*.parquet")) < 100_000
+    monkeypatch.setattr(st, "FILE_BYTES", 300_000)           # 4 MB: a batch of four holds 3.3 such files
+    assert st.files_per_batch(df, 4) == 4
+    st.replay(spark, df, 4, folder=f"{tmp}/out")
+    assert len(glob.glob(f"{tmp}/out/*.parquet")) == 16
+
+
+def test_restartable_count_has_a_fixed_number_of_triggers(spark, tmp, monkeypatch):
+    """However many files the documents are, each half is two batches."""
+    from skyframe.plans import registry
+    rows = [(i, f"a b{i % 3}\nc") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(20).write.parquet(f"{tmp}/documents.parquet")
+    made = []
+    monkeypatch.setattr(registry.ssk, "replace_table", lambda out, real=registry.ssk.replace_table: lambda b, i: (
+        made.append(i), real(out)(b, i)))
+    got = {r.word: r["count"] for r in registry.QUERIES["str10_restartable"](spark, tmp).collect()}
+    assert got == {"a": 60, "b0": 20, "b1": 20, "b2": 20, "c": 60}
+    assert len(made) == registry.N_BATCHES
