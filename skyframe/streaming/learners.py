@@ -18,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from skyframe.ml.models import closest
 
@@ -118,9 +119,47 @@ def closest_col(df: DataFrame, col: str, centres):
     return F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(i).alias("i")) for i, d in enumerate(dists)]))["i"]
 
 
+SGD_BLOCK = 4096
+
+
+def _blocks(df: DataFrame) -> DataFrame:
+    """(x, y) -> (rows, xy): blocks of rows as one binary value, row-major
+    doubles, the label last.  Rows with a null among their numbers add nothing to a
+    gradient and are left out."""
+    def pack(batches):
+        import pandas as pd
+        for pdf in batches:
+            for i in range(0, len(pdf), SGD_BLOCK):
+                part = pdf.iloc[i:i + SGD_BLOCK]
+                xy = np.column_stack([np.stack(part["x"].to_numpy()), part["y"].to_numpy(dtype=float)])
+                yield pd.DataFrame({"rows": [len(xy)], "xy": [np.ascontiguousarray(xy, dtype=float).tobytes()]})
+
+    whole = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull())
+    return df.filter(whole).mapInPandas(pack, "rows long, xy binary")
+
+
+def _total(blocks: DataFrame, each) -> np.ndarray | None:
+    """Sum of ``each(xy)``, a fixed number of values, over all blocks: added
+    up in every task, then by position.  None without blocks."""
+    def partial(batches):
+        import pandas as pd
+        s = None
+        for pdf in batches:
+            for rows, xy in zip(pdf["rows"], pdf["xy"]):
+                v = np.asarray(each(np.frombuffer(xy).reshape(rows, -1)), dtype=float).ravel()
+                s = v if s is None else s + v
+        if s is not None:
+            yield pd.DataFrame({"v": [s.tolist()]})
+
+    parts = blocks.mapInPandas(partial, "v array<double>").select(array_to_vector("v").alias("v"))
+    s = parts.agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"]
+    return None if s is None else s.toArray()
+
+
 class _StreamingSGD(_Once):
     """Shared SGD loop: ``iters`` full-batch gradient steps per micro-batch,
-    step size ``step / sqrt(t)`` as in the classic streaming regressors."""
+    step size ``step / sqrt(t)`` as in the classic streaming regressors.  A batch is read
+    once and packed into blocks of numbers; what a step costs is in ``_gradients``."""
 
     def __init__(self, dims: int, step: float = 0.1, iters: int = 50, features: str = "features",
                  label: str = "label", state_path: str | None = None):
@@ -136,23 +175,34 @@ class _StreamingSGD(_Once):
         wl = F.array(*[F.lit(float(v)) for v in (self.w if w is None else w)])
         return F.aggregate(F.zip_with(x, wl, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
 
-    def _residual(self, dot, y):
+    @staticmethod
+    def _residual(dot: np.ndarray, y: np.ndarray) -> np.ndarray:
         raise NotImplementedError
 
+    def _gradients(self, blocks: DataFrame):
+        """Function of the weights: the gradient summed over ``blocks``; here one pass each."""
+        residual = self._residual
+
+        def gradient(w: np.ndarray) -> np.ndarray:
+            def each(xy):
+                x, y = xy[:, :-1], xy[:, -1]
+                return residual(x @ w, y) @ x
+            s = _total(blocks, each)
+            return np.zeros(len(w)) if s is None else s
+        return gradient
+
     def _next(self, batch_df: DataFrame, batch_id: int) -> dict:
         base = batch_df.select(_arr(batch_df, self.features).alias("x"), F.col(self.label).cast("double").alias("y"))
-        base = base.cache()
+        n = base.count()
         w, t = self.w, self.t
+        blocks = _blocks(base).persist(StorageLevel.DISK_ONLY)
         try:
-            n = base.count()
+            gradient = self._gradients(blocks) if n and self.iters else None
             for _ in range(self.iters if n else 0):
                 t += 1
-                r = self._residual(self._dot(F.col("x"), w), F.col("y"))
-                g = base.select(array_to_vector(F.transform("x", lambda a: a * r)).alias("g")) \
-                        .agg(Summarizer.sum(F.col("g")).alias("s")).first()["s"].toArray()
-                w = w - self.step / math.sqrt(t) * g / n
+                w = w - self.step / math.sqrt(t) * gradient(w) / n
         finally:
-            base.unpersist()
+            blocks.unpersist()
         return {"w": w, "t": t}
 
     def _state(self, new: dict) -> dict:
@@ -175,15 +225,23 @@ class _StreamingSGD(_Once):
 
 
 class StreamingLinearRegression(_StreamingSGD):
-    def _residual(self, dot, y):
-        return dot - y
+    """Least squares: the gradient X'(Xw - y) = (X'X)w - X'y needs the moments
+    of the batch only, one pass however many steps follow."""
+
+    def _gradients(self, blocks: DataFrame):
+        s = _total(blocks, lambda xy: xy[:, :-1].T @ xy)
+        dims = len(self.w)
+        m = np.zeros((dims, dims + 1)) if s is None else s.reshape(dims, dims + 1)
+        return lambda w: m[:, :-1] @ w - m[:, -1]
 
 
 class StreamingLogisticRegression(_StreamingSGD):
     """Labels 0/1; predicts 1 when the probability exceeds 0.5."""
 
-    def _residual(self, dot, y):
-        return 1.0 / (1.0 + F.exp(-dot)) - y
+    @staticmethod
+    def _residual(dot, y):
+        with np.errstate(over="ignore"):
+            return 1.0 / (1.0 + np.exp(-dot)) - y
 
     def _link(self, dot):
         return F.when(1.0 / (1.0 + F.exp(-dot)) > 0.5, 1.0).otherwise(0.0)

@@ -3,9 +3,11 @@ from a checkpoint, sessions with a processing-time timeout, seeded sums,
 online learners."""
 
 import glob
+import math
 import os
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +215,23 @@ def test_restartable_count_has_a_fixed_number_of_triggers(spark, tmp, monkeypatc
     got = {r.word: r["count"] for r in registry.QUERIES["str10_restartable"](spark, tmp).collect()}
     assert got == {"a": 60, "b0": 20, "b1": 20, "b2": 20, "c": 60}
     assert len(made) == registry.N_BATCHES
+
+
+@pytest.mark.parametrize("kind,passes", [(lr.StreamingLinearRegression, 1), (lr.StreamingLogisticRegression, 6)])
+def test_learner_steps_equal_the_gradient_steps(spark, monkeypatch, kind, passes):
+    """Weights of the plain formula; rows with a null count but add nothing.
+    Least squares makes one pass however many steps it takes."""
+    rows = [([math.sin(i), i % 5 / 5, 1.0], float(i % 3 == 0)) for i in range(300)]
+    odd = [([1.0, None, 1.0], 1.0), ([1.0, 2.0, 3.0], None), (None, 0.0)]
+    df = spark.createDataFrame(rows + odd, "features array<double>, label double")
+    calls, total = [], lr._total
+    monkeypatch.setattr(lr, "_total", lambda *a: calls.append(1) or total(*a))
+    m = kind(3, step=0.5, iters=6)
+    m.update(df, 0)
+    x, y, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.zeros(3)
+    for t in range(1, 7):
+        z = x @ w
+        p = z if kind is lr.StreamingLinearRegression else 1 / (1 + np.exp(-z))
+        w = w - 0.5 / math.sqrt(t) * ((p - y) @ x) / (len(rows) + len(odd))
+    assert np.allclose(m.w, w, atol=1e-12)
+    assert len(calls) == passes
