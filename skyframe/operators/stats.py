@@ -8,11 +8,15 @@ fixed number of values (per column or per column pair) reaches the driver.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyframe.plans.joins import keyed_join
+from skyframe.session import checkpoint_dir
+
 
 def summarize(df: DataFrame, vec: str, dims: int) -> DataFrame:
     """Per component: count, mean, variance (sample), min, max, non-zeros,
@@ -39,21 +43,55 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
     """Pairwise correlation of columns, long form (a, b, corr).  Pearson is
-    one aggregate of all pairs; Spearman ranks each column first (one
-    distributed sort per column) via pyspark.ml Correlation."""
+    one aggregate of all pairs; Spearman is the same of the columns' mean ranks
+    (``mean_ranks``) and wants at least two rows without null or NaN."""
+    spark = df.sparkSession
+    pairs = [(a, b) for a in cols for b in cols]
     if method == "pearson":
-        pairs = [(a, b) for a in cols for b in cols]
         row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]).first()
-        spark = df.sparkSession
         return spark.createDataFrame([(a, b, float(row[f"{a}|{b}"]) if row[f"{a}|{b}"] is not None else None)
                                       for a, b in pairs], "a string, b string, corr double")
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    v = VectorAssembler(inputCols=cols, outputCol="_v").transform(df.select(*cols))
-    m = Correlation.corr(v, "_v", method).first()[0].toArray()
-    return df.sparkSession.createDataFrame(
-        [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)],
-        "a string, b string, corr double")
+    rows = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
+    bad = reduce(lambda p, q: p | q, [F.col(c).isNull() | F.isnan(c) for c in rows.columns])
+    n, odd = rows.agg(F.count(F.lit(1)), F.count_if(bad)).first()
+    if n < 2 or odd:
+        raise ValueError(f"ranks need two rows or more without null or NaN; {n} rows, {odd} with")
+    for v in list(rows.columns):
+        ranks, values = mean_ranks(rows, v, f"_r{v}")
+        rows = rows.join(F.broadcast(ranks), v) if values <= RANKS_BROADCAST else keyed_join(rows, ranks, v, n)
+        rows = rows.drop(v)
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    cov = dict(zip(upper, rows.agg(*[F.covar_pop(f"_r_v{i}", f"_r_v{j}") for i, j in upper]).first()))
+    known = {(i, i): 1.0 for i in range(len(cols))}
+    for i, j in upper:
+        if i != j:
+            spread = math.sqrt(cov[i, i] * cov[j, j])
+            known[i, j] = known[j, i] = cov[i, j] / spread if spread else float("nan")     # one value only: undefined
+    return spark.createDataFrame([(a, b, known[i, j]) for i, a in enumerate(cols) for j, b in enumerate(cols)],
+                                 "a string, b string, corr double")
+
+
+RANKS_BROADCAST = 200_000      # distinct values of a column, two numbers each
+
+
+def mean_ranks(df: DataFrame, col: str, name: str) -> tuple[DataFrame, int]:
+    """(col, name): the rank from 1 of each distinct value, ties at their mean;
+    and how many values there are.  Rows are counted per value first, so what is sorted and
+    added up are distinct values, in ranges; a sum per range reaches the driver."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    parts = max(1, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "1")))
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    ordered = counts.repartitionByRange(parts, col).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = ordered.groupBy("_pid").agg(F.sum("_n"), F.count(F.lit(1))).collect()        # one row per range
+    offsets, before, values = [], 0, 0
+    for pid, n, k in sorted(tuple(r) for r in sums):
+        offsets.append((pid, before))
+        before, values = before + n, values + k
+    table = F.broadcast(spark.createDataFrame(offsets, "_pid int, _off long"))
+    upto = F.sum("_n").over(Window.partitionBy("_pid").orderBy(col).rowsBetween(Window.unboundedPreceding, 0))
+    rank = F.col("_off") + upto - (F.col("_n") - 1) / 2.0
+    return ordered.join(table, "_pid").select(col, rank.alias(name)), values
 
 
 def corr_pairs(df: DataFrame, label: str, features: list[str]) -> DataFrame:

@@ -316,3 +316,26 @@ def test_more_estimators_shapes(spark):
     assert lda.describeTopics(2).count() == 2
     iso = md.isotonic(df.withColumn("features", F.col("features")), True, label="x")
     assert iso.boundaries.size > 0
+
+
+def test_spearman_ranks_values_not_rows(spark, monkeypatch):
+    """Ties at their mean rank, by both ways of looking ranks up; no null, no NaN."""
+    import numpy as np
+    rows = [(float(i % 7), float(i * i % 23), -0.0 if i % 2 else 0.0) for i in range(90)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    x = np.array(rows)
+
+    def ranks(v):
+        return np.array([(v < a).sum() + ((v == a).sum() + 1) / 2 for a in v])
+
+    want = np.corrcoef(ranks(x[:, 0]), ranks(x[:, 1]))[0, 1]
+    ml = "pyspark.ml.stat.Correlation.corr"
+    monkeypatch.setattr(ml, lambda *a, **k: pytest.fail("ranks of all rows of all columns in one sort"))
+    for limit in (sa.RANKS_BROADCAST, 0):
+        monkeypatch.setattr(sa, "RANKS_BROADCAST", limit)
+        got = {(r.a, r.b): r.corr for r in sa.corr_matrix(df, ["x", "y", "z"], "spearman").collect()}
+        assert abs(got["x", "y"] - want) < 1e-12 and got["x", "y"] == got["y", "x"] and got["x", "x"] == 1.0
+        assert got["x", "z"] != got["x", "z"]           # z has one value
+    for odd in (None, float("nan")):
+        with pytest.raises(Exception):
+            sa.corr_matrix(df.union(spark.createDataFrame([(1.0, odd, 1.0)], df.schema)), ["x", "y"], "spearman").collect()
