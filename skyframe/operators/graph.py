@@ -10,6 +10,8 @@ round (a single number to the driver).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -211,9 +213,13 @@ def triangle_total(per_vertex: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Pregel
 def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vprog,
-           max_iter: int | None = None, active_col: str = "_active") -> DataFrame:
+           max_iter: int | None = None, active_col: str = "_active", reads_dst: bool = True) -> DataFrame:
     """Bulk-synchronous message passing with DataFrame expressions.
 
+    Edges are laid out by their source once, so a round moves the active
+    vertices to the edges and not the edges.  With ``reads_dst`` off, ``send`` gets null for
+    ``dst_value`` and messages merge where they are made, before they move.
+
     ``vertices``: (id, ...); ``init``: initial ``value`` expression;
     ``send(src_value, dst_value, edge)`` -> message Column or null (no
     message); ``merge`` an aggregate function over messages (e.g. F.min);
@@ -222,14 +228,14 @@ def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vpr
     ``max_iter`` the loop has no bound; with one, reaching it is an error.
     """
     v = vertices.withColumn("value", init).withColumn(active_col, F.lit(True))
-    e = edges.cache()
+    e = _by_source(edges)
     checkpoint_dir(v.sparkSession)
     cached = None
     for i in rounds(max_iter):
         src = v.select(F.col("id").alias("_s"), F.col("value").alias("src_value"), active_col)
         dst = v.select(F.col("id").alias("_d"), F.col("value").alias("dst_value"))
-        trip = (e.join(src.filter(F.col(active_col)), e.src == F.col("_s"))
-                 .join(dst, e.dst == F.col("_d")))
+        trip = e.join(src.filter(F.col(active_col)), e.src == F.col("_s"))
+        trip = trip.join(dst, e.dst == F.col("_d")) if reads_dst else trip.withColumn("dst_value", F.lit(None))
         msgs = (trip.select(F.col("dst").alias("_id"), send(F.col("src_value"), F.col("dst_value"), e)
                             .alias("_m"))
                     .filter(F.col("_m").isNotNull())
@@ -255,14 +261,27 @@ def pregel(vertices: DataFrame, edges: DataFrame, init: Column, send, merge, vpr
     return v.drop(active_col)
 
 
+EDGES_PER_BUCKET = 2_000_000
+
+
+def _by_source(edges: DataFrame) -> DataFrame:
+    """The edges as a table bucketed by source, which joins on it without a shuffle."""
+    spark = edges.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = min(50_000, max(1, width, -(-edges.count() // EDGES_PER_BUCKET)))
+    name = f"edges_{uuid.uuid4().hex}"
+    (edges.repartition(n, "src").write.option("path", f"{checkpoint_dir(spark)}/{name}")
+         .bucketBy(n, "src").sortBy("src").saveAsTable(name))
+    return spark.table(name)
+
+
 def sssp(edges: DataFrame, source, vertices: DataFrame | None = None, weight: str = "weight") -> DataFrame:
     """Single-source shortest paths (min relaxation); unreachable = +inf."""
     verts = vertices.select("id") if vertices is not None else vertices_of(edges)
     e = edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
     init = F.when(F.col("id") == F.lit(source), F.lit(0.0)).otherwise(F.lit(float("inf")))
     out = pregel(verts, e, init,
-                 send=lambda s, d, ed: F.when(s + ed["w"] < d, s + ed["w"]),
-                 merge=F.min, vprog=lambda v, m: F.least(v, m))
+                 send=lambda s, d, ed: s + ed["w"], merge=F.min, vprog=lambda v, m: F.least(v, m), reads_dst=False)
     return out.select("id", F.col("value").alias("distance"))
 
 

@@ -93,3 +93,24 @@ def test_a_given_bound_that_is_reached_is_an_error(spark):
     with pytest.raises(RuntimeError):
         gr.transitive_closure(e, max_iter=2)
     assert gr.transitive_closure(e).count() == 21
+
+
+def test_sssp_round_moves_no_edges(spark, monkeypatch):
+    """Edges are shuffled once, when laid out; a round's plan reads them by bucket."""
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(200), rnd.randrange(200), float(rnd.randrange(1, 9))) for _ in range(900)]
+    rows += [(5, 6, float("nan")), (6, 5, None)]
+    df = spark.createDataFrame(rows, "src long, dst long, weight double")
+    plans, laid = [], gr._by_source
+    monkeypatch.setattr(gr, "_by_source", lambda e: plans.append(laid(e)) or plans[-1])
+    got = {r.id: r.distance for r in gr.sssp(df, 0).collect()}
+    want = {v: float("inf") for r in rows for v in r[:2]} | {0: 0.0}
+    for _ in want:
+        for a, b, w in rows:
+            if w is not None and w == w and want[a] + w < want[b]:
+                want[b] = want[a] + w
+    assert got == want
+    few = spark.range(50).withColumnRenamed("id", "_s")
+    plan = plans[0].hint("merge").join(few, plans[0]["src"] == few["_s"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
