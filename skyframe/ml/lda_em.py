@@ -1,10 +1,12 @@
 """Topic models (LDA) by expectation maximisation over the document-term edges.
 
-The corpus is a table of edges (doc, term, n).  A round joins every edge with
-its document's and its term's topic counts, divides the edge's occurrences
-among the topics, and adds the parts up per document and per term.  Terms that most
-documents hold are looked up by ``keyed_join``, so no task gets a whole
-such term.  Only one number per topic and the log-likelihood reach the driver.
+The corpus is a table of edges (doc, term, n).  Edges are dealt to chunks by a
+hash of their document and packed once: a chunk keeps its documents, its distinct terms
+and, by position, its edges.  A round sends each chunk the weights of its terms, divides the
+edges' occurrences among the topics there, and adds up what the chunks' terms got; edges
+never move again.  A term has one entry per chunk, so no task gets a whole frequent
+term; a document's edges are in one chunk, at most one a term.  A round's state is written as files and removed
+once the round after the next has its own.  Only one number per topic and the log-likelihood reach the driver.
 
 The maximised objective is the log-posterior: the log-likelihood plus the
 Dirichlet terms of ``alpha`` and ``eta`` (both above 1).  It never falls.
@@ -13,15 +15,19 @@ Dirichlet terms of ``alpha`` and ``eta`` (both above 1).  It never falls.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyframe.operators.graph import rounds
-from skyframe.plans.joins import keyed_join
 from skyframe.session import checkpoint_dir
 
+EDGES_PER_CHUNK = 500_000
+
 
 @dataclass
 class Topics:
@@ -67,45 +73,103 @@ def fit(edges: DataFrame, k: int, doc: str = "doc_id", term: str = "term", n: st
     if alpha < 1 or eta < 1:
         raise ValueError("alpha and eta must be at least 1")
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-    rows = (edges.filter(F.col(doc).isNotNull() & F.col(term).isNotNull() & (F.col(n) > 0))
-                 .select(F.col(doc).alias("doc"), F.col(term).alias("term"), F.col(n).cast("double").alias("n"))
-                 .groupBy("doc", "term").agg(F.sum("n").alias("n")).checkpoint(eager=True))
-    size, tokens = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
+    base = f"{checkpoint_dir(spark)}/lda-{uuid.uuid4().hex}"
+    rows = edges.filter(F.col(doc).isNotNull() & F.col(term).isNotNull() & (F.col(n) > 0)).select(
+        F.col(doc).alias("doc"), F.col(term).alias("term"), F.col(n).cast("double").alias("n"))
+    size = rows.count()
     if not size:
         raise ValueError("no edges")
-    vocabulary = rows.select("term").distinct().count()
+    count = max(1, -(-size // EDGES_PER_CHUNK))
     # a start that depends on the edge only: the same after a retry
-    coin = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                       lambda i: F.pmod(F.xxhash64("doc", "term", i, F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20)) + 0.01)
-    parts = rows.withColumn("g", coin)
-    parts = parts.select("doc", "term", F.transform("g", lambda x: x * F.col("n") / _sum(F.col("g"))).alias("g"))
+    coin = [F.pmod(F.xxhash64("doc", "term", F.lit(i), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20)) + 0.01 for i in range(k)]
+    kinds = dict(rows.dtypes)
+    state = f"chunk long, terms array<{kinds['term']}>, nd array<double>, nw array<double>, l double, log_theta double"
+    dealt = rows.select(F.pmod(F.xxhash64("doc"), F.lit(count)).alias("chunk"), "doc", "term", "n",
+                        *[c.alias(f"g{i}") for i, c in enumerate(coin)])
+    table = f"lda_chunks_{uuid.uuid4().hex}"
+    (dealt.groupBy("chunk").applyInPandas(_pack(k), f"{state}, docs array<{kinds['doc']}>, payload binary")
+          .write.option("path", f"{base}/chunks").bucketBy(min(count, 50_000), "chunk").saveAsTable(table))
+    chunks = spark.table(table)
+    tokens = float(chunks.agg(F.sum("l")).first()[0])              # the packed rows carry their tokens there
+    needs = chunks.select(F.col("chunk").alias("to"), F.posexplode("terms").alias("pos", "term"))
+    now = chunks.select("chunk", "terms", "nd", "nw")
     model: Topics | None = None
     for i in rounds(None):
-        docs = parts.groupBy("doc").agg(F.array(*[F.sum(F.col("g")[t]) for t in range(k)]).alias("nd")).checkpoint(eager=True)
-        terms = parts.groupBy("term").agg(F.array(*[F.sum(F.col("g")[t]) for t in range(k)]).alias("nw")).checkpoint(eager=True)
+        docs = _runs(chunks.select("chunk", "docs").join(now.select("chunk", "nd"), "chunk"), "docs", "nd", "doc", k)
+        terms = (_runs(now, "terms", "nw", "term", k).groupBy("term")
+                 .agg(F.array(*[F.sum(F.col("nw")[t]) for t in range(k)]).alias("nw")).checkpoint(eager=True))
         logs = _sum(F.transform("nw", lambda x: F.log(x + (eta - 1)))) if eta > 1 else F.lit(0.0)
-        *mass, log_terms = (float(v) for v in terms.agg(                                          # k + 1 numbers
-            *[F.sum(F.col("nw")[t]) for t in range(k)], F.sum(logs)).first())
+        *mass, log_terms, vocabulary = terms.agg(                                                 # k + 2 numbers
+            *[F.sum(F.col("nw")[t]) for t in range(k)], F.sum(logs), F.count(F.lit(1))).first()
         old = model
-        model = Topics(k, alpha, eta, vocabulary, float(tokens), docs, terms, mass,
+        model = Topics(k, alpha, eta, vocabulary, tokens, docs, terms, [float(v) for v in mass],
                        old.log_likelihood if old else [], old.log_posterior if old else [])
-        phi = F.array(*[(F.col("nw")[t] + (eta - 1)) / (m + vocabulary * (eta - 1)) for t, m in enumerate(mass)])
-        theta = _shares(F.col("nd"), alpha, k)
-        found = keyed_join(rows, docs.select("doc", theta.alias("theta")), "doc", size)
-        found = keyed_join(found, terms.select("term", phi.alias("phi")), "term", size)
-        both = found.select("doc", "term", "n", F.zip_with("theta", "phi", lambda a, b: a * b).alias("p"))
-        parts = both.select("doc", "term", "n", _sum(F.col("p")).alias("s"), "p").select(
-            "doc", "term", (F.col("n") * F.log("s")).alias("l"),
-            F.transform("p", lambda x: x * F.col("n") / F.col("s")).alias("g")).checkpoint(eager=True)
-        log = float(parts.agg(F.sum("l")).first()[0])
-        prior = 0.0
-        if alpha > 1:
-            prior += (alpha - 1) * float(docs.select(_sum(F.transform(theta, lambda x: F.log(x))).alias("v")).agg(F.sum("v")).first()[0])
+        phi = [((F.col("nw")[t] + (eta - 1)) / (m + vocabulary * (eta - 1))).alias(f"p{t}") for t, m in enumerate(mass)]
+        sent = needs.join(terms.select("term", *phi), "term").drop("term")
+        held = chunks.select("chunk", "terms", "payload").join(now.select("chunk", "nd"), "chunk")
+        path = f"{base}/round={i}"
+        held.groupBy("chunk").cogroup(sent.groupBy("to")).applyInPandas(_share_out(k, alpha), state).write.parquet(path)
+        now = spark.read.parquet(path)
+        log, log_theta = now.agg(F.sum("l"), F.sum("log_theta")).first()
+        prior = (alpha - 1) * log_theta if alpha > 1 else 0.0
         if eta > 1:
-            prior += (eta - 1) * (log_terms - vocabulary * sum(math.log(m + vocabulary * (eta - 1)) for m in mass))
-        model.log_likelihood.append(log)
-        model.log_posterior.append(log + prior)
+            prior += (eta - 1) * (float(log_terms) - vocabulary * sum(math.log(m + vocabulary * (eta - 1)) for m in mass))
+        model.log_likelihood.append(float(log))
+        model.log_posterior.append(float(log) + prior)
+        if i > 1:
+            _remove(spark, f"{base}/round={i - 2}")
         done = model.log_posterior
         if i + 1 >= max_rounds or (tol is not None and i and done[-1] - done[-2] <= tol * abs(done[-1])):
             return model
+
+
+def _runs(rows: DataFrame, names: str, counts: str, name: str, k: int) -> DataFrame:
+    """(name, counts): the names of a chunk, each with its k of the chunk's counts."""
+    each = rows.select(F.posexplode(names).alias("pos", name), counts)
+    return each.select(name, F.slice(counts, F.col("pos") * k + 1, F.lit(k)).alias(counts))
+
+
+def _remove(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _added(place: np.ndarray, shares: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(place, shares[:, t], n) for t in range(shares.shape[1])], 1)
+
+
+def _pack(k: int):
+    """All edges of a chunk -> one row, with the counts of the random start."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = [f"g{i}" for i in range(k)]
+        e = pdf.groupby(["doc", "term"], sort=False, dropna=False).agg(
+            {"n": "sum", **{c: "first" for c in g}}).reset_index()
+        d, docs = pd.factorize(e["doc"], use_na_sentinel=False)
+        t, terms = pd.factorize(e["term"], use_na_sentinel=False)
+        n, start = e["n"].to_numpy(), e[g].to_numpy()
+        shares = start * (n / start.sum(1))[:, None]
+        payload = d.astype("<u4").tobytes() + t.astype("<u4").tobytes() + n.astype("<f8").tobytes()
+        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "terms": [list(terms)],
+                             "nd": [_added(d, shares, len(docs)).ravel()], "nw": [_added(t, shares, len(terms)).ravel()],
+                             "l": [n.sum()], "log_theta": [0.0], "docs": [list(docs)], "payload": [payload]})
+    return run
+
+
+def _share_out(k: int, alpha: float):
+    """A chunk and the weights of its terms -> its new counts and its part of the objective."""
+    def run(held: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        chunk, terms, payload, nd = (held[c].iloc[0] for c in ("chunk", "terms", "payload", "nd"))
+        m = len(payload) // 16
+        d, t = (np.frombuffer(payload, "<u4", m, 4 * m * i).astype(np.int64) for i in range(2))
+        n = np.frombuffer(payload, "<f8", m, 8 * m)
+        nd = np.asarray(nd, float).reshape(-1, k)
+        theta = (nd + (alpha - 1)) / (nd.sum(1) + k * (alpha - 1))[:, None]
+        phi = np.empty((len(terms), k))
+        phi[sent["pos"].to_numpy()] = sent[[f"p{i}" for i in range(k)]].to_numpy()
+        p = theta[d] * phi[t]
+        s = p.sum(1)
+        shares = p * (n / s)[:, None]
+        return pd.DataFrame({"chunk": [chunk], "terms": [terms], "nd": [_added(d, shares, len(nd)).ravel()],
+                             "nw": [_added(t, shares, len(terms)).ravel()], "l": [float(n @ np.log(s))],
+                             "log_theta": [float(np.log(theta).sum()) if alpha > 1 else 0.0]})
+    return run

@@ -14,6 +14,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from skyframe.ml import bayes, glm, lda_em
+from skyframe.session import checkpoint_dir
 from skyframe.ml import models as md
 from skyframe.operators import evaluation as ev
 from skyframe.operators import graph as gr
@@ -187,6 +188,31 @@ def test_lda_em_rises_and_separates_topics(spark):
     assert shares.sum(1) == pytest.approx(np.ones(40))
 
 
+def test_lda_em_by_chunks_equals_the_plain_rounds(spark, monkeypatch):
+    """Counts do not depend on the chunks, edges that repeat add up, and of the
+    rounds' files the last two stay."""
+    import glob
+    rng = random.Random(8)
+    edges = [(f"d{rng.randrange(30)}", f"t{rng.randrange(15)}", rng.randint(1, 3)) for _ in range(300)]
+    df = spark.createDataFrame([*edges, (None, "t1", 2), ("d1", None, 2), ("d1", "t1", 0), ("d1", "t1", None)],
+                               "doc_id string, term string, n long")
+    models = []
+    for size in (lda_em.EDGES_PER_CHUNK, 40):
+        monkeypatch.setattr(lda_em, "EDGES_PER_CHUNK", size)
+        before = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/lda-*"))
+        models.append(lda_em.fit(df, 3, max_rounds=5))
+        made, = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/lda-*")) - before
+        assert len(glob.glob(f"{made}/round=*")) == 2
+    one, many = models
+    assert one.log_posterior == pytest.approx(many.log_posterior, rel=1e-12) and one.tokens == many.tokens == sum(e[2] for e in edges)
+    for side, key, counts in (("docs", "doc", "nd"), ("terms", "term", "nw")):
+        a, b = ({r[key]: r[counts] for r in getattr(m, side).collect()} for m in models)
+        assert a.keys() == b.keys() == {e[0 if key == "doc" else 1] for e in edges}
+        assert all(a[v] == pytest.approx(b[v], rel=1e-9) for v in a)
+    total = sum(sum(r["nd"]) for r in one.docs.collect())
+    assert total == pytest.approx(one.tokens)
+
+
 # ---------------------------------------------------------------- distributions and similarities
 def test_ks_against_any_distribution(spark):
     rng = random.Random(6)
