@@ -124,8 +124,7 @@ SGD_BLOCK = 4096
 
 def _blocks(df: DataFrame) -> DataFrame:
     """(x, y) -> (rows, xy): blocks of rows as one binary value, row-major
-    doubles, the label last.  Rows with a null among their numbers add nothing to a
-    gradient and are left out."""
+    doubles, the label last.  A null among a row's numbers is an error."""
     def pack(batches):
         import pandas as pd
         for pdf in batches:
@@ -135,7 +134,8 @@ def _blocks(df: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"rows": [len(xy)], "xy": [np.ascontiguousarray(xy, dtype=float).tobytes()]})
 
     whole = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.exists("x", lambda v: v.isNull())
-    return df.filter(whole).mapInPandas(pack, "rows long, xy binary")
+    x = F.when(whole, F.col("x")).otherwise(F.raise_error(F.lit("null among the numbers of a row")))
+    return df.select(x.alias("x"), "y").mapInPandas(pack, "rows long, xy binary")
 
 
 def _total(blocks: DataFrame, each) -> np.ndarray | None:

@@ -219,11 +219,12 @@ def test_restartable_count_has_a_fixed_number_of_triggers(spark, tmp, monkeypatc
 
 @pytest.mark.parametrize("kind,passes", [(lr.StreamingLinearRegression, 1), (lr.StreamingLogisticRegression, 6)])
 def test_learner_steps_equal_the_gradient_steps(spark, monkeypatch, kind, passes):
-    """Weights of the plain formula; rows with a null count but add nothing.
-    Least squares makes one pass however many steps it takes."""
+    """Weights of the plain formula; a null is an error and leaves the model as
+    it was.  Least squares makes one pass however many steps it takes."""
     rows = [([math.sin(i), i % 5 / 5, 1.0], float(i % 3 == 0)) for i in range(300)]
     odd = [([1.0, None, 1.0], 1.0), ([1.0, 2.0, 3.0], None), (None, 0.0)]
-    df = spark.createDataFrame(rows + odd, "features array<double>, label double")
+    kinds = "features array<double>, label double"
+    df = spark.createDataFrame(rows, kinds)
     calls, total = [], lr._total
     monkeypatch.setattr(lr, "_total", lambda *a: calls.append(1) or total(*a))
     m = kind(3, step=0.5, iters=6)
@@ -232,6 +233,10 @@ def test_learner_steps_equal_the_gradient_steps(spark, monkeypatch, kind, passes
     for t in range(1, 7):
         z = x @ w
         p = z if kind is lr.StreamingLinearRegression else 1 / (1 + np.exp(-z))
-        w = w - 0.5 / math.sqrt(t) * ((p - y) @ x) / (len(rows) + len(odd))
+        w = w - 0.5 / math.sqrt(t) * ((p - y) @ x) / len(rows)
     assert np.allclose(m.w, w, atol=1e-12)
     assert len(calls) == passes
+    for row in odd:
+        with pytest.raises(Exception, match="null among"):
+            m.update(df.union(spark.createDataFrame([row], kinds)), 1)
+    assert np.allclose(m.w, w, atol=1e-12) and m.last == 0
