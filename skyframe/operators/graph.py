@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyframe.plans import blocks
 from skyframe.plans.joins import keyed_join
 from skyframe.session import checkpoint_dir
 
@@ -364,14 +367,85 @@ def partition_edges(edges: DataFrame, strategy: str, n: int) -> DataFrame:
     return edges.withColumn("part", p.cast("int")).repartition(n, "part")
 
 
-def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree") -> DataFrame:
-    """Power iteration clustering on (src, dst, weight) similarities.  The
-    estimator wants every unordered pair once, so parallel and opposite edges are
-    added up and loops left out.  ``init`` "degree" draws nothing at random."""
+def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree", rows_per_block: int | None = None) -> DataFrame:
+    """Power iteration clustering on (src, dst, weight) similarities: (id, cluster).
+    Every unordered pair counts once, so parallel and opposite edges are
+    added up and loops left out.  ``init`` "degree" draws nothing at random.
+
+    The pairs are packed into blocks once, both ways; a round multiplies the vector by the
+    weights over their row sums, sending only the vector's numbers.  The rounds, their end and
+    the clustering of the vector's numbers are those of the ML estimator."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    if init not in ("degree", "random"):
+        raise ValueError(f"no such start: {init}")
+    spark = similarities.sparkSession
+    base = f"{checkpoint_dir(spark)}/pic-{uuid.uuid4().hex}"
     a, b = F.least("src", "dst"), F.greatest("src", "dst")
-    similarities = (similarities.filter(F.col("src") != F.col("dst")).groupBy(a.alias("src"), b.alias("dst"))
-                                .agg(F.sum("weight").alias("weight")))
-    from pyspark.ml.clustering import PowerIterationClustering
-    p = PowerIterationClustering(k=k, maxIter=iters, initMode=init, srcCol="src", dstCol="dst",
-                                 weightCol="weight")
-    return p.assignClusters(similarities)
+    (similarities.filter(F.col("src") != F.col("dst")).groupBy(a.cast("long").alias("src"), b.cast("long").alias("dst"))
+                 .agg(F.sum("weight").cast("double").alias("weight")).write.parquet(f"{base}/pairs"))
+    pairs = spark.read.parquet(f"{base}/pairs")
+    if not pairs.filter(F.col("weight").isNull() | (F.col("weight") < 0)).isEmpty():
+        raise ValueError("a weight is null or negative")
+    total = 2 * pairs.count()
+    if not total:
+        raise ValueError("no pairs")
+    side = blocks.pack_symmetric(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")),
+                                 "src", "dst", "weight", total, rows_per_block)
+    hot, tiny = len(side.hot), float(np.finfo(float).eps)
+
+    def multiply(block, n, keys, others, w, f):
+        row, degree = np.bincount(keys, w * f[others, 0], n), np.bincount(keys, w, n)
+        own = n - hot
+        return pd.DataFrame({"block": [block], "f": [row[:own] / np.maximum(degree[:own], tiny)], "degree": [degree[:own]],
+                             "hot": [np.concatenate([row[own:], degree[own:]])]})
+
+    def moved(state, hot_values, path):
+        blocks.step(side, side, state, hot_values, 1, multiply,
+                    "block int, f array<double>, degree array<double>, hot array<double>").write.parquet(path)
+        out, sums = spark.read.parquet(path), np.zeros(2 * hot)
+        if hot:
+            for pos, v in out.select(F.posexplode("hot").alias("pos", "v")).groupBy("pos").agg(F.sum("v")).collect():
+                sums[pos] = v                                          # the few hot vertices' sums
+        return out, sums[:hot] / np.maximum(sums[hot:], tiny), sums[hot:]
+
+    def added(df, c):
+        return float(df.agg(F.sum(F.aggregate(c, F.lit(0.0), lambda s, x: s + F.abs(x)))).first()[0])
+
+    ones = side.blocks.select("block", F.transform("ids", lambda _: F.lit(1.0)).alias("f"))
+    ones.write.parquet(f"{base}/ones")
+    out, _, degrees = moved(spark.read.parquet(f"{base}/ones"), np.ones(hot), f"{base}/degrees")
+    if init == "degree":
+        state, at_hot = out.select("block", F.col("degree").alias("f")), degrees
+    else:
+        def draw(batches):
+            for pdf in batches:
+                pdf["f"] = [np.random.default_rng(b + 1).normal(size=len(x)) for b, x in zip(pdf["block"], pdf["f"])]
+                yield pdf
+        out.select("block", "f").mapInPandas(draw, "block int, f array<double>").write.parquet(f"{base}/start")
+        state, at_hot = spark.read.parquet(f"{base}/start"), np.random.default_rng(0).normal(size=hot)
+    norm = added(state, "f") + float(np.abs(at_hot).sum())
+    vertices = side.blocks.agg(F.sum(F.size("ids"))).first()[0] + hot
+    limit, before, change = max(1e-5 / vertices, 1e-8), float("inf"), float("inf")
+    state, at_hot = _scaled(state, norm), at_hot / norm
+    for i in range(iters):
+        if not change > limit:
+            break
+        out, next_hot, _ = moved(state, at_hot, f"{base}/round{i}")
+        norm = added(out, "f") + float(np.abs(next_hot).sum())
+        after, next_hot = _scaled(out, norm), next_hot / norm
+        both = after.join(state.withColumnRenamed("f", "was"), "block")
+        delta = added(both, F.zip_with("f", "was", lambda x, y: x - y)) + float(np.abs(next_hot - at_hot).sum())
+        before, change = delta, abs(delta - before)
+        state, at_hot = after, next_hot
+    points = (side.blocks.select("block", "ids").join(state, "block").select(F.explode(F.arrays_zip("ids", "f")).alias("z"))
+                  .select(F.col("z.ids").alias("id"), F.col("z.f").alias("v")))
+    if hot:
+        points = points.unionByName(spark.createDataFrame([(h, float(x)) for h, x in zip(side.hot, at_hot)], "id long, v double"))
+    points = points.select("id", array_to_vector(F.array("v")).alias("features"))
+    model = KMeans(k=k, seed=0, predictionCol="cluster").fit(points)
+    return model.transform(points).select("id", "cluster")
+
+
+def _scaled(state: DataFrame, norm: float) -> DataFrame:
+    return state.select("block", F.transform("f", lambda x: x / F.lit(norm)).alias("f"))

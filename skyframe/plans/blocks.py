@@ -53,6 +53,16 @@ def pack(rows: DataFrame, a: str, b: str, value: str, total: int, rows_per_block
     return sides[0], sides[1]
 
 
+def pack_symmetric(rows: DataFrame, a: str, b: str, value: str, total: int, rows_per_block: int | None = None) -> Side:
+    """The one side of ``rows`` that name every pair both ways (no key null): what it sends goes to its own blocks."""
+    count = max(1, -(-total // (rows_per_block or ROWS_PER_BLOCK)))
+    hot = hot_keys(rows, a, max(1, total // count // 4)) if count > 1 else []
+    base = f"{checkpoint_dir(rows.sparkSession)}/blocks-{uuid.uuid4().hex}"
+    side = _pack_side(rows, a, b, value, {a: hot, b: hot}, count, f"{base}/0")
+    side.links = _link(side, side, f"{base}/links0")
+    return side
+
+
 def _home(c: str, count: int):
     return F.pmod(F.xxhash64(F.col(c)), F.lit(count)).cast("int")
 

@@ -114,3 +114,25 @@ def test_sssp_round_moves_no_edges(spark, monkeypatch):
     few = spark.range(50).withColumnRenamed("id", "_s")
     plan = plans[0].hint("merge").join(few, plans[0]["src"] == few["_s"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def test_power_iteration_in_blocks(spark):
+    """The clusters are those of the estimator, up to their numbers, in many blocks with hot vertices."""
+    import random
+
+    from pyspark.ml.clustering import PowerIterationClustering
+    rng = random.Random(1)
+    rows = [(0, 100, 0.01), (100, 300, 0.01), (7, 7, 5.0)]
+    for lo, hi in ((0, 30), (100, 140), (300, 310)):
+        rows += [(i, j, rng.random() + 0.1) for i in range(lo, hi) for j in rng.sample(range(lo, hi), 8)]
+    df = spark.createDataFrame(rows, "src long, dst long, weight double")
+    once = (df.filter("src <> dst").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+              .agg(F.sum("weight").alias("weight")))
+    p = PowerIterationClustering(k=3, maxIter=4, initMode="degree", weightCol="weight")
+    want = {r.id: r.cluster for r in p.assignClusters(once).collect()}
+    got = {r.id: r.cluster for r in gr.pic(df, 3, 4, rows_per_block=40).collect()}
+    assert set(got) == set(want) and len({(want[i], got[i]) for i in want}) == 3
+    assert gr.pic(df, 3, 0, init="random").count() == len(want)
+    for odd in (None, -1.0):
+        with pytest.raises(ValueError):
+            gr.pic(df.union(spark.createDataFrame([(1, 400, odd)], df.schema)), 3)
