@@ -339,3 +339,24 @@ def test_spearman_ranks_values_not_rows(spark, monkeypatch):
     for odd in (None, float("nan")):
         with pytest.raises(Exception):
             sa.corr_matrix(df.union(spark.createDataFrame([(1.0, odd, 1.0)], df.schema)), ["x", "y"], "spearman").collect()
+
+
+def test_top_items_make_the_ratings_once(spark, tmp):
+    from skyframe.plans.registry import QUERIES
+    orders = [(o, o % 6) for o in range(60)]
+    line = [(o, (o * 7 + n * n) % 25, float(1 + (o * n) % 9)) for o in range(60) for n in range(6)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp}/orders.parquet")
+    spark.createDataFrame(line, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp}/lineitem.parquet")
+    top = QUERIES["mod22_als_top_items"](spark, tmp)
+    plan = top._jdf.queryExecution().toString()
+    assert "l_quantity" not in plan
+    assert dict(top.dtypes) == {"user": "bigint", "item": "bigint", "prediction": "float", "rank": "int"}
+    rated = {(o % 6, item) for o, item, _ in line}
+    got = top.collect()
+    assert len(got) == sum(min(10, sum(u == v for v, _ in rated)) for u in range(6)) and {(r.user, r.item) for r in got} <= rated
+    for u in range(6):
+        mine = sorted((r.rank, r.prediction) for r in got if r.user == u)
+        assert [k for k, _ in mine] == list(range(1, len(mine) + 1)) and [p for _, p in mine] == sorted((p for _, p in mine), reverse=True)
+    r = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(9)], "user long, item long, rating float")
+    m, pairs = md.als(r, rank=3, iters=2), r.select("user", "item").union(spark.createDataFrame([(99, 1), (1, 99)], "user long, item long"))
+    assert sorted(md.als_scores(m, pairs).collect()) == sorted(m.transform(pairs).collect())
