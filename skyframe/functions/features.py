@@ -51,6 +51,16 @@ def ngrams(df: DataFrame, col: str, n: int = 2, out: str = "ngrams") -> DataFram
     return mlf.NGram(n=n, inputCol=col, outputCol=out).transform(df)
 
 
+CHARS_PER_TASK = 8_000_000
+
+
+def spread(df: DataFrame, col: str, chars: int | None = None) -> DataFrame:
+    """Rows dealt anew so that a task has about ``chars`` characters of ``col``, however
+    large the files' parts are: what a task gathers from its text then stays small."""
+    total = df.agg(F.sum(F.length(col))).first()[0] or 0
+    return df.repartition(max(1, -(-total // (chars or CHARS_PER_TASK))))
+
+
 def hashing_tf(df: DataFrame, col: str, n: int = 1 << 18, out: str = "tf", binary: bool = False) -> DataFrame:
     return mlf.HashingTF(inputCol=col, outputCol=out, numFeatures=n, binary=binary).transform(df)
 

@@ -360,3 +360,17 @@ def test_top_items_make_the_ratings_once(spark, tmp):
     r = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(9)], "user long, item long, rating float")
     m, pairs = md.als(r, rank=3, iters=2), r.select("user", "item").union(spark.createDataFrame([(99, 1), (1, 99)], "user long, item long"))
     assert sorted(md.als_scores(m, pairs).collect()) == sorted(m.transform(pairs).collect())
+
+
+def test_ngrams_are_counted_in_tasks_of_bounded_text(spark, tmp, monkeypatch):
+    from collections import Counter
+    from skyframe.plans.registry import QUERIES
+    texts = [f"w{i % 7} x{i % 5} y{i % 3} w{i % 7} x{i % 5}" for i in range(200)] + ["", "one"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp}/documents.parquet")
+    monkeypatch.setattr(fe, "CHARS_PER_TASK", 500)
+    docs = fe.spread(spark.read.parquet(f"{tmp}/documents.parquet"), "text")
+    assert docs.rdd.getNumPartitions() == -(-sum(map(len, texts)) // 500)
+    q = QUERIES["fea04_ngrams"](spark, tmp)
+    assert "RoundRobinPartitioning" in q._jdf.queryExecution().toString()
+    want = Counter(f"{a} {b}" for t in texts for a, b in zip(t.split(), t.split()[1:]))
+    assert {r.ngram: r["count"] for r in q.collect()} == want
