@@ -385,8 +385,8 @@ def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree",
     (similarities.filter(F.col("src") != F.col("dst")).groupBy(a.cast("long").alias("src"), b.cast("long").alias("dst"))
                  .agg(F.sum("weight").cast("double").alias("weight")).write.parquet(f"{base}/pairs"))
     pairs = spark.read.parquet(f"{base}/pairs")
-    if not pairs.filter(F.col("weight").isNull() | (F.col("weight") < 0)).isEmpty():
-        raise ValueError("a weight is null or negative")
+    if not pairs.filter(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") < 0)).isEmpty():
+        raise ValueError("a weight is null, NaN or negative")
     total = 2 * pairs.count()
     if not total:
         raise ValueError("no pairs")

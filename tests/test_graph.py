@@ -133,6 +133,6 @@ def test_power_iteration_in_blocks(spark):
     got = {r.id: r.cluster for r in gr.pic(df, 3, 4, rows_per_block=40).collect()}
     assert set(got) == set(want) and len({(want[i], got[i]) for i in want}) == 3
     assert gr.pic(df, 3, 0, init="random").count() == len(want)
-    for odd in (None, -1.0):
+    for odd in (None, -1.0, float("nan")):
         with pytest.raises(ValueError):
             gr.pic(df.union(spark.createDataFrame([(1, 400, odd)], df.schema)), 3)
