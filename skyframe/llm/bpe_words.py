@@ -36,6 +36,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,7 +103,8 @@ def split_words(text: str, added: list[str]) -> list[str]:
 
 def _splitter(buckets: int, added: list[str], chunk_chars: int):
     """Partition of (doc_id, text) -> packed chunks.  Bucket -1 holds the
-    documents: their ids and, by position, the numbers of their words."""
+    documents: their ids and, by position, the numbers of their words.  Texts
+    become Python strings one at a time, never a whole batch of them."""
     def rows(chunk, ids, docs, words):
         flat = np.concatenate(docs)
         order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
@@ -121,19 +123,22 @@ def _splitter(buckets: int, added: list[str], chunk_chars: int):
             part = [raw[i] for i in by_home[a:b].tolist()]
             out.append((chunk, int(home[by_home[a]]), pack(smallest(np.array([len(r) for r in part])),
                                                            np.frombuffer(b"".join(part), np.uint8))))
-        return pd.DataFrame(out, columns=["chunk", "bucket", "payload"])
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in
+                                           zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))],
+                                          names=["chunk", "bucket", "payload"])
 
     def run(batches):
         from pyspark import TaskContext
         chunk = TaskContext.get().partitionId() << 32
         ids, docs, words, size = [], [], {}, 0
-        for pdf in batches:
-            for i, t in zip(pdf["doc_id"].astype(object), pdf["text"]):
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = t.as_py()
                 if ids and size + len(t) > chunk_chars:
                     yield rows(chunk, ids, docs, words)
                     chunk, ids, docs, words, size = chunk + 1, [], [], {}, 0
                 size += len(t)
-                ids.append(None if pd.isna(i) else int(i))
+                ids.append(i)
                 found = split_words(t, added)
                 for w in found:
                     if w not in words:
@@ -271,7 +276,7 @@ def _through_words(docs: DataFrame, source: str, finish, schema: str, chunk_char
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     name = f"bpe_chunks_{uuid.uuid4().hex}"
-    (docs.mapInPandas(_splitter(buckets, added, chunk_chars), CHUNKS).write
+    (docs.mapInArrow(_splitter(buckets, added, chunk_chars), CHUNKS).write
          .option("path", f"{checkpoint_dir(spark)}/{name}").option("compression", "none")      # packed already
          .bucketBy(int(min(50_000, max(1, -(-total // 16_000_000)))), "chunk").saveAsTable(name))
     chunks = spark.table(name)

@@ -30,7 +30,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,9 +86,9 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(text: Column) -> Column:
-    @F.pandas_udf("long")
-    def one(texts: pd.Series) -> pd.Series:
-        return pd.Series([signed(fingerprint(t)) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def one(texts: pa.Array) -> pa.Array:
+        return pa.array((signed(fingerprint(t.as_py())) for t in texts), pa.int64())    # one string at a time
     return one(text)
 
 

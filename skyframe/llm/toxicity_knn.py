@@ -31,6 +31,8 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,16 +72,17 @@ def pieces(texts, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(ends, at, side="right"), total
 
 
-def slices(texts: pd.Series):
-    """Positions of the texts in slices of about SLICE_CHARS characters."""
+def slices(texts: pa.Array):
+    """The texts as lists of strings of about SLICE_CHARS characters; those of
+    one slice only are in memory as strings."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) if t else 0
+    for i, n in enumerate(pc.utf8_length(texts).to_pylist()):
+        size += n or 0
         if size >= SLICE_CHARS:
-            yield start, i + 1
+            yield texts.slice(start, i + 1 - start).to_pylist()
             start, size = i + 1, 0
     if start < len(texts):
-        yield start, len(texts)
+        yield texts.slice(start).to_pylist()
 
 
 # ---------------------------------------------------------------- examples
@@ -97,14 +100,15 @@ def sample_labelled(labels: DataFrame, label: str, folds: int, held_out: int, bo
 
 
 def _distinct_pieces(batches, letters):
-    for pdf in batches:
-        for a, b in slices(pdf["text"]):
-            yield pd.DataFrame({"term": np.unique(pieces(pdf["text"].iloc[a:b], letters.value)[1]).view(np.int64)})
+    for batch in batches:
+        for texts in slices(batch.column(0)):
+            terms = np.unique(pieces(texts, letters.value)[1]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(terms)], names=["term"])
 
 
 def vocabulary(examples: DataFrame, letters) -> np.ndarray:
     """All terms (hashes, ascending) of the examples."""
-    found = examples.select("text").mapInPandas(lambda b: _distinct_pieces(b, letters), "term long").distinct()
+    found = examples.select("text").mapInArrow(lambda b: _distinct_pieces(b, letters), "term long").distinct()
     return np.sort(found.toArrow()["term"].to_numpy().view(np.uint64))
 
 
@@ -120,7 +124,7 @@ class Terms:
         self.first[slot[::-1]] = np.arange(len(terms), dtype=np.int32)[::-1]
         self.crowded = np.bincount(slot, minlength=1 << 21) > 1
 
-    def found(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def found(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index of the text, number of the term, count), in that order."""
         doc, piece = pieces(texts, self.letters)
         slot = (piece >> self.SHIFT).astype(np.int64)
@@ -132,7 +136,7 @@ class Terms:
         doc, term = np.divmod(pairs, len(self.terms))
         return doc, term.astype(np.int32), n.astype(np.int32)
 
-    def each(self, texts: pd.Series) -> tuple[list, list]:
+    def each(self, texts: list) -> tuple[list, list]:
         """Term numbers and counts of each text."""
         none = np.zeros(0, np.int32)
         terms, tfs = [none] * len(texts), [none] * len(texts)
@@ -143,27 +147,29 @@ class Terms:
                 terms[doc[i]], tfs[doc[i]] = term[i:j], tf[i:j]
         return terms, tfs
 
-    def vectors(self, texts: pd.Series) -> pd.DataFrame:
+    def vectors(self, texts: pa.Array) -> pa.Array:
         term, tf = [], []
-        for a, b in slices(texts):
-            terms, tfs = self.each(texts.iloc[a:b])
+        for part in slices(texts):
+            terms, tfs = self.each(part)
             term += terms
             tf += tfs
-        return pd.DataFrame({"term": pd.Series(term, dtype=object), "tf": pd.Series(tf, dtype=object)})
+        kind = pa.list_(pa.int32())
+        return pa.StructArray.from_arrays([pa.array(term, kind), pa.array(tf, kind)], names=["term", "tf"])
 
 
 def frequencies(docs: DataFrame, shared, terms: int) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, and the number of documents."""
     def count(batches):
         known, total, rows = Terms(*shared.value), np.zeros(terms, np.int64), 0
-        for pdf in batches:
-            rows += len(pdf)
-            for a, b in slices(pdf["text"]) if terms else ():
-                total += np.bincount(known.found(pdf["text"].iloc[a:b])[1], minlength=terms)
+        for batch in batches:
+            rows += batch.num_rows
+            for texts in slices(batch.column(0)) if terms else ():
+                total += np.bincount(known.found(texts)[1], minlength=terms)
         some = np.flatnonzero(total)
-        yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(total[some], rows)})
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(total[some], rows))],
+                                         names=["term", "n"])
 
-    counts = docs.select("text").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counts = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(terms + 1, np.int64)
     df[counts["term"].to_numpy()] = counts["n"].to_numpy()
     return df[:-1], int(df[-1])
@@ -174,8 +180,8 @@ def vectors(text: Column, shared) -> Column:
     and the letter table."""
     made: list = []
 
-    @F.pandas_udf(VECTOR)
-    def one(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf(VECTOR)
+    def one(texts: pa.Array) -> pa.Array:
         if not made:
             made.append(Terms(*shared.value))
         return made[0].vectors(texts)
@@ -440,13 +446,13 @@ def scored(text: Column, model: Model) -> Column:
     made: list = []
     seen: dict = {}
 
-    @F.pandas_udf("struct<score:double,evidence:string>")
-    def one(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<score:double,evidence:string>")
+    def one(texts: pa.Array) -> pa.Array:
         if not made:
             made.append(Terms(*terms.value))
         ix, out = index.value, []
-        for a, b in slices(texts):
-            vecs = list(zip(*made[0].each(texts.iloc[a:b])))
+        for part in slices(texts):
+            vecs = list(zip(*made[0].each(part)))
             keys = [blake2b(term.tobytes() + tf.tobytes(), digest_size=16).digest() for term, tf in vecs]
             if len(seen) > 20_000:
                 seen.clear()
@@ -455,8 +461,8 @@ def scored(text: Column, model: Model) -> Column:
                 seen[key] = (share_of(ix.vote(e, s), curve), ",".join(
                     f"{ix.ids[i]}:{int(ix.y[i])}:{c:.4f}" for i, c in zip(e[:3], s[:3])))
             out += [seen.get(key, (ix.prior, "")) for key in keys]
-        return pd.DataFrame({"score": np.array([x for x, _ in out], np.float64),
-                             "evidence": pd.Series([x for _, x in out], dtype=object)})
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in out], pa.float64()),
+                                           pa.array([x for _, x in out], pa.string())], names=["score", "evidence"])
     return one(text)
 
 

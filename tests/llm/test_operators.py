@@ -317,6 +317,31 @@ def test_keys_beside_base_spans_are_found(spark):
     assert not any(key in t for t in kept[:5])
 
 
+# ---------------------------------------------------------------- memory of a batch
+def test_texts_of_a_batch_are_never_all_strings_at_once(monkeypatch):
+    """2,000 texts of 10,000 characters: 20 MB as strings."""
+    import tracemalloc
+    from types import SimpleNamespace
+    import pyarrow as pa
+    import pyspark
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = pa.array(["x" * 10_000] * 1999 + [None])
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(1999), None], pa.int64()), texts.fill_null("")],
+                                       names=["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        chunks = list(bpe_words._splitter(1, [], 1 << 30)([batch]))
+        seen = [len(part) for part in toxicity_knn.slices(texts)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4_000_000
+    assert sum(seen) == 2000 and max(seen) == toxicity_knn.SLICE_CHARS // 10_000
+    assert [c for b in chunks for c in b.column(0).to_pylist()] == [3 << 32] * 2
+    value, null, counts, *_ = bpe_words.unpack(chunks[0].column(2)[0].as_py())
+    assert value.tolist() == [*range(1999), 0] and null.tolist() == [0] * 1999 + [1] and counts.tolist() == [1] * 1999 + [0]
+
+
 # ---------------------------------------------------------------- 8
 def test_byte_pairs(docs, rows, none):
     import public_tokenizers
