@@ -155,6 +155,31 @@ def test_sequences_of_the_query_have_up_to_five_items(spark, tmp):
     assert got == want and max(sum(map(len, k)) for k in got) == 5
 
 
+def test_sequences_are_counted_on_bitmaps_as_by_the_estimator(spark, monkeypatch):
+    """Long, empty and null sequences; bitmaps of few rows and of several words."""
+    import random
+    from pyspark.ml.fpm import PrefixSpan
+    rng = random.Random(1)
+
+    def key(df):
+        rows = df.collect()
+        out = {tuple(tuple(sorted(x)) for x in r.sequence): r.freq for r in rows}
+        assert len(out) == len(rows)
+        return out
+
+    for n, items, sets, support, most in ((60, 6, 5, 0.2, 5), (20, 4, 150, 0.95, 3)):
+        data = [([rng.sample(range(items), rng.randint(0, 3)) for _ in range(rng.randint(0, sets))],) for _ in range(n)]
+        df = spark.createDataFrame(data + [(None,)], "sequence array<array<int>>").repartition(3)
+        want = PrefixSpan(minSupport=support, maxPatternLength=most).findFrequentSequentialPatterns(df)
+        with monkeypatch.context() as m:
+            m.setattr(pt, "PrefixSpan", lambda **_: pytest.fail("the estimator counts item by item"))
+            got = pt.sequences(df, "sequence", support, most, 20_000)
+            assert got.schema == want.schema and key(got) == key(want) and len(key(got)) > 10
+            assert pt.sequences(df.limit(0)).count() == 0
+    twice = spark.createDataFrame([([[1, 1, 2], [2]],), ([[1, 1]],)], "sequence array<array<int>>")
+    assert key(pt.sequences(twice, "sequence", 1.0)) == {((1,),): 2, ((1, 1),): 2}
+
+
 def test_lloyd_ends_by_movement_or_raises(spark, monkeypatch):
     df = spark.createDataFrame([(Vectors.dense([float(i)]),) for i in range(12)], ["features"])
     with pytest.raises(RuntimeError):
