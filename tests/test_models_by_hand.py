@@ -213,6 +213,30 @@ def test_lda_em_by_chunks_equals_the_plain_rounds(spark, monkeypatch):
     assert total == pytest.approx(one.tokens)
 
 
+def test_lda_em_leaves_no_shuffle_files_and_its_rounds_no_words(spark):
+    import glob
+    import time
+
+    def shuffles():
+        dirs = [d.getPath() for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df = spark.range(4000).selectExpr("id % 100 doc_id", "'t' || (id * 7 % 333) term", "1 n").repartition(4)
+    before, setting = shuffles(), spark.conf.get(name, "false")
+    made = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/lda-*"))
+    m = lda_em.fit(df, 2, max_rounds=3)
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(name, "false") == setting
+    base, = set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/lda-*")) - made
+    last = spark.read.parquet(f"{base}/round=2")
+    assert not [t for _, t in last.dtypes if "string" in t] and m.terms.count() == m.vocabulary == 333
+    assert sum(sum(r["nw"]) for r in m.terms.collect()) == pytest.approx(4000)
+
+
 # ---------------------------------------------------------------- distributions and similarities
 def test_ks_against_any_distribution(spark):
     rng = random.Random(6)
