@@ -438,8 +438,11 @@ def pic(similarities: DataFrame, k: int, iters: int = 20, init: str = "degree",
         delta = added(both, F.zip_with("f", "was", lambda x, y: x - y)) + float(np.abs(next_hot - at_hot).sum())
         before, change = delta, abs(delta - before)
         state, at_hot = after, next_hot
-    points = (side.blocks.select("block", "ids").join(state, "block").select(F.explode(F.arrays_zip("ids", "f")).alias("z"))
-                  .select(F.col("z.ids").alias("id"), F.col("z.f").alias("v")))
+    # a join that is sorted must not lie below the rows k-means keeps: a partition without rows on one side ends in an error
+    (side.blocks.select("block", "ids").groupBy("block").cogroup(state.groupBy("block"))
+         .applyInPandas(lambda own, at: pd.DataFrame({"id": own["ids"].iloc[0], "v": at["f"].iloc[0]}), "id long, v double")
+         .write.parquet(f"{base}/points"))
+    points = spark.read.parquet(f"{base}/points")
     if hot:
         points = points.unionByName(spark.createDataFrame([(h, float(x)) for h, x in zip(side.hot, at_hot)], "id long, v double"))
     points = points.select("id", array_to_vector(F.array("v")).alias("features"))

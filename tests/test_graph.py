@@ -136,3 +136,23 @@ def test_power_iteration_in_blocks(spark):
     for odd in (None, -1.0, float("nan")):
         with pytest.raises(ValueError):
             gr.pic(df.union(spark.createDataFrame([(1, 400, odd)], df.schema)), 3)
+
+
+def test_power_iteration_with_sorted_joins(spark):
+    """Blocks too large to broadcast, and partitions that hold none: sorted joins
+    under rows that k-means keeps ended in an error."""
+    import random
+    rng = random.Random(3)
+    rows = [(0, 100, 0.01)]
+    for lo, hi in ((0, 30), (100, 140)):
+        rows += [(i, j, rng.random() + 0.1) for i in range(lo, hi) for j in rng.sample(range(lo, hi), 8)]
+    df = spark.createDataFrame(rows, "src long, dst long, weight double")
+    found = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found.append({r.id: r.cluster for r in gr.pic(df, 2, 4, rows_per_block=100).collect()})
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    a, b = found
+    assert set(a) == set(b) == {*range(30), *range(100, 140)} and len({(a[i], b[i]) for i in a}) == 2
