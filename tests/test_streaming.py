@@ -240,3 +240,26 @@ def test_learner_steps_equal_the_gradient_steps(spark, monkeypatch, kind, passes
         with pytest.raises(Exception, match="null among"):
             m.update(df.union(spark.createDataFrame([row], kinds)), 1)
     assert np.allclose(m.w, w, atol=1e-12) and m.last == 0
+
+
+@pytest.mark.parametrize("kind, win, slide", [("timestamp_ntz", "1 hour", "15 minutes"), ("timestamp", "50 minutes", "20 minutes")])
+def test_window_users_on_a_stream_are_those_of_the_batch_in_few_rows_of_state(spark, tmp, kind, win, slide):
+    """Users that come again or are null, times that are null or before 1970, windows in two blocks, parts from several batches."""
+    from skyframe.operators import clicks as ck
+    from skyframe.session import ship_package
+    ship_package(spark)
+    df = spark.range(260_000).select(
+        F.when(F.col("id") % 1000 != 7, F.col("id") * 7919 % 4001).alias("user_id"),
+        F.when(F.col("id") % 5000 != 3, F.timestamp_seconds(F.lit(-86_400) + F.col("id") * 104_729 % 259_200)).cast(kind).alias("ts"))
+    df = df.unionByName(df.limit(500)).unionByName(df.filter("user_id = 5"))
+    seen = {}
+
+    def write(batch, i):
+        batch.write.mode("overwrite").parquet(f"{tmp}/pairs-{i}")
+        seen["last"] = i
+
+    q = st.run(ck.window_users(st.replay(spark, df, 3, folder=f"{tmp}/in"), win, slide), "complete", write)
+    got, want = spark.read.parquet(f"{tmp}/pairs-{seen['last']}"), ck.window_users(df, win, slide)
+    assert dict(got.dtypes) == dict(want.dtypes) and got.count() == want.count() > 500_000
+    assert got.exceptAll(want).isEmpty()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] < 2000
