@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from skyframe.operators.graph import rounds
 from skyframe.session import checkpoint_dir, shuffles_removed
 
-EDGES_PER_CHUNK = 3_000_000
+EDGES_PER_CHUNK = 2_000_000
 EDGES_AT_ONCE = 500_000           # edges whose shares a task holds at a time; also the least that is worth a chunk
 
 MESSAGE = "block long, chunk long, f binary, l double, log_theta double"
@@ -91,7 +91,6 @@ def _fit(edges: DataFrame, k: int, doc: str, term: str, n: str, alpha: float, et
         raise ValueError("no edges")
     count = max(-(-size // EDGES_PER_CHUNK), min(spark.sparkContext.defaultParallelism, -(-size // EDGES_AT_ONCE)))
     chunks, words, start = _packed(rows, k, eta, seed, count, base)
-    _remove(spark, f"{base}/edges")
     tokens = float(chunks.agg(F.sum("tokens")).first()[0])
     vocabulary = words.agg(F.sum("size")).first()[0]
     now = start
@@ -137,6 +136,7 @@ def _packed(rows: DataFrame, k: int, eta: float, seed: int, count: int, base: st
               "times binary, cuts binary, tokens double, nd binary, nw binary")
     tossed.groupBy("chunk").applyInArrow(_pack(k, count), schema).write.parquet(f"{base}/packed")
     packed = spark.read.parquet(f"{base}/packed")
+    _remove(spark, f"{base}/edges")
 
     def kept(df: DataFrame, key: str, name: str) -> DataFrame:
         table = f"lda_{name}_{uuid.uuid4().hex}"
